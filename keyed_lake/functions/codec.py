@@ -20,6 +20,7 @@ from keyed_lake.spec import PARTITION_COLUMN, TableSpec
 
 MODES = ("safe", "compat")
 BAD = "_bad"
+_CORRUPT = "_corrupt"
 LOG_FIELDS = ("partition", "offset", "timestamp")
 
 
@@ -87,23 +88,26 @@ def decode(df: DataFrame, spec: TableSpec, mode: str = "safe", value: str = "val
     text = F.col(value).cast("string")
     if mode == "compat":
         row = F.from_csv(text, spec.table_schema.simpleString())
-        return df.select(row.alias("_row"), *kept).select("_row.*", *[F.col(c) for c in _names(kept, df)])
+        return df.select(row.alias("_row"), *kept).select("_row.*", *_names(df))
 
-    names = spec.table_columns
-    raw = T.StructType([T.StructField(n, T.StringType()) for n in names] + [T.StructField("_corrupt", T.StringType())])
-    parsed = F.from_json(text, raw, {"columnNameOfCorruptRecord": "_corrupt"})
-    columns = [_from_text(F.col(f"_row.`{f.name}`"), f.dataType).alias(f.name) for f in spec.table_schema]
-    broken = F.col("_row").isNull() | F.col("_row._corrupt").isNotNull()
+    raw = T.StructType([T.StructField(n, T.StringType()) for n in [*spec.table_columns, _CORRUPT]])
+    parsed = F.from_json(text, raw, {"columnNameOfCorruptRecord": _CORRUPT})
+    # explode makes one row of one row; it keeps a filter on the result from parsing the text again per column
+    rows = df.select(F.explode(F.array(parsed)).alias("_row"), text.alias("_text"), *kept)
+    values, broken = [], F.col("_row").isNull() | F.col(f"_row.{_CORRUPT}").isNotNull()
     for f in spec.table_schema:
         token = F.col(f"_row.`{f.name}`")
-        broken = broken | (token.isNotNull() & _from_text(token, f.dataType).isNull())
-    for name in spec.pks:
-        broken = broken | _from_text(F.col(f"_row.`{name}`"), spec.type_of(name)).isNull()
-    flagged = df.select(parsed.alias("_row"), text.alias("_text"), *kept)
-    return flagged.select(*columns, *_names(kept, df), broken.alias(BAD), F.when(broken, F.col("_text")).alias("_bad_value"))
+        value = _from_text(token, f.dataType)
+        values.append(value.alias(f.name))
+        if f.name in spec.pks:
+            broken = broken | value.isNull()
+        elif not isinstance(f.dataType, T.StringType):
+            broken = broken | (token.isNotNull() & value.isNull())
+    places = _names(df)
+    return rows.select(*values, *places, broken.alias(BAD), F.when(broken, F.col("_text")).alias("_bad_value"))
 
 
-def _names(kept: Sequence[Column], df: DataFrame) -> list[str]:
+def _names(df: DataFrame) -> list[str]:
     return [f"_log_{name}" for name in LOG_FIELDS if name in df.columns]
 
 

@@ -77,12 +77,9 @@ class ParquetLog:
         self.spark = spark
         self.path = path.rstrip("/")
         self.data = f"{self.path}/data"
+        self.files = Files(spark)
         self._settings: dict | None = None
 
-    @property
-    def files(self) -> Files:
-        return Files(self.spark)
-
     @property
     def settings(self) -> dict:
         if self._settings is None:

@@ -75,10 +75,7 @@ class ParquetTable:
         self.data = f"{self.path}/data"
         self.commits = f"{self.path}/commits"
         self.spec = spec
-
-    @property
-    def files(self) -> Files:
-        return Files(self.spark)
+        self.files = Files(spark)
 
     def exists(self) -> bool:
         return bool(self._versions())
