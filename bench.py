@@ -100,7 +100,8 @@ def main() -> None:
     seconds = {name: timed(lambda: drain(registered[name](spark, sf_dir))) for name in HEADLINE}
 
     raw = f"{scratch_folder(spark, 'changes')}/batches"
-    changes(spark, sf_dir).write.partitionBy("batch_no").parquet(raw)
+    # several files per batch, so that reading a batch uses all cores
+    changes(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism).write.partitionBy("batch_no").parquet(raw)
     batches = [spark.read.parquet(f"{raw}/batch_no={i}").drop("copy") for i in range(BATCHES)]
     rows = spark.read.parquet(raw).count()
     seconds["plain_merge"] = timed(lambda: plain_merge(spark, batches))

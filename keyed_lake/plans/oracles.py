@@ -20,11 +20,7 @@ _CSV = ", ".join(
     f"coalesce(cast({c} as varchar), '')"
     for c in ("event_id", "ts", "user_id", "event_type", "value", "props", "cast(ts as date)")
 )
-_JSON = ", ".join(
-    f"'{c}', cast({x} as varchar)"
-    for c, x in [(c, c) for c in ("event_id", "ts", "user_id", "event_type", "value", "props")]
-    + [("pt_date", "cast(ts as date)")]
-)
+_JSON = "event_id::varchar, ts::varchar, user_id::varchar, event_type, value::varchar, props, cast(ts as date)::varchar"
 _BASE = f"""
     d as (select {_ED} from events),
     t as (
@@ -91,11 +87,10 @@ def registered() -> dict[str, str]:
         """,
         "encode_key_compat": "select event_id, concat_ws(',', user_id, event_type) as key from events",
         "encode_key_safe": """
-            select event_id, cast(json_object('user_id', cast(user_id as varchar), 'event_type', event_type) as varchar)
-                   as key from events
+            select event_id, cast(json_array(user_id::varchar, event_type) as varchar) as key from events
         """,
         "encode_value_compat": f"select event_id, concat_ws(',', {_CSV}) as value from events",
-        "encode_value_safe": f"select event_id, cast(json_object({_JSON}) as varchar) as value from events",
+        "encode_value_safe": f"select event_id, cast(json_array({_JSON}) as varchar) as value from events",
         "codec_roundtrip_compat": f"select {_ED} from events",
         "codec_roundtrip_safe": f"select {_ED} from events",
         "codec_roundtrip_documents": "select doc_id, text, lang, source, n_chars from documents",

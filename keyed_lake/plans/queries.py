@@ -188,7 +188,7 @@ def _damaged_value(mode: str) -> Column:
     fields = [F.col(c).cast("string") if c != "value" else broken for c in EVENTS.table_columns]
     if mode == "compat":
         return F.concat_ws(",", *fields)
-    return F.to_json(F.struct(*[f.alias(c) for c, f in zip(EVENTS.table_columns, fields)]))
+    return F.to_json(F.array(*fields))
 
 
 def decode_malformed(spark, sf_dir):
