@@ -19,7 +19,7 @@ import json
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -151,18 +151,20 @@ class ParquetLog:
 
     def _publish(self, rows: DataFrame, writer: str, batch_id: int, rows_per_file: int) -> Appended:
         staged = f"{self.path}/_staging/{uuid.uuid4().hex}"
+        # counted while writing: no second look at what was written
+        seen = Observation()
+        counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.max("offset").alias("end"))
         (
-            rows.write.option("compression", "zstd")
+            counted.write.option("compression", "zstd")
             .option("maxRecordsPerFile", rows_per_file)
             .parquet(staged)
-        )
-        written = self.spark.read.schema(LOG_SCHEMA).parquet(staged).agg(F.count("*"), F.max("offset")).head()
-        if written[0] == 0:
+        )
+        written, end = seen.get["rows"], seen.get["end"]
+        if not written:
             self.files.delete(staged)
             return Appended(0, None)
-        final = f"{self.data}/batch={written[1]:0{_END_DIGITS}d}-{writer}-{batch_id}"
-        self.files.publish_folder(staged, final)
-        return Appended(written[0], written[1])
+        self.files.publish_folder(staged, f"{self.data}/batch={end:0{_END_DIGITS}d}-{writer}-{batch_id}")
+        return Appended(written, end)
 
     def scan(self) -> DataFrame:
         """All records as a bounded table."""
