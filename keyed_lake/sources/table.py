@@ -2,8 +2,8 @@
 
 Layout of a table folder:
 
-    data/v=<version>/pt_date=<date>/...   what one commit wrote
-    commits/<version>.json                which folders make up the table after that commit
+    data/_version=<version>/pt_date=<date>/...   what one commit wrote
+    commits/<version>.json                       which folders make up the table after that commit
 
 A commit writes new folders, then publishes one small JSON file under the next free version number. Readers take the
 folders named in the newest one, so they never see a commit in part, and what a merge reads is never overwritten.
@@ -35,6 +35,7 @@ from keyed_lake.operators.stats import BatchStats, batch_stats
 from keyed_lake.spec import PARTITION_COLUMN, TableSpec
 from keyed_lake.storage import Files
 
+VERSION = "_version"  # no column of a spec can have this name
 NULL_DATE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder name Spark gives to a NULL partition
 WHOLE = ""  # the only part of an unpartitioned table
 MAX_PIECES = 16  # a partition appended to more often is rewritten by the next commit that touches it
@@ -56,7 +57,7 @@ class Snapshot:
 
     def folders(self, names: Iterable[str] | None = None) -> list[str]:
         chosen = self.parts if names is None else [n for n in names if n in self.parts]
-        return [f"v={v}/{name}".rstrip("/") for name in chosen for v in self.parts[name]]
+        return [f"{VERSION}={v}/{name}".rstrip("/") for name in chosen for v in self.parts[name]]
 
 
 @dataclass(frozen=True)
@@ -230,7 +231,7 @@ class ParquetTable:
         return rows.hint("rebalance", PARTITION_COLUMN)
 
     def _write(self, rows: DataFrame, version: str) -> list[str]:
-        folder = f"{self.data}/v={version}"
+        folder = f"{self.data}/{VERSION}={version}"
         writer = rows.write.option("compression", "zstd")
         if self.spec.partition_column is None:
             writer.parquet(folder)

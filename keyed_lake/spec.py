@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 PARTITION_COLUMN = "pt_date"
-LOG_PREFIX = "_log_"
+RESERVED_PREFIX = "_"  # names the engine gives to columns and folders of its own
 
 # The type names a spec may use.
 TYPE_NAMES: dict[str, T.DataType] = {
@@ -97,7 +97,7 @@ class TableSpec:
                 if name not in self._by_name:
                     self._fail(f"{role} column {name} is not in columns {self.columns}")
         for name in self.columns:
-            if name == PARTITION_COLUMN or name.startswith(LOG_PREFIX):
+            if name == PARTITION_COLUMN or name.startswith(RESERVED_PREFIX):
                 self._fail(f"column name {name} is reserved")
         if self.partition_by is not None:
             if self.partition_by not in self._by_name:

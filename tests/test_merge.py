@@ -1,0 +1,183 @@
+"""Upsert semantics, on the lazy form and on the committed table."""
+
+from datetime import date
+
+import pytest
+from conftest import make_spec, plan_of, rows_of
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from keyed_lake.operators.dedup import keep_latest
+from keyed_lake.operators.merge import merge_frames
+from keyed_lake.sources.table import ParquetTable
+
+SPEC = make_spec("id long,at timestamp,o long", "id", "o", "at")
+SCHEMA = "id long, o long, pt_date date"
+D1, D2, D3 = date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)
+SETTINGS = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).selectExpr("id", "cast(pt_date as timestamp) as at", "o", "pt_date")
+
+
+def merged(spark, folder, batches, scope="batch", spec=SPEC, **more):
+    table = ParquetTable(spark, f"{folder}/{scope}-{len(batches)}-{abs(hash(str(batches)))}", spec).create()
+    for i, batch in enumerate(batches):
+        # the first batch loads the table as it is
+        table.merge(frame(spark, batch), "partition" if i == 0 else scope, **(more if i else {}))
+    return table
+
+
+def result(table):
+    return rows_of(table.read(), "id", "o", "pt_date")
+
+
+def reference_merge(target, batch, scope):
+    """The stated semantics, row by row."""
+    days = {d for _, _, d in batch if d is not None}
+    best = {}
+    for row in batch:
+        key = (row[0], row[2]) if scope == "partition" else row[0]
+        rank = (row[1] is not None, row[1] or 0, str(row[2]))
+        if key not in best or rank > best[key][0]:
+            best[key] = (rank, row)
+    out, hit = [], set()
+    for t in target:
+        key = (t[0], t[2]) if scope == "partition" else t[0]
+        null = t[0] is None or (scope == "partition" and t[2] is None)
+        inside = scope == "global" or t[2] in days
+        if key in best and inside and not null:
+            out.append(best[key][1])
+            hit.add(key)
+        else:
+            out.append(t)
+    return out + [row for key, (_, row) in best.items() if key not in hit]
+
+
+CASES = {
+    "key moves, old date not in the batch": ([(1, 0, D1)], [(1, 1, D2)]),
+    "key moves, old date in the batch": ([(1, 0, D1)], [(1, 1, D2), (2, 1, D1)]),
+    "old date only through a losing row": ([(1, 1, D1)], [(1, 2, D2), (1, 0, D1)]),
+    "key twice in the target": ([(1, 0, D1), (1, 0, D2)], [(1, 5, D2), (3, 5, D1)]),
+    "null key": ([(None, 0, D1), (1, 0, D1)], [(None, 1, D1), (1, 1, D1)]),
+    "null date": ([(1, 0, None), (2, 0, D1)], [(1, 1, None), (2, 1, None)]),
+    "older row later": ([(1, 9, D1)], [(1, 3, D1)]),
+    "new day only": ([(1, 0, D1)], [(2, 0, D3), (3, 0, D3)]),
+    "disjoint keys, same day": ([(1, 0, D1)], [(2, 0, D1)]),
+}
+COUNTS = {  # rows per scope: batch, partition, global
+    "key moves, old date not in the batch": (2, 2, 1),
+    "key moves, old date in the batch": (2, 3, 2),
+    "old date only through a losing row": (1, 2, 1),
+    "key twice in the target": (3, 3, 3),
+    "null date": (4, 4, 2),
+}
+
+
+SHUFFLED = ["key moves, old date in the batch", "key twice in the target", "null key", "null date"]
+
+
+@pytest.mark.parametrize("scope", ["batch", "partition", "global"])
+@pytest.mark.parametrize("case, limit", [(c, "10MB") for c in CASES] + [(c, "-1") for c in SHUFFLED])
+def test_cases(spark, folder, case, scope, limit):
+    """Both ways of joining: `10MB` broadcasts these small batches, `-1` shuffles them."""
+    target, batch = CASES[case]
+    order = lambda rows: sorted(rows, key=lambda r: [(v is not None, str(v)) for v in r])
+    expected = order(reference_merge(target, batch, scope))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        assert result(merged(spark, folder, [target, batch], scope)) == expected
+        keys = ["id", "pt_date"] if scope == "partition" else ["id"]
+        b = frame(spark, batch)
+        lazy = merge_frames(frame(spark, target), keep_latest(b, keys, ["o"]), ["id"], scope, b.select("pt_date"))
+        assert rows_of(lazy, "id", "o", "pt_date") == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    if case in COUNTS:
+        assert len(expected) == COUNTS[case][["batch", "partition", "global"].index(scope)]
+
+
+def test_newest_guard(spark, folder):
+    batches = [[(1, 9, D1), (2, None, D1), (3, 5, D1)], [(1, 3, D1), (2, 1, D1), (3, None, D1)]]
+    assert result(merged(spark, folder, batches)) == [(1, 3, D1), (2, 1, D1), (3, None, D1)]
+    newest = merged(spark, f"{folder}/n", batches, on_conflict="newest")
+    assert result(newest) == [(1, 9, D1), (2, 1, D1), (3, 5, D1)]
+
+
+def test_null_keys_and_dates_are_appended_on_replay(spark, folder):
+    batch = [(None, 1, D1), (1, 1, None), (2, 1, D1)]
+    table = merged(spark, folder, [batch, batch, batch])
+    assert result(table) == [(None, 1, D1)] * 3 + [(1, 1, None)] * 3 + [(2, 1, D1)]
+
+
+ROWS = st.lists(
+    st.tuples(st.integers(0, 4), st.integers(0, 3), st.sampled_from([D1, D2, D3])), min_size=1, max_size=12
+)
+
+
+@SETTINGS
+@given(st.lists(ROWS, min_size=1, max_size=3), st.sampled_from(["batch", "partition", "global"]))
+def test_any_batches(spark, tmp_path_factory, batches, scope):
+    table = ParquetTable(spark, str(tmp_path_factory.mktemp("t")), SPEC).create()
+    expected = []
+    for batch in batches:
+        table.merge(frame(spark, batch), scope)
+        expected = reference_merge(expected, batch, scope)
+    assert result(table) == sorted(expected, key=lambda r: [(v is not None, str(v)) for v in r])
+    again = result(table)
+    table.merge(frame(spark, batches[-1]), scope)
+    if scope != "batch":  # in batch scope another date may come into reach
+        assert result(table) == again
+
+
+@SETTINGS
+@given(st.lists(ROWS, min_size=1, max_size=4))
+def test_global_scope_has_a_closed_form(spark, tmp_path_factory, batches):
+    table = ParquetTable(spark, str(tmp_path_factory.mktemp("t")), SPEC).create()
+    best = {}
+    for number, batch in enumerate(batches):
+        table.merge(frame(spark, batch), "global")
+        for row in batch:
+            best[row[0]] = max(best.get(row[0], (-1, -1, D1, row)), (number, row[1], row[2], row))
+    assert result(table) == sorted(b[-1] for b in best.values())
+
+
+def test_unpartitioned(spark, folder):
+    spec = make_spec("id long,o long", "id", "o")
+    table = ParquetTable(spark, folder, spec).create()
+    for rows in ([(1, 1), (2, 1)], [(2, 0), (3, 0)], [(4, 0)]):
+        table.merge(spark.createDataFrame(rows, "id long, o long"))
+    assert rows_of(table.read()) == [(1, 1), (2, 0), (3, 0), (4, 0)]
+    with pytest.raises(ValueError, match="partition scope"):
+        table.merge(spark.createDataFrame([(1, 1)], "id long, o long"), "partition")
+
+
+def test_a_frequent_target_key_is_updated_in_every_copy(spark, folder):
+    # a third of the target has one key; batch scope updates each copy
+    target = [(-1 if i % 3 == 0 else i, 0, D1) for i in range(3000)]
+    table = ParquetTable(spark, folder, SPEC).create()
+    frame(spark, target).write.partitionBy("pt_date").parquet(f"{table.data}/_version=x")
+    start = table.snapshot()
+    table._publish(type(start)(1, {"pt_date=2024-01-01": ["x"]}, {}, start.schema))
+    table.merge(frame(spark, [(-1, 7, D1), (5000, 1, D1)]))
+    out = table.read()
+    assert out.count() == 3001 and out.where("id = -1 and o = 7").count() == 1000
+
+
+def test_arguments_are_checked(spark, folder):
+    table = ParquetTable(spark, folder, SPEC).create()
+    batch = frame(spark, [(1, 1, D1)])
+    with pytest.raises(ValueError, match="scope"):
+        table.merge(batch, "all")
+    with pytest.raises(ValueError, match="on_conflict"):
+        table.merge(batch, on_conflict="first")
+    with pytest.raises(ValueError, match="dates"):
+        merge_frames(batch, batch, ["id"], "batch")
+
+
+def test_small_updates_leave_the_target_unshuffled(spark):
+    target, updates = frame(spark, [(1, 1, D1)] * 10), frame(spark, [(1, 2, D1)])
+    from keyed_lake.operators.merge import apply_updates
+
+    assert "Exchange hash" not in plan_of(apply_updates(target, updates, ["id"], small=True))

@@ -1,0 +1,177 @@
+from datetime import date, datetime
+
+import pytest
+from conftest import make_spec, plan_of, rows_of
+from pyspark.sql import functions as F
+
+from keyed_lake.sources import table as table_module
+from keyed_lake.sources.table import ParquetTable, export_csv
+from keyed_lake.storage import Files, scratch_folder
+
+SPEC = make_spec("id long,at timestamp,v string", "id", "at", "at")
+
+
+def batch(spark, *rows):
+    df = spark.createDataFrame([(i, datetime(2024, 1, d) if d else None, v) for i, d, v in rows], SPEC.row_schema)
+    return df.withColumn("pt_date", F.col("at").cast("date"))
+
+
+def state(table):
+    return rows_of(table.read(), "id", "v")
+
+
+@pytest.fixture
+def table(spark, folder):
+    return ParquetTable(spark, f"{folder}/table", SPEC).create()
+
+
+def test_empty_table_has_the_columns_of_the_spec(table):
+    assert table.read().schema == SPEC.table_schema and table.read().count() == 0
+    assert ParquetTable(table.spark, table.path, SPEC).create().snapshot().version == 0
+
+
+def test_a_table_of_other_columns_is_refused(table):
+    with pytest.raises(ValueError, match="other columns"):
+        ParquetTable(table.spark, table.path, make_spec("id long", "id", "id")).create()
+
+
+def test_schema_when_all_dates_are_null(spark, table):
+    table.merge(batch(spark, (1, None, "a")))
+    assert table.read().schema == SPEC.table_schema and state(table) == [(1, "a")]
+
+
+def test_empty_batch_makes_no_commit(spark, table):
+    assert table.merge(batch(spark, (1, 1, "a")).where("false")).skipped
+    assert table.snapshot().version == 0
+
+
+def test_only_partitions_with_a_match_are_rewritten(spark, table):
+    table.merge(batch(spark, (1, 1, "a"), (2, 2, "a"), (3, 3, "a")))
+    done = table.merge(batch(spark, (1, 1, "b"), (9, 2, "b"), (8, 4, "b")))
+    assert done.rewritten == ("pt_date=2024-01-01",)
+    assert done.appended == ("pt_date=2024-01-02", "pt_date=2024-01-04")
+    parts = table.snapshot().parts
+    assert len(parts["pt_date=2024-01-01"]) == 1 and len(parts["pt_date=2024-01-02"]) == 2
+    assert state(table) == [(1, "b"), (2, "a"), (3, "a"), (8, "b"), (9, "b")]
+
+
+def test_only_wanted_partitions_are_read(spark, table):
+    table.merge(batch(spark, *[(i, i, "a") for i in range(1, 10)]))
+    some = table.read(["2024-01-03", "2024-01-30"])
+    assert rows_of(some, "id") == [(3,)] and len(some.inputFiles()) == 1
+    assert "PartitionFilters: [isnotnull(pt_date" in plan_of(table.read().where("pt_date = date'2024-01-05'"))
+    plan = plan_of(table.read().select("v"))
+    assert "ReadSchema: struct<v:string>" in plan
+
+
+def test_an_emptied_partition_goes(spark, table):
+    table.merge(batch(spark, (1, 1, "a")))
+    table.merge(batch(spark, (1, 2, "b")), "global")
+    assert list(table.snapshot().parts) == ["pt_date=2024-01-02"] and state(table) == [(1, "b")]
+
+
+def test_a_partition_in_many_pieces_is_rewritten(spark, table, monkeypatch):
+    monkeypatch.setattr(table_module, "MAX_PIECES", 3)
+    for i in range(5):
+        table.merge(batch(spark, (i, 1, "a")))
+    assert len(table.snapshot().parts["pt_date=2024-01-01"]) == 2
+    assert state(table) == [(i, "a") for i in range(5)]
+
+
+def test_null_partition_is_not_matched_when_rewritten(spark, table, monkeypatch):
+    monkeypatch.setattr(table_module, "MAX_PIECES", 2)
+    for i in range(4):
+        table.merge(batch(spark, (1, None, f"n{i}"), (2, 1, f"d{i}")))
+    assert state(table) == [(1, f"n{i}") for i in range(4)] + [(2, "d3")]
+
+
+def test_a_batch_of_a_stream_is_applied_once(spark, table):
+    table.merge(batch(spark, (1, 1, "a")), stream="s", batch_id=0)
+    assert table.merge(batch(spark, (1, 1, "z")), stream="s", batch_id=0).skipped
+    assert not table.merge(batch(spark, (1, 1, "c")), stream="other", batch_id=0).skipped
+    assert state(table) == [(1, "c")] and table.snapshot().applied == {"s": 0, "other": 0}
+
+
+def test_crash_between_data_and_commit(spark, table, monkeypatch):
+    table.merge(batch(spark, (1, 1, "a")), stream="s", batch_id=0)
+
+    def crash(self, snapshot):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ParquetTable, "_publish", crash)
+        with pytest.raises(RuntimeError):
+            table.merge(batch(spark, (1, 1, "b"), (2, 2, "b")), stream="s", batch_id=1)
+    assert state(table) == [(1, "a")]
+    table.merge(batch(spark, (1, 1, "b"), (2, 2, "b")), stream="s", batch_id=1)
+    assert state(table) == [(1, "b"), (2, "b")]
+
+
+def test_two_writers_can_not_both_commit(spark, table, monkeypatch):
+    other = ParquetTable(spark, table.path, SPEC)
+    write = ParquetTable._write
+
+    def slow_write(self, rows, version):
+        if self is table:
+            other.merge(batch(spark, (7, 1, "other")))
+        return write(self, rows, version)
+
+    monkeypatch.setattr(ParquetTable, "_write", slow_write)
+    with pytest.raises(Exception, match="exist"):
+        table.merge(batch(spark, (1, 1, "a")))
+    assert state(table) == [(7, "other")]
+
+
+def test_a_reader_keeps_its_snapshot(spark, table):
+    table.merge(batch(spark, (1, 1, "a")))
+    before = table.read()
+    table.merge(batch(spark, (1, 1, "b")))
+    assert rows_of(before, "v") == [("a",)] and state(table) == [(1, "b")]
+
+
+def test_vacuum_deletes_what_no_commit_names(spark, table):
+    for v in "abcd":
+        table.merge(batch(spark, (1, 1, v), (2, ord(v) - 90, v)), "partition")
+    assert table.vacuum(keep_commits=1) == 3
+    assert state(table) == [(1, "d")] + [(2, v) for v in "abcd"]
+    assert len(Files(spark).names(table.commits)) == 1
+    assert table.vacuum(keep_commits=1) == 0
+
+
+def test_large_dates_are_split_over_tasks(spark, table):
+    # one date holds most rows; with a small target size Spark writes it with several tasks
+    df = spark.range(0, 200_000, 1, 8).select(
+        "id", F.expr("timestamp'2024-01-01' + make_interval(0,0,0, if(id % 3 = 0, cast(id % 20 as int), 0))").alias("at"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        table.merge(df.withColumn("pt_date", F.col("at").cast("date")))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(table.read(["2024-01-01"]).inputFiles()) > 3
+    assert table.read().count() == 200_000
+
+
+def test_export(spark, table, folder):
+    table.merge(batch(spark, (1, 1, 'a,"b"'), (2, 2, "x")))
+    table.export_csv(f"{folder}/csv")
+    back = spark.read.schema(SPEC.table_schema).csv(f"{folder}/csv")
+    assert rows_of(back) == rows_of(table.read())
+    with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
+        export_csv(table.read(), f"{folder}/csv")
+
+
+def test_scratch_folders_are_shared_and_new(spark):
+    one, two = scratch_folder(spark, "x"), scratch_folder(spark, "x")
+    assert one != two and one.startswith(spark.conf.get("spark.checkpoint.dir")) and Files(spark).is_folder(one)
+
+
+def test_text_is_published_once(spark, folder):
+    files = Files(spark)
+    files.publish_text(f"{folder}/a/x.json", "é1")
+    with pytest.raises(Exception):
+        files.publish_text(f"{folder}/a/x.json", "2")
+    assert files.read_text(f"{folder}/a/x.json") == "é1"
+    assert [n for n in files.names(f"{folder}/a") if not n.endswith(".crc")] == ["x.json"]
+    assert date.today()
