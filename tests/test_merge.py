@@ -75,16 +75,24 @@ COUNTS = {  # rows per scope: batch, partition, global
 }
 
 
-SHUFFLED = ["key moves, old date in the batch", "key twice in the target", "null key", "null date"]
+def together(which):
+    """All cases in one target and one batch, each with ids and dates of its own."""
+    rows = []
+    for i, case in enumerate(CASES.values()):
+        for key, o, day in case[which]:
+            rows.append((None if key is None else key + 100 * i, o, day and day.replace(year=2000 + i)))
+    return rows
+
+
+def in_order(rows):
+    return sorted(rows, key=lambda r: [(v is not None, str(v)) for v in r])
 
 
 @pytest.mark.parametrize("scope", ["batch", "partition", "global"])
-@pytest.mark.parametrize("case, limit", [(c, "10MB") for c in CASES] + [(c, "-1") for c in SHUFFLED])
-def test_cases(spark, folder, case, scope, limit):
-    """Both ways of joining: `10MB` broadcasts these small batches, `-1` shuffles them."""
-    target, batch = CASES[case]
-    order = lambda rows: sorted(rows, key=lambda r: [(v is not None, str(v)) for v in r])
-    expected = order(reference_merge(target, batch, scope))
+@pytest.mark.parametrize("limit", ["10MB", "-1"], ids=["broadcast", "shuffle"])
+def test_cases(spark, folder, scope, limit):
+    target, batch = together(0), together(1)
+    expected = in_order(reference_merge(target, batch, scope))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     try:
         assert result(merged(spark, folder, [target, batch], scope)) == expected
@@ -94,8 +102,13 @@ def test_cases(spark, folder, case, scope, limit):
         assert rows_of(lazy, "id", "o", "pt_date") == expected
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    if case in COUNTS:
-        assert len(expected) == COUNTS[case][["batch", "partition", "global"].index(scope)]
+
+
+@pytest.mark.parametrize("case", COUNTS)
+def test_row_counts_of_the_cases(case):
+    target, batch = CASES[case]
+    counts = tuple(len(reference_merge(target, batch, s)) for s in ("batch", "partition", "global"))
+    assert counts == COUNTS[case]
 
 
 def test_newest_guard(spark, folder):
