@@ -40,6 +40,7 @@ LOG_SCHEMA = T.StructType(
 LOG_COLUMNS = LOG_SCHEMA.fieldNames()
 STREAM_SCHEMA = T.StructType([*LOG_SCHEMA.fields, T.StructField("batch", T.StringType())])
 ROWS_PER_FILE = 1_000_000
+STARTS = ("latest", "earliest")
 
 _TASK_BITS = 28  # rows one write task may hold: offset = first + task * 2^28 + row in task
 _END_DIGITS = 19
@@ -171,12 +172,13 @@ class ParquetLog:
         paths = [f"{self.data}/{b}" for b in self.batches()]
         return self.spark.read.schema(LOG_SCHEMA).parquet(*paths)
 
-    def stream(self, after: str | None = None, max_records: int | None = None) -> DataFrame:
-        """Records as a stream, from the first batch or from the batch folder name `after` on.
+    def stream(self, start: str = "earliest", checkpoint: str = "", max_records: int | None = None) -> DataFrame:
+        """Records as a stream, from the first batch on or (`latest`) from those appended after the first start.
 
-        Files hold at most `ROWS_PER_FILE` rows unless a smaller limit was given when writing; the number of files
+        A file holds at most `ROWS_PER_FILE` rows unless a smaller limit was given when writing; the number of files
         per trigger is derived from that, so that a trigger takes at most `max_records` (but one file at least).
         """
+        after = self._start_after(start, checkpoint)
         reader = self.spark.readStream.schema(STREAM_SCHEMA)
         reader = reader.option("maxFileAge", "36500d")  # age never makes a file count as read
         if max_records is not None:
@@ -186,6 +188,18 @@ class ParquetLog:
             records = records.where(F.col("batch") > after.removeprefix("batch="))
         return records.select(*LOG_COLUMNS)
 
+    def _start_after(self, start: str, checkpoint: str) -> str | None:
+        """The batch a stream begins after. A `latest` start is kept beside the checkpoint for the next start."""
+        if start not in STARTS:
+            raise ValueError(f"start must be one of {STARTS}, not {start!r}")
+        if start == "earliest":
+            return None
+        mark = f"{checkpoint.rstrip('/')}-start"
+        if not self.files.exists(mark):
+            batches = self.batches()
+            self.files.publish_text(mark, batches[-1] if batches else "")
+        return self.files.read_text(mark) or None
+
     def compact_into(self, target: ParquetLog, batch_id: int = 0) -> Appended:
         """Write the last record per key to another log, offsets unchanged. This log stays as it is."""
         target.create(self.settings["topic"], self.settings["partitions"], self.settings["compact"])

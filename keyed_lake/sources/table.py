@@ -96,13 +96,18 @@ class ParquetTable:
 
     def snapshot(self) -> Snapshot:
         newest = max(self._versions())
-        return Snapshot(**json.loads(self.files.read_text(f"{self.commits}/{newest:012d}.json")))
+        return Snapshot(**json.loads(self.files.read_text(self._commit_file(newest))))
 
     def _publish(self, snapshot: Snapshot) -> None:
         text = json.dumps(
             {"version": snapshot.version, "parts": snapshot.parts, "applied": snapshot.applied, "schema": snapshot.schema}
         )
-        self.files.publish_text(f"{self.commits}/{snapshot.version:012d}.json", text)
+        self.files.publish_text(self._commit_file(snapshot.version), text)
+        # one goes for each that comes, so the folder stays small
+        self.files.delete(self._commit_file(snapshot.version - KEEP_COMMITS))
+
+    def _commit_file(self, version: int) -> str:
+        return f"{self.commits}/{version:012d}.json"
 
     # reading
 
@@ -220,15 +225,20 @@ class ParquetTable:
     def _spread(self, rows: DataFrame, stats: BatchStats, also: Iterable[str] = ()) -> DataFrame:
         """Group rows by partition before the write, so that a task does not open a file for every date.
 
-        The rebalance hint lets Spark split a date that is larger than others over several tasks. With a single date
-        there is nothing to group, and the shuffle is left out.
+        The rebalance hint lets Spark split a date that is larger than others over several tasks; without adaptive
+        execution every date is split by key. With a single date there is nothing to group, and the shuffle is left
+        out.
         """
         names = {part_name(d) for d in stats.dates} | set(also)
         if stats.null_dates:
             names.add(part_name(None))
         if self.spec.partition_column is None or len(names) < 2:
             return rows
-        return rows.hint("rebalance", PARTITION_COLUMN)
+        if self.spark.conf.get("spark.sql.adaptive.enabled") == "true":
+            return rows.hint("rebalance", PARTITION_COLUMN)
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        share = F.pmod(F.xxhash64(*self.spec.pks), F.lit(max(1, tasks // len(names))))
+        return rows.repartition(tasks, F.col(PARTITION_COLUMN), share)
 
     def _write(self, rows: DataFrame, version: str) -> list[str]:
         folder = f"{self.data}/{VERSION}={version}"
@@ -248,10 +258,10 @@ class ParquetTable:
         kept = versions[-max(1, keep_commits) :]
         used = set()
         for number in kept:
-            text = self.files.read_text(f"{self.commits}/{number:012d}.json")
+            text = self.files.read_text(self._commit_file(number))
             used |= set(Snapshot(**json.loads(text)).folders())
         for number in versions[: -len(kept)]:
-            self.files.delete(f"{self.commits}/{number:012d}.json")
+            self.files.delete(self._commit_file(number))
         deleted = 0
         for version in self.files.names(self.data):
             parts = [n for n in self.files.names(f"{self.data}/{version}") if n.startswith(f"{PARTITION_COLUMN}=")]

@@ -20,13 +20,13 @@ from keyed_lake.operators.merge import check_scope
 from keyed_lake.operators.stats import BatchStats, batch_stats
 from keyed_lake.sources.changelog import ParquetLog, rows_per_file
 from keyed_lake.sources.csv import csv_stream, has_csv_folder
+from keyed_lake.sources.delta import DeltaTable
+from keyed_lake.sources.kafka import KafkaLog
 from keyed_lake.sources.table import ParquetTable
 from keyed_lake.spec import TableSpec
 from keyed_lake.storage import Files
 from keyed_lake.streaming.audit import append_audit, now
 
-STARTS = ("latest", "earliest")
-
 
 def _query_id(df: DataFrame) -> str:
     """The id of the running query, which its checkpoint keeps over restarts."""
@@ -51,20 +51,6 @@ def _start(
     return writer.start()
 
 
-def _start_after(spark: SparkSession, log, checkpoint: str, start: str) -> str | None:
-    """Where a stream begins. The place of a `latest` start is kept, so that a restart begins there too."""
-    if start not in STARTS:
-        raise ValueError(f"start must be one of {STARTS}, not {start!r}")
-    if start == "earliest":
-        return None
-    files = Files(spark)
-    mark = f"{checkpoint.rstrip('/')}-start"
-    if not files.exists(mark):
-        batches = log.batches()
-        files.publish_text(mark, batches[-1] if batches else "")
-    return files.read_text(mark) or None
-
-
 # CSV -> log
 
 
@@ -77,7 +63,7 @@ def ingest_csv(
     spark: SparkSession,
     spec: TableSpec,
     csv_root: str,
-    log: ParquetLog,
+    log: ParquetLog | KafkaLog,
     checkpoint: str,
     mode: str = "safe",
     archive: bool = True,
@@ -100,7 +86,7 @@ def ingest_csv(
 
 def merge_batch(
     batch: DataFrame,
-    table: ParquetTable,
+    table: ParquetTable | DeltaTable,
     stream: str,
     batch_id: int,
     audit: str | None = None,
@@ -145,8 +131,8 @@ def merge_batch(
 def apply_log(
     spark: SparkSession,
     spec: TableSpec,
-    log: ParquetLog,
-    table: ParquetTable,
+    log: ParquetLog | KafkaLog,
+    table: ParquetTable | DeltaTable,
     checkpoint: str,
     mode: str = "safe",
     scope: str = "batch",
@@ -166,7 +152,7 @@ def apply_log(
     def handle(batch: DataFrame, batch_id: int) -> None:
         merge_batch(batch, table, _query_id(batch), batch_id, audit, quarantine, scope, on_conflict)
 
-    records = log.stream(_start_after(spark, log, checkpoint, start), spec.max_offsets_per_trigger)
+    records = log.stream(start, checkpoint, spec.max_offsets_per_trigger)
     rows = decode(records, spec, mode)
     return _start(rows, handle, checkpoint, f"apply {spec.name}", spec.processing_time, available_now)
 
@@ -193,8 +179,8 @@ def rekey_records(
 def rekey_log(
     spark: SparkSession,
     spec: TableSpec,
-    source: ParquetLog,
-    target: ParquetLog,
+    source: ParquetLog | KafkaLog,
+    target: ParquetLog | KafkaLog,
     checkpoint: str,
     key: Column | str,
     value: Column | str,
@@ -230,7 +216,7 @@ def rekey_log(
         finally:
             batch.unpersist()
 
-    rows = decode(source.stream(_start_after(spark, source, checkpoint, start)), spec, mode)
+    rows = decode(source.stream(start, checkpoint), spec, mode)
     return _start(rows, handle, checkpoint, f"rekey {spec.name}", 1, available_now)
 
 

@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import datetime
 
 import pytest
 from conftest import make_spec, plan_of, rows_of
@@ -174,4 +174,22 @@ def test_text_is_published_once(spark, folder):
         files.publish_text(f"{folder}/a/x.json", "2")
     assert files.read_text(f"{folder}/a/x.json") == "é1"
     assert [n for n in files.names(f"{folder}/a") if not n.endswith(".crc")] == ["x.json"]
-    assert date.today()
+
+
+def test_dates_are_split_without_adaptive_execution(spark, table):
+    df = spark.range(0, 3000, 1, 3).selectExpr("id", "timestamp'2024-01-01' + make_interval(0,0,0,cast(id % 2 as int)) as at")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        table.merge(df.selectExpr("id", "at", "'x' as v", "cast(at as date) as pt_date"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+    assert len(table.read(["2024-01-01"]).inputFiles()) > 1 and table.read().count() == 3000
+
+
+def test_old_commit_files_go(spark, table, monkeypatch):
+    monkeypatch.setattr(table_module, "KEEP_COMMITS", 2)
+    for i in range(4):
+        table.merge(batch(spark, (i, 1, "a")))
+    assert sorted(table._versions()) == [3, 4] and len(state(table)) == 4
