@@ -1,7 +1,7 @@
 """Times the headline queries and the merge comparison at $BENCH_SF_DIR; prints one JSON line.
 
-`plain_merge` merges every raw batch of a change stream into the table. `log_pipeline` takes the same batches
-through dedup, log and compaction first, then merges once.
+Both ways of the comparison begin with the same CSV batches of a change stream. `plain_merge` merges every raw batch
+into the table. `log_pipeline` takes them through dedup, log and compaction first, then merges once.
 """
 
 from __future__ import annotations
@@ -11,18 +11,19 @@ import os
 import sys
 import tempfile
 import time
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyed_lake.functions.codec import BAD, decode, encode
-from keyed_lake.operators.dedup import keep_latest
+from keyed_lake.functions.codec import BAD, decode, typed, with_partition_date
 from keyed_lake.operators.replay import replay
 from keyed_lake.plans import queries as plans
 from keyed_lake.sources.changelog import ParquetLog
 from keyed_lake.sources.table import ParquetTable
-from keyed_lake.spec import PARTITION_COLUMN
+from keyed_lake.spec import parse_type
 from keyed_lake.storage import scratch_folder
+from keyed_lake.streaming.pipelines import csv_to_records
 
 HEADLINE = [
     "keep_latest_events", "keep_latest_lineitem", "compact_records", "codec_roundtrip_safe", "codec_roundtrip_compat",
@@ -31,7 +32,10 @@ HEADLINE = [
 ]
 COPIES = 5
 BATCHES = 10
-SPEC = plans.SPECS["lineitem"]
+SPEC = replace(
+    plans.SPECS["lineitem"], columns=(*plans.SPECS["lineitem"].columns, "l_year"),
+    types=(*plans.SPECS["lineitem"].types, parse_type("timestamp")), partition_by="l_year",
+)
 
 
 def session() -> SparkSession:
@@ -64,15 +68,16 @@ def drain(df: DataFrame) -> None:
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change stream: lines repeated, each copy of a line in a batch of its own."""
     lines = plans.load(spark, sf_dir, "lineitem")
-    lines = lines.withColumn(PARTITION_COLUMN, F.trunc(F.col("l_shipdate").cast("date"), "year"))
+    lines = lines.withColumn("l_year", F.date_trunc("year", "l_shipdate"))
     batch = F.pmod(F.hash(*SPEC.pks) + F.col("copy") * 3, F.lit(BATCHES))
-    return replay(lines, COPIES, "copy").withColumn("batch_no", batch)
+    return replay(lines, COPIES, "copy").withColumn("batch_no", batch).drop("copy")
 
 
 def plain_merge(spark: SparkSession, batches: list[DataFrame]) -> ParquetTable:
     table = ParquetTable(spark, scratch_folder(spark, "plain"), SPEC).create()
     for i, batch in enumerate(batches):
-        held = batch.persist()
+        rows = batch.select(*[typed(c, SPEC.type_of(c)).alias(c) for c in SPEC.columns])
+        held = with_partition_date(rows, SPEC).persist()
         table.merge(held, stream="plain", batch_id=i)
         held.unpersist()
     return table
@@ -84,7 +89,7 @@ def log_pipeline(spark: SparkSession, batches: list[DataFrame]) -> ParquetTable:
     compacted = ParquetLog(spark, f"{work}/compacted")
     table = ParquetTable(spark, f"{work}/table", SPEC).create()
     for i, batch in enumerate(batches):
-        log.append(encode(keep_latest(batch, SPEC.pks, SPEC.order_by), SPEC), "bench", i)
+        log.append(csv_to_records(batch, SPEC), "bench", i)
     log.compact_into(compacted)
     held = decode(compacted.scan(), SPEC).where(~F.col(BAD)).persist()
     table.merge(held, ties=["_log_offset"], stream="pipeline", batch_id=0)
@@ -101,9 +106,9 @@ def main() -> None:
 
     raw = f"{scratch_folder(spark, 'changes')}/batches"
     # several files per batch, so that reading a batch uses all cores
-    changes(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism).write.partitionBy("batch_no").parquet(raw)
-    batches = [spark.read.parquet(f"{raw}/batch_no={i}").drop("copy") for i in range(BATCHES)]
-    rows = spark.read.parquet(raw).count()
+    changes(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism).write.partitionBy("batch_no").csv(raw)
+    batches = [spark.read.schema(SPEC.text_schema).csv(f"{raw}/batch_no={i}") for i in range(BATCHES)]
+    rows = spark.read.schema(SPEC.text_schema).csv(raw).count()
     seconds["plain_merge"] = timed(lambda: plain_merge(spark, batches))
     seconds["log_pipeline"] = timed(lambda: log_pipeline(spark, batches))
     result = {

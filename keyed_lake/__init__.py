@@ -7,6 +7,8 @@ from keyed_lake.operators.replay import replay
 from keyed_lake.operators.stats import batch_stats, count_rows, log_stats, log_tail
 from keyed_lake.sources.changelog import ParquetLog
 from keyed_lake.sources.csv import csv_stream
+from keyed_lake.sources.delta import DeltaTable
+from keyed_lake.sources.kafka import KafkaLog
 from keyed_lake.sources.table import ParquetTable, export_csv
 from keyed_lake.spec import TableSpec, load_specs, parse_specs, parse_type
 from keyed_lake.storage import scratch_folder
@@ -22,7 +24,7 @@ from keyed_lake.streaming.pipelines import (
 )
 
 __all__ = [
-    "ParquetLog", "ParquetTable", "TableSpec", "append_audit", "apply_all", "apply_log", "await_all", "batch_stats",
+    "DeltaTable", "KafkaLog", "ParquetLog", "ParquetTable", "TableSpec", "append_audit", "apply_all", "apply_log", "await_all", "batch_stats",
     "compact", "count_rows", "csv_stream", "decode", "encode", "encode_key", "encode_value", "export_csv",
     "ingest_all", "ingest_csv", "keep_latest", "keep_latest_text", "load_specs", "log_stats", "log_tail",
     "merge_batch", "merge_frames", "parse_specs", "parse_type", "read_audit", "rekey", "rekey_log", "replay",

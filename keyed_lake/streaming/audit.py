@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,10 +51,15 @@ def append_audit(
     folder = f"{path.rstrip('/')}/batch={stream}-{batch_id}"
     if Files(spark).exists(f"{folder}/_SUCCESS"):
         return
-    row = (
-        spec.topic, spec.table_folder, spec.csv_folder, stats.rows, stats.bad_rows, stats.dates, stats.first_time, *times,
-    )
-    spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(folder)
+    values = [
+        spec.topic, spec.table_folder, spec.csv_folder, stats.rows, stats.bad_rows,
+        F.array(*[F.lit(d) for d in stats.dates]), stats.first_time, *times,
+    ]
+    columns = [
+        (v if isinstance(v, Column) else F.lit(v)).cast(f.dataType).alias(f.name)
+        for v, f in zip(values, AUDIT_SCHEMA.fields)
+    ]
+    spark.range(0, 1, 1, 1).select(*columns).write.mode("overwrite").parquet(folder)
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
