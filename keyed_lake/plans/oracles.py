@@ -118,6 +118,11 @@ def registered() -> dict[str, str]:
             select {_COLUMNS} from d
             qualify row_number() over (partition by user_id, pt_date order by late desc, ts desc, event_id desc) = 1
         """,
+        "touched_partitions": f"""
+            select cast(ts as date) as pt_date, count(distinct user_id) as records from events
+            where cast(ts as date) in (select cast(ts as date) from events where ts >= timestamp '{CUT}')
+            group by 1
+        """,
         "merge_global": f"""
             select {_ED} from events
             qualify row_number() over (
@@ -151,6 +156,7 @@ def registered() -> dict[str, str]:
             select cast(user_id % 10 as integer) as partition, count(*) as records, max(event_id) as max_offset
             from events group by 1
         """,
+        "log_watch": "select count(*) as records from events",
         "ingest_csv": _KEEP_LATEST,
         "pipeline": _KEEP_LATEST,
         "apply_stream": _by_slices(5),

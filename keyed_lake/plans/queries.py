@@ -16,12 +16,12 @@ from keyed_lake.functions.codec import BAD, decode, encode, encode_key, encode_v
 from keyed_lake.operators.dedup import compact, keep_latest, keep_latest_text
 from keyed_lake.operators.merge import merge_frames
 from keyed_lake.operators.replay import replay
-from keyed_lake.operators.stats import count_rows, log_stats, log_tail
+from keyed_lake.operators.stats import batch_stats, count_rows, log_stats, log_tail
 from keyed_lake.sources.changelog import ParquetLog
 from keyed_lake.sources.table import ParquetTable, export_csv
 from keyed_lake.spec import PARTITION_COLUMN, TableSpec, parse_specs
 from keyed_lake.storage import scratch_folder
-from keyed_lake.streaming.audit import audit_records, read_audit, wait_for_count
+from keyed_lake.streaming.audit import AUDIT_SCHEMA, audit_records, read_audit, wait_for_count, watch_log
 from keyed_lake.streaming.pipelines import apply_log, csv_to_records, ingest_csv, rekey_log, rekey_records
 
 SPECS = parse_specs(
@@ -249,6 +249,15 @@ def merge_partition_scope(spark, sf_dir):
     return _merge_tables(spark, sf_dir, "partition")
 
 
+def touched_partitions(spark, sf_dir):
+    """The part of a table that a batch may touch: only the partitions of the batch's dates are read."""
+    table = _table(spark, EVENTS, "touched")
+    rows = dated(spark, sf_dir)
+    table.merge(rows, scope="partition")
+    batch = rows.where(F.col("ts") >= F.lit(CUT).cast("timestamp"))
+    return count_rows(table.read(batch_stats(batch).dates), [PARTITION_COLUMN])
+
+
 def merge_global(spark, sf_dir):
     table = _table(spark, EVENTS, "merge-global")
     rows = dated(spark, sf_dir)
@@ -361,6 +370,14 @@ def log_stats_query(spark, sf_dir):
     return log_stats(_events_log(spark, sf_dir))
 
 
+def log_watch(spark, sf_dir):
+    """What a look at a log of all events reports: the number of records, over all log partitions."""
+    log = _new_log(spark, "watch")
+    log.append(encode(dated(spark, sf_dir), EVENTS), "whole", 0)
+    _, stats = next(watch_log(log.scan))
+    return stats.agg(F.sum("records").alias("records"))
+
+
 # streams
 
 
@@ -416,9 +433,14 @@ def apply_stream(spark, sf_dir):
 
 
 def audit_stream(spark, sf_dir):
-    """Rows merged in all micro-batches, per partition date that occurred in one of them."""
+    """Rows merged in all micro-batches, per partition date that occurred in one of them.
+
+    The audit rows go through a log as JSON records first.
+    """
     table = _apply(spark, sf_dir, "audit")
-    audit = read_audit(spark, table.path.removesuffix("/table") + "/audit")
+    log = _new_log(spark, "audit-log", "log")
+    log.append(audit_records(read_audit(spark, table.path.removesuffix("/table") + "/audit")), "audit", 0)
+    audit = log.scan().select(F.from_json("value", AUDIT_SCHEMA).alias("a")).select("a.*")
     dates = audit.select(F.explode("partition_values").alias(PARTITION_COLUMN)).distinct()
     total = audit.agg(F.sum("batch_size").alias("merged_rows"))
     # one row of totals beside at most one row per day
@@ -506,6 +528,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "spec_decode": spec_decode,
         "merge_batch_scope": merge_batch_scope,
         "merge_partition_scope": merge_partition_scope,
+        "touched_partitions": touched_partitions,
         "merge_global": merge_global,
         "merge_frames_batch_scope": merge_frames_batch_scope,
         "merge_frames_global": merge_frames_global,
@@ -518,6 +541,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "compact_log": compact_log,
         "log_tail": log_tail_query,
         "log_stats": log_stats_query,
+        "log_watch": log_watch,
         "ingest_csv": ingest_csv_query,
         "pipeline": pipeline,
         "apply_stream": apply_stream,
