@@ -200,12 +200,17 @@ class ParquetLog:
             self.files.publish_text(mark, batches[-1] if batches else "")
         return self.files.read_text(mark) or None
 
-    def compact_into(self, target: ParquetLog, batch_id: int = 0) -> Appended:
-        """Write the last record per key to another log, offsets unchanged. This log stays as it is."""
+    def compact_into(self, target: ParquetLog) -> Appended:
+        """Write the last record per key to another, empty log, offsets unchanged. This log stays as it is.
+
+        Nothing is done if the target was compacted from this log and no record came in since.
+        """
         target.create(self.settings["topic"], self.settings["partitions"], self.settings["compact"])
-        if target._find("compaction", batch_id):
+        if target._find("compaction", 0) and target.next_offset() == self.next_offset():
             return Appended(0, None, skipped=True)
-        return target._publish(compact(self.scan()), "compaction", batch_id, ROWS_PER_FILE)
+        if target.batches():
+            raise ValueError(f"the log at {target.path} holds records; compact into a new one")
+        return target._publish(compact(self.scan()), "compaction", 0, ROWS_PER_FILE)
 
 
 def rows_per_file(spec: TableSpec) -> int:

@@ -103,6 +103,10 @@ def test_compaction(spark, log, folder):
     kept = {r["key"]: r["offset"] for r in target.scan().collect()}
     assert kept["a"] == log.scan().where("key = 'a'").agg(F.max("offset")).head()[0]
     assert target.next_offset() == log.next_offset() and log.scan().count() == 6
+    log.append(records(spark, ("a", "late")), "w", 3)
+    with pytest.raises(ValueError, match="holds records"):
+        log.compact_into(target)
+    assert target.scan().count() == 4
 
 
 def test_files_hold_no_more_rows_than_wanted(spark, log):
