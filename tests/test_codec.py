@@ -27,10 +27,10 @@ def test_partition_date_of_good_bad_and_missing_text(spark):
 
 def test_compat_text_of_the_account_row(spark):
     df = spark.createDataFrame(
-        [("10000", "2022-03-18 09:22:57", "2022-03-18 09:52:58", "chia", "90000")], ACCOUNTS.text_schema
+        [("10000", "2022-03-18 09:22:57", "2022-03-18 09:52:58", "acme", "90000")], ACCOUNTS.text_schema
     )
     out = encode(with_partition_date(df, ACCOUNTS), ACCOUNTS, "compat").head()
-    assert tuple(out) == ("10000", "10000,2022-03-18 09:22:57,2022-03-18 09:52:58,chia,90000,2022-03-18")
+    assert tuple(out) == ("10000", "10000,2022-03-18 09:22:57,2022-03-18 09:52:58,acme,90000,2022-03-18")
 
 
 def test_key_collisions(spark):
@@ -139,8 +139,8 @@ def test_value_encoding_of_nulls(spark):
 
 
 def test_rekey(spark):
-    df = spark.createDataFrame([(1, "chia", 5, 9)], "id long, account string, money long, ts long")
-    assert rekey(df, "account", "money", ["ts"]).head().asDict() == {"key": "chia", "value": "5", "ts": 9}
+    df = spark.createDataFrame([(1, "acme", 5, 9)], "id long, account string, money long, ts long")
+    assert rekey(df, "account", "money", ["ts"]).head().asDict() == {"key": "acme", "value": "5", "ts": 9}
 
 
 def test_mode_is_checked():

@@ -24,15 +24,15 @@ ACCOUNTS = make_spec(
     table_folder="accounts", partitions=4,
 )
 CREATED = "2022-03-18 09:22:57"
-# Seven change rows of two accounts, as in the sample described in FIXTURES.md
+# Seven change rows of two accounts, with the shape and times of fixture F1
 CHANGES = [
-    (10000, "09:22:58", "chia", 3000), (10000, "09:32:58", "chia", 4000), (10000, "09:42:58", "chia", 1000),
-    (10000, "09:52:58", "chia", 90000), (10000, "09:33:58", "chia", 500), (10001, "09:33:58", "ikea", 200),
+    (10000, "09:22:58", "acme", 3000), (10000, "09:32:58", "acme", 4000), (10000, "09:42:58", "acme", 1000),
+    (10000, "09:52:58", "acme", 90000), (10000, "09:33:58", "acme", 500), (10001, "09:33:58", "ikea", 200),
     (10001, "09:34:58", "ikea", 300),
 ]
 T0, DAY = datetime(2022, 3, 18, 9, 22, 57), date(2022, 3, 18)
 LATEST = [
-    (10000, T0, datetime(2022, 3, 18, 9, 52, 58), "chia", 90000, DAY),
+    (10000, T0, datetime(2022, 3, 18, 9, 52, 58), "acme", 90000, DAY),
     (10001, T0, datetime(2022, 3, 18, 9, 34, 58), "ikea", 300, DAY),
 ]
 
@@ -65,7 +65,7 @@ def test_csv_to_log_to_table(spark, folder, mode):
     assert log.scan().count() == 2
     if mode == "compat":
         assert rows_of(log.scan(), "key", "value")[0] == (
-            "10000", "10000,2022-03-18 09:22:57,2022-03-18 09:52:58,chia,90000,2022-03-18",
+            "10000", "10000,2022-03-18 09:22:57,2022-03-18 09:52:58,acme,90000,2022-03-18",
         )
     table = apply(spark, folder, log, mode=mode)
     assert rows_of(table.read()) == LATEST
@@ -179,7 +179,7 @@ def test_rekey(spark, folder):
         spark, ACCOUNTS, source, target, f"{folder}/cp-re", "account", "money", available_now=True,
         quarantine=f"{folder}/bad",
     ).awaitTermination()
-    assert rows_of(target.scan(), "key", "value") == [("chia", "4000"), ("ikea", "300")]
+    assert rows_of(target.scan(), "key", "value") == [("acme", "4000"), ("ikea", "300")]
     assert spark.read.parquet(f"{folder}/bad").count() == 1
 
 
@@ -191,7 +191,7 @@ def test_rekey_with_dedup_keeps_the_time(spark, folder):
     rekey_log(
         spark, ACCOUNTS, source, target, f"{folder}/cp", "account", "money", dedup=True, available_now=True
     ).awaitTermination()
-    assert rows_of(target.scan(), "key", "value") == [("chia", "90000"), ("ikea", "300")]
+    assert rows_of(target.scan(), "key", "value") == [("acme", "90000"), ("ikea", "300")]
     assert target.scan().select("timestamp").distinct().head() == source.scan().select("timestamp").distinct().head()
 
 
