@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from keyed_lake.plans import oracles, queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -25,10 +26,11 @@ def text(value):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(queries.registered()) == set(oracles.registered())
+    assert set(queries.registered()) <= set(entry_points.queries())
 
 
-@pytest.mark.parametrize("name", entry_points.queries())
+@pytest.mark.parametrize("name", queries.registered())
 def test_query(spark, db, name):
     df = entry_points.queries()[name](spark, SF)
     columns = sorted(df.columns)
