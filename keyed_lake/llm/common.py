@@ -51,7 +51,7 @@ def plus(schema: T.StructType, *more: tuple[str, str]) -> T.StructType:
     return T.StructType([*schema.fields, *more.fields])
 
 
-def map_arrow(df: DataFrame, function, schema: T.StructType) -> DataFrame:
+def map_arrow(df: DataFrame, function, schema: T.StructType | str) -> DataFrame:
     """mapInArrow, with workers that find this package where the driver has it.
 
     On a cluster whose machines don't share that path, install the package or submit it with `--py-files`.

@@ -28,7 +28,7 @@ from .common import col, find_package, map_arrow, plus, written
 CAPACITY = 2048
 GROUP_ROWS = 40_000
 END = (0).to_bytes(4, "little")
-CACHED = 1_000_000
+CACHED = 1_500_000
 # how the tokenizer splits, a fixed value; and characters that it neither composes nor takes for blanks
 UNIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 PLAIN = regex.compile("[ -~\u00a1-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]*")
@@ -66,38 +66,42 @@ class Tokens:
                 self.known.update((u, self.encode(u)) for u in block)
 
     def _learn(self, chunks: set[str]) -> None:
-        """Chunks in lower case, of plain characters."""
-        known = self.known
-        mixed = {c: UNIT.findall(c) for c in chunks if not c.isalpha()}
-        units = {c for c in chunks if c not in mixed}.union(*mixed.values())
+        known, mixed, units = self.known, {}, set()
+        for c in chunks:
+            if not c.isprintable() or not (c.isascii() or PLAIN.fullmatch(c)):
+                known[c] = self.encode(c)
+                continue
+            low = c.lower()
+            if low.isalpha():
+                parts = (low,)
+            elif low[-1] in ",." and low[:-1].isalpha():
+                parts = (low[:-1], low[-1])
+            elif "<|" in c:
+                known[c] = self.encode(c)
+                continue
+            else:
+                parts = UNIT.findall(low)
+            units.update(parts)
+            if len(parts) != 1 or parts[0] != c:
+                mixed[c] = parts
         self._learn_units(list(units - known.keys()))
-        known.update((c, b"".join([known[u] for u in units])) for c, units in mixed.items())
+        known.update([(c, b"".join([known[u] for u in parts])) for c, parts in mixed.items()])
 
     def of(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Plain ASCII texts are looked up in lower case, others as they are."""
         for at in range(0, len(texts), 256):
             block = [(t or "").replace("\n", " ") for t in texts[at : at + 256]]
-            easy = [PLAIN.fullmatch(t) is not None and "<|" not in t for t in block]
-            split = [t.lower().split(" ") if e else [] for t, e in zip(block, easy)]
-            new = set().union(*split) - self.known.keys()
+            split = [(t.lower() if t.isascii() and "<|" not in t else t).split(" ") for t in block]
+            wanted = set().union(*split)
+            new = wanted - self.known.keys()
             if new and len(self.known) > self.limit:
                 self.known = {"": b""}
-                new = set().union(*split)
+                new = wanted - {""}
             if new:
                 self._learn(new)
             known = self.known
-            for text, e, words in zip(block, easy, split):
-                yield b"".join([known[w] for w in words] if e else map(self._chunk, text.split(" ")))
-
-    def _chunk(self, chunk: str) -> bytes:
-        """A chunk of a text that isn't plain as a whole."""
-        if not chunk:
-            return b""
-        if "<|" in chunk or not PLAIN.fullmatch(chunk):
-            return self.encode(chunk)
-        lower = chunk.lower()
-        if lower not in self.known:
-            self._learn({lower})
-        return self.known[lower]
+            for words in split:
+                yield b"".join([known[w] for w in words])
 
 
 _tokens: dict[str, Tokens] = {}

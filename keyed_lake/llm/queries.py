@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, sharding
+from . import exact_dedup, html_text, jaccard_join, language, packing, sharding, toxicity
 from .common import load
 
 TOKENIZER = "word_bpe_49k.json"
@@ -27,13 +27,34 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    return toxicity.toxicity_report(docs, labels, "doc_id", "text", "toxic")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_report(load(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = language.held_out("doc_id")
+    model = language.train(docs.where(~held), "doc_id", "text", "lang")
+    rows = language.predict(docs.select("doc_id", "text"), "text", model)
+    return rows.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(load(spark, sf_dir, "pages"), "page_id", "url", "html")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), "doc_id", "text", tokenizer_path())
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_groups(load(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}

@@ -28,7 +28,6 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import col, fold, map_arrow, plus, written
 
@@ -37,6 +36,8 @@ MAX_TERMS, MAX_CANDIDATES = 2_000, 40_000
 LONGEST = 40
 STEMS = (4, 5, 6)
 UNSEEN = 0.3
+#: The least share of toxic texts among those with a term, and the least share by which a hit kind counts at all.
+PURE, COUNTS = 0.9, 0.7
 WORD = re.compile(r"[^\W_]+")
 PAIRS = {"«": "»", "“": "”", "„": "“", "‹": "›", "‘": "’", "「": "」"}
 
@@ -197,7 +198,7 @@ class Lexicon:
         return 1 - miss
 
 
-def _counts(keys, schema):
+def _counts(keys):
     """Sums, batch by batch, in how many toxic and clean texts each key occurs. Columns: text, toxic."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,18 +213,18 @@ def _counts(keys, schema):
                     pa.array(names, pa.string()), pa.array([sums[True][n] for n in names], pa.int64()),
                     pa.array([sums[False][n] for n in names], pa.int64()),
                 ],
-                schema.names,
+                ["key", "toxic", "clean"],
             )
 
     return count
 
 
-COUNTED = plus(T.StructType(), ("key", "string"), ("toxic", "long"), ("clean", "long"))
+COUNTED = "key string, toxic long, clean long"
 
 
 def counted(rows: DataFrame, keys) -> DataFrame:
     """key, toxic, clean: texts of either label in which a key of `keys()(text)` occurs."""
-    sums = map_arrow(rows.select("text", "toxic"), _counts(keys, COUNTED), COUNTED)
+    sums = map_arrow(rows.select("text", "toxic"), _counts(keys), COUNTED)
     return sums.groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
@@ -243,7 +244,7 @@ def evidence(t: float, c: float, n1: float, n0: float) -> float:
 def choose_terms(rows: list[tuple[str, int, int]], n1: int, n0: int, tested: int, max_terms: int = MAX_TERMS) -> list[str]:
     """Terms beyond chance among `tested` keys. A beginning stands for its words if no single one makes it up."""
     least = math.log(max(tested, 1)) + 3
-    good = {k: t for k, t, c in rows if evidence(t, c, n1, n0) >= least and t / n1 >= 4 * c / max(n0, 1)}
+    good = {k: t for k, t, c in rows if evidence(t, c, n1, n0) >= least and t / (t + c) >= PURE}
     whole = {k: t for k, t in good.items() if not k.endswith("*")}
     most: Counter = Counter()
     for w, t in whole.items():
@@ -304,7 +305,8 @@ def train(
             lexicon.rest = p
         else:
             a, b, q = name.split()
-            lexicon.shares[int(a), int(b), q == "1"] = max(0.0, (p - share) / (1 - share))
+            lift = (p - share) / (1 - share)
+            lexicon.shares[int(a), int(b), q == "1"] = lift if lift >= COUNTS else 0.0
     return lexicon
 
 
