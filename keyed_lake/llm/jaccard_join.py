@@ -94,7 +94,7 @@ class Shingles:
         if len(self.known) > KNOWN_WORDS:
             self.known = {}
         known = self.known
-        for w in set(found) - known.keys():
+        for w in (w for w in set(found) if w not in known):
             known[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
         h = np.fromiter((known[w] for w in found), np.uint64, len(found))
         n = min(self.words, len(h))
