@@ -84,7 +84,7 @@ class Tokens:
             units.update(parts)
             if len(parts) != 1 or parts[0] != c:
                 mixed[c] = parts
-        self._learn_units(list(units - known.keys()))
+        self._learn_units([u for u in units if u not in known])
         known.update([(c, b"".join([known[u] for u in parts])) for c, parts in mixed.items()])
 
     def of(self, texts: list[str | None]) -> Iterator[bytes]:
@@ -93,7 +93,7 @@ class Tokens:
             block = [(t or "").replace("\n", " ") for t in texts[at : at + 256]]
             split = [(t.lower() if t.isascii() and "<|" not in t else t).split(" ") for t in block]
             wanted = set().union(*split)
-            new = wanted - self.known.keys()
+            new = {w for w in wanted if w not in self.known}
             if new and len(self.known) > self.limit:
                 self.known = {"": b""}
                 new = wanted - {""}
