@@ -4,8 +4,8 @@ Pass 1 counts how many rows set each cell of a counting Bloom filter and keeps,
 twice. Pass 2 looks up every row: a row with a cell set once only is alone and passes straight through. The rest, the
 true repeats and a few false positives, shuffles by the SHA-256 of its text, which decides exactly.
 
-The filter never has more than `max_bits` cells, so its words are at most `max_bits / 64` rows of 16 bytes: that is the
-bound of the broadcast. With more rows than the filter was made for, more rows shuffle; the result stays the same.
+The filter never has more than `max_bits` cells, which bounds its broadcast. With more rows than it was made for, more
+rows shuffle; the result stays the same.
 
 Null texts count as empty. Of equal texts the row with the largest key stays; a null key is the smallest. Rows with
 equal text and equal key are one group, of which one row stays. An empty table gives an empty result.
@@ -13,64 +13,16 @@ equal text and equal key are one group, of which one row stays. An empty table g
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bloom import MAX_BITS, build
 from .common import col, fresh, written
 
-CELLS_PER_ROW = 16
-MAX_BITS = 1 << 28
-
-
-@dataclass(frozen=True)
-class RepeatFilter:
-    """The cells that at least two rows have set, as rows (word, bits)."""
-
-    words: DataFrame
-    bits: int
-
-    def flag(self, df: DataFrame, name: str, hashed: Column) -> DataFrame:
-        """Adds a boolean: false only if no other row of the counted ones has this hash."""
-        taken = [*df.columns, name]
-        found = []
-        out = df
-        for i, cell in enumerate(cells(hashed, self.bits)):
-            word, bits, place = (fresh(f"_{x}{i}", taken) for x in ("word", "bits", "place"))
-            side = F.broadcast(self.words.select(col("word").alias(word), col("bits").alias(bits)))
-            out = out.withColumn(place, cell).join(side, F.shiftright(F.col(place), 6) == F.col(word), "left")
-            found.append((place, bits, word))
-        hit = [F.coalesce(F.getbit(F.col(b), (F.col(p) % 64).cast("int")), F.lit(0)) == 1 for p, b, _ in found]
-        return out.withColumn(name, hit[0] & hit[1]).drop(*[c for three in found for c in three])
-
-
 def text_hash(text: str) -> Column:
     return F.sha2(F.coalesce(col(text).cast("string"), F.lit("")), 256)
 
 
-def cells(hashed: Column, bits: int) -> list[Column]:
-    """Two cells of a row, from both halves of one 64-bit hash."""
-    h = F.xxhash64(hashed)
-    return [h.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1))]
-
-
-def filter_bits(rows: int, max_bits: int = MAX_BITS) -> int:
-    """A power of two with `CELLS_PER_ROW` cells a row, 2**10 to `max_bits`."""
-    return min(max_bits, 1 << max(10, (CELLS_PER_ROW * max(rows, 1) - 1).bit_length()))
-
-
-def repeat_filter(hashes: DataFrame, hashed: str, rows: int, max_bits: int = MAX_BITS) -> RepeatFilter:
-    """Pass 1. Cells are counted before they are shuffled, so a text with a third of all rows costs a row per task."""
-    bits = filter_bits(rows, max_bits)
-    cell = hashes.select(F.explode(F.array(*cells(col(hashed), bits))).alias("cell"))
-    twice = cell.groupBy("cell").count().where("count > 1")
-    words = twice.groupBy(F.shiftright("cell", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(cell % 64 as int))")).alias("bits")
-    )
-    return RepeatFilter(written(words, "repeat-words"), bits)
-
-
 def duplicate_report(df: DataFrame, key: str, text: str, max_bits: int = MAX_BITS) -> DataFrame:
     """A row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
     light = written(
@@ -79,7 +31,7 @@ def duplicate_report(df: DataFrame, key: str, text: str, max_bits: int = MAX_BIT
         ),
         "text-hashes",
     )
-    seen = repeat_filter(light, "sha", light.count(), max_bits).flag(light, "maybe", F.col("sha"))
+    seen = build(light, "sha", light.count(), 2, max_bits).flag(light, "maybe", F.col("sha"))
     maybe = seen.where("maybe").drop("maybe")
     groups = written(
         maybe.groupBy("sha")
@@ -108,8 +60,7 @@ def drop_duplicates(df: DataFrame, key: str, text: str, max_bits: int = MAX_BITS
     """
     sha, maybe, tie, place = (fresh(n, df.columns) for n in ("sha", "maybe", "tie", "place"))
     hashes = df.select(F.unhex(text_hash(text)).alias("sha"))
-    kept = repeat_filter(hashes, "sha", df.count(), max_bits)
-    seen = kept.flag(df.withColumn(sha, F.unhex(text_hash(text))), maybe, F.col(sha))
+    seen = build(hashes, "sha", df.count(), 2, max_bits).flag(df.withColumn(sha, F.unhex(text_hash(text))), maybe, F.col(sha))
     order = Window.partitionBy(sha).orderBy(col(key).desc_nulls_last(), tie)
     rest = (
         seen.where(maybe)

@@ -35,11 +35,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col, find_package, map_arrow, plus, written
+from .bloom import build
+from .common import col, find_package, fresh, map_arrow, plus, written
 from .components import components
 
 ROUNDS = 2
-PART_TOKENS = 2_000_000
+PART_TOKENS = 250_000
 LEAF, FAN = 16, 8
 #: Words are runs of other than ASCII blanks.
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -268,8 +269,10 @@ def exact_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, rule: Si
     totals = members.groupBy("grp").agg(F.sum("n").alias("total"))
     totals = written(totals.select("grp", F.ceil(F.col("total") / part_tokens).cast("int").alias("parts")), "group-parts")
     wanted = members.join(totals, "grp").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    # only the texts of members leave the scan: a join by hash, of one text per class
-    texts = docs.join(members.select("text_hash").distinct(), "text_hash", "left_semi").groupBy("text_hash").agg(F.first("text").alias("text"))
+    # a Bloom filter lets few other texts than those of members leave the scan
+    hashes = written(members.select("text_hash").distinct(), "member-texts")
+    likely = build(hashes, "text_hash", hashes.count()).flag(docs, "likely", F.col("text_hash")).where("likely")
+    texts = likely.groupBy("text_hash").agg(F.first("text").alias("text"))
     source = wanted.join(texts, "text_hash").select("node", "n", "grp", "parts", "part", "text")
     schema = plus(source.drop("text").schema, ("grams", "binary"))
     sets = written(map_arrow(source, _sets(rule, schema), schema), "member-sets")
@@ -283,26 +286,55 @@ def exact_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, rule: Si
     return written(links, "exact-links")
 
 
-def similar_groups(df: DataFrame, key: str, text: str, rule: Similarity = Similarity(), part_tokens: int = PART_TOKENS) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
-    docs = df.select(col(key).alias("doc_id"), col(text).cast("string").alias("text"))
-    docs = docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit("")), F.length("text")))
+def grouped(df: DataFrame, key: str, text: str, rule: Similarity = Similarity(), part_tokens: int = PART_TOKENS) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id of every row, and whether the row names its component."""
+    docs = with_hash(df.select(col(key).alias("doc_id"), col(text).cast("string").alias("text")), "text", "text_hash")
     ordered = docs.select("doc_id", "text_hash", "text")
     schema = plus(ordered.drop("text").schema, ("digest", "binary"), ("n", "long"), ("first", "array<long>"))
     outlines = written(map_arrow(ordered, _outline(rule, schema), schema), "outlines")
+    name = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
     classes = outlines.where("n > 0").groupBy("digest").agg(
         F.first("n").alias("n"), F.first("first").alias("first"), F.min("text_hash").alias("text_hash"),
-        F.min("doc_id").alias("least"),
+        F.min(name).alias("least"),
     )
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     postings = classes.select("node", "n", F.explode("first").alias("token"))
     groups = candidate_groups(shared_prefixes(postings, rule))
     links = exact_links(docs.select("text", "text_hash"), classes.select("node", "n", "text_hash"), groups, rule, part_tokens)
-    linked = components(links)
-    labelled = classes.select("digest", "node", "least").join(linked, "node", "left")
+    labelled = classes.select("digest", "node", "least").join(components(links), "node", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "node"))
-    least = written(labelled.groupBy("component").agg(F.min("least").alias("component_id")), "component-names")
-    named = written(labelled.join(least, "component").select("digest", "component_id"), "class-names")
-    rows = outlines.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(named, "digest", "left")
-    own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.select("doc_id", "n_shingles", own.alias("component_id"))
+    least = written(labelled.groupBy("component").agg(F.min("least").alias("named")), "component-names")
+    named = written(labelled.join(least, "component").select("digest", "named"), "class-names")
+    rows = outlines.join(named, "digest", "left").withColumn("own", name)
+    alone = F.col("n") == 0
+    return rows.select(
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("named.doc_id")).alias("component_id"),
+        (alone | F.col("own").eqNullSafe(F.col("named"))).alias("first"),
+    )
+
+
+def with_hash(df: DataFrame, text: str, name: str) -> DataFrame:
+    return df.withColumn(name, F.xxhash64(F.coalesce(col(text), F.lit("")), F.length(col(text))))
+
+
+def similar_groups(df: DataFrame, key: str, text: str, rule: Similarity = Similarity()) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row."""
+    return grouped(df, key, text, rule).select("doc_id", "n_shingles", "component_id")
+
+
+def drop_similar(df: DataFrame, key: str, text: str, rule: Similarity = Similarity()) -> DataFrame:
+    """One document of each component, that with the smallest key; rows with equal key and text are one document.
+
+    A Bloom filter of the documents to go lets most others pass without a shuffle.
+    """
+    gone = grouped(df, key, text, rule).where("not first").select(F.col("doc_id").alias("_k"), F.col("text_hash").alias("_h"))
+    gone = written(gone.distinct().withColumn("_both", F.xxhash64("_k", "_h")), "similar-ids")
+    hashed, maybe = fresh("text_hash", df.columns), fresh("maybe", df.columns)
+    rows = with_hash(df, text, hashed)
+    both = F.xxhash64(col(key), F.col(hashed))
+    rows = build(gone, "_both", gone.count()).flag(rows, maybe, both)
+    columns = [col(c) for c in df.columns]
+    same = (F.col(hashed) == F.col("_h")) & col(key).eqNullSafe(F.col("_k"))
+    kept = rows.where(maybe).join(gone, same, "left_anti")
+    return rows.where(~F.col(maybe)).select(*columns).unionByName(kept.select(*columns))
