@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_text, jaccard_join, language, packing, sharding, toxicity
+from . import decontamination, exact_dedup, html_text, jaccard_join, language, licenses, packing, quotes, sharding, toxicity
 from .common import load
 
 TOKENIZER = "word_bpe_49k.json"
@@ -27,6 +27,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(load(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
     return toxicity.toxicity_report(docs, labels, "doc_id", "text", "toxic")
@@ -48,6 +52,10 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(load(spark, sf_dir, "pages"), "page_id", "url", "html")
 
 
+def op7_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.reply_order(load(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), "doc_id", "text", tokenizer_path())
 
@@ -56,5 +64,10 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_groups(load(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")
+    return decontamination.contamination_report(docs, "doc_id", "text", items, "item_id", "text")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}

@@ -1,0 +1,46 @@
+import pytest
+from keyed_lake.llm.html_text import extract, extract_pages, main_text
+from helpers import documents
+
+LINE = "The river, which is long and slow, runs past the old mill; nobody works there now."
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (None, ""),
+        ("", ""),
+        ("<html></html>", ""),
+        (f"<p>{LINE}", LINE),
+        (f"<body><nav><a>Home</a></nav><article><h1>Mill</h1><p>{LINE}<p>{LINE}</article><footer>c</footer>", f"Mill\n{LINE}\n{LINE}"),
+        (f"<article><p>a &amp; b&nbsp;&copy; &#233;\n\t c, {LINE}</p></article>", f"a & b © é c, {LINE}"),
+        (f"<article><p>{LINE}</p><div class='ad'>{LINE}</div><section id=comments><p>{LINE}</p></section></article>", LINE),
+        (f"<div id=main><h2>Head</h2><p>{LINE}</p><ul><li>one</li><li>two</li></ul></div><aside>{LINE}</aside>", f"Head\n{LINE}\none\ntwo"),
+        (f"<script>var a = '<p>no</p>';</script><article><p>{LINE}</p><script>x < y</script></article>", LINE),
+        (f"<header><p>{LINE}</p></header><main><header><h1>T</h1></header><p>{LINE}</p></main>", f"T\n{LINE}"),
+        (f"<article><p><b>{LINE}<br><p>{LINE}</p><!-- <p>no</p> --></article>", f"{LINE}\n{LINE}"),
+        (f"<article><p>x<br>y, {LINE}</p></article>", f"x y, {LINE}"),
+        (f"<article><a title='a > b'>{LINE}</a></article>", LINE),
+        (f"<div role=dialog>{LINE}</div><div hidden>{LINE}</div><div class=cookieBanner>{LINE}</div><div><p>{LINE}</p></div>", LINE),
+        (f"<table><tr><td>{LINE}<td>{LINE}</table>", f"{LINE}\n{LINE}"),
+        ("<p>only words no marks", "only words no marks"),
+        ("plain text, no tags.", "plain text, no tags."),
+        (f"<article><p>a < b, {LINE}</p></article>", f"a < b, {LINE}"),
+    ],
+)
+def test_pages(page, want):
+    assert main_text(page) == want
+
+
+def test_long_paths_and_pages():
+    deep = "<div>" * 3000 + LINE + "</div>" * 3000
+    assert main_text(deep) == LINE
+    assert len(main_text("<article>" + f"<p>{LINE}</p>" * 5000 + "</article>")) == 5000 * (len(LINE) + 1) - 1
+
+
+def test_columns(spark):
+    pages = documents(spark, [f"<p>{LINE}", None, f"<p>{LINE}"])
+    rows = extract(pages, "text", "main", "size")
+    assert rows.columns == [*pages.columns, "main", "size"]
+    assert sorted((r.doc_id, r.main, r["size"]) for r in rows.collect()) == [(0, LINE, len(LINE)), (1, "", 0), (2, LINE, len(LINE))]
+    assert extract_pages(pages.where("false"), "doc_id", "source", "text").count() == 0

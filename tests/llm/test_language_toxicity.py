@@ -1,0 +1,171 @@
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from helpers import ODD, documents
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from keyed_lake.llm import language, toxicity
+from keyed_lake.llm.common import fold
+
+WORDS = {"en": "the house and river stand with green fields".split(), "de": "das haus und der fluß über grüne felder".split()}
+
+
+def sentences(lang, n, seed):
+    pick = random.Random(seed)
+    return [" ".join(pick.choices(WORDS[lang], k=pick.randint(3, 30))) for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    rows = [(i, t, lang) for lang in WORDS for i, t in enumerate(sentences(lang, 60, lang), 1000 * len(lang + lang[0] * (lang == "de")))]
+    rows += [(None, "the end", "en"), (5, None, "en"), (6, "no language", None), (7, "123", "de")]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def brute_length(texts, order, text):
+    """Code length of a text under one language's texts, byte by byte."""
+    counts = defaultdict(Counter)
+    for t in texts:
+        data = b"\n" * order + t.encode()
+        for i in range(order, len(data)):
+            for k in range(order + 1):
+                counts[data[i - k : i]][data[i]] += 1
+    grams = {c + bytes([b]) for c, n in counts.items() for b in n}
+    bits, data = 0.0, b"\n" * order + text.encode()
+    for i in range(order, len(data)):
+        for k in range(order, -1, -1):
+            c = data[i - k : i]
+            if k and c not in grams or not counts.get(c):
+                continue
+            n, u, seen = sum(counts[c].values()), len(counts[c]), counts[c][data[i]]
+            if seen:
+                bits -= math.log2(seen / (n + u))
+                break
+            bits -= math.log2(u / (n + u))
+        else:
+            bits += 8
+    return bits
+
+
+def test_code_lengths_are_exact(spark, labelled):
+    model = language.train(labelled, "doc_id", "text", "lang", order=3).prepare()
+    assert model.languages == ["de", "en"]
+    texts = ["the house", "der fluß über", "zzz qqq", "", "a", "the house " * 300]
+    found = model.lengths([t.encode() for t in texts])
+    for k, lang in enumerate(model.languages):
+        known = [r.text for r in labelled.collect() if r.lang == lang and r.text and any(c.isalpha() for c in r.text)]
+        for i, t in enumerate(texts):
+            assert found[i, k] == pytest.approx(brute_length(known, 3, t), rel=1e-5, abs=1e-3)
+
+
+def test_long_texts_come_in_parts(spark, labelled, monkeypatch):
+    model = language.train(labelled, "doc_id", "text", "lang").prepare()
+    texts = [("das haus und " * k).encode() for k in (0, 1, 50, 3, 200)]
+    whole = model.lengths(texts)
+    monkeypatch.setattr(language, "BLOCK", 64)
+    np.testing.assert_allclose(model.lengths(texts), whole, rtol=1e-6)
+
+
+def test_predictions(spark, labelled):
+    model = language.train(labelled, "doc_id", "text", "lang")
+    docs = documents(spark, [*ODD, *sentences("en", 20, 1), *sentences("de", 20, 2)])
+    rows = language.predict(docs, "text", model)
+    assert rows.columns == [*docs.columns, "lang_pred", "score"]
+    found = {r.doc_id: (r.lang_pred, r.score) for r in rows.collect()}
+    assert [found[i] for i in (0, 1, 6)] == [("und", 0.0)] * 3
+    assert [found[i][0] for i in range(len(ODD), len(ODD) + 40)] == ["en"] * 20 + ["de"] * 20
+    assert all(0 <= s <= 1 for _, s in found.values())
+
+
+def test_without_labels_all_is_unknown(spark, labelled):
+    model = language.train(labelled.where("false"), "doc_id", "text", "lang")
+    assert {r.lang_pred for r in language.predict(documents(spark, ODD), "text", model).collect()} == {"und"}
+    assert language.predict(documents(spark, ODD).where("false"), "text", model).count() == 0
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, last = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+TERMS = ["idiot", "ass", "worthless", "scumbags", "idol", "mor*", "extraordinary"]
+AUTOMATON = toxicity.Automaton(TERMS)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet="idotaslwrhecumbgx", max_size=14) | st.sampled_from(["idiot", "worthles", "wrothless", "moron", "mo", "idolt", "extrordinry"]))
+def test_automaton_finds_what_edit_distance_says(word):
+    want = {}
+    for i, t in enumerate(TERMS):
+        if t.endswith("*"):
+            if word.startswith(t[:-1]):
+                want[i] = 0
+        elif (d := edit_distance(t, word)) <= toxicity.allowed_edits(t):
+            want[i] = d
+    assert dict(AUTOMATON.match(word)) == want
+
+
+def test_quoted():
+    for text, want in [('he said "you idiot" to me', True), ("you idiot", False), ("> you idiot", True), ("« idiot »", True),
+                       ('"a" idiot "b', True), ('"a" idiot b', False), ("„idiot“", True)]:
+        at = text.index("idiot")
+        assert toxicity.quoted(text, at, at + 5) is want, text
+
+
+@pytest.fixture(scope="module")
+def judged(spark):
+    pick = random.Random(4)
+    vocabulary = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in ("la", "ra", "nem", "tis")]
+    rows, labels = [], []
+    for i in range(900):
+        words = pick.choices(vocabulary, k=pick.randint(5, 60))
+        toxic = i % 6 == 0
+        if toxic:
+            words[pick.randrange(len(words))] = pick.choice(["vermin", "vermni", "wretched"])
+        elif i % 6 == 1:
+            words.append('"wretched"')
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    rows += [(900, None), (901, ""), (902, "you vermim"), (903, 'he wrote "wretched" there')]
+    labels += [(900, 0), (None, 1), (5, None), (99999, 1)]
+    return spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+
+
+def test_toxicity_on_held_out_rows(spark, judged):
+    docs, labels = judged
+    rows = {r.doc_id: r for r in toxicity.toxicity_report(docs, labels, "doc_id", "text", "toxic").collect()}
+    assert len(rows) == docs.count()
+    held = [r for i, r in rows.items() if r.held_out and i < 900]
+    assert len(held) > 100
+    assert all(r.predicted == (r.score >= 0.5) for r in rows.values())
+    assert sum(r.predicted == (r.doc_id % 6 == 0) for r in held) >= 0.97 * len(held)
+    assert rows[900].score == rows[901].score < 0.1
+    assert rows[902].predicted == 1 and rows[903].predicted == 0
+
+
+def test_labels_of_held_out_rows_are_not_read(spark, judged):
+    docs, labels = judged
+    turned = labels.selectExpr("doc_id", "case when crc32(cast(doc_id as string)) % 5 = 0 then 1 - toxic else toxic end as toxic")
+    a, b = (toxicity.toxicity_report(docs, x, "doc_id", "text", "toxic").collect() for x in (labels, turned))
+    assert sorted(a) == sorted(b)
+
+
+def test_one_kind_of_label(spark, judged):
+    docs, labels = judged
+    rows = toxicity.toxicity_report(docs, labels.where("toxic = 0"), "doc_id", "text", "toxic").collect()
+    assert {r.score for r in rows} == {0.0}
+    assert toxicity.toxicity_report(docs.where("false"), labels, "doc_id", "text", "toxic").count() == 0
+
+
+def test_fold(spark):
+    import zlib
+
+    rows = spark.range(50).select("id", fold("id", 5).alias("f")).collect()
+    assert all(r.f == zlib.crc32(str(r.id).encode()) % 5 for r in rows)
