@@ -12,7 +12,7 @@ at most `max_grams` contexts with their bytes, the most frequent ones; that boun
 workers. Everything else covers all rows and whole texts.
 
 A text that is null, empty or without a letter is `und`, with score 0. Equal code lengths go to the language that comes
-first in the alphabet. Without a single labelled row every text is `und`. Repeated rows count as often as they occur.
+first in the alphabet. Without a single labelled row every text is `und`. Training rows with equal key, text and language count once.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col, fold, map_arrow, plus
+from .common import col, fold, map_arrow, plus, written
 
 ORDER = 4
 TRAIN_ROWS = 600
@@ -174,9 +174,13 @@ def train(
 ) -> Model:
     """A model of the rows whose language isn't null. Only texts with a letter teach anything."""
     rows = labelled.select(col(lang).cast("string").alias("lang"), col(text).cast("string").alias("text"), col(key).alias("key"))
-    rows = rows.where("lang is not null and text rlike '\\\\p{L}'").withColumn("mix", F.xxhash64(F.col("key").cast("string")))
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("mix", "text"))
-    sample = rows.withColumn("place", first).where(F.col("place") <= train_rows).select("lang", "text")
+    rows = rows.where("lang is not null and text rlike '\\\\p{L}'").withColumn("mix", F.xxhash64(F.col("key").cast("string"), "text"))
+    # the rows are chosen by their hashes; only the chosen texts leave the scan
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("mix"))
+    hashes = rows.select("lang", "mix").groupBy("lang", "mix").agg(F.count("*").alias("copies"))
+    ids = hashes.withColumn("place", first).where(F.col("place") <= train_rows).select("lang", "mix")
+    sample = rows.join(F.broadcast(written(ids, "language-ids")), ["lang", "mix"])  # train_rows a language at most
+    sample = sample.groupBy("lang", "mix").agg(F.first("text").alias("text")).select("lang", "text")
     schema = plus(sample.select("lang").schema, ("k", "int"), ("gram", "long"), ("n", "long"))
     grams = map_arrow(sample, _count_grams(order), schema).groupBy("lang", "k", "gram").agg(F.sum("n").alias("n"))
     found = grams.orderBy("k", F.desc("n"), "lang", "gram").limit(max_grams).toPandas()
