@@ -44,7 +44,7 @@ TEMPLATES = {
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 #: Pieces of words; every template is lost without the shingles that hold one.
-ANCHORS = ["licens", "reserved", "redistribut", "copyright", "permi"]
+ANCHORS = ["licens", "reserved", "redistribut", "copyright", "permi", "software"]
 
 
 def template_words(text: str) -> list[str]:
@@ -68,8 +68,11 @@ def bands(hashes: Column) -> Column:
     """The minimum of the hashes under each of BANDS permutations (exclusive or with a constant) and its band."""
     masks = [(k * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % 2**64 for k in range(1, BANDS + 1)]
     signed = [m - 2**64 if m >= 2**63 else m for m in masks]
-    least = [F.array_min(F.transform(hashes, lambda h, m=m: h.bitwiseXOR(F.lit(m)))) for m in signed]
-    return F.array(*[F.struct(F.lit(k).alias("band"), v.alias("least")) for k, v in enumerate(least)])
+
+    def least(mask: int) -> Column:
+        return F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(mask))))
+
+    return F.array(*[F.struct(F.lit(k).alias("band"), least(m).alias("least")) for k, m in enumerate(signed)])
 
 
 def templates(spark: SparkSession, known: dict[str, str] = TEMPLATES) -> list[tuple[int, int, DataFrame]]:

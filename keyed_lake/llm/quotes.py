@@ -49,6 +49,11 @@ def passage_hash(text: str) -> int | None:
     return int.from_bytes(hashlib.blake2b(plain.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
+def cut_blank_lines(lines: list[str]) -> None:
+    while lines and not lines[-1].strip():
+        lines.pop()
+
+
 def parse(text: str | None) -> tuple[str | None, list[tuple[int, int]], list[int]]:
     """A message without quotations; its quoted passages as (level, hash); the hashes of its own passages."""
     if text is None:
@@ -65,10 +70,10 @@ def parse(text: str | None) -> tuple[str | None, list[tuple[int, int]], list[int
         else:
             quoted.append((k, [rest]))
         if k and not last:
-            while kept and not kept[-1].strip():
-                kept.pop()
+            cut_blank_lines(kept)
             if kept and ATTRIBUTION.match(kept[-1]):
                 kept.pop()
+                cut_blank_lines(kept)
         last = k
     own = "\n".join(kept).strip() if quoted else text
     passages = [(k, h) for k, lines in quoted if (h := passage_hash("\n".join(lines))) is not None]

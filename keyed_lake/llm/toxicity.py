@@ -228,8 +228,16 @@ def counted(rows: DataFrame, keys) -> DataFrame:
     return sums.groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
+QUOTED = re.compile("^[ \\t]*(?:>|&gt;)[^\n]*|" + "|".join(f"{a}[^{a}{b}\\n]*{b}" for a, b in [('"', '"'), *PAIRS.items()]), re.M)
+
+
+def unquoted(text: str) -> str:
+    return QUOTED.sub(" ", text)
+
+
 def candidates_of(text: str | None) -> set[str]:
-    own = {w for w in words(text or "") if 3 <= len(w) <= LONGEST and not w.isdigit()}
+    """The words outside of quotations, and their beginnings."""
+    own = {w for w in words(unquoted(text or "")) if 3 <= len(w) <= LONGEST and not w.isdigit()}
     return own | {w[:k] + "*" for w in own for k in STEMS if len(w) > k}
 
 

@@ -127,6 +127,7 @@ def test_licenses(spark):
             if share >= L.SHARE:
                 want[i, name] = share
     assert len(got) == len(rows)
+    assert sorted(got.keys() - want.keys()) == []
     assert got == pytest.approx(want) and len(want) > 100
 
 

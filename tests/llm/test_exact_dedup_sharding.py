@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 from helpers import ODD, documents
 from keyed_lake.llm import bloom, exact_dedup, sharding
+from pyspark.sql import functions as F
 
 TEXTS = ODD + ["copy"] * 40 + [f"text {i} " * (i % 7) for i in range(60)]
 
@@ -51,7 +52,7 @@ def test_main_path_is_native(spark):
 
 def test_filter_has_no_false_negative(spark):
     keys = spark.range(500).selectExpr("id * 7 as k")
-    flagged = bloom.build(keys, "k", 500).flag(spark.range(3500), "hit", spark.range(1).id).where("hit").collect()
+    flagged = bloom.build(keys, "k", 500).flag(spark.range(3500), "hit", F.col("id")).where("hit").collect()
     found = {r.id for r in flagged}
     assert {7 * i for i in range(500)} <= found and len(found) < 1000
 

@@ -114,7 +114,7 @@ def test_automaton_finds_what_edit_distance_says(word):
 
 def test_quoted():
     for text, want in [('he said "you idiot" to me', True), ("you idiot", False), ("> you idiot", True), ("« idiot »", True),
-                       ('"a" idiot "b', True), ('"a" idiot b', False), ("„idiot“", True)]:
+                       ('"a" idiot "b', False), ('"a" idiot b', False), ("„idiot“", True)]:
         at = text.index("idiot")
         assert toxicity.quoted(text, at, at + 5) is want, text
 
