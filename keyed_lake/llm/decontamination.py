@@ -3,9 +3,9 @@
 Texts are words (runs of letters and digits, in lower case). A document holds an item of m words if some run of its words
 is at most floor(`distance` * m) edits of whole words away from the item.
 
-*Windows.* k edits leave at least m - q + 1 - q k of the item's q-grams, so a window whose first m + k words hold fewer
-grams of any item is skipped; that loses nothing. Items are sorted into classes of about equal size, and every other
-place of a document gives a window of the class's size.
+*Windows.* Items are sorted into classes of about equal size, and every place of a document gives a window of the class's
+size. k edits leave at least m - q + 1 - q k of an item's q-grams, so a place whose next m + k words hold fewer grams of
+the class's items is skipped; that loses nothing.
 
 *Embedding.* A random walk reads a window three times as long as it is: in each step it emits the word it stands on, and a
 random bit, drawn for the step and the word, says whether it moves on. Two strings that differ by few edits emit equal
@@ -92,6 +92,7 @@ class Index:
                 self.ids.append(key)
                 self.items.append([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in found])
         self.base = len(self.vocabulary) + 1
+        self.known: dict[int, np.ndarray] = {}  # by length, the grams of all items
         random = np.random.default_rng(seed)
         self.classes = []
         order = sorted(range(len(self.items)), key=lambda i: len(self.items[i]))
@@ -104,6 +105,8 @@ class Index:
                 end += 1
             self.classes.append(SizeClass(self, order[at:end], m, q, random))
             at = end
+        for q in {c.q for c in self.classes}:
+            self.known[q] = np.unique(np.concatenate([c.known for c in self.classes if c.q == q]))
 
     def numbers(self, text: str | None) -> np.ndarray:
         get = self.vocabulary.get
@@ -120,6 +123,15 @@ class Index:
             known &= part > 0
         return np.where(known, code, -1)
 
+    def hits(self, x: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where a gram of any item begins, and its code."""
+        code = self.grams(x, q)
+        at = np.flatnonzero(code >= 0)
+        found = code[at]
+        place = np.minimum(np.searchsorted(self.known[q], found), len(self.known[q]) - 1)
+        same = self.known[q][place] == found
+        return at[same], found[same]
+
     def scan(self, texts: list[str | None]) -> list[list[tuple[int, int, int, int]]]:
         """For each text the items it holds: (item, edits, first word, word after the last)."""
         out: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
@@ -137,28 +149,29 @@ class Index:
         x = np.concatenate(parts)
         begin = np.array(begin)
         ends = begin + np.array([len(p) for p in parts[::2]])
-        met: set[tuple[int, int, int]] = set()
+        hits = {q: self.hits(x, q) for q in self.known}
+        met = [np.empty((0, 3), np.int64)]
         for size in self.classes:
-            starts = size.starts(x)
-            starts = starts[starts < ends[np.searchsorted(begin, starts, "right") - 1]]  # not between documents
+            starts = size.starts(*hits[size.q], len(x))
+            docs = np.searchsorted(begin, starts, "right") - 1
+            inside = starts < ends[docs]  # not between documents
+            starts, docs = starts[inside], docs[inside]
             for at in range(0, len(starts), 20_000):
-                some = starts[at : at + 20_000]
-                for window, item in size.meet(x, some):
-                    doc = int(np.searchsorted(begin, some[window], "right")) - 1
-                    met.add((doc, item, int(some[window])))
+                window, item = size.meet(x, starts[at : at + 20_000])
+                met.append(np.stack([docs[at + window], item, starts[at + window]], axis=1))
+        met = np.concatenate(met)
+        # windows of an item that begin within its length of each other are decided together
+        length = np.array([len(i) for i in self.items])
+        met = met[np.lexsort((met[:, 2], met[:, 1], met[:, 0]))]
+        _, first = np.unique(np.stack([met[:, 0], met[:, 1], met[:, 2] // length[met[:, 1]]], axis=1), axis=0, return_index=True)
         done: dict[tuple[int, int], tuple[int, int, int]] = {}
-        tried: dict[tuple[int, int], int] = {}
-        for doc, item, start in sorted(met):
+        for doc, item, start in met[first].tolist():
             m = len(self.items[item])
             k = edits(m, self.distance)
             known = done.get((doc, item))
-            if known and (known[0] == 0 or start < known[2] + k):
+            if known and known[0] == 0:
                 continue
-            lo = max(start - k - 1, int(begin[doc]))
-            if start <= tried.get((doc, item), start - m - 1) + m:
-                continue  # the last run's text holds all of this window's
-            hi = min(start + 2 * m + k + 2, int(ends[doc]))
-            tried[doc, item] = start
+            lo, hi = max(start - k - 1, int(begin[doc])), min(start + 2 * m + k + 2, int(ends[doc]))
             d, end = best_run(self.items[item], x[lo:hi].tolist())
             if d <= k and (known is None or d < known[0]):
                 done[doc, item] = (d, max(lo + end - m, lo), lo + end)
@@ -187,16 +200,14 @@ class SizeClass:
         order = np.argsort(flat, kind="stable")
         self.sorted_keys, self.owner = flat[order], np.repeat(np.arange(len(items)), keys.shape[1])[order]
 
-    def starts(self, x: np.ndarray) -> np.ndarray:
-        """Every place whose window can hold an item of the class."""
-        code = self.index.grams(x, self.q)
-        at = np.flatnonzero(code >= 0)
-        at = at[np.isin(code[at], self.known)]
+    def starts(self, at: np.ndarray, code: np.ndarray, size: int) -> np.ndarray:
+        """Every place whose window can hold an item of the class, from the places and codes of known grams."""
+        at = at[np.isin(code, self.known)]
         if not len(at):
             return at
         # hits in [s, s + span) for the places s up to `span` before a hit
-        around = np.unique((at[:, None] - np.arange(self.span)[None, :]).ravel()) if len(at) < 50_000 else np.arange(len(x))
-        around = around[(around >= 0) & (around < len(x))]
+        around = np.unique((at[:, None] - np.arange(self.span)[None, :]).ravel()) if len(at) < 50_000 else np.arange(size)
+        around = around[(around >= 0) & (around < size)]
         count = np.searchsorted(at, around + self.span) - np.searchsorted(at, around)
         return around[count >= self.least]
 
@@ -223,17 +234,17 @@ class SizeClass:
                 out[:, w * KEYS + k] = h
         return out
 
-    def meet(self, x: np.ndarray, starts: np.ndarray) -> set[tuple[int, int]]:
-        """(window, item) with an equal key."""
-        if not len(starts):
-            return set()
+    def meet(self, x: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Windows and items with an equal key, each pair once."""
         at = np.minimum(starts[:, None] + np.arange(self.m)[None, :], len(x) - 1)
-        keys = self.keys(x[at])
+        keys = self.keys(x[at]).ravel()
         low, high = np.searchsorted(self.sorted_keys, keys), np.searchsorted(self.sorted_keys, keys, "right")
-        found: set[tuple[int, int]] = set()
-        for w, k in zip(*np.nonzero(high > low)):
-            found.update((int(w), self.items[o]) for o in self.owner[low[w, k] : high[w, k]])
-        return found
+        some = np.flatnonzero(high > low)
+        count = high[some] - low[some]
+        owner = np.repeat(low[some] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        window = np.repeat(some // (WALKS * KEYS), count)
+        pairs = np.unique(window * len(self.items) + self.owner[owner])
+        return pairs // len(self.items), np.array(self.items)[pairs % len(self.items)]
 
 
 def scan(df: DataFrame, text: str, benchmark: DataFrame, item: str, item_text: str, name: str = "hits", distance: float = DISTANCE) -> DataFrame:
