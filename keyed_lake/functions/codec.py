@@ -54,6 +54,17 @@ def typed(text: Column | str, data_type: T.DataType) -> Column:
     return column if isinstance(data_type, T.StringType) else column.try_cast(data_type)
 
 
+def unreadable(spec: TableSpec) -> Column:
+    """Whether an all-text row lacks a primary key part or holds a token that doesn't parse."""
+    bad = F.lit(False)
+    for name in spec.columns:
+        if name in spec.pks:
+            bad = bad | typed(name, spec.type_of(name)).isNull()
+        else:
+            bad = bad | (F.col(name).isNotNull() & typed(name, spec.type_of(name)).isNull())
+    return bad
+
+
 def encode_key(spec: TableSpec, mode: str = "safe") -> Column:
     """The record key: the primary key columns as one text."""
     check_mode(mode)

@@ -2,15 +2,17 @@
 
 Layout of a log folder:
 
-    settings.json                         number of partitions, compaction wanted or not
-    data/batch=<end>-<writer>-<id>/       one folder per appended batch, `end` is its greatest offset
-    _staging/...                          batches being written
+    settings.json                                             number of partitions, number of the first batch, ...
+    data/block=<n>/batch=<number>-<rows>-<bytes>-<writer>-<id>/   one folder per appended batch, 10,000 in a block
+    _staging/...                                              batches being written
 
-A batch is written aside and renamed into `data` when complete, so a reader sees all of it or nothing. The name
-carries the writer and its batch id: a batch that is there already is not written again.
+A batch is written aside and renamed into `data` when complete. Where renaming a folder is one step (HDFS, local disks), a
+reader sees all of it or nothing; object stores don't promise that. The name carries the writer and its batch id: a
+batch that is there already is not written again. Only the newest two blocks are searched for it, as a writer repeats
+its last batch only.
 
-Offsets grow from batch to batch and are unique in a log partition, but leave gaps, as in a compacted topic. Dense
-ones would need every row of a log partition in one task.
+An offset is the batch number times 2**64 and the row's place in the write, so offsets grow from batch to batch without
+a limit on rows or tasks, but leave gaps, as in a compacted topic. Batch numbers go on when a log is created anew.
 """
 
 from __future__ import annotations
@@ -33,17 +35,22 @@ LOG_SCHEMA = T.StructType(
         T.StructField("value", T.StringType()),
         T.StructField("topic", T.StringType()),
         T.StructField("partition", T.IntegerType()),
-        T.StructField("offset", T.LongType()),
+        T.StructField("offset", T.DecimalType(38, 0)),
         T.StructField("timestamp", T.TimestampType()),
     ]
 )
 LOG_COLUMNS = LOG_SCHEMA.fieldNames()
-STREAM_SCHEMA = T.StructType([*LOG_SCHEMA.fields, T.StructField("batch", T.StringType())])
+STREAM_SCHEMA = T.StructType(
+    [*LOG_SCHEMA.fields, T.StructField("block", T.StringType()), T.StructField("batch", T.StringType())]
+)
 ROWS_PER_FILE = 1_000_000
 STARTS = ("latest", "earliest")
 
-_TASK_BITS = 28  # rows one write task may hold: offset = first + task * 2^28 + row in task
-_END_DIGITS = 19
+_STEP = 1 << 64  # between the first offsets of two batches
+_BLOCK = 10_000  # batches per block folder
+_DIGITS, _BLOCK_DIGITS = 12, 8
+_BYTES_PER_ROW = 32  # taken for a log without a batch to measure
+_MEASURED = 1_000  # batches that the row size is measured over
 
 
 @dataclass(frozen=True)
@@ -60,15 +67,19 @@ def partition_of(key: Column, partitions: int) -> Column:
     return F.pmod(F.hash(key), F.lit(partitions)).cast("int")
 
 
-def _row_offset(first: int) -> Column:
+def _row_offset(number: int) -> Column:
     """Offsets from the row's place in the write: increasing along the task order, without another shuffle."""
-    place = F.monotonically_increasing_id()
-    task = F.shiftright(place, 33)
-    row = place.bitwiseAND(F.lit((1 << 33) - 1))
-    checked = F.when(row < F.lit(1 << _TASK_BITS), row).otherwise(
-        F.raise_error(F.lit("a write task holds too many rows for one log batch; raise spark.sql.shuffle.partitions"))
-    )
-    return F.lit(first).cast("long") + F.shiftleft(task, _TASK_BITS) + checked
+    first = F.lit(str(number * _STEP)).cast("decimal(38,0)")
+    return (first + F.monotonically_increasing_id().cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+def _numbers_from(number: int, digits: int) -> list[str]:
+    """Glob patterns for all numbers of so many digits from `number` on."""
+    text = f"{number:0{digits}d}"
+    above = [
+        f"{text[:i]}[{int(c) + 1}-9]{'?' * (digits - i - 1)}" for i, c in enumerate(text) if c != "9"
+    ]
+    return [text, *above]
 
 
 class ParquetLog:
@@ -94,11 +105,13 @@ class ParquetLog:
         """Create the log if it is absent; `recreate=True` drops all records first."""
         if not isinstance(recreate, bool):
             raise TypeError(f"recreate must be True or False, not {recreate!r}")
+        first = 0
         if recreate and self.exists():
+            first = self.next_number()
             self.files.delete(self.path)
         if not self.exists():
             self.files.mkdirs(self.data)
-            settings = {"topic": topic, "partitions": partitions, "compact": compact}
+            settings = {"topic": topic, "partitions": partitions, "compact": compact, "first": first}
             self.files.publish_text(f"{self.path}/settings.json", json.dumps(settings))
         self._settings = None
         return self
@@ -108,16 +121,28 @@ class ParquetLog:
         log = cls(spark, f"{root.rstrip('/')}/{spec.topic or spec.name}")
         return log.create(spec.topic or spec.name, spec.partitions, spec.compact, recreate)
 
-    def batches(self) -> list[str]:
-        """The batch folders in append order."""
-        return [name for name in self.files.names(self.data) if name.startswith("batch=")]
+    def _blocks(self) -> list[str]:
+        return [name for name in self.files.names(self.data) if name.startswith("block=")]
+
+    def batches(self, newest_blocks: int | None = None) -> list[str]:
+        """The batch folders in append order, all of them or those of the newest blocks."""
+        blocks = self._blocks()
+        chosen = blocks if newest_blocks is None else blocks[-newest_blocks:]
+        return [n for b in chosen for n in self.files.names(f"{self.data}/{b}") if n.startswith("batch=")]
 
     def _find(self, writer: str, batch_id: int) -> str | None:
-        return next((b for b in self.batches() if b.split("-", 1)[1] == f"{writer}-{batch_id}"), None)
+        return next((b for b in self.batches(2) if b.split("-", 3)[3] == f"{writer}-{batch_id}"), None)
+
+    def next_number(self) -> int:
+        batches = self.batches(1)
+        return _number(batches[-1]) + 1 if batches else self.settings.get("first", 0)
 
     def next_offset(self) -> int:
-        batches = self.batches()
-        return int(batches[-1][len("batch=") :].split("-", 1)[0]) + 1 if batches else 0
+        return self.next_number() * _STEP
+
+    def recorded_rows(self) -> int:
+        """The number of records, as counted when they were appended; no file is opened."""
+        return sum(int(b.split("-", 3)[1]) for b in self.batches())
 
     def append(
         self,
@@ -140,17 +165,18 @@ class ParquetLog:
         if order_by:
             # a range sort splits by the full order, so a frequent key does not end in one task
             records = records.orderBy(*order_by)
+        number = self.next_number()
         rows = records.select(
             F.col("key").cast("string").alias("key"),
             F.col("value").cast("string").alias("value"),
             F.lit(self.settings["topic"]).alias("topic"),
             partition_of(F.col("key").cast("string"), self.settings["partitions"]).alias("partition"),
-            _row_offset(self.next_offset()).alias("offset"),
+            _row_offset(number).alias("offset"),
             stamp.alias("timestamp"),
         )
-        return self._publish(rows, writer, batch_id, rows_per_file or ROWS_PER_FILE)
+        return self._publish(rows, number, writer, batch_id, rows_per_file or ROWS_PER_FILE)
 
-    def _publish(self, rows: DataFrame, writer: str, batch_id: int, rows_per_file: int) -> Appended:
+    def _publish(self, rows: DataFrame, number: int, writer: str, batch_id: int, rows_per_file: int) -> Appended:
         staged = f"{self.path}/_staging/{uuid.uuid4().hex}"
         # counted while writing: no second look at what was written
         seen = Observation()
@@ -164,53 +190,85 @@ class ParquetLog:
         if not written:
             self.files.delete(staged)
             return Appended(0, None)
-        self.files.publish_folder(staged, f"{self.data}/batch={end:0{_END_DIGITS}d}-{writer}-{batch_id}")
-        return Appended(written, end)
+        name = f"batch={number:0{_DIGITS}d}-{written}-{self.files.size(staged)}-{writer}-{batch_id}"
+        self.files.publish_folder(staged, f"{self.data}/{_block(number)}/{name}")
+        return Appended(written, int(end))
+
+    def scan(self, after: int | None = None) -> DataFrame:
+        """All records as a bounded table, or those of the batches after a number."""
+        reader = self.spark.read.schema(STREAM_SCHEMA).option("basePath", self.data)
+        if after is None:
+            return reader.parquet(self.data).select(*LOG_COLUMNS)
+        newer = [
+            f"{self.data}/{block}/{name}"
+            for block in self._blocks() if block >= _block(after + 1)
+            for name in self.files.names(f"{self.data}/{block}") if name.startswith("batch=") and _number(name) > after
+        ]
+        records = reader.parquet(*newer) if newer else reader.parquet(self.data).where("false")
+        return records.select(*LOG_COLUMNS)
 
-    def scan(self) -> DataFrame:
-        """All records as a bounded table."""
-        paths = [f"{self.data}/{b}" for b in self.batches()]
-        return self.spark.read.schema(LOG_SCHEMA).parquet(*paths)
+    def _paths_from(self, number: int) -> list[str]:
+        """Glob paths of the batches from a number on; folders of older ones are not opened."""
+        block = number // _BLOCK
+        same = [f"{_block(number)}/batch={n}-*" for n in _numbers_from(number, _DIGITS)]
+        later = [f"block={n}/batch=*" for n in _numbers_from(block + 1, _BLOCK_DIGITS)]
+        return [f"{self.data}/{p}" for p in (*same, *later)]
+
+    def bytes_per_row(self) -> float:
+        """The size of a record in a file, over the newest batches."""
+        sizes = [tuple(map(int, b.split("-", 3)[1:3])) for b in self.batches(2)[-_MEASURED:]]
+        rows = sum(r for r, _ in sizes)
+        return max(1.0, sum(b for _, b in sizes) / rows) if rows else _BYTES_PER_ROW
 
     def stream(self, start: str = "earliest", checkpoint: str = "", max_records: int | None = None) -> DataFrame:
         """Records as a stream, from the first batch on or (`latest`) from those appended after the first start.
 
-        A file holds at most `ROWS_PER_FILE` rows unless a smaller limit was given when writing; the number of files
-        per trigger is derived from that, so that a trigger takes at most `max_records` (but one file at least).
+        A trigger takes about `max_records`, and one file at least: the limit is given in bytes, from the size of the
+        records appended before the start. Files hold at most the rows they were written with.
         """
-        after = self._start_after(start, checkpoint)
-        reader = self.spark.readStream.schema(STREAM_SCHEMA)
+        first = self._first_number(start, checkpoint)
+        reader = self.spark.readStream.schema(STREAM_SCHEMA).option("basePath", self.data)
         reader = reader.option("maxFileAge", "36500d")  # age never makes a file count as read
         if max_records is not None:
-            reader = reader.option("maxFilesPerTrigger", max(1, max_records // ROWS_PER_FILE))
-        records = reader.parquet(self.data)
-        if after:
-            records = records.where(F.col("batch") > after.removeprefix("batch="))
-        return records.select(*LOG_COLUMNS)
-
-    def _start_after(self, start: str, checkpoint: str) -> str | None:
-        """The batch a stream begins after. A `latest` start is kept beside the checkpoint for the next start."""
+            reader = reader.option("maxBytesPerTrigger", str(max(1, int(max_records * self.bytes_per_row()))))
+        if first is None:
+            return reader.parquet(self.data).select(*LOG_COLUMNS)
+        inner = ",".join(p.removeprefix(f"{self.data}/") for p in self._paths_from(first))
+        return reader.parquet(f"{self.data}/{{{inner}}}").select(*LOG_COLUMNS)
+
+    def _first_number(self, start: str, checkpoint: str) -> int | None:
+        """The batch a stream begins with. A `latest` start is kept beside the checkpoint for the next start."""
         if start not in STARTS:
             raise ValueError(f"start must be one of {STARTS}, not {start!r}")
         if start == "earliest":
             return None
         mark = f"{checkpoint.rstrip('/')}-start"
         if not self.files.exists(mark):
-            batches = self.batches()
-            self.files.publish_text(mark, batches[-1] if batches else "")
-        return self.files.read_text(mark) or None
+            self.files.publish_text(mark, str(self.next_number()))
+        return int(self.files.read_text(mark))
 
     def compact_into(self, target: ParquetLog) -> Appended:
-        """Write the last record per key to another, empty log, offsets unchanged. This log stays as it is.
+        """Append the last record per key of the batches not yet compacted to another log, offsets unchanged.
 
-        Nothing is done if the target was compacted from this log and no record came in since.
+        This log stays as it is. The target's batches carry the number of the last batch they hold, so a compaction
+        that runs again finds its work done, and a stream can follow the target from compaction to compaction.
         """
         target.create(self.settings["topic"], self.settings["partitions"], self.settings["compact"])
-        if target._find("compaction", 0) and target.next_offset() == self.next_offset():
+        done = target.batches(1)
+        if done and not done[-1].split("-", 3)[3].startswith("compaction-"):
+            raise ValueError(f"the log at {target.path} holds other records; compact into one of its own")
+        last, newest = (_number(done[-1]) if done else None), self.next_number() - 1
+        if newest < 0 or (last is not None and last >= newest) or not self.batches(1):
             return Appended(0, None, skipped=True)
-        if target.batches():
-            raise ValueError(f"the log at {target.path} holds records; compact into a new one")
-        return target._publish(compact(self.scan()), "compaction", 0, ROWS_PER_FILE)
+        return target._publish(compact(self.scan(last)), newest, "compaction", newest, ROWS_PER_FILE)
+
+
+def _number(batch: str) -> int:
+    return int(batch.removeprefix("batch=").split("-", 1)[0])
+
+
+def _block(number: int) -> str:
+    return f"block={number // _BLOCK:0{_BLOCK_DIGITS}d}"
 
 
 def rows_per_file(spec: TableSpec) -> int:

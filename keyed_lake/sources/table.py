@@ -36,6 +36,8 @@ from keyed_lake.spec import PARTITION_COLUMN, TableSpec
 from keyed_lake.storage import Files
 
 VERSION = "_version"  # no column of a spec can have this name
+OFFSET = "_log_offset"  # kept beside the columns of the spec, so that no older record replaces a newer one
+OFFSET_TYPE = T.DecimalType(38, 0)
 NULL_DATE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder name Spark gives to a NULL partition
 WHOLE = ""  # the only part of an unpartitioned table
 MAX_PIECES = 16  # a partition appended to more often is rewritten by the next commit that touches it
@@ -116,10 +118,11 @@ class ParquetTable:
         names = None if dates is None else [part_name(d) for d in dates]
         return self._read_parts(snapshot or self.snapshot(), names)
 
-    def _read_parts(self, snapshot: Snapshot, names: Iterable[str] | None = None) -> DataFrame:
-        schema = self.spec.table_schema
+    def _read_parts(self, snapshot: Snapshot, names: Iterable[str] | None = None, offsets: bool = False) -> DataFrame:
+        columns = self.spec.table_columns + ([OFFSET] if offsets else [])
+        schema = T.StructType([*self.spec.table_schema.fields, T.StructField(OFFSET, OFFSET_TYPE)])
         folders = [f"{self.data}/{f}" for f in snapshot.folders(names)]
-        return self.spark.read.schema(schema).option("basePath", self.data).parquet(*folders).select(*schema.names)
+        return self.spark.read.schema(schema).option("basePath", self.data).parquet(*folders).select(*columns)
 
     # writing
 
@@ -139,6 +142,9 @@ class ParquetTable:
         `partition` those of the same date, `global` all. `on_conflict="newest"` keeps a target row that is newer in
         the orderBy columns. `ties` are extra columns of the batch that order equal rows, such as the log offset.
 
+        Rows with a log offset (`_log_offset`) keep it in the table. A later batch wins, but a row never replaces one of
+        a greater offset, in whatever order a log's files were read.
+
         The batch is read more than once; persist it first.
         """
         partitioned = self.spec.partition_column is not None
@@ -153,8 +159,9 @@ class ParquetTable:
             return Merged(before.version, stats, skipped=True)
 
         keys = match_keys(self.spec.pks, scope)
-        columns = self.spec.table_columns
-        updates = keep_latest(batch, keys, self.spec.order_by, ties).select(*columns)
+        offset = (F.col(OFFSET) if OFFSET in batch.columns else F.lit(None)).cast(OFFSET_TYPE).alias(OFFSET)
+        updates = keep_latest(batch, keys, self.spec.order_by, ties).select(*self.spec.table_columns, offset)
+        ordered = OFFSET in batch.columns
         # the raw batch is at least as large as its latest rows
         small = stats.bytes <= self._broadcast_limit()
 
@@ -166,6 +173,9 @@ class ParquetTable:
             candidates = list(before.parts)
         # partitions in too many pieces are rewritten along with those that have a match
         rewrite = {n for n in candidates if len(before.parts[n]) >= MAX_PIECES}
+        nowhere = part_name(None)
+        if partitioned and stats.null_dates and len(before.parts.get(nowhere, [])) >= MAX_PIECES:
+            rewrite.add(nowhere)  # it matches nothing outside global scope, but its pieces must not grow in number
 
         hits = None
         if candidates:
@@ -182,8 +192,8 @@ class ParquetTable:
                 if rewrite:
                     in_scope = F.col(f"t.{PARTITION_COLUMN}").isNotNull() if scope == "batch" and partitioned else None
                     changed = apply_updates(
-                        self._read_parts(before, sorted(rewrite)), updates, keys, in_scope,
-                        self.spec.order_by if on_conflict == "newest" else (), small,
+                        self._read_parts(before, sorted(rewrite), offsets=True), updates, keys, in_scope,
+                        [*(self.spec.order_by if on_conflict == "newest" else ()), *([OFFSET] if ordered else [])], small,
                     )
                     if small:
                         # the target is not shuffled here: every task writes back the partition it read

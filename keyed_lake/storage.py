@@ -37,6 +37,10 @@ class Files:
             return []
         return sorted(s.getPath().getName() for s in self._fs(path).listStatus(self._path(path)))
 
+    def size(self, path: str) -> int:
+        """Bytes of all files below a folder."""
+        return self._fs(path).getContentSummary(self._path(path)).getLength()
+
     def delete(self, path: str) -> None:
         self._fs(path).delete(self._path(path), True)
 
@@ -48,13 +52,13 @@ class Files:
             stream.close()
 
     def publish_folder(self, staged: str, final: str) -> None:
-        """Rename a finished folder into place, so that readers see all of it or nothing."""
+        """Rename a finished folder into place; one step on HDFS and local disks, not on object stores."""
         self.mkdirs(final.rsplit("/", 1)[0])
         if not self._fs(staged).rename(self._path(staged), self._path(final)):
             raise IOError(f"can't publish {staged} as {final}")
 
     def publish_text(self, path: str, text: str) -> None:
-        """Create a text file in one step; raises if the file is there already."""
+        """Create a text file in one step (on file systems that rename in one step); raises if it is there already."""
         folder, name = path.rsplit("/", 1)
         self.mkdirs(folder)
         staged = f"{folder}/.{name}.{uuid.uuid4().hex}"

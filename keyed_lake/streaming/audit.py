@@ -36,21 +36,18 @@ def now() -> datetime:
 
 def append_audit(
     spark: SparkSession,
-    path: str,
+    target,
     spec: TableSpec,
     stats: BatchStats,
     times: tuple[datetime, datetime, datetime],
     stream: str,
     batch_id: int,
 ) -> None:
-    """Write the record of one batch; a batch that has one already keeps it.
+    """Write the record of one batch to a folder or a log; a batch that has one already keeps it.
 
     `times` are when the batch was fetched, when its partitions were known, and when the merge was done. The log
     time is the least record time of the batch.
     """
-    folder = f"{path.rstrip('/')}/batch={stream}-{batch_id}"
-    if Files(spark).exists(f"{folder}/_SUCCESS"):
-        return
     values = [
         spec.topic, spec.table_folder, spec.csv_folder, stats.rows, stats.bad_rows,
         F.array(*[F.lit(d) for d in stats.dates]), stats.first_time, *times,
@@ -59,7 +56,13 @@ def append_audit(
         (v if isinstance(v, Column) else F.lit(v)).cast(f.dataType).alias(f.name)
         for v, f in zip(values, AUDIT_SCHEMA.fields)
     ]
-    spark.range(0, 1, 1, 1).select(*columns).write.mode("overwrite").parquet(folder)
+    row = spark.range(0, 1, 1, 1).select(*columns)
+    if not isinstance(target, str):
+        target.append(audit_records(row), f"audit-{stream}", batch_id)
+        return
+    folder = f"{target.rstrip('/')}/batch={stream}-{batch_id}"
+    if not Files(spark).exists(f"{folder}/_SUCCESS"):
+        row.write.mode("overwrite").parquet(folder)
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:

@@ -14,12 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from keyed_lake.functions.codec import BAD, check_mode, decode, encode, rekey, with_partition_date
+from keyed_lake.functions.codec import BAD, check_mode, decode, encode, rekey, unreadable, with_partition_date
 from keyed_lake.operators.dedup import keep_latest, keep_latest_text
 from keyed_lake.operators.merge import check_scope
 from keyed_lake.operators.stats import BatchStats, batch_stats
 from keyed_lake.sources.changelog import ParquetLog, rows_per_file
-from keyed_lake.sources.csv import csv_stream, has_csv_folder
+from keyed_lake.sources.csv import CORRUPT, csv_stream, has_csv_folder
 from keyed_lake.sources.delta import DeltaTable
 from keyed_lake.sources.kafka import KafkaLog
 from keyed_lake.sources.table import ParquetTable
@@ -69,15 +69,36 @@ def ingest_csv(
     archive: bool = True,
     max_files_per_trigger: int | None = None,
     csv_options: dict[str, str] | None = None,
+    quarantine: str | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Stream the CSV files of a spec into its log."""
+    """Stream the CSV files of a spec into its log.
+
+    In safe mode every line is judged before the latest per key is kept: one with too many or too few fields, without a
+    key, or with a value that isn't of its type goes to `quarantine` (default: a folder beside the checkpoint).
+    """
     check_mode(mode)
+    quarantine = quarantine or f"{checkpoint.rstrip('/')}-quarantine"
+
+    def append(batch: DataFrame, query: str, batch_id: int) -> None:
+        log.append(csv_to_records(batch, spec, mode), query, batch_id, rows_per_file=rows_per_file(spec))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        log.append(csv_to_records(batch, spec, mode), _query_id(batch), batch_id, rows_per_file=rows_per_file(spec))
+        query = _query_id(batch)
+        if mode == "compat":
+            append(batch, query, batch_id)
+            return
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            bad = F.col(CORRUPT).isNotNull() | unreadable(spec)
+            aside = batch.where(bad)
+            if not aside.isEmpty():
+                aside.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/batch={query}-{batch_id}")
+            append(batch.where(~bad).drop(CORRUPT), query, batch_id)
+        finally:
+            batch.unpersist()
 
-    stream = csv_stream(spark, spec, csv_root, archive, max_files_per_trigger, csv_options)
+    stream = csv_stream(spark, spec, csv_root, archive, max_files_per_trigger, csv_options, corrupt=mode == "safe")
     return _start(stream, handle, checkpoint, f"ingest {spec.name}", None, available_now)
 
 
@@ -89,7 +110,7 @@ def merge_batch(
     table: ParquetTable | DeltaTable,
     stream: str,
     batch_id: int,
-    audit: str | None = None,
+    audit: str | ParquetLog | KafkaLog | None = None,
     quarantine: str | None = None,
     scope: str = "batch",
     on_conflict: str = "last_batch",
@@ -138,11 +159,11 @@ def apply_log(
     scope: str = "batch",
     on_conflict: str = "last_batch",
     start: str = "latest",
-    audit: str | None = None,
+    audit: str | ParquetLog | KafkaLog | None = None,
     quarantine: str | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Stream a log into its table, one commit per micro-batch."""
+    """Stream a log into its table, one commit per micro-batch. Audit rows go to a folder or, as JSON, to a log."""
     check_mode(mode)
     check_scope(scope, spec.partition_column is not None)
     audit = audit or f"{table.path}/_audit"
@@ -192,10 +213,10 @@ def rekey_log(
 ) -> StreamingQuery:
     """Stream a log into another one under a new key, reduced per batch to the latest row per primary key or not.
 
-    Records that can't be decoded go to `quarantine`.
+    Records that can't be decoded go to `quarantine` (default: a folder beside the checkpoint).
     """
     check_mode(mode)
-    quarantine = quarantine or f"{target.path}/_quarantine"
+    quarantine = quarantine or f"{checkpoint.rstrip('/')}-quarantine"
 
     def append(batch: DataFrame, query: str, batch_id: int) -> None:
         if BAD in batch.columns:
@@ -216,7 +237,7 @@ def rekey_log(
         finally:
             batch.unpersist()
 
-    rows = decode(source.stream(start, checkpoint), spec, mode)
+    rows = decode(source.stream(start, checkpoint, spec.max_offsets_per_trigger), spec, mode)
     return _start(rows, handle, checkpoint, f"rekey {spec.name}", 1, available_now)
 
 
@@ -262,12 +283,26 @@ def apply_all(
     log_root: str,
     table_root: str,
     checkpoint_root: str,
+    compacted_root: str | None = None,
     **options,
 ) -> list[StreamingQuery]:
-    """Start one apply stream per table with a log."""
+    """Start one apply stream per table with a log.
+
+    With `compacted_root`, the new records of every log whose spec asks for compaction are compacted into a log there
+    first, and that is what is applied; run this again (or `compact_into`) for what comes in later.
+    """
+
+    def source(spec: TableSpec) -> ParquetLog:
+        log = ParquetLog(spark, f"{log_root.rstrip('/')}/{spec.topic or spec.name}")
+        if compacted_root is None or not spec.compact:
+            return log
+        compacted = ParquetLog(spark, f"{compacted_root.rstrip('/')}/{spec.topic or spec.name}")
+        log.compact_into(compacted)
+        return compacted
+
     return [
         apply_log(
-            spark, spec, ParquetLog(spark, f"{log_root.rstrip('/')}/{spec.topic or spec.name}"),
+            spark, spec, source(spec),
             ParquetTable(spark, f"{table_root.rstrip('/')}/{spec.table_folder or name}", spec),
             f"{checkpoint_root.rstrip('/')}/apply-{name}", **options,
         )

@@ -17,7 +17,7 @@ def records(spark, *pairs):
 
 def test_create_is_idempotent_and_recreate_drops(spark, log):
     log.append(records(spark, ("a", "1")), "w", 0)
-    assert log.create("other", 9).settings == {"topic": "topic", "partitions": 4, "compact": True}
+    assert log.create("other", 9).settings == {"topic": "topic", "partitions": 4, "compact": True, "first": 0}
     assert log.scan().count() == 1
     assert log.create("other", 9, recreate=True).settings["topic"] == "other"
     assert log.scan().count() == 0 and log.scan().schema == LOG_SCHEMA
@@ -103,10 +103,12 @@ def test_compaction(spark, log, folder):
     kept = {r["key"]: r["offset"] for r in target.scan().collect()}
     assert kept["a"] == log.scan().where("key = 'a'").agg(F.max("offset")).head()[0]
     assert target.next_offset() == log.next_offset() and log.scan().count() == 6
-    log.append(records(spark, ("a", "late")), "w", 3)
-    with pytest.raises(ValueError, match="holds records"):
-        log.compact_into(target)
-    assert target.scan().count() == 4
+    log.append(records(spark, ("a", "late"), ("a", "later"), ("k9", "x")), "w", 3, order_by=["value"])
+    assert log.compact_into(target).rows == 2 and log.compact_into(target).skipped
+    assert rows_of(target.scan().where("key = 'a'"), "value") == [("a2",), ("later",)]
+    assert target.next_offset() == log.next_offset()
+    with pytest.raises(ValueError, match="other records"):
+        target.compact_into(log)
 
 
 def test_files_hold_no_more_rows_than_wanted(spark, log):
@@ -114,3 +116,39 @@ def test_files_hold_no_more_rows_than_wanted(spark, log):
     sizes = [r[0] for r in log.scan().groupBy(F.input_file_name()).count().select("count").collect()]
     assert sum(sizes) == 25 and max(sizes) <= 10
     assert rows_per_file(make_spec("id long", "id", "id", max_offsets_per_trigger=7)) == 7
+
+
+def test_numbers_and_offsets_go_on_after_a_new_start(spark, log):
+    log.append(records(spark, ("a", "1")), "w", 0)
+    end = log.scan().head()["offset"]
+    log.create("topic", recreate=True)
+    assert log.append(records(spark, ("a", "2")), "w", 0).rows == 1
+    assert log.scan().head()["offset"] > end
+
+
+def test_globs_open_newer_batches_only(spark, log, monkeypatch):
+    from keyed_lake.sources import changelog
+
+    monkeypatch.setattr(changelog, "_BLOCK", 3)
+    for i in range(11):
+        log.append(records(spark, ("k", str(i))), "w", i)
+    for after in (-1, 0, 4, 8, 9):
+        found = sorted(int(r["value"]) for r in log.scan(after).collect())
+        assert found == list(range(after + 1, 11))
+    assert log.recorded_rows() == 11 and len(log.batches(1)) == 2
+    assert log.append(records(spark, ("k", "again")), "w", 10).skipped
+
+
+def test_an_append_looks_at_the_newest_blocks_only(spark, log, monkeypatch):
+    from keyed_lake.sources import changelog
+    from keyed_lake.storage import Files
+
+    monkeypatch.setattr(changelog, "_BLOCK", 100)
+    for i in range(1, 500):
+        log.files.mkdirs(f"{log.data}/{changelog._block(i)}/batch={i:012d}-1-500-w-{i}")
+    listed = []
+    names = Files.names
+    monkeypatch.setattr(Files, "names", lambda self, path: listed.append(names(self, path)) or listed[-1])
+    assert log.append(records(spark, ("a", "1")), "w", 500).rows == 1
+    assert max(map(len, listed)) <= 100 and len(listed) <= 8
+    assert log.next_number() == 501

@@ -9,28 +9,27 @@ from pyspark.sql import functions as F
 
 from keyed_lake.functions.codec import BAD, decode, encode, encode_key, encode_value, rekey, with_partition_date
 
-ACCOUNTS = make_spec(
-    "id long,created_timestamp timestamp,modified_timestamp timestamp,account string,money long",
-    "id", "modified_timestamp", "created_timestamp",
+SENSORS = make_spec(
+    "sensor long,installed timestamp,seen timestamp,place string,level double", "sensor", "seen", "installed",
 )
 TEXTS = make_spec("a string,b string", "a,b", "a")
 SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 def test_partition_date_of_good_bad_and_missing_text(spark):
-    rows = [("2022-03-18 09:22:57",), ("bad",), (None,), ("",)]
-    df = spark.createDataFrame(rows, "created_timestamp string")
-    assert [r[0] for r in with_partition_date(df, ACCOUNTS).select("pt_date").collect()] == [
-        date(2022, 3, 18), None, None, None,
+    rows = [("2025-11-02 06:00:00",), ("bad",), (None,), ("",)]
+    df = spark.createDataFrame(rows, "installed string")
+    assert [r[0] for r in with_partition_date(df, SENSORS).select("pt_date").collect()] == [
+        date(2025, 11, 2), None, None, None,
     ]
 
 
-def test_compat_text_of_the_account_row(spark):
+def test_compat_text_of_a_row(spark):
     df = spark.createDataFrame(
-        [("10000", "2022-03-18 09:22:57", "2022-03-18 09:52:58", "acme", "90000")], ACCOUNTS.text_schema
+        [("31", "2025-11-02 06:00:00", "2025-11-02 10:15:30", "cellar", "11.0")], SENSORS.text_schema
     )
-    out = encode(with_partition_date(df, ACCOUNTS), ACCOUNTS, "compat").head()
-    assert tuple(out) == ("10000", "10000,2022-03-18 09:22:57,2022-03-18 09:52:58,acme,90000,2022-03-18")
+    out = encode(with_partition_date(df, SENSORS), SENSORS, "compat").head()
+    assert tuple(out) == ("31", "31,2025-11-02 06:00:00,2025-11-02 10:15:30,cellar,11.0,2025-11-02")
 
 
 def test_key_collisions(spark):
@@ -97,7 +96,7 @@ def test_compat_decode_table(spark):
         "",
     ]
     df = spark.createDataFrame([(v,) for v in values], "value string")
-    out = [tuple(r) for r in decode(df, ACCOUNTS, "compat").collect()]
+    out = [tuple(r) for r in decode(df, SENSORS, "compat").collect()]
     t, d = datetime(2022, 1, 1), date(2022, 1, 1)
     assert out == [
         (1, t, t, "x", 5, d), (2, t, None, None, None, None), (3, t, t, "x", 5, d), (None, t, t, "x", 5, d),
@@ -120,7 +119,7 @@ def test_safe_marks_what_it_cant_decode(spark):
         (None, True),
     ]
     df = spark.createDataFrame([(i, v) for i, (v, _) in enumerate(values)], "offset long, value string")
-    out = {r["_log_offset"]: r for r in decode(df, ACCOUNTS).collect()}
+    out = {r["_log_offset"]: r for r in decode(df, SENSORS).collect()}
     assert [out[i][BAD] for i in range(len(values))] == [bad for _, bad in values]
     assert [out[i]["_bad_value"] for i in range(len(values))] == [v if bad else None for v, bad in values]
 
@@ -139,8 +138,8 @@ def test_value_encoding_of_nulls(spark):
 
 
 def test_rekey(spark):
-    df = spark.createDataFrame([(1, "acme", 5, 9)], "id long, account string, money long, ts long")
-    assert rekey(df, "account", "money", ["ts"]).head().asDict() == {"key": "acme", "value": "5", "ts": 9}
+    df = spark.createDataFrame([(1, "roof", 5, 9)], "id long, place string, level long, ts long")
+    assert rekey(df, "place", "level", ["ts"]).head().asDict() == {"key": "roof", "value": "5", "ts": 9}
 
 
 def test_mode_is_checked():
@@ -150,5 +149,5 @@ def test_mode_is_checked():
 
 def test_a_filter_parses_the_record_once(spark):
     df = spark.createDataFrame([("[]",)], "value string")
-    plan = decode(df, ACCOUNTS).where(~F.col(BAD))._jdf.queryExecution().executedPlan().toString()
+    plan = decode(df, SENSORS).where(~F.col(BAD))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") == 1
