@@ -28,7 +28,7 @@ from keyed_lake.streaming.pipelines import csv_to_records
 HEADLINE = [
     "keep_latest_events", "keep_latest_lineitem", "compact_records", "codec_roundtrip_safe", "codec_roundtrip_compat",
     "codec_roundtrip_documents", "merge_batch_scope", "merge_partition_scope", "merge_global", "merge_lineitem",
-    "merge_batches", "compact_log", "ingest_csv", "pipeline", "rekey_stream_dedup", "export_roundtrip",
+    "merge_batches", "compact_log", "ingest_csv", "csv_to_table", "rekey_stream_dedup", "export_roundtrip",
 ]
 COPIES = 5
 BATCHES = 10

@@ -59,6 +59,31 @@ _KEEP_LATEST = f"select {_ED} from events qualify {_LATEST}"
 _MERGE_BATCH = _merged("t.user_id = b.user_id and t.pt_date in (select pt_date from p)")
 
 
+def _upsert(target: str, batch: str) -> str:
+    """Rows of the target in one of the batch's dates are replaced by key, the other rows of the batch added."""
+    columns = "event_id, ts, user_id, event_type, value, pt_date"
+    b = ", ".join(f"b.{c}" for c in columns.split(", "))
+    match = f"t.user_id = b.user_id and t.pt_date in (select pt_date from {batch})"
+    return f"""
+        select {columns} from {target} t where not exists (select 1 from {batch} b where {match})
+        union all select {b} from {target} t join {batch} b on {match}
+        union all select {b} from {batch} b where not exists (select 1 from {target} t where {match})
+    """
+
+
+_SCOPED = f"""
+    with s as (
+        select event_id, ts, user_id, event_type, value, cast(ts as date) as pt_date from events
+        qualify row_number() over (partition by event_id % 3, user_id order by ts desc, event_id desc) = 1
+    ),
+    b0 as (select * from s where event_id % 3 = 0),
+    b1 as (select * from s where event_id % 3 = 1),
+    b2 as (select * from s where event_id % 3 = 2),
+    t1 as ({_upsert("b0", "b1")})
+    {_upsert("t1", "b2")}
+"""
+
+
 def registered() -> dict[str, str]:
     return {
         "keep_latest_events": _KEEP_LATEST,
@@ -77,9 +102,7 @@ def registered() -> dict[str, str]:
             qualify row_number() over (partition by user_id order by event_id desc) = 1
         """,
         "compact_records": """
-            select cast(user_id as varchar) as key, arg_max(cast(value as varchar), event_id) as value,
-                   cast(user_id % 10 as integer) as partition, max(event_id) as "offset"
-            from events group by user_id
+            select cast(user_id as varchar) as key, cast(max(event_id) as varchar) as value from events group by user_id
         """,
         "partition_date": """
             select case when event_id % 7 = 0 then null else cast(ts as date) end as pt_date, count(*) as records
@@ -141,24 +164,49 @@ def registered() -> dict[str, str]:
         "merge_batches": _by_slices(4),
         "merge_newest_guard": _KEEP_LATEST,
         "replay_idempotent": _KEEP_LATEST,
-        "log_append_scan": """
-            select cast(user_id as varchar) as key, count(*) as records, cast(1 as bigint) as n_partitions,
-                   count(distinct event_id) as n_offsets
-            from events group by user_id
-        """,
         "compact_log": _by_slices(4),
         "log_tail": """
-            select cast(user_id as varchar) as key, cast(value as varchar) as value,
-                   cast(user_id % 10 as integer) as partition, event_id as "offset", ts as "timestamp"
-            from events order by event_id desc, ts desc, partition desc limit 100
+            select cast(user_id as varchar) as key, cast(event_id as varchar) as value
+            from events order by event_id desc limit 100
+        """,
+        "log_stats": "select count(*) as records, cast(max(event_id) as varchar) as last_value from events",
+        "compact_incremental": f"""
+            with s as (
+                select {_ED}, event_id % 4 as slice from events
+                qualify row_number() over (partition by event_id % 4, user_id order by ts desc, event_id desc) = 1
+            )
+            select {_COLUMNS} from s qualify row_number() over (partition by user_id order by slice desc) = 1
         """,
-        "log_stats": """
-            select cast(user_id % 10 as integer) as partition, count(*) as records, max(event_id) as max_offset
+        "audit_times": """
+            select cast(0 as bigint) as out_of_order, count(*) as merged_rows
+            from (select distinct event_id % 5, user_id from events)
+        """,
+        "rekey_then_apply": """
+            select event_type, arg_max(event_id, event_id % 3 * 1000000000 + event_id) as event_id
+            from events group by event_type
+        """,
+        "ingest_quarantine": """
+            select case event_id % 10 when 3 then 'key' when 5 then 'type' when 7 then 'fields' else 'good' end as kind,
+                   count(*) as records
             from events group by 1
         """,
+        "apply_stream_batch_scope": _SCOPED,
+        "apply_stream_compat": _SCOPED,
+        "apply_stream_unpartitioned": f"""
+            select {_O} from orders
+            qualify row_number() over (
+                partition by o_custkey order by (o_orderstatus = 'O') desc, o_orderdate desc, o_orderkey desc) = 1
+        """,
+        "run_all": """
+            select 'events' as name, count(distinct user_id) as records, cast(sum(distinct user_id) as bigint) as key_sum from events
+            union all
+            select 'orders', count(distinct o_orderkey), cast(sum(distinct o_orderkey) as bigint) from orders
+            union all
+            select 'documents', count(distinct doc_id), cast(sum(distinct doc_id) as bigint) from documents
+        """,
         "log_watch": "select count(*) as records from events",
         "ingest_csv": _KEEP_LATEST,
-        "pipeline": _KEEP_LATEST,
+        "csv_to_table": _KEEP_LATEST,
         "apply_stream": _by_slices(5),
         "audit_stream": f"""
             with b as (
@@ -168,11 +216,6 @@ def registered() -> dict[str, str]:
             )
             select distinct pt_date, cast((select count(*) from b) as bigint) as merged_rows from b
         """,
-        "batch_audit": """
-            select cast(ts as date) as pt_date, count(*) as batch_size, min(ts) as first_time,
-                   count(distinct event_type) as n_types
-            from events group by 1
-        """,
         "rekey": "select event_type as key, cast(value as varchar) as value from events",
         "rekey_dedup": f"select event_type as key, cast(value as varchar) as value from events qualify {_LATEST}",
         "rekey_stream": "select event_type as key, cast(value as varchar) as value from events",

@@ -22,7 +22,16 @@ from keyed_lake.sources.table import ParquetTable, export_csv
 from keyed_lake.spec import PARTITION_COLUMN, TableSpec, parse_specs
 from keyed_lake.storage import scratch_folder
 from keyed_lake.streaming.audit import AUDIT_SCHEMA, audit_records, read_audit, wait_for_count, watch_log
-from keyed_lake.streaming.pipelines import apply_log, csv_to_records, ingest_csv, rekey_log, rekey_records
+from keyed_lake.streaming.pipelines import (
+    apply_all,
+    apply_log,
+    await_all,
+    csv_to_records,
+    ingest_all,
+    ingest_csv,
+    rekey_log,
+    rekey_records,
+)
 
 SPECS = parse_specs(
     """
@@ -90,15 +99,14 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 
-def _events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as a log: key user_id, offset event_id, ten partitions by user."""
-    return events(spark, sf_dir).select(
-        F.col("user_id").cast("string").alias("key"),
-        F.col("value").cast("string").alias("value"),
-        (F.col("user_id") % 10).cast("int").alias("partition"),
-        F.col("event_id").alias("offset"),
-        F.col("ts").alias("timestamp"),
+def _events_log(spark: SparkSession, sf_dir: str, name: str) -> ParquetLog:
+    """Events in a stored log, in the order of their ids: key user_id, value event_id, ten partitions."""
+    log = _new_log(spark, name)
+    records = events(spark, sf_dir).select(
+        F.col("user_id").alias("key"), F.col("event_id").alias("value"), F.col("ts").alias("timestamp"), "event_id"
     )
+    log.append(records, "whole", 0, order_by=["event_id"])
+    return log
 
 
 def _table(spark: SparkSession, spec: TableSpec, name: str) -> ParquetTable:
@@ -134,7 +142,8 @@ def keep_latest_text_typed(spark, sf_dir):
 
 
 def compact_records(spark, sf_dir):
-    return compact(_events_log(spark, sf_dir)).select("key", "value", "partition", "offset")
+    """The last record of every key of a stored log, in the order of the event ids."""
+    return compact(_events_log(spark, sf_dir, "compact-records").scan()).select("key", "value")
 
 
 # codec
@@ -337,22 +346,6 @@ def _new_log(spark, name: str, topic: str = "events") -> ParquetLog:
     return ParquetLog(spark, scratch_folder(spark, name)).create(topic)
 
 
-def log_append_scan(spark, sf_dir):
-    """All events through a log: records, partitions and distinct offsets per key."""
-    log = _new_log(spark, "log-scan")
-    rows = dated(spark, sf_dir)
-    log.append(rows.select(F.col("user_id").alias("key"), encode_value(EVENTS).alias("value")), "whole", 0)
-    return (
-        log.scan()
-        .groupBy("key")
-        .agg(
-            F.count("*").alias("records"),
-            F.countDistinct("partition").alias("n_partitions"),
-            F.countDistinct("offset").alias("n_offsets"),
-        )
-    )
-
-
 def compact_log(spark, sf_dir):
     """Four batches appended to a log, then reduced to the last record per key."""
     log = _new_log(spark, "compact")
@@ -363,11 +356,30 @@ def compact_log(spark, sf_dir):
 
 
 def log_tail_query(spark, sf_dir):
-    return plain(log_tail(_events_log(spark, sf_dir), 100))
+    return log_tail(_events_log(spark, sf_dir, "tail").scan(), 100).select("key", "value")
 
 
 def log_stats_query(spark, sf_dir):
-    return log_stats(_events_log(spark, sf_dir))
+    """Records over all log partitions, and the event at the greatest offset."""
+    log = _events_log(spark, sf_dir, "stats").scan()
+    stats = log_stats(log).agg(F.sum("records").alias("records"), F.max("max_offset").alias("offset"))
+    return stats.join(log.select("offset", "value"), "offset").select("records", F.col("value").alias("last_value"))
+
+
+def compact_incremental(spark, sf_dir):
+    """Append, compact, append, compact: what a stream that follows the compacted log puts into its table."""
+    work = scratch_folder(spark, "compact-incremental")
+    log = _new_log(spark, "compact-source")
+    target = ParquetLog(spark, f"{work}/compacted")
+    table = ParquetTable(spark, f"{work}/table", EVENTS)
+    for i, batch in enumerate(_slices(events(spark, sf_dir), 4)):
+        log.append(csv_to_records(as_text(batch), EVENTS), "slices", i)
+        if i % 2:
+            log.compact_into(target)
+            apply_log(
+                spark, EVENTS, target, table, f"{work}/cp", scope="global", start="earliest", available_now=True
+            ).awaitTermination()
+    return plain(table.read())
 
 
 def log_watch(spark, sf_dir):
@@ -404,7 +416,7 @@ def ingest_csv_query(spark, sf_dir):
     return plain(decode(log.scan(), EVENTS).select(*EVENTS.table_columns))
 
 
-def pipeline(spark, sf_dir):
+def csv_to_table(spark, sf_dir):
     """CSV files to log to table, both steps as streams."""
     work = scratch_folder(spark, "pipeline")
     log = _csv_to_log(spark, sf_dir, work)
@@ -442,21 +454,16 @@ def audit_stream(spark, sf_dir):
     log.append(audit_records(read_audit(spark, table.path.removesuffix("/table") + "/audit")), "audit", 0)
     audit = log.scan().select(F.from_json("value", AUDIT_SCHEMA).alias("a")).select("a.*")
     dates = audit.select(F.explode("partition_values").alias(PARTITION_COLUMN)).distinct()
-    total = audit.agg(F.sum("batch_size").alias("merged_rows"))
-    # one row of totals beside at most one row per day
-    return dates.select(F.col(PARTITION_COLUMN).cast("date").alias(PARTITION_COLUMN)).join(F.broadcast(total))
-
-
-def batch_audit(spark, sf_dir):
-    return plain(
-        dated(spark, sf_dir)
-        .groupBy(PARTITION_COLUMN)
-        .agg(
-            F.count("*").alias("batch_size"),
-            F.min("ts").alias("first_time"),
-            F.countDistinct("event_type").alias("n_types"),
-        )
-    )
+    total = audit.agg(F.sum("batch_size")).head()[0]
+    return dates.select(F.col(PARTITION_COLUMN).cast("date").alias(PARTITION_COLUMN), F.lit(total).alias("merged_rows"))
+
+
+def audit_times(spark, sf_dir):
+    """Batches of a stream whose audit times are out of order, and the rows that all merged."""
+    audit = read_audit(spark, _apply(spark, sf_dir, "audit-times").path.removesuffix("/table") + "/audit")
+    ordered = F.col("fetch_time").between(F.col("log_time"), F.col("partition_time"))
+    ordered = ordered & (F.col("partition_time") <= F.col("merge_time"))
+    return audit.agg(F.count_if(~ordered).alias("out_of_order"), F.sum("batch_size").alias("merged_rows"))
 
 
 def rekey_query(spark, sf_dir):
@@ -486,6 +493,120 @@ def rekey_stream_dedup(spark, sf_dir):
     return _rekey_stream(spark, sf_dir, True)
 
 
+def rekey_then_apply(spark, sf_dir):
+    """Every event under a new key in another log, applied one file at a time: the last event of each type stays."""
+    work = scratch_folder(spark, "rekey-apply")
+    source = ParquetLog(spark, f"{work}/source").create("events")
+    rows = events(spark, sf_dir)
+    spec = replace(EVENTS, name="numbers", pks=("event_id",), order_by=("event_id",), partition_by=None)
+    for i, batch in enumerate(_slices(rows, 3)):
+        records = batch.select(encode_key(spec).alias("key"), encode_value(spec).alias("value"), "event_id")
+        source.append(records, "slices", i, ["event_id"], 1000)
+    target = ParquetLog(spark, f"{work}/target").create("types")
+    by_type = F.to_json(F.array("event_type", F.col("event_id").cast("string")))
+    rekey_log(spark, spec, source, target, f"{work}/cp-re", "event_type", by_type, available_now=True).awaitTermination()
+    types = TableSpec(
+        "types", columns=("event_type", "event_id"), types=(T.StringType(), T.LongType()), pks=("event_type",), order_by=("event_type",),
+        max_offsets_per_trigger=1,
+    )
+    table = ParquetTable(spark, f"{work}/table", types)
+    apply_log(
+        spark, types, target, table, f"{work}/cp", scope="global", start="earliest", available_now=True
+    ).awaitTermination()
+    return table.read()
+
+
+def ingest_quarantine(spark, sf_dir):
+    """All events as CSV, some lines damaged: good rows in the log (one a key) and lines put aside, by kind of damage."""
+    work = scratch_folder(spark, "ingest-quarantine")
+    spec = replace(EVENTS, pks=("event_id",), order_by=("event_id",))
+    rows = events(spark, sf_dir).withColumn("ts", F.date_format("ts", _MICROS)).select("event_id", "ts", "user_id", "event_type", "value")
+    kind = F.col("event_id") % 10
+    text = F.concat_ws(
+        ",", F.when(kind == 3, F.lit("")).otherwise(F.col("event_id").cast("string")),
+        F.when(kind == 5, F.lit("soon")).otherwise(F.col("ts")),
+        *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("user_id", "event_type", "value")], F.lit("x"),
+        F.when(kind == 7, F.lit("surplus")),
+    )
+    rows.select(text.alias("line")).write.text(f"{work}/csv/events/first")
+    log = ParquetLog.for_spec(spark, f"{work}/logs", spec)
+    aside = f"{work}/aside"
+    ingest_csv(spark, spec, f"{work}/csv", log, f"{work}/cp", quarantine=aside, available_now=True).awaitTermination()
+    bad = spark.read.parquet(aside)
+    kinds = (
+        F.when(F.col("_corrupt").isNotNull(), F.lit("fields")).when(F.col("event_id").isNull(), F.lit("key")).otherwise(F.lit("type"))
+    )
+    good = decode(log.scan(), spec).select(F.lit("good").alias("kind"))
+    return count_rows(bad.select(kinds.alias("kind")).unionByName(good), ["kind"])
+
+
+def apply_stream_batch_scope(spark, sf_dir):
+    """Three log batches, each latest per user and applied by itself, in the scope of its own dates."""
+    return plain(_scoped(spark, sf_dir, "batch", "safe").read())
+
+
+def apply_stream_compat(spark, sf_dir):
+    return plain(_scoped(spark, sf_dir, "batch", "compat").read())
+
+
+def _scoped(spark, sf_dir, scope: str, mode: str) -> ParquetTable:
+    work = scratch_folder(spark, f"scope-{scope}-{mode}")
+    log = ParquetLog(spark, f"{work}/log").create("events")
+    spec = replace(EVENTS, columns=EVENTS.columns[:-1], types=EVENTS.types[:-1], order_by=("ts", "event_id"))
+    table = ParquetTable(spark, f"{work}/table", spec)
+    for i, batch in enumerate(_slices(events(spark, sf_dir).drop("props"), 3)):
+        log.append(csv_to_records(as_text(batch), spec, mode), "slices", i)
+        # stopped and started again after every batch
+        apply_log(
+            spark, spec, log, table, f"{work}/cp", mode=mode, scope=scope, start="earliest", available_now=True
+        ).awaitTermination()
+    return table
+
+
+def apply_stream_unpartitioned(spark, sf_dir):
+    """Orders, latest per customer, by two batches of order status."""
+    work = scratch_folder(spark, "apply-unpartitioned")
+    spec = SPECS["orders"]
+    log = ParquetLog(spark, f"{work}/log").create("orders")
+    table = ParquetTable(spark, f"{work}/table", spec)
+    rows = load(spark, sf_dir, "orders")
+    is_open = F.col("o_orderstatus") == "O"
+    for i, batch in enumerate([rows.where(~is_open), rows.where(is_open)]):
+        log.append(encode(keep_latest(batch, spec.pks, spec.order_by), spec), "status", i)
+        apply_log(
+            spark, spec, log, table, f"{work}/cp", scope="global", start="earliest", available_now=True
+        ).awaitTermination()
+    return plain(table.read())
+
+
+def run_all(spark, sf_dir):
+    """Three tables in one run, CSV folders to tables: rows and keys of each."""
+    work = scratch_folder(spark, "run-all")
+    specs = {
+        "events": EVENTS,
+        "orders": replace(SPECS["orders"], pks=("o_orderkey",)),
+        "documents": SPECS["documents"],
+    }
+    for name, spec in specs.items():
+        rows = load(spark, sf_dir, name).select(*[F.col(c) for c in spec.columns])
+        text = rows.select(*[F.date_format(c, _MICROS).alias(c) if isinstance(t, T.TimestampType) else F.col(c) for c, t in zip(spec.columns, spec.types)])
+        text.write.option("escape", '"').csv(f"{work}/csv/{spec.csv_folder}/first")
+    await_all(spark, ingest_all(
+        spark, specs, f"{work}/csv", f"{work}/logs", f"{work}/cp", available_now=True,
+        csv_options={"escape": '"', "multiLine": "true"},
+    ))
+    await_all(spark, apply_all(
+        spark, specs, f"{work}/logs", f"{work}/tables", f"{work}/cp", f"{work}/compacted", start="earliest",
+        scope="global", available_now=True,
+    ))
+    out = None
+    for name, spec in specs.items():
+        table = ParquetTable(spark, f"{work}/tables/{spec.table_folder or name}", spec).read()
+        counts = table.agg(F.lit(name).alias("name"), F.count("*").alias("records"), F.sum(spec.pks[0]).alias("key_sum"))
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
 # export and counts
 
 
@@ -537,16 +658,22 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_batches": merge_batches,
         "merge_newest_guard": merge_newest_guard,
         "replay_idempotent": replay_idempotent,
-        "log_append_scan": log_append_scan,
         "compact_log": compact_log,
+        "compact_incremental": compact_incremental,
         "log_tail": log_tail_query,
         "log_stats": log_stats_query,
         "log_watch": log_watch,
         "ingest_csv": ingest_csv_query,
-        "pipeline": pipeline,
+        "csv_to_table": csv_to_table,
         "apply_stream": apply_stream,
         "audit_stream": audit_stream,
-        "batch_audit": batch_audit,
+        "audit_times": audit_times,
+        "rekey_then_apply": rekey_then_apply,
+        "ingest_quarantine": ingest_quarantine,
+        "apply_stream_batch_scope": apply_stream_batch_scope,
+        "apply_stream_compat": apply_stream_compat,
+        "apply_stream_unpartitioned": apply_stream_unpartitioned,
+        "run_all": run_all,
         "rekey": rekey_query,
         "rekey_dedup": rekey_dedup,
         "rekey_stream": rekey_stream,

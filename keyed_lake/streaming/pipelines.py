@@ -226,7 +226,8 @@ def rekey_log(
             batch = batch.where(~F.col(BAD))
         records = rekey_records(batch, key, value, spec.pks if dedup else None, spec.order_by)
         # without dedup a key may occur more than once, and its records must stay in their order
-        order = None if dedup else ["timestamp", "_log_partition", "_log_offset"]
+        place = ["_log_offset"] if isinstance(source, ParquetLog) else ["timestamp", "_log_partition", "_log_offset"]
+        order = None if dedup else place
         target.append(records, query, batch_id, order)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
