@@ -2,11 +2,14 @@
 
 Layout of a table folder:
 
-    data/_version=<version>/pt_date=<date>/...   what one commit wrote
+    data/_version=<version>/pt_date=<date>/_bucket=<n>/...   what one commit wrote
     commits/<version>.json                       which folders make up the table after that commit
 
 A commit writes new folders, then publishes one small JSON file under the next free version number. Readers take the
 folders named in the newest one, so they never see a commit in part, and what a merge reads is never overwritten.
+A part is a date, or, for a table with buckets, a date and a share of the keys by hash; an unpartitioned table has buckets
+only. Parts without a match are left alone, so with buckets a changed key rewrites a small share of its date.
+
 Publishing fails if another writer took the number first. The commit file also holds the last batch id of each
 stream: a batch that was applied before is left out.
 """
@@ -18,7 +21,7 @@ import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +41,7 @@ from keyed_lake.storage import Files
 VERSION = "_version"  # no column of a spec can have this name
 OFFSET = "_log_offset"  # kept beside the columns of the spec, so that no older record replaces a newer one
 OFFSET_TYPE = T.DecimalType(38, 0)
+BUCKET = "_bucket"
 NULL_DATE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder name Spark gives to a NULL partition
 WHOLE = ""  # the only part of an unpartitioned table
 MAX_PIECES = 16  # a partition appended to more often is rewritten by the next commit that touches it
@@ -56,6 +60,7 @@ class Snapshot:
     parts: dict[str, list[str]] = field(default_factory=dict)
     applied: dict[str, int] = field(default_factory=dict)
     schema: str = ""
+    buckets: int = 1
 
     def folders(self, names: Iterable[str] | None = None) -> list[str]:
         chosen = self.parts if names is None else [n for n in names if n in self.parts]
@@ -72,8 +77,10 @@ class Merged:
 
 
 class ParquetTable:
-    def __init__(self, spark: SparkSession, path: str, spec: TableSpec):
+    def __init__(self, spark: SparkSession, path: str, spec: TableSpec, buckets: int = 1):
+        """`buckets` counts when the table is created; an existing table keeps its own."""
         self.spark = spark
+        self.buckets = buckets
         self.path = path.rstrip("/")
         self.data = f"{self.path}/data"
         self.commits = f"{self.path}/commits"
@@ -91,7 +98,7 @@ class ParquetTable:
         """Create the table if it is absent; an existing one must have the columns of the spec."""
         if not self.exists():
             self.files.mkdirs(self.data)
-            self._publish(Snapshot(0, schema=self.spec.table_schema.json()))
+            self._publish(Snapshot(0, schema=self.spec.table_schema.json(), buckets=self.buckets))
         elif T.StructType.fromJson(json.loads(self.snapshot().schema)) != self.spec.table_schema:
             raise ValueError(f"the table at {self.path} has other columns than spec {self.spec.name}")
         return self
@@ -102,7 +109,10 @@ class ParquetTable:
 
     def _publish(self, snapshot: Snapshot) -> None:
         text = json.dumps(
-            {"version": snapshot.version, "parts": snapshot.parts, "applied": snapshot.applied, "schema": snapshot.schema}
+            {
+                "version": snapshot.version, "parts": snapshot.parts, "applied": snapshot.applied,
+                "schema": snapshot.schema, "buckets": snapshot.buckets,
+            }
         )
         self.files.publish_text(self._commit_file(snapshot.version), text)
         # one goes for each that comes, so the folder stays small
@@ -115,12 +125,16 @@ class ParquetTable:
 
     def read(self, dates: Iterable[str | None] | None = None, snapshot: Snapshot | None = None) -> DataFrame:
         """The table, or only the partitions of some dates (ISO text, None for the NULL partition)."""
-        names = None if dates is None else [part_name(d) for d in dates]
-        return self._read_parts(snapshot or self.snapshot(), names)
+        snapshot = snapshot or self.snapshot()
+        if dates is None:
+            return self._read_parts(snapshot)
+        wanted = {part_name(d) for d in dates}
+        return self._read_parts(snapshot, [n for n in snapshot.parts if n.split("/")[0] in wanted])
 
     def _read_parts(self, snapshot: Snapshot, names: Iterable[str] | None = None, offsets: bool = False) -> DataFrame:
         columns = self.spec.table_columns + ([OFFSET] if offsets else [])
-        schema = T.StructType([*self.spec.table_schema.fields, T.StructField(OFFSET, OFFSET_TYPE)])
+        more = [T.StructField(OFFSET, OFFSET_TYPE), *[T.StructField(BUCKET, T.IntegerType())] * (snapshot.buckets > 1)]
+        schema = T.StructType([*self.spec.table_schema.fields, *more])
         folders = [f"{self.data}/{f}" for f in snapshot.folders(names)]
         return self.spark.read.schema(schema).option("basePath", self.data).parquet(*folders).select(*columns)
 
@@ -167,15 +181,19 @@ class ParquetTable:
 
         # partitions that may hold a match
         dated = [part_name(d) for d in stats.dates]
+        candidates = list(before.parts)
         if partitioned and scope != "global":
-            candidates = [n for n in dated if n in before.parts]
-        else:
-            candidates = list(before.parts)
+            candidates = [n for n in candidates if n.split("/")[0] in set(dated)]
+        if before.buckets > 1:
+            numbers = updates.select(self._bucket(before.buckets)).distinct().collect()  # a row per bucket
+            hit = {f"{BUCKET}={r[0]}" for r in numbers}
+            candidates = [n for n in candidates if n.split("/")[-1] in hit]
         # partitions in too many pieces are rewritten along with those that have a match
         rewrite = {n for n in candidates if len(before.parts[n]) >= MAX_PIECES}
         nowhere = part_name(None)
-        if partitioned and stats.null_dates and len(before.parts.get(nowhere, [])) >= MAX_PIECES:
-            rewrite.add(nowhere)  # it matches nothing outside global scope, but its pieces must not grow in number
+        if candidates and partitioned and stats.null_dates:
+            full = {n for n, v in before.parts.items() if n.split("/")[0] == nowhere and len(v) >= MAX_PIECES}
+            rewrite |= full  # it matches nothing outside global scope, but its pieces must not grow in number
 
         hits = None
         if candidates:
@@ -185,9 +203,9 @@ class ParquetTable:
             hits = matched_keys(target, updates, keys, place, small).persist()
         try:
             if hits is None:
-                output = self._spread(updates, stats)
+                output = self._spread(updates, stats, before.buckets)
             else:
-                rewrite |= self._parts_with(hits, partitioned)
+                rewrite |= self._parts_with(hits, partitioned, before.buckets)
                 fresh = unmatched(updates, hits, keys)
                 if rewrite:
                     in_scope = F.col(f"t.{PARTITION_COLUMN}").isNotNull() if scope == "batch" and partitioned else None
@@ -195,15 +213,17 @@ class ParquetTable:
                         self._read_parts(before, sorted(rewrite), offsets=True), updates, keys, in_scope,
                         [*(self.spec.order_by if on_conflict == "newest" else ()), *([OFFSET] if ordered else [])], small,
                     )
+                    if before.buckets > 1:
+                        changed, fresh = (x.withColumn(BUCKET, self._bucket(before.buckets)) for x in (changed, fresh))
                     if small:
                         # the target is not shuffled here: every task writes back the partition it read
-                        output = changed.unionByName(self._spread(fresh, stats))
+                        output = changed.unionByName(self._spread(fresh, stats, before.buckets))
                     else:
-                        output = self._spread(changed.unionByName(fresh), stats, also=rewrite)
+                        output = self._spread(changed.unionByName(fresh), stats, before.buckets, also=rewrite)
                 else:
-                    output = self._spread(fresh, stats)
+                    output = self._spread(fresh, stats, before.buckets)
             name = f"{before.version + 1:012d}-{uuid.uuid4().hex[:8]}"
-            written = self._write(output, name)
+            written = self._write(output, name, before.buckets)
         finally:
             if hits is not None:
                 hits.unpersist()
@@ -215,7 +235,7 @@ class ParquetTable:
         applied = dict(before.applied)
         if stream is not None and batch_id is not None:
             applied[stream] = batch_id
-        self._publish(Snapshot(before.version + 1, parts, applied, before.schema))
+        self._publish(Snapshot(before.version + 1, parts, applied, before.schema, before.buckets))
         return Merged(
             before.version + 1, stats, tuple(sorted(rewrite)), tuple(p for p in written if p not in rewrite)
         )
@@ -225,14 +245,22 @@ class ParquetTable:
         text = self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
         return self.spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text) if text != "-1" else -1
 
-    def _parts_with(self, hits: DataFrame, partitioned: bool) -> set[str]:
-        """The partitions with a match; the driver gets the distinct dates only."""
-        if not partitioned:
-            return set() if hits.isEmpty() else {WHOLE}
-        days = hits.select(F.col(PARTITION_COLUMN).cast("string").alias("day")).distinct()
-        return {part_name(row["day"]) for row in days.collect()}
+    def _bucket(self, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(*self.spec.pks), F.lit(buckets)).cast("int").alias(BUCKET)
 
-    def _spread(self, rows: DataFrame, stats: BatchStats, also: Iterable[str] = ()) -> DataFrame:
+    def _parts_with(self, hits: DataFrame, partitioned: bool, buckets: int) -> set[str]:
+        """The parts with a match; the driver gets their distinct names only."""
+        if not partitioned and buckets == 1:
+            return set() if hits.isEmpty() else {WHOLE}
+        day = F.col(PARTITION_COLUMN).cast("string") if partitioned else F.lit(None).cast("string")
+        number = self._bucket(buckets) if buckets > 1 else F.lit(None).cast("int").alias(BUCKET)
+        names = set()
+        for row in hits.select(day.alias("day"), number).distinct().collect():
+            date = [part_name(row["day"])] if partitioned else []
+            names.add("/".join([*date, *[f"{BUCKET}={row[BUCKET]}"] * (buckets > 1)]))
+        return names
+
+    def _spread(self, rows: DataFrame, stats: BatchStats, buckets: int, also: Iterable[str] = ()) -> DataFrame:
         """Group rows by partition before the write, so that a task does not open a file for every date.
 
         The rebalance hint lets Spark split a date that is larger than others over several tasks; without adaptive
@@ -242,6 +270,13 @@ class ParquetTable:
         names = {part_name(d) for d in stats.dates} | set(also)
         if stats.null_dates:
             names.add(part_name(None))
+        if buckets > 1:
+            if BUCKET not in rows.columns:
+                rows = rows.withColumn(BUCKET, self._bucket(buckets))
+            place = [*([PARTITION_COLUMN] if self.spec.partition_column else []), BUCKET]
+            if self.spark.conf.get("spark.sql.adaptive.enabled") == "true":
+                return rows.hint("rebalance", *place)
+            return rows.repartition(*[F.col(c) for c in place])
         if self.spec.partition_column is None or len(names) < 2:
             return rows
         if self.spark.conf.get("spark.sql.adaptive.enabled") == "true":
@@ -250,14 +285,30 @@ class ParquetTable:
         share = F.pmod(F.xxhash64(*self.spec.pks), F.lit(max(1, tasks // len(names))))
         return rows.repartition(tasks, F.col(PARTITION_COLUMN), share)
 
-    def _write(self, rows: DataFrame, version: str) -> list[str]:
+    def _write(self, rows: DataFrame, version: str, buckets: int) -> list[str]:
         folder = f"{self.data}/{VERSION}={version}"
         writer = rows.write.option("compression", "zstd")
-        if self.spec.partition_column is None:
+        place = [PARTITION_COLUMN] if self.spec.partition_column else []
+        if buckets > 1:
+            if BUCKET not in rows.columns:
+                rows = rows.withColumn(BUCKET, self._bucket(buckets))
+                writer = rows.write.option("compression", "zstd")
+            place = [*place, BUCKET]
+        if not place:
             writer.parquet(folder)
             return [WHOLE]
-        writer.partitionBy(PARTITION_COLUMN).parquet(folder)
-        return [n for n in self.files.names(folder) if n.startswith(f"{PARTITION_COLUMN}=")]
+        writer.partitionBy(*place).parquet(folder)
+        return self._part_folders(folder)
+
+    def _part_folders(self, folder: str) -> list[str]:
+        """The parts below the folder of a version."""
+        top = [n for n in self.files.names(folder) if n.startswith((f"{PARTITION_COLUMN}=", f"{BUCKET}="))]
+        out = []
+        for n in top:
+            inner = [] if n.startswith(BUCKET) else self.files.names(f"{folder}/{n}")
+            buckets = [f"{n}/{m}" for m in inner if m.startswith(f"{BUCKET}=")]
+            out += buckets or [n]
+        return out
 
     def vacuum(self, keep_commits: int = KEEP_COMMITS) -> int:
         """Delete old commits and the folders no kept commit names. Returns the number of folders deleted.
@@ -274,7 +325,7 @@ class ParquetTable:
             self.files.delete(self._commit_file(number))
         deleted = 0
         for version in self.files.names(self.data):
-            parts = [n for n in self.files.names(f"{self.data}/{version}") if n.startswith(f"{PARTITION_COLUMN}=")]
+            parts = self._part_folders(f"{self.data}/{version}")
             folders = [f"{version}/{n}" for n in parts] or [version]
             unused = [f for f in folders if f not in used]
             if len(unused) == len(folders):

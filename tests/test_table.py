@@ -111,10 +111,10 @@ def test_two_writers_can_not_both_commit(spark, table, monkeypatch):
     other = ParquetTable(spark, table.path, SPEC)
     write = ParquetTable._write
 
-    def slow_write(self, rows, version):
+    def slow_write(self, rows, version, *more):
         if self is table:
             other.merge(batch(spark, (7, 1, "other")))
-        return write(self, rows, version)
+        return write(self, rows, version, *more)
 
     monkeypatch.setattr(ParquetTable, "_write", slow_write)
     with pytest.raises(Exception, match="exist"):
@@ -193,3 +193,55 @@ def test_old_commit_files_go(spark, table, monkeypatch):
     for i in range(4):
         table.merge(batch(spark, (i, 1, "a")))
     assert sorted(table._versions()) == [3, 4] and len(state(table)) == 4
+
+
+# buckets
+
+
+def many(spark, n, v="old", day="2024-01-01"):
+    return spark.range(n).selectExpr("id", f"cast('{day}' as timestamp) as ts", f"'{v}' as v", f"cast('{day}' as date) as pt_date")
+
+
+@pytest.fixture
+def bucketed(spark, folder):
+    spec = make_spec("id long,ts timestamp,v string", "id", "ts", "ts")
+    table = ParquetTable(spark, f"{folder}/bucketed", spec, buckets=8).create()
+    table.merge(many(spark, 2000), scope="global")
+    return table
+
+
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+def test_one_key_rewrites_one_bucket(spark, bucketed, limit):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        before = bucketed.snapshot()
+        assert len(before.parts) == 8
+        done = bucketed.merge(many(spark, 1, "new"), scope="batch")
+        after = bucketed.snapshot()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(done.rewritten) == 1
+    kept = [n for n in before.parts if n not in done.rewritten]
+    assert len(kept) == 7 and all(after.parts[n] == before.parts[n] for n in kept)
+    assert rows_of(bucketed.read().where("v = 'new'"), "id") == [(0,)]
+    assert bucketed.read().count() == 2000
+
+
+def test_buckets_hold_the_same_as_none(spark, folder):
+    for spec in (make_spec("id long,ts timestamp,v string", "id", "ts", "ts"), make_spec("id long,ts timestamp,v string", "id", "ts")):
+        columns = spec.table_columns
+        batches = [many(spark, 300), many(spark, 40, "b", "2024-01-02"), many(spark, 500, "c"), many(spark, 3, "d", "2024-01-02")]
+        for scope in ("batch", "global"):
+            tables = [ParquetTable(spark, f"{folder}/{scope}-{spec.partition_by}-{n}", spec, buckets=n).create() for n in (1, 5)]
+            for table in tables:
+                for batch in batches:
+                    table.merge(batch.select(*columns), scope=scope)
+            assert rows_of(tables[0].read()) == rows_of(tables[1].read())
+            assert ParquetTable(spark, tables[1].path, spec).create().snapshot().buckets == 5
+            assert tables[1].vacuum(1) > 0 and rows_of(tables[0].read()) == rows_of(tables[1].read())
+
+
+def test_reading_dates_of_a_bucketed_table(spark, bucketed):
+    bucketed.merge(many(spark, 10, "x", "2024-02-02"), scope="partition")
+    assert bucketed.read(["2024-02-02"]).count() == 10
+    assert bucketed.read(["2024-01-01"]).count() == 2000
