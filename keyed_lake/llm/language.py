@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ from .common import col, fold, map_arrow, plus, written
 
 ORDER = 4
 TRAIN_ROWS = 600
-MAX_GRAMS = 600_000
+MAX_GRAMS = 500_000
 UNKNOWN = "und"
 BLOCK = 1 << 20
 LETTER = regex.compile(r"\p{L}")
@@ -183,15 +184,16 @@ def train(
     sample = sample.groupBy("lang", "mix").agg(F.first("text").alias("text")).select("lang", "text")
     schema = plus(sample.select("lang").schema, ("k", "int"), ("gram", "long"), ("n", "long"))
     grams = map_arrow(sample, _count_grams(order), schema).groupBy("lang", "k", "gram").agg(F.sum("n").alias("n"))
-    found = grams.orderBy("k", F.desc("n"), "lang", "gram").limit(max_grams).toPandas()
-    languages = sorted(found["lang"].unique().tolist())
+    found = grams.orderBy("k", F.desc("n"), "lang", "gram").limit(max_grams).toArrow()
+    languages = sorted(found["lang"].unique().to_pylist())
+    number = pc.index_in(found["lang"], pa.array(languages, pa.string())).to_numpy()
+    lengths, grams, times = (found[c].to_numpy() for c in ("k", "gram", "n"))
     keys, counts = [], []
     for k in range(order + 1):
-        part = found[found["k"] == k]
-        gram = part["gram"].to_numpy().astype(np.uint64)
-        distinct, at = np.unique(gram, return_inverse=True)
+        own = lengths == k
+        distinct, at = np.unique(grams[own].astype(np.uint64), return_inverse=True)
         table = np.zeros((len(distinct), len(languages)))
-        table[at, part["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy(np.int64)] = part["n"].to_numpy()
+        table[at, number[own]] = times[own]
         keys.append(distinct)
         counts.append(table)
     return Model(languages, order, keys, counts)
