@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .licenses import SHARE, SHINGLE, TEMPLATES, template_words
+
 OP4 = """
 SELECT doc_id,
        max(doc_id) OVER same AS keep_id,
@@ -13,5 +15,69 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+OP9 = f"""
+WITH RECURSIVE
+    words AS (
+        SELECT doc_id,
+               regexp_extract_all(translate(coalesce(text, ''), '{_CAPITALS}', '{_CAPITALS.lower()}'), '[^\\x20\\x09-\\x0D]+') AS w
+        FROM documents
+    ),
+    sets AS (
+        SELECT doc_id,
+               CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+        FROM words
+    ),
+    grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+    links AS (
+        SELECT a.doc_id AS x, b.doc_id AS y
+        FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n
+        HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+    ),
+    reach AS (
+        SELECT doc_id AS x, doc_id AS y FROM documents
+        UNION
+        SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+    )
+SELECT sets.doc_id, cast(len(s) AS bigint) AS n_shingles, c.component_id
+FROM sets JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) c ON sets.doc_id = c.x
+"""
+
+
+def _licenses() -> str:
+    """Every window of 2 T shingles, one every T, against every template."""
+    rows = []
+    for name, text in sorted(TEMPLATES.items()):
+        words = template_words(text)
+        size = min(SHINGLE, len(words))
+        grams = sorted({" ".join(words[i : i + size]) for i in range(len(words) - size + 1)})
+        rows.append(f"('{name}', {size}, {len(words) - size + 1}, [{', '.join(repr(g) for g in grams)}])")
+    return f"""
+WITH
+    templates(license, size, t, grams) AS (VALUES {", ".join(rows)}),
+    words AS (
+        SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM documents WHERE text IS NOT NULL
+    ),
+    shingles AS (
+        SELECT doc_id, size,
+               list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' ')) AS s
+        FROM words, (SELECT DISTINCT size FROM templates)
+    ),
+    windows AS (
+        SELECT doc_id, license, grams, s, t, unnest(range(0, greatest(len(s) - t, 1), t)) AS begin_shingle
+        FROM shingles JOIN templates USING (size) WHERE len(s) > 0 AND len(list_intersect(s, grams)) > 0
+    ),
+    shares AS (
+        SELECT doc_id, license, begin_shingle,
+               len(list_intersect(s[begin_shingle + 1:begin_shingle + 2 * t], grams)) / len(grams) AS share
+        FROM windows
+    )
+SELECT doc_id, license, share, begin_shingle FROM shares WHERE share >= {SHARE}
+QUALIFY row_number() OVER (PARTITION BY doc_id, license ORDER BY share DESC, begin_shingle) = 1
+"""
+
+
 def registered() -> dict[str, str]:
-    return {"op4_exact_dedup": OP4}
+    return {"op2_licenses": _licenses(), "op4_exact_dedup": OP4, "op9_jaccard_join": OP9}
