@@ -6,9 +6,9 @@ shingles, one every T, so whatever run of T shingles a notice covers lies whole
 holds one minimum hash, so such a window misses all bands with probability (1 - share / (3 - share)) ** BANDS, about 1 in
 130,000 at 0.8. Windows that meet a template in a band are decided by the exact share of its shingles that they contain.
 
-Before that, texts without any anchor are left out, as none can hold a notice: anchors are pieces of words such that
-every template without its shingles that hold an anchor has fewer than `share` of its shingles left. A test proves it
-for the templates below.
+Before that, texts and windows without any anchor are left out, as none can hold a notice: anchors are pieces of words
+such that every template without its shingles that hold an anchor has fewer than `share` of its shingles left. A test
+proves it for the templates below; with other templates all windows are looked at.
 
 Templates are a fixed list, so their bands are a broadcast of fixed size. Texts are lower-cased and split into runs of
 letters and digits. Null and empty texts hold nothing. Rows equal in key and text give one result each license. An empty
@@ -90,22 +90,42 @@ def templates(spark: SparkSession, known: dict[str, str] = TEMPLATES) -> list[tu
     return out
 
 
+def holds_anchor(text: Column) -> Column:
+    out = F.lit(False)
+    for a in ANCHORS:
+        out = out | text.contains(a)
+    return out
+
+
+def _around(place: Column, size: int, count: int) -> Column:
+    """Where the windows begin that have the word of a place: of all places 1 + k * count."""
+    low = F.greatest(F.ceil((place - (2 * count + size - 1)) / count), F.lit(0)).cast("int")
+    high = F.least(F.floor((place - 1) / count), F.floor((F.col("last") - 1) / count)).cast("int")
+    return F.when(low <= high, F.transform(F.sequence(low, F.greatest(low, high)), lambda k: k * count + 1)).otherwise(
+        F.array().cast("array<int>")
+    )
+
+
 def license_report(df: DataFrame, key: str, text: str, known: dict[str, str] = TEMPLATES, share: float = SHARE) -> DataFrame:
     """doc_id, license, share, begin_shingle of every license a document holds: the best window's share, the first such."""
     spark = df.sparkSession
     docs = df.select(col(key).alias("doc_id"), col(text).cast("string").alias("text")).where("text is not null")
-    lower = F.lower("text")
-    anchored = None
-    for a in ANCHORS:
-        anchored = lower.contains(a) if anchored is None else anchored | lower.contains(a)
-    if known is TEMPLATES:
-        docs = docs.where(anchored)
-    docs = written(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("words")), "licensed-words")
+    anchored = known is TEMPLATES
+    if anchored:
+        docs = docs.where(holds_anchor(F.lower("text")))
+    docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("words"))
+    if anchored:
+        at = F.transform("words", lambda w, i: F.when(holds_anchor(w), i + 1))
+        docs = docs.withColumn("anchors", F.filter(at, lambda i: i.isNotNull()))
+    docs = written(docs, "licensed-words")
     found = None
     for size, count, table in templates(spark, known):
-        hashed = docs.select("doc_id", "text_hash", shingles(F.col("words"), size).alias("all")).where(F.size("all") > 0)
-        starts = F.sequence(F.lit(1), F.greatest(F.size("all") - count, F.lit(1)), F.lit(count))
-        windows = hashed.select("doc_id", "text_hash", "all", F.explode(starts).alias("begin"))
+        last = F.greatest(F.size("words") - (size - 1) - count, F.lit(1))  # where the last window begins
+        rows = docs.where(F.size("words") >= size).withColumn("all", shingles(F.col("words"), size)).withColumn("last", last)
+        starts = F.sequence(F.lit(1), F.col("last"), F.lit(count))
+        if anchored:
+            starts = F.array_distinct(F.flatten(F.transform("anchors", lambda p: _around(p, size, count))))  # noqa: B023
+        windows = rows.select("doc_id", "text_hash", "all", F.explode(starts).alias("begin"))
         windows = windows.select("doc_id", "text_hash", "begin", F.slice("all", F.col("begin"), 2 * count).alias("window"))
         keys = windows.select("*", F.explode(bands(F.col("window"))).alias("key"))
         asked = table.select("license", "template", F.explode(bands(F.col("template"))).alias("tkey"))
