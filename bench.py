@@ -33,8 +33,8 @@ HEADLINE = [
 COPIES = 5
 BATCHES = 10
 SPEC = replace(
-    plans.SPECS["lineitem"], columns=(*plans.SPECS["lineitem"].columns, "l_year"),
-    types=(*plans.SPECS["lineitem"].types, parse_type("timestamp")), partition_by="l_year",
+    plans.SPECS["lineitem"], columns=(*plans.SPECS["lineitem"].columns, "l_month"),
+    types=(*plans.SPECS["lineitem"].types, parse_type("timestamp")), partition_by="l_month",
 )
 
 
@@ -68,7 +68,7 @@ def drain(df: DataFrame) -> None:
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change stream: lines repeated, each copy of a line in a batch of its own."""
     lines = plans.load(spark, sf_dir, "lineitem")
-    lines = lines.withColumn("l_year", F.date_trunc("year", "l_shipdate"))
+    lines = lines.withColumn("l_month", F.date_trunc("month", "l_shipdate"))
     batch = F.pmod(F.hash(*SPEC.pks) + F.col("copy") * 3, F.lit(BATCHES))
     return replay(lines, COPIES, "copy").withColumn("batch_no", batch).drop("copy")
 

@@ -157,7 +157,7 @@ def registered() -> dict[str, str]:
                 partition by o_custkey order by (o_orderstatus = 'O') desc, o_orderdate desc, o_orderkey desc) = 1
         """,
         "merge_lineitem": f"""
-            select {_L}, cast(date_trunc('year', l_shipdate) as date) as pt_date from lineitem
+            select {_L}, cast(date_trunc('month', l_shipdate) as date) as pt_date from lineitem
             qualify row_number() over (
                 partition by l_orderkey, l_linenumber order by (l_returnflag = 'R') desc, {_L_ORDER}) = 1
         """,

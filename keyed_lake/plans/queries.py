@@ -303,7 +303,7 @@ def merge_lineitem(spark, sf_dir):
     spec = SPECS["lineitem"]
     table = _table(spark, replace(spec, name="lineitem_month"), "merge-lineitem")
     rows = load(spark, sf_dir, "lineitem").withColumn(
-        PARTITION_COLUMN, F.trunc(F.col("l_shipdate").cast("date"), "year")
+        PARTITION_COLUMN, F.trunc(F.col("l_shipdate").cast("date"), "month")
     )
     returned = F.col("l_returnflag") == "R"
     table.merge(rows.where(~returned), scope="global")

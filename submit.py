@@ -36,15 +36,20 @@ def arguments() -> argparse.Namespace:
 
     ingest = job("ingest", "CSV folders to logs", "specs", "csv", "logs", "checkpoints")
     ingest.add_argument("--recreate", action="store_true", help="drop the logs first")
+    ingest.add_argument("--csv-option", action="append", default=[], metavar="NAME=VALUE", help="a Spark CSV option")
     stream_options(ingest)
     apply = job("apply", "logs to tables", "specs", "logs", "tables", "checkpoints")
     apply.add_argument("--scope", choices=["batch", "partition", "global"], default="batch")
     apply.add_argument("--start", choices=["latest", "earliest"], default="latest")
+    apply.add_argument("--on-conflict", choices=["last_batch", "newest"], default="last_batch")
+    apply.add_argument("--compacted", help="root of compacted logs, brought up to date first and applied instead")
     stream_options(apply)
     rekey = job("rekey", "log to log", "specs", "table", "source", "target", "checkpoints", "key", "value")
     rekey.add_argument("--dedup", action="store_true")
+    rekey.add_argument("--servers", help="Kafka servers; source and target are topics then")
+    rekey.add_argument("--quarantine", help="folder of records that can't be decoded")
     stream_options(rekey)
-    job("compact", "write the last record per key to a new log", "source", "target")
+    job("compact", "append the last record per key of what is new to another log", "source", "target")
     count = job("count", "rows of a table", "specs", "table", "path")
     count.add_argument("--expect", type=int, help="wait until the table has this many rows")
     tail = job("tail", "newest records of a log")
@@ -63,17 +68,25 @@ def main() -> None:
     spark = SparkSession.builder.getOrCreate()
     specs = load_specs(spark, a.specs) if "specs" in a else {}
     if a.job == "ingest":
-        options = {"recreate": a.recreate, "mode": a.mode, "available_now": a.once}
+        csv_options = dict(o.split("=", 1) for o in a.csv_option)
+        options = {"recreate": a.recreate, "mode": a.mode, "available_now": a.once, "csv_options": csv_options}
         await_all(spark, ingest_all(spark, specs, a.csv, a.logs, a.checkpoints, **options))
     elif a.job == "apply":
-        options = {"scope": a.scope, "start": a.start, "mode": a.mode, "available_now": a.once}
+        options = {
+            "scope": a.scope, "start": a.start, "mode": a.mode, "available_now": a.once, "on_conflict": a.on_conflict,
+            "compacted_root": a.compacted,
+        }
         await_all(spark, apply_all(spark, specs, a.logs, a.tables, a.checkpoints, **options))
     elif a.job == "rekey":
         spec = specs[a.table]
-        target = ParquetLog(spark, a.target).create(a.target.rstrip("/").rsplit("/", 1)[-1], spec.partitions)
+        if a.servers:
+            source, target = KafkaLog(spark, a.servers, a.source), KafkaLog(spark, a.servers, a.target)
+        else:
+            source = ParquetLog(spark, a.source)
+            target = ParquetLog(spark, a.target).create(a.target.rstrip("/").rsplit("/", 1)[-1], spec.partitions)
         query = rekey_log(
-            spark, spec, ParquetLog(spark, a.source), target, f"{a.checkpoints.rstrip('/')}/rekey-{a.table}",
-            a.key, a.value, dedup=a.dedup, mode=a.mode, available_now=a.once,
+            spark, spec, source, target, f"{a.checkpoints.rstrip('/')}/rekey-{a.table}",
+            a.key, a.value, dedup=a.dedup, mode=a.mode, available_now=a.once, quarantine=a.quarantine,
         )
         await_all(spark, [query])
     elif a.job == "compact":

@@ -24,10 +24,12 @@ def test_jobs(spark, folder, monkeypatch, capsys):
         return capsys.readouterr().out
 
     specs, checkpoints = ["--specs", f"{folder}/spec.xml"], ["--checkpoints", f"{folder}/cp"]
-    run("ingest", *specs, *checkpoints, "--csv", f"{folder}/csv", "--logs", f"{folder}/logs", "--once")
+    run(
+        "ingest", *specs, *checkpoints, "--csv", f"{folder}/csv", "--logs", f"{folder}/logs", "--once",
+        "--csv-option", "escape=\"")
     run(
         "apply", *specs, *checkpoints, "--logs", f"{folder}/logs", "--tables", f"{folder}/tables", "--once",
-        "--start", "earliest",
+        "--start", "earliest", "--on-conflict", "newest", "--compacted", f"{folder}/compacted",
     )
     table = ["--table", "a", "--path", f"{folder}/tables/a"]
     assert "2 rows" in run("count", *specs, *table)
