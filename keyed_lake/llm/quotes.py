@@ -105,16 +105,21 @@ def reply_order(df: DataFrame, conversation: str, turn: str, role: str, text: st
         ]
     )
     parsed = map_arrow(source, _parsed(schema), schema).withColumn("row", F.monotonically_increasing_id())
-    # messages are known by their place in the conversation: dense, and the same for equal rows never
+    stored = written(parsed, "messages")
+    # messages are known by their place in the conversation; their texts stay behind until the end
     order = [F.col("turn"), F.col("tie"), F.col("row")]
-    messages = written(position(written(parsed, "messages"), ["conv_id"], order, "at"), "placed-messages")
+    light = position(stored.select("conv_id", "turn", "tie", "row"), ["conv_id"], order, "at")
+    messages = written(light.drop("tie"), "placed-messages")
 
     # every quoted passage looks for the latest earlier message that holds it
-    own = messages.select("conv_id", "at", F.explode("own").alias("hash"), F.lit(None).cast("int").alias("level"))
-    asked = messages.select("conv_id", "at", F.explode("quoted").alias("q"))
-    asked = asked.select("conv_id", "at", F.col("q.hash").alias("hash"), F.col("q.level").alias("level"))
+    places = messages.select("row", "conv_id", "at")
+    asked = stored.where(F.size("quoted") > 0).select("row", F.explode("quoted").alias("q"))
+    asked = asked.join(places, "row").select("conv_id", "at", F.col("q.hash").alias("hash"), F.col("q.level").alias("level"))
+    asked = written(asked, "quoted-passages")
     wanted = written(asked.select(F.col("hash").alias("h")).distinct(), "quoted-hashes")
-    own = own.join(wanted, F.col("hash") == F.col("h"), "left_semi")
+    own = stored.select("row", F.explode("own").alias("hash"))
+    own = own.join(wanted, F.col("hash") == F.col("h"), "left_semi").join(places, "row")
+    own = own.select("conv_id", "at", "hash", F.lit(None).cast("int").alias("level"))
     both = own.unionByName(asked).withColumn("source", F.when(F.col("level").isNull(), F.col("at")))
     # at one place the question comes first, so that no message answers itself
     found = largest_before(both, ["conv_id", "hash"], [F.col("at"), F.col("level").asc_nulls_last()], "source", "origin")
@@ -147,7 +152,8 @@ def reply_order(df: DataFrame, conversation: str, turn: str, role: str, text: st
     placed = placed.withColumn("nesting", F.size(way)).withColumn("path", F.concat(way, F.array(here)))
     numbered = position(placed.drop("way"), ["conv_id"], [F.col("path")], "position")
     turns = messages.select("conv_id", F.col("at").alias("parent"), F.col("turn").alias("parent_turn"))
-    out = _join(numbered, turns, ["conv_id", "parent"])
+    out = _join(numbered, turns, ["conv_id", "parent"]).select("row", "n_linked", "parent_turn", "nesting", "position")
+    out = stored.join(out, "row")
     return out.select(
         "conv_id", "turn", "role", "text", F.size("quoted").cast("long").alias("n_quoted"),
         F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"), "parent_turn", "nesting", "position",
