@@ -176,10 +176,15 @@ def train(
     """A model of the rows whose language isn't null. Only texts with a letter teach anything."""
     rows = labelled.select(col(lang).cast("string").alias("lang"), col(text).cast("string").alias("text"), col(key).alias("key"))
     rows = rows.where("lang is not null and text rlike '\\\\p{L}'").withColumn("mix", F.xxhash64(F.col("key").cast("string"), "text"))
-    # the rows are chosen by their hashes; only the chosen texts leave the scan
+    # rows are chosen by their hashes: about twice as many as wanted by a threshold, then the smallest; only the chosen
+    # texts leave the scan
+    hashes = rows.select("lang", "mix")
+    sizes = written(hashes.groupBy("lang").agg(F.count("*").alias("size")), "language-sizes")  # a row a language
+    share = F.lit(2.0 * train_rows) / F.col("size")
+    likely = hashes.join(sizes, "lang").where(F.pmod("mix", F.lit(1 << 30)) < share * (1 << 30))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("mix"))
-    hashes = rows.select("lang", "mix").groupBy("lang", "mix").agg(F.count("*").alias("copies"))
-    ids = hashes.withColumn("place", first).where(F.col("place") <= train_rows).select("lang", "mix")
+    ids = likely.select("lang", "mix").distinct().withColumn("place", first).where(F.col("place") <= train_rows)
+    ids = ids.select("lang", "mix")
     sample = rows.join(F.broadcast(written(ids, "language-ids")), ["lang", "mix"])  # train_rows a language at most
     sample = sample.groupBy("lang", "mix").agg(F.first("text").alias("text")).select("lang", "text")
     schema = plus(sample.select("lang").schema, ("k", "int"), ("gram", "long"), ("n", "long"))
