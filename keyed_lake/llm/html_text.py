@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import col, map_arrow, plus
+from .common import col, fresh, map_arrow, plus
 
 SHARE = 0.8
 DEVIATIONS = 0.5
@@ -58,7 +58,6 @@ TOKEN = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-SPLIT = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：¿¡]")
 NAMED = ("class", "id", "role", "aria-hidden", "style", "hidden")
 
@@ -226,8 +225,8 @@ def main_text(page: str | None) -> str:
 
 
 def extract(df: DataFrame, page: str, text_name: str = "text", size_name: str = "n_chars") -> DataFrame:
-    """All columns and the main text with its number of code points."""
-    schema = plus(df.schema, (text_name, "string"), (size_name, "long"))
+    """All columns and the main text with its number of code points; underscores go in front of taken names."""
+    schema = plus(df.schema, (fresh(text_name, df.columns), "string"), (fresh(size_name, df.columns), "long"))
     at = df.columns.index(page)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

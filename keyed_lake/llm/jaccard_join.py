@@ -328,13 +328,13 @@ def drop_similar(df: DataFrame, key: str, text: str, rule: Similarity = Similari
 
     A Bloom filter of the documents to go lets most others pass without a shuffle.
     """
-    gone = grouped(df, key, text, rule).where("not first").select(F.col("doc_id").alias("_k"), F.col("text_hash").alias("_h"))
-    gone = written(gone.distinct().withColumn("_both", F.xxhash64("_k", "_h")), "similar-ids")
+    k, h, both = (fresh(n, df.columns) for n in ("_k", "_h", "_both"))
+    gone = grouped(df, key, text, rule).where("not first").select(F.col("doc_id").alias(k), F.col("text_hash").alias(h))
+    gone = written(gone.distinct().withColumn(both, F.xxhash64(k, h)), "similar-ids")
     hashed, maybe = fresh("text_hash", df.columns), fresh("maybe", df.columns)
     rows = with_hash(df, text, hashed)
-    both = F.xxhash64(col(key), F.col(hashed))
-    rows = build(gone, "_both", gone.count()).flag(rows, maybe, both)
+    rows = build(gone, both, gone.count()).flag(rows, maybe, F.xxhash64(col(key), F.col(hashed)))
     columns = [col(c) for c in df.columns]
-    same = (F.col(hashed) == F.col("_h")) & col(key).eqNullSafe(F.col("_k"))
+    same = (F.col(hashed) == F.col(h)) & col(key).eqNullSafe(F.col(k))
     kept = rows.where(maybe).join(gone, same, "left_anti")
     return rows.where(~F.col(maybe)).select(*columns).unionByName(kept.select(*columns))

@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col, fold, map_arrow, plus, written
+from .common import col, fold, fresh, map_arrow, plus, written
 
 ORDER = 4
 TRAIN_ROWS = 600
@@ -205,7 +205,11 @@ def train(
 
 
 def predict(df: DataFrame, text: str, model: Model, lang_name: str = "lang_pred", score_name: str = "score") -> DataFrame:
-    """All columns and the two predicted ones. The score is the winner's share if all languages are as likely before."""
+    """All columns and the two predicted ones, with underscores in front if their names are taken.
+
+    The score is the winner's share if all languages are as likely before.
+    """
+    lang_name, score_name = fresh(lang_name, df.columns), fresh(score_name, df.columns)
     if not model.languages:
         return df.withColumns({lang_name: F.lit(UNKNOWN), score_name: F.lit(0.0)})
     schema = plus(df.schema, (lang_name, "string"), (score_name, "double"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col, map_arrow, plus, written
+from .common import col, fresh, map_arrow, plus, written
 
 SHARDS = 40
 OVERHEAD = 16
@@ -127,6 +127,7 @@ def _slots(rows: DataFrame) -> DataFrame:
 
 def write_shards(df: DataFrame, key: str, text: str, path: str, shards: int = SHARDS) -> None:
     """The rows with all their columns as Parquet, a folder `shard=N` each; keys must be unique and not null."""
-    place = assign_shards(df, key, text, shards).select(F.col("doc_id").alias("_key"), F.col("shard").alias("shard"))
-    out = df.drop("shard").join(place, col(key) == F.col("_key")).drop("_key")
+    name = fresh("_key", df.columns)
+    place = assign_shards(df, key, text, shards).select(F.col("doc_id").alias(name), "shard")
+    out = df.drop("shard").join(place, col(key) == F.col(name)).drop(name)
     out.write.partitionBy("shard").parquet(path)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, fold, map_arrow, plus, written
+from .common import col, fold, fresh, map_arrow, plus, written
 
 MAX_TOXIC, MAX_CLEAN = 8_000, 24_000
 MAX_TERMS, MAX_CANDIDATES = 2_000, 40_000
@@ -319,8 +319,8 @@ def train(
 
 
 def score(df: DataFrame, text: str, lexicon: Lexicon, score_name: str = "score") -> DataFrame:
-    """All columns and the score."""
-    schema = plus(df.schema, (score_name, "double"))
+    """All columns and the score, with underscores in front if its name is taken."""
+    schema = plus(df.schema, (fresh(score_name, df.columns), "double"))
     at = df.columns.index(text)
     shared = df.sparkSession.sparkContext.broadcast(lexicon)  # MAX_TERMS at most
 

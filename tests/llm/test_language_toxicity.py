@@ -73,8 +73,8 @@ def test_predictions(spark, labelled):
     model = language.train(labelled, "doc_id", "text", "lang")
     docs = documents(spark, [*ODD, *sentences("en", 20, 1), *sentences("de", 20, 2)])
     rows = language.predict(docs, "text", model)
-    assert rows.columns == [*docs.columns, "lang_pred", "score"]
-    found = {r.doc_id: (r.lang_pred, r.score) for r in rows.collect()}
+    assert rows.columns == [*docs.columns, "_lang_pred", "_score"]
+    found = {r.doc_id: (r._lang_pred, r._score) for r in rows.collect()}
     assert [found[i] for i in (0, 1, 6)] == [("und", 0.0)] * 3
     assert [found[i][0] for i in range(len(ODD), len(ODD) + 40)] == ["en"] * 20 + ["de"] * 20
     assert all(0 <= s <= 1 for _, s in found.values())
@@ -82,7 +82,7 @@ def test_predictions(spark, labelled):
 
 def test_without_labels_all_is_unknown(spark, labelled):
     model = language.train(labelled.where("false"), "doc_id", "text", "lang")
-    assert {r.lang_pred for r in language.predict(documents(spark, ODD), "text", model).collect()} == {"und"}
+    assert {r._lang_pred for r in language.predict(documents(spark, ODD), "text", model).collect()} == {"und"}
     assert language.predict(documents(spark, ODD).where("false"), "text", model).count() == 0
 
 
