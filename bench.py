@@ -55,9 +55,11 @@ def session() -> SparkSession:
     return spark
 
 
-def timed(run) -> float:
+def timed(run, keep: list | None = None) -> float:
     start = time.perf_counter()
-    run()
+    result = run()
+    if keep is not None:
+        keep.append(result)
     return round(time.perf_counter() - start, 3)
 
 
@@ -109,8 +111,11 @@ def main() -> None:
     changes(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism).write.partitionBy("batch_no").csv(raw)
     batches = [spark.read.schema(SPEC.text_schema).csv(f"{raw}/batch_no={i}") for i in range(BATCHES)]
     rows = spark.read.schema(SPEC.text_schema).csv(raw).count()
-    seconds["plain_merge"] = timed(lambda: plain_merge(spark, batches))
-    seconds["log_pipeline"] = timed(lambda: log_pipeline(spark, batches))
+    tables: list[ParquetTable] = []
+    seconds["plain_merge"] = timed(lambda: plain_merge(spark, batches), tables)
+    seconds["log_pipeline"] = timed(lambda: log_pipeline(spark, batches), tables)
+    one, other = (t.read() for t in tables)
+    equal = one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
     result = {
         "metric": "total_seconds",
         "value": round(sum(seconds.values()), 3),
@@ -120,6 +125,7 @@ def main() -> None:
         "merge_rows": rows,
         "plain_rows_per_sec": round(rows / seconds["plain_merge"]),
         "pipeline_rows_per_sec": round(rows / seconds["log_pipeline"]),
+        "tables_equal": equal,
         "pipeline_speedup": round(seconds["plain_merge"] / seconds["log_pipeline"], 2),
     }
     spark.stop()
