@@ -66,11 +66,13 @@ def apply_updates(
     condition: Column | None = None,
     newest_by: Sequence[str] = (),
     small: bool = False,
+    unless: Column | None = None,
 ) -> DataFrame:
     """All rows of `target`, those with a match replaced by the matching update.
 
     `condition` (over `t`, the target) must hold for a match too. With `newest_by` the target row stays if it is
-    newer in these columns. `updates` must hold each key once.
+    newer in these columns, and so it does where `unless` (over `t` and `u`, the update) holds. `updates` must hold each
+    key once.
     """
     marked = _sized(updates.withColumn("_new", F.lit(True)), small)
     on = _equal("t", "u", keys)
@@ -81,6 +83,8 @@ def apply_updates(
         # in a struct comparison NULL is the least value, the same as NULLs last in descending order
         order = lambda side: F.struct(*[F.col(f"{side}.{c}") for c in newest_by])
         taken = taken & (order("u") >= order("t"))
+    if unless is not None:
+        taken = taken & ~F.coalesce(unless, F.lit(False))
     return (
         target.alias("t")
         .join(marked.alias("u"), on, "left_outer")

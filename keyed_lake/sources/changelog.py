@@ -105,13 +105,13 @@ class ParquetLog:
         """Create the log if it is absent; `recreate=True` drops all records first."""
         if not isinstance(recreate, bool):
             raise TypeError(f"recreate must be True or False, not {recreate!r}")
-        first = 0
+        first, uid = 0, uuid.uuid4().hex
         if recreate and self.exists():
-            first = self.next_number()
+            first, uid = self.next_number(), self.settings.get("uid", uid)
             self.files.delete(self.path)
         if not self.exists():
             self.files.mkdirs(self.data)
-            settings = {"topic": topic, "partitions": partitions, "compact": compact, "first": first}
+            settings = {"topic": topic, "partitions": partitions, "compact": compact, "first": first, "uid": uid}
             self.files.publish_text(f"{self.path}/settings.json", json.dumps(settings))
         self._settings = None
         return self
@@ -140,6 +140,10 @@ class ParquetLog:
     def next_offset(self) -> int:
         return self.next_number() * _STEP
 
+    def uid(self) -> str:
+        """Names the log whose offsets can be compared; it stays when the log is created anew."""
+        return self.settings.get("uid", self.path)
+
     def recorded_rows(self) -> int:
         """The number of records, as counted when they were appended; no file is opened."""
         return sum(int(b.split("-", 3)[1]) for b in self.batches())

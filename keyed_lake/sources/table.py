@@ -41,6 +41,7 @@ from keyed_lake.storage import Files
 VERSION = "_version"  # no column of a spec can have this name
 OFFSET = "_log_offset"  # kept beside the columns of the spec, so that no older record replaces a newer one
 OFFSET_TYPE = T.DecimalType(38, 0)
+SOURCE = "_log_source"  # the log that the offset belongs to; offsets of different logs aren't compared
 BUCKET = "_bucket"
 NULL_DATE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder name Spark gives to a NULL partition
 WHOLE = ""  # the only part of an unpartitioned table
@@ -132,8 +133,8 @@ class ParquetTable:
         return self._read_parts(snapshot, [n for n in snapshot.parts if n.split("/")[0] in wanted])
 
     def _read_parts(self, snapshot: Snapshot, names: Iterable[str] | None = None, offsets: bool = False) -> DataFrame:
-        columns = self.spec.table_columns + ([OFFSET] if offsets else [])
-        more = [T.StructField(OFFSET, OFFSET_TYPE), *[T.StructField(BUCKET, T.IntegerType())] * (snapshot.buckets > 1)]
+        columns = self.spec.table_columns + ([OFFSET, SOURCE] if offsets else [])
+        more = [T.StructField(OFFSET, OFFSET_TYPE), T.StructField(SOURCE, T.StringType()), *[T.StructField(BUCKET, T.IntegerType())] * (snapshot.buckets > 1)]
         schema = T.StructType([*self.spec.table_schema.fields, *more])
         folders = [f"{self.data}/{f}" for f in snapshot.folders(names)]
         return self.spark.read.schema(schema).option("basePath", self.data).parquet(*folders).select(*columns)
@@ -156,8 +157,9 @@ class ParquetTable:
         `partition` those of the same date, `global` all. `on_conflict="newest"` keeps a target row that is newer in
         the orderBy columns. `ties` are extra columns of the batch that order equal rows, such as the log offset.
 
-        Rows with a log offset (`_log_offset`) keep it in the table. A later batch wins, but a row never replaces one of
-        a greater offset, in whatever order a log's files were read.
+        Rows with a log offset (`_log_offset`) and the name of its log (`_log_source`) keep them in the table. A later
+        batch wins, but a row never replaces one of a greater offset of the same log, in whatever order its files were
+        read.
 
         The batch is read more than once; persist it first.
         """
@@ -173,9 +175,10 @@ class ParquetTable:
             return Merged(before.version, stats, skipped=True)
 
         keys = match_keys(self.spec.pks, scope)
-        offset = (F.col(OFFSET) if OFFSET in batch.columns else F.lit(None)).cast(OFFSET_TYPE).alias(OFFSET)
-        updates = keep_latest(batch, keys, self.spec.order_by, ties).select(*self.spec.table_columns, offset)
-        ordered = OFFSET in batch.columns
+        known = lambda name, kind: (F.col(name) if name in batch.columns else F.lit(None)).cast(kind).alias(name)
+        places = [known(OFFSET, OFFSET_TYPE), known(SOURCE, T.StringType())]
+        updates = keep_latest(batch, keys, self.spec.order_by, ties).select(*self.spec.table_columns, *places)
+        older = (F.col(f"u.{SOURCE}") == F.col(f"t.{SOURCE}")) & (F.col(f"u.{OFFSET}") < F.col(f"t.{OFFSET}"))
         # the raw batch is at least as large as its latest rows
         small = stats.bytes <= self._broadcast_limit()
 
@@ -211,7 +214,7 @@ class ParquetTable:
                     in_scope = F.col(f"t.{PARTITION_COLUMN}").isNotNull() if scope == "batch" and partitioned else None
                     changed = apply_updates(
                         self._read_parts(before, sorted(rewrite), offsets=True), updates, keys, in_scope,
-                        [*(self.spec.order_by if on_conflict == "newest" else ()), *([OFFSET] if ordered else [])], small,
+                        self.spec.order_by if on_conflict == "newest" else (), small, unless=older,
                     )
                     if before.buckets > 1:
                         changed, fresh = (x.withColumn(BUCKET, self._bucket(before.buckets)) for x in (changed, fresh))

@@ -22,7 +22,7 @@ from keyed_lake.sources.changelog import ParquetLog, rows_per_file
 from keyed_lake.sources.csv import CORRUPT, csv_stream, has_csv_folder
 from keyed_lake.sources.delta import DeltaTable
 from keyed_lake.sources.kafka import KafkaLog
-from keyed_lake.sources.table import ParquetTable
+from keyed_lake.sources.table import SOURCE, ParquetTable
 from keyed_lake.spec import TableSpec
 from keyed_lake.storage import Files
 from keyed_lake.streaming.audit import append_audit, now
@@ -175,6 +175,8 @@ def apply_log(
 
     records = log.stream(start, checkpoint, spec.max_offsets_per_trigger)
     rows = decode(records, spec, mode)
+    if isinstance(log, ParquetLog):  # its files may be read out of order; the offsets tell
+        rows = rows.withColumn(SOURCE, F.lit(log.uid()))
     return _start(rows, handle, checkpoint, f"apply {spec.name}", spec.processing_time, available_now)
 
 

@@ -17,9 +17,11 @@ def records(spark, *pairs):
 
 def test_create_is_idempotent_and_recreate_drops(spark, log):
     log.append(records(spark, ("a", "1")), "w", 0)
-    assert log.create("other", 9).settings == {"topic": "topic", "partitions": 4, "compact": True, "first": 0}
+    settings = dict(log.create("other", 9).settings)
+    uid = settings.pop("uid")
+    assert settings == {"topic": "topic", "partitions": 4, "compact": True, "first": 0}
     assert log.scan().count() == 1
-    assert log.create("other", 9, recreate=True).settings["topic"] == "other"
+    assert log.create("other", 9, recreate=True).settings["topic"] == "other" and log.uid() == uid
     assert log.scan().count() == 0 and log.scan().schema == LOG_SCHEMA
     with pytest.raises(TypeError):
         log.create("other", recreate="false")

@@ -342,6 +342,18 @@ def test_an_older_record_read_later_does_not_win(spark, folder):
     assert rows_of(table.read(), "place") == [("second",)]
 
 
+def test_offsets_of_another_log_are_not_compared(spark, folder):
+    row = lambda v: spark.createDataFrame([("1", f'["1","{INSTALLED}","{INSTALLED}","{v}","5","2025-11-02"]')], "key string, value string")
+    old = ParquetLog(spark, f"{folder}/old").create("sensors")
+    for i in range(3):
+        old.append(row("old"), "w", i)
+    apply(spark, folder, old)
+    new = ParquetLog(spark, f"{folder}/new").create("sensors")
+    new.append(row("new"), "w", 0)
+    shutil.move(f"{folder}/cp-out", f"{folder}/cp-of-old")
+    assert rows_of(apply(spark, folder, new).read(), "place") == [("new",)]
+
+
 def test_bad_lines_are_put_aside_before_dedup(spark, folder):
     os.makedirs(f"{folder}/csv/sensors")
     good = f"7,{INSTALLED},2025-11-02 10:00:00,roof,1.5"
