@@ -2,9 +2,12 @@
 
 A message's lines carry quote levels: `>` marks in front of a line, as in `> > text`. Consecutive lines of one level are
 a passage. Quoted passages are normalised (marks, line breaks and runs of blanks become one blank, letters lower case)
-and hashed, as are every message's own passages: all of it, and each paragraph. Within a conversation a quoted passage is
-joined to the latest earlier message that holds it. A message answers the message that its outermost linked passage
-comes from, the latest of several; without a linked passage it answers the message before it.
+and hashed. A message holds a passage if a run of its own consecutive lines, normalised alike, is the passage: one line,
+some lines of a paragraph, several paragraphs or all of it, however the quotation is wrapped. Hashes of a message's
+beginnings up to every line give the hash of any run; only runs of a length that is quoted in the conversation are
+looked up. Within a conversation a quoted passage is joined to the latest earlier message that holds it. A message
+answers the message that its outermost linked passage comes from, the latest of several; without a linked passage it
+answers the message before it. A passage that is a part of a line, or that leaves out lines between, is not linked.
 
 So the messages of a conversation form a tree. They are numbered along it: a message is followed by its answers' trees,
 the uninterrupted course first, then the branches that quotations open, the oldest first. Every message comes after the
@@ -18,10 +21,11 @@ conversation, or the copies of a frequent message, in one task. An empty table g
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +38,9 @@ MARKS = re.compile(r"^[ \t]*((?:>[ \t]?)+)")
 ATTRIBUTION = re.compile(r"^.{0,200}\b(?:wrote|schrieb|écrit|a écrit|escribió)\s*:\s*$", re.I)
 BLANKS = re.compile(r"\s+")
 SHORTEST = 3  # letters and digits that a passage needs to be linked
+#: A passage's bytes are the digits of a number; the hash is its remainder, mixed with the number of bytes.
+PRIME, SIZE_FACTOR = 7259244897466041101, 0x9E3779B97F4A7C15
+BLOCK = 64  # messages of a conversation that are joined to its quoted lengths at a time
 
 
 def level(line: str) -> tuple[int, str]:
@@ -41,12 +48,58 @@ def level(line: str) -> tuple[int, str]:
     return (m[1].count(">"), line[m.end() :]) if m else (0, line)
 
 
+def normalised(text: str) -> bytes:
+    return BLANKS.sub(" ", text).strip().lower().encode("utf-8", "surrogatepass")
+
+
+@lru_cache(100_000)
+def shift(size: int) -> int:
+    return pow(256, size, PRIME)
+
+
 def passage_hash(text: str) -> int | None:
-    """64 bits of a normalised passage; None for one with hardly a letter."""
-    plain = BLANKS.sub(" ", text).strip().lower()
-    if sum(c.isalnum() for c in plain) < SHORTEST:
+    """63 bits of a normalised passage; None for one with hardly a letter."""
+    plain = normalised(text)
+    if sum(c.isalnum() for c in plain.decode("utf-8", "surrogatepass")) < SHORTEST:
         return None
-    return int.from_bytes(hashlib.blake2b(plain.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+    return (int.from_bytes(plain, "big") + len(plain) * SIZE_FACTOR) % PRIME
+
+
+def line_ends(own: str | None) -> tuple[list[int], list[int]]:
+    """Where the lines of a normalised text end, blank ones left out, and the remainders of the text up to there."""
+    ends, values, end, value = [], [], -1, 0
+    for line in (own or "").split("\n"):
+        plain = normalised(line)
+        if plain:
+            if ends:
+                value = value * 256 + 32
+            value = (value * shift(len(plain)) + int.from_bytes(plain, "big")) % PRIME
+            end += len(plain) + 1
+            ends.append(end)
+            values.append(value)
+    return ends, values
+
+
+def run_hashes(ends: np.ndarray, values: list[int], sizes: np.ndarray) -> set[int]:
+    """What `passage_hash` gives for every run of lines that has one of the sizes (sorted)."""
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    found: set[int] = set()
+    few = len(sizes) < len(ends)
+    rows = max(1, 1_000_000 // max(1, min(len(sizes), len(ends))))  # lines at a time, to bound memory
+    for at in range(0, len(starts), rows):
+        part = starts[at : at + rows, None]
+        if few:
+            wanted = part + sizes
+            last = np.searchsorted(ends, wanted)
+            first, k = np.nonzero(ends[np.minimum(last, len(ends) - 1)] == wanted)
+            last = last[first, k]
+        else:
+            first, last = np.nonzero(np.isin(ends - part, sizes))
+        for i, j in zip((first + at).tolist(), last.tolist()):
+            size = int(ends[j] - starts[i])
+            before = (values[i - 1] * 256 + 32) * shift(size) if i else 0
+            found.add((values[j] - before + size * SIZE_FACTOR) % PRIME)
+    return found
 
 
 def cut_blank_lines(lines: list[str]) -> None:
@@ -54,10 +107,8 @@ def cut_blank_lines(lines: list[str]) -> None:
         lines.pop()
 
 
-def parse(text: str | None) -> tuple[str | None, list[tuple[int, int]], list[int]]:
-    """A message without quotations; its quoted passages as (level, hash); the hashes of its own passages."""
-    if text is None:
-        return None, [], []
+def split_quotes(text: str) -> tuple[str, list[tuple[int, str]]]:
+    """A message without quotations; its quoted passages as (level, text)."""
     kept: list[str] = []
     quoted: list[tuple[int, list[str]]] = []
     last = 0
@@ -76,23 +127,56 @@ def parse(text: str | None) -> tuple[str | None, list[tuple[int, int]], list[int
                 cut_blank_lines(kept)
         last = k
     own = "\n".join(kept).strip() if quoted else text
-    passages = [(k, h) for k, lines in quoted if (h := passage_hash("\n".join(lines))) is not None]
+    return own, [(k, "\n".join(lines)) for k, lines in quoted]
+
+
+def parse(text: str | None) -> tuple[str | None, list[tuple[int, int]], list[int]]:
+    """A message without quotations; its quoted passages as (level, hash); the hashes of it, its paragraphs and lines."""
+    if text is None:
+        return None, [], []
+    own, quoted = split_quotes(text)
+    passages = [(k, h) for k, q in quoted if (h := passage_hash(q)) is not None]
     parts = {own, *re.split(r"\n\s*\n", own), *own.split("\n")}
     return own, passages, sorted({h for p in parts if (h := passage_hash(p)) is not None})
 
 
+PASSAGE = T.StructType([T.StructField("level", T.IntegerType()), T.StructField("hash", T.LongType()), T.StructField("size", T.LongType())])
+
+
 def _parsed(schema: T.StructType):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.struct([("level", pa.int32()), ("hash", pa.int64()), ("size", pa.int64())])
         for batch in batches:
-            found = [parse(t) for t in batch.column("text").to_pylist()]
+            found = [(None, []) if t is None else split_quotes(t) for t in batch.column("text").to_pylist()]
             columns = [batch.column(k) for k in range(batch.num_columns - 1)]
-            quoted = pa.array([[{"level": k, "hash": h} for k, h in q] for _, q, _ in found], pa.list_(pa.struct([("level", pa.int32()), ("hash", pa.int64())])))
-            own = pa.array([o for _, _, o in found], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([t for t, _, _ in found], pa.string()), quoted, own], schema.names)
+            quoted = [
+                [{"level": k, "hash": h, "size": len(normalised(q))} for k, q in passages if (h := passage_hash(q)) is not None]
+                for _, passages in found
+            ]
+            lines = [line_ends(own) for own, _ in found]
+            more = [
+                pa.array([own for own, _ in found], pa.string()), pa.array(quoted, pa.list_(kind)),
+                pa.array([e for e, _ in lines], pa.list_(pa.int64())), pa.array([v for _, v in lines], pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays([*columns, *more], schema.names)
 
     return rows
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """row, hash of the runs of lines. Columns: row, ends, values, sizes."""
+    for batch in batches:
+        rows, hashes = [], []
+        for row, ends, values, sizes in zip(batch.column(0).to_pylist(), *batch.columns[1:]):
+            new = run_hashes(np.asarray(ends.values), values.as_py(), np.asarray(sizes.values))
+            rows += [row] * len(new)
+            hashes += new
+            if len(rows) > 100_000:
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(hashes, pa.int64())], ["row", "hash"])
+                rows, hashes = [], []
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(hashes, pa.int64())], ["row", "hash"])
+
+
 def reply_order(df: DataFrame, conversation: str, turn: str, role: str, text: str) -> DataFrame:
     """conv_id, turn, role, text, n_quoted, n_linked, parent_turn, nesting, position of every message."""
     source = df.select(
@@ -100,8 +184,8 @@ def reply_order(df: DataFrame, conversation: str, turn: str, role: str, text: st
     ).withColumn("tie", F.xxhash64("role", "text")).select("conv_id", "turn", "role", "tie", "text")
     schema = T.StructType(
         [
-            *source.schema.fields, T.StructField("quoted", T.ArrayType(T.StructType([T.StructField("level", T.IntegerType()), T.StructField("hash", T.LongType())]))),
-            T.StructField("own", T.ArrayType(T.LongType())),
+            *source.schema.fields, T.StructField("quoted", T.ArrayType(PASSAGE)),
+            T.StructField("ends", T.ArrayType(T.LongType())), T.StructField("values", T.ArrayType(T.LongType())),
         ]
     )
     parsed = map_arrow(source, _parsed(schema), schema).withColumn("row", F.monotonically_increasing_id())
@@ -114,13 +198,20 @@ def reply_order(df: DataFrame, conversation: str, turn: str, role: str, text: st
     # every quoted passage looks for the latest earlier message that holds it
     places = messages.select("row", "conv_id", "at")
     asked = stored.where(F.size("quoted") > 0).select("row", F.explode("quoted").alias("q"))
-    asked = asked.join(places, "row").select("conv_id", "at", F.col("q.hash").alias("hash"), F.col("q.level").alias("level"))
+    asked = asked.join(places, "row").select("conv_id", "at", F.col("q.hash").alias("hash"), F.col("q.level").alias("level"), F.col("q.size").alias("size"))
     asked = written(asked, "quoted-passages")
     wanted = written(asked.select(F.col("hash").alias("h")).distinct(), "quoted-hashes")
-    own = stored.select("row", F.explode("own").alias("hash"))
+    # the lengths quoted in a conversation, once for every BLOCK of its messages up to the last that quotes
+    sizes = asked.groupBy("conv_id").agg(F.sort_array(F.collect_set("size")).alias("sizes"), F.max("at").alias("end"))
+    blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("end") / BLOCK)))
+    sizes = written(sizes.select("conv_id", "sizes", blocks.alias("block")), "quoted-sizes")
+    near = _join(places.withColumn("block", F.floor(F.col("at") / BLOCK)), sizes.select("conv_id", "block"), ["conv_id", "block"], "inner")
+    lines = stored.where(F.size("ends") > 0).select("row", "ends", "values").join(near, "row")
+    lines = _join(lines, sizes, ["conv_id", "block"], "inner").select("row", "ends", "values", "sizes")
+    own = map_arrow(lines, _runs, "row long, hash long")
     own = own.join(wanted, F.col("hash") == F.col("h"), "left_semi").join(places, "row")
     own = own.select("conv_id", "at", "hash", F.lit(None).cast("int").alias("level"))
-    both = own.unionByName(asked).withColumn("source", F.when(F.col("level").isNull(), F.col("at")))
+    both = own.unionByName(asked.drop("size")).withColumn("source", F.when(F.col("level").isNull(), F.col("at")))
     # at one place the question comes first, so that no message answers itself
     found = largest_before(both, ["conv_id", "hash"], [F.col("at"), F.col("level").asc_nulls_last()], "source", "origin")
     found = found.where("level is not null and origin is not null and origin < at")

@@ -1,8 +1,9 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 from keyed_lake.llm.ordered import largest_before, position
-from keyed_lake.llm.quotes import parse, passage_hash, reply_order
+from keyed_lake.llm.quotes import line_ends, normalised, parse, passage_hash, reply_order, run_hashes, split_quotes
 from pyspark.sql import functions as F
 
 
@@ -86,3 +87,61 @@ def test_ordered_helpers(spark):
         at[g] += 1
         if v is not None:
             most[g] = max(v, most.get(g, v))
+
+
+def text_of(pick):
+    """Paragraphs of one to five lines; some lines are frequent."""
+    line = lambda: pick.choice(["Thanks a lot,", "so far", f"Straße {pick.randint(0, 9)} und  mehr", f"line {pick.randint(0, 10**6)} é"])
+    return "\n\n".join("\n".join(line() for _ in range(pick.randint(1, 5))) for _ in range(pick.randint(1, 4)))
+
+
+def held(own):
+    """Every run of a text's lines, normalised."""
+    lines = [x for x in own.split("\n") if x.strip()]
+    return {normalised("\n".join(lines[i:j])) for i in range(len(lines)) for j in range(i + 1, len(lines) + 1)}
+
+
+def test_run_hashes():
+    pick = random.Random(3)
+    for k in range(60):
+        own = text_of(pick)
+        ends, values = line_ends(own)
+        runs = held(own)
+        sizes = sorted({len(r) for r in runs} | set(range(9_000, 9_000 + k)))
+        for some in (sizes, sizes[:2]):
+            want = {passage_hash(r.decode()) for r in runs if len(r) in some}
+            assert run_hashes(np.array(ends), values, np.array(some)) == want
+
+
+def test_partial_quotes(spark):
+    """Quotes of some lines or paragraphs, wrapped alike or anew, against every run of every earlier message."""
+    pick = random.Random(4)
+    rows, parents, linked = [(9, 0, "a", "one\ntwo\n\nthree\nfour"), (9, 1, "b", "other"), (9, 2, "a", "> two\n> \n> three\n\nyes"),
+                             (9, 3, "a", "> one\n> three"), (9, 4, "b", "> one two\n> three")], {}, {}
+    for c in range(8):
+        owns = []
+        for t in range(pick.choice([3, 12, 150])):
+            text = text_of(pick)
+            if owns and pick.random() < 0.6:
+                lines = owns[pick.randrange(len(owns))].split("\n")
+                a = pick.randrange(len(lines))
+                cut = lines[a : pick.randint(a + 1, len(lines))]
+                if pick.random() < 0.3:
+                    cut = "\n".join(cut).split()
+                text = "\n".join("> " + x for x in cut) + "\n\n" + text
+            owns.append(split_quotes(text)[0])
+            rows.append((c, t, "u", text))
+    owns = {(c, t): held(split_quotes(x)[0]) for c, t, _, x in rows}
+    for c, t, _, x in rows:
+        best, n = t - 1 if t else None, 0
+        for _, q in split_quotes(x)[1]:
+            origin = max((s for s in range(t) if normalised(q) in owns[c, s]), default=None)
+            if passage_hash(q) is not None and origin is not None:
+                best, n = origin, n + 1
+        parents[c, t], linked[c, t] = best, n
+    assert (parents[9, 2], parents[9, 3], parents[9, 4]) == (0, 2, 0)
+    out = reply_order(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), "conv_id", "turn", "role", "text").collect()
+    assert {(r.conv_id, r.turn): r.parent_turn for r in out} == parents
+    assert {(r.conv_id, r.turn): r.n_linked for r in out} == linked
+    assert sum(linked.values()) > 100
+    assert {(r.conv_id, r.turn): r.position for r in out} == walked(parents)
