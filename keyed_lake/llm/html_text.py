@@ -2,7 +2,7 @@
 
 A page becomes a list of text nodes, each with its path of tags from the root. For every path, the text length and the
 punctuation of its nodes are summed and divided by their number. Both ratios, smoothed along the page, are fused by
-multiplication; nodes above a share of the standard deviation are content. The smallest element that holds most of the
+multiplication; nodes above a share of the standard deviation are content. The smallest element that holds all of the
 content is the article, widened to an enclosing `article` or `main`. Its text is taken whole, short headings and list
 items included, but for elements that are never part of an article by their tag, role or class (navigation, adverts,
 forms, comments, ...).
@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame
 
 from .common import col, fresh, map_arrow, plus
 
-SHARE = 0.8
 DEVIATIONS = 0.5
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -65,11 +64,12 @@ NAMED = ("class", "id", "role", "aria-hidden", "style", "hidden")
 class Node:
     """An element with the text nodes below it: their range in page order."""
 
-    __slots__ = ("tag", "parent", "out", "path", "inside")
+    __slots__ = ("tag", "parent", "out", "path", "depth", "inside")
 
     def __init__(self, tag: str, parent: Node | None, out: bool):
         self.tag, self.parent, self.out = tag, parent, out
         self.path = f"{parent.path}/{tag}" if parent else tag
+        self.depth = parent.depth + 1 if parent else 0
         self.inside = tag in ("article", "main") or bool(parent and parent.inside)
 
 
@@ -178,24 +178,18 @@ def smooth(x: np.ndarray) -> np.ndarray:
 
 
 def article(found: list[tuple[str, Node, int]]) -> Node | None:
-    """The smallest element with most of the content, widened from a paragraph to what holds it."""
+    """The smallest element with all of the content, widened from a paragraph to what holds it."""
     chosen = content(found)
     if not chosen:
         return None
-    weight: dict[int, int] = {}
-    nodes: dict[int, Node] = {}
-    depth: dict[int, int] = {}
+    node = found[chosen[0]][1]
     for i in chosen:
-        text, node = found[i][0], found[i][1]
-        while node is not None:
-            weight[id(node)] = weight.get(id(node), 0) + len(text)
-            nodes[id(node)] = node
-            node = node.parent
-    for k, node in nodes.items():
-        depth[k] = node.path.count("/")
-    total = sum(len(found[i][0]) for i in chosen)
-    best = max((k for k in nodes if weight[k] >= SHARE * total), key=lambda k: depth[k])
-    node = nodes[best]
+        other = found[i][1]
+        while other is not node:
+            if other.depth >= node.depth:
+                other = other.parent
+            else:
+                node = node.parent
     outer = node
     while outer is not None and outer.tag not in ("article", "main"):
         outer = outer.parent

@@ -44,3 +44,20 @@ def test_columns(spark):
     assert rows.columns == [*pages.columns, "main", "size"]
     assert sorted((r.doc_id, r.main, r["size"]) for r in rows.collect()) == [(0, LINE, len(LINE)), (1, "", 0), (2, LINE, len(LINE))]
     assert extract_pages(pages.where("false"), "doc_id", "source", "text").count() == 0
+
+
+LONG, SHORT = f"{LINE} {LINE} {LINE} {LINE} {LINE} {LINE}", f"{LINE} It is old, and still."
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"<div id=content><div class=lead>{SHORT}</div><div class=body><p>{LONG}</p></div></div>", f"{SHORT}\n{LONG}"),
+        (f"<div id=content><div class=lead><p>{SHORT}</p></div><h2>Mill</h2><div class=body><p>{LONG}</p></div></div>", f"{SHORT}\nMill\n{LONG}"),
+        (f"<nav>Home</nav><article><p>{LONG}</p></article><article><h2>Two</h2><p>{SHORT}</p></article>", f"{LONG}\nTwo\n{SHORT}"),
+        (f"<body><section><p>{SHORT}</p></section><section><p>{LONG}</p></section><footer>c</footer></body>", f"{SHORT}\n{LONG}"),
+        (f"<main><p>{SHORT}</p></main><div><p>{LONG}</p></div>", f"{SHORT}\n{LONG}"),
+    ],
+)
+def test_all_content_is_kept(page, want):
+    assert main_text(page) == want
