@@ -4,8 +4,11 @@ A page becomes a list of text nodes, each with its path of tags from the root. F
 punctuation of its nodes are summed and divided by their number. Both ratios, smoothed along the page, are fused by
 multiplication; nodes above a share of the standard deviation are content. The smallest element that holds all of the
 content is the article, widened to an enclosing `article` or `main`. Its text is taken whole, short headings and list
-items included, but for elements that are never part of an article by their tag, role or class (navigation, adverts,
-forms, comments, ...).
+items included, but for elements that are never part of an article by their tag (navigation, scripts, ...), hidden ones,
+and those that look like something else by their role or class, or are a form or aside (adverts, comments, ...). Such
+looks are evidence only: an element is kept that holds an `article` or `main` with content, more than half of the
+page's content (beside an `article` or `main`: if it is not comments and has `TEASER` times their text), or, if nothing
+else is left, any of it.
 
 A null or empty page, or one without text, gives an empty text. Unclosed tags end where HTML ends them or with the page.
 Pages are independent of each other: there is no shuffle, and repeated rows are separate results.
@@ -24,6 +27,7 @@ from pyspark.sql import DataFrame
 from .common import col, fresh, map_arrow, plus
 
 DEVIATIONS = 0.5
+TEASER = 4
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
@@ -33,9 +37,10 @@ BLOCK = set(
     "summary table tbody td tfoot th thead tr ul".split()
 )
 NEVER = set(
-    "head nav footer aside form script style textarea title noscript template iframe svg math button select option "
-    "dialog menu object canvas audio video datalist fieldset search xmp noembed noframes".split()
+    "head nav footer script style textarea title noscript template iframe svg math button select option "
+    "dialog menu object canvas audio video datalist search xmp noembed noframes".split()
 )
+DOUBTFUL = set("aside form fieldset".split())
 ROLES = set("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar".split())
 WORDS = set(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav navbar "
@@ -44,6 +49,9 @@ WORDS = set(
     "comments disqus replies login signup signin widget toolbar pagination pager skip hidden".split()
 )
 ONE_WORD = set("topbar adbox adsense adslot commentlist cookiebar sitemap siteheader sitefooter sideblock".split())
+COMMENTS = set("comment comments disqus replies commentlist".split())
+#: Words that turn a name into one of the layout: `no-sidebar`, `with-comments`, `sidebar-layout`.
+LAYOUT = set("no not non without with has layout template".split())
 #: An opening tag of the first kind ends an open element of the second kinds, up to the nearest of the third.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -62,19 +70,27 @@ NAMED = ("class", "id", "role", "aria-hidden", "style", "hidden")
 
 
 class Node:
-    """An element with the text nodes below it: their range in page order."""
+    """An element. `doubt` is the innermost one at or above it that may be no part of the article."""
 
-    __slots__ = ("tag", "parent", "out", "path", "depth", "inside")
+    __slots__ = ("tag", "parent", "out", "path", "depth", "inside", "doubt", "comments", "claimed", "dropped")
 
-    def __init__(self, tag: str, parent: Node | None, out: bool):
-        self.tag, self.parent, self.out = tag, parent, out
+    def __init__(self, tag: str, parent: Node | None, attributes: str = ""):
+        self.tag, self.parent = tag, parent
         self.path = f"{parent.path}/{tag}" if parent else tag
         self.depth = parent.depth + 1 if parent else 0
         self.inside = tag in ("article", "main") or bool(parent and parent.inside)
+        self.out = bool(parent and (parent.out or unwanted(tag, attributes, parent.inside)))
+        names = looks(attributes)
+        article, doubtful = tag in ("article", "main"), bool(names) or tag in DOUBTFUL
+        marked = doubtful and not article and tag not in ("html", "body")
+        self.doubt = self if marked else parent.doubt if parent else None
+        self.comments = marked and bool(names & COMMENTS)
+        self.claimed = (article and not names) or bool(parent and parent.claimed and not marked)
+        self.dropped = False
 
 
 def unwanted(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is never part of an article. A header within the article holds its heading."""
+    """Whether an element is never shown or never part of an article. A header within the article holds its heading."""
     if tag in NEVER or (tag == "header" and not inside):
         return True
     if not attributes or tag in ("html", "body", "article", "main"):
@@ -86,23 +102,35 @@ def unwanted(tag: str, attributes: str, inside: bool) -> bool:
         return True
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), next((v for v in values if v), "")
-        if name == "role" and value.lower().strip() in ROLES:
-            return True
         if name == "aria-hidden" and value.lower() == "true":
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
-        if name in ("class", "id"):
-            words = {w.lower() for part in re.split(r"[^A-Za-z]+", value) for w in re.split(r"(?<=[a-z])(?=[A-Z])", part)}
-            if words & WORDS or words & ONE_WORD:
-                return True
     return False
 
 
+def looks(attributes: str) -> set[str]:
+    """The words in an element's role, class and id that speak against it."""
+    lower = attributes.lower()
+    if not any(n in lower for n in ("class", "id", "role")):
+        return set()
+    found: set[str] = set()
+    for name, *values in ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), next((v for v in values if v), "")
+        if name == "role":
+            found |= {value.lower().strip()} & ROLES
+        if name in ("class", "id"):
+            for one in value.split():
+                words = {w.lower() for part in re.split(r"[^A-Za-z]+", one) for w in re.split(r"(?<=[a-z])(?=[A-Z])", part)}
+                if not words & LAYOUT:
+                    found |= words & WORDS | words & ONE_WORD
+    return found
+
+
 def parse(page: str) -> list[tuple[str, Node, int]]:
     """The text nodes in page order: text, element, and number of the block that it belongs to."""
     found: list[tuple[str, Node, int]] = []
-    top = Node("", None, False)
+    top = Node("", None)
     stack, block, at, end = [top], 0, 0, len(page)
 
     def text(raw: str) -> None:
@@ -143,7 +171,7 @@ def parse(page: str) -> list[tuple[str, Node, int]]:
                 if stack[k].tag in border:
                     break
         here = stack[-1]
-        node = Node(tag, here, here.out or unwanted(tag, attributes, here.inside))
+        node = Node(tag, here, attributes)
         if tag in RAW:
             close = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>?", re.I).search(page, at)
             at = close.end() if close else end
@@ -177,6 +205,55 @@ def smooth(x: np.ndarray) -> np.ndarray:
     return np.convolve(np.pad(x, 1, mode="edge"), weights / weights.sum(), "valid")
 
 
+def judge(found: list[tuple[str, Node, int]]) -> None:
+    """Takes out the doubtful elements that the content doesn't speak for."""
+    doubts: dict[int, Node] = {}
+    for _, node, _ in found:
+        e = node.doubt
+        while e is not None and id(e) not in doubts:
+            doubts[id(e)] = e
+            e = e.parent.doubt
+    if not doubts:
+        return
+    weight = dict.fromkeys(doubts, 0)
+    holds: set[int] = set()  # those with an article or main
+    chosen = content(found)
+    for i in chosen:
+        e = found[i][1].doubt
+        while e is not None:
+            weight[id(e)] += len(found[i][0])
+            if found[i][1].claimed:
+                holds.add(id(e))
+            e = e.parent.doubt
+    half = sum(len(found[i][0]) for i in chosen) / 2
+    claimed = any(found[i][1].claimed for i in chosen)
+    kept = {k for k in doubts if k in holds or weight[k] > half}
+    if claimed:
+        texts = dict.fromkeys(doubts, 0)
+        article_text = 0
+        for text, node, _ in found:
+            if not node.out and not text.isspace():
+                article_text += len(text) if node.claimed else 0
+                e = node.doubt
+                while e is not None:
+                    texts[id(e)] += len(text)
+                    e = e.parent.doubt
+        kept = {k for k in kept if k in holds or (texts[k] > TEASER * article_text and not doubts[k].comments)}
+
+    def drop() -> None:
+        for k, e in sorted(doubts.items(), key=lambda x: x[1].depth):
+            above = e.parent.doubt
+            e.dropped = k not in kept or bool(above and above.dropped)
+
+    drop()
+    if all(found[i][1].doubt and found[i][1].doubt.dropped for i in chosen):
+        kept |= {k for k in doubts if weight[k]}
+        drop()
+    for _, node, _ in found:
+        if node.doubt and node.doubt.dropped:
+            node.out = True
+
+
 def article(found: list[tuple[str, Node, int]]) -> Node | None:
     """The smallest element with all of the content, widened from a paragraph to what holds it."""
     chosen = content(found)
@@ -202,6 +279,7 @@ def article(found: list[tuple[str, Node, int]]) -> Node | None:
 
 def main_text(page: str | None) -> str:
     found = parse(page or "")
+    judge(found)
     root = article(found)
     if root is None:
         return ""

@@ -61,3 +61,23 @@ LONG, SHORT = f"{LINE} {LINE} {LINE} {LINE} {LINE} {LINE}", f"{LINE} It is old,
 )
 def test_all_content_is_kept(page, want):
     assert main_text(page) == want
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"<div class='content no-sidebar'><p>{LINE}</p></div>", LINE),
+        (f"<div class='post with-comments'><article><p>{LINE}</p></article></div><aside>{LINE}</aside>", LINE),
+        (f"<div class='post with-comments'><p>{SHORT}</p></div><div class='post has-sidebar'><p>{LONG}</p></div>", f"{SHORT}\n{LONG}"),
+        (f"<body><form id=aspnetForm><div class=sidebar>{LINE}</div><div><p>{LONG}</p></div></form></body>", LONG),
+        (f"<form><article><p>{LINE}</p><form class=login><p>{LINE}</p></form></article></form>", LINE),
+        (f"<div class='page social'><main><p>{LINE}</p></main></div><div class=related><p>{LINE}</p></div>", LINE),
+        (f"<div class=widget><article><p>{LINE}</p></article></div><div class=widget><article><p>{SHORT}</p></article></div>", f"{LINE}\n{SHORT}"),
+        (f"<div class=widget><p>{LINE}</p></div><div class=widget><p>{LINE}</p></div>", f"{LINE}\n{LINE}"),
+        (f"<article><p>{LINE}</p></article><div id=comments><article class=comment><p>{LONG}</p></article></div>", LINE),
+        (f"<article><form><p>{LINE}</p></form></article>", LINE),
+        (f"<article><p>{LINE}</p></article><form><p>{LONG}</p></form>", f"{LINE}\n{LONG}"),
+    ],
+)
+def test_names_are_evidence_only(page, want):
+    assert main_text(page) == want
