@@ -12,7 +12,8 @@ independent hits of a text (one minus the product of the misses). A hit kind tha
 exact, unquoted form, times `UNSEEN` for each difference.
 
 Training takes at most `max_toxic` and `max_clean` labelled rows, those with the smallest hash of the key, each different
-text once; the lexicon has at most `max_terms` terms. Scoring covers all rows and whole texts, without a shuffle. Null and
+text once. Of these texts every word and beginning in three toxic texts or more is tested, and only those beyond chance
+reach the driver; the lexicon has at most `max_terms` terms. Scoring covers all rows and whole texts, without a shuffle. Null and
 empty texts have the score of a text without a hit. Without labels of both kinds that score is the share of toxic
 labels, or 0. A row with several labels is toxic if one of them says so; null labels and null keys teach nothing.
 """
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import col, fold, fresh, map_arrow, plus, written
 
 MAX_TOXIC, MAX_CLEAN = 8_000, 24_000
-MAX_TERMS, MAX_CANDIDATES = 2_000, 40_000
+MAX_TERMS = 2_000
 LONGEST = 40
 STEMS = (4, 5, 6)
 UNSEEN = 0.3
@@ -249,9 +250,21 @@ def evidence(t: float, c: float, n1: float, n0: float) -> float:
     return t * math.log(own / common) + (c * math.log((1 - own) / (1 - common)) if c else 0.0)
 
 
+def beyond_chance(counts: DataFrame, n1: int, n0: int, least: float) -> DataFrame:
+    """The keys that `choose_terms` can take, by the same bounds; the last digits of a logarithm are left to it."""
+    t, c, common = F.col("toxic").cast("double"), F.col("clean").cast("double"), n1 / (n1 + n0)
+    own = t / (t + c)
+    likely = t * F.ln(own / common) + F.when(c > 0, c * F.ln((1 - own) / (1 - common))).otherwise(0.0)
+    return counts.where((own > common) & (own >= PURE) & (likely >= least - 1e-6))
+
+
+def least_evidence(tested: int) -> float:
+    return math.log(max(tested, 1)) + 3
+
+
 def choose_terms(rows: list[tuple[str, int, int]], n1: int, n0: int, tested: int, max_terms: int = MAX_TERMS) -> list[str]:
     """Terms beyond chance among `tested` keys. A beginning stands for its words if no single one makes it up."""
-    least = math.log(max(tested, 1)) + 3
+    least = least_evidence(tested)
     good = {k: t for k, t, c in rows if evidence(t, c, n1, n0) >= least and t / (t + c) >= PURE}
     whole = {k: t for k, t in good.items() if not k.endswith("*")}
     most: Counter = Counter()
@@ -259,10 +272,11 @@ def choose_terms(rows: list[tuple[str, int, int]], n1: int, n0: int, tested: int
         for k in STEMS:
             most[w[:k] + "*"] = max(most[w[:k] + "*"], t)
     stems: list[str] = []
+    cover: set[str] = set()
     for k in sorted((k for k in good if k.endswith("*")), key=len):
-        if most[k] <= 0.6 * good[k] and not any(k.startswith(s[:-1]) for s in stems):
+        if most[k] <= 0.6 * good[k] and not any(k[:n] in cover for n in STEMS):
             stems.append(k)
-    cover = {s[:-1] for s in stems}
+            cover.add(k[:-1])
     kept = [w for w in whole if not any(w[:k] in cover for k in STEMS)] + stems
     return sorted(sorted(kept, key=lambda k: (-good[k], k))[:max_terms])
 
@@ -290,15 +304,10 @@ def train(
     n1, n0 = sizes.get(True, 0), sizes.get(False, 0)
     if not n1 or not n0:
         return Lexicon([], {}, share)
-    frequent = counted(sample.where("toxic"), lambda: candidates_of).where("toxic >= 3")
-    rows = frequent.orderBy(F.desc("toxic"), "key").limit(MAX_CANDIDATES).select("key").collect()
-    wanted = sample.sparkSession.sparkContext.broadcast(frozenset(r[0] for r in rows))  # MAX_CANDIDATES at most
-
-    def only_wanted():
-        return lambda t: candidates_of(t) & wanted.value
-
-    found = [tuple(r) for r in counted(sample, only_wanted).collect()]
-    lexicon = Lexicon(choose_terms(found, n1, n0, len(rows)))
+    tested = written(counted(sample, lambda: candidates_of).where("toxic >= 3"), "toxicity-candidates")
+    n = tested.count()
+    found = [tuple(r) for r in beyond_chance(tested, n1, n0, least_evidence(n)).select("key", "toxic", "clean").collect()]
+    lexicon = Lexicon(choose_terms(found, n1, n0, n))
     shared = sample.sparkSession.sparkContext.broadcast(lexicon)
 
     def kinds():

@@ -169,3 +169,22 @@ def test_fold(spark):
 
     rows = spark.range(50).select("id", fold("id", 5).alias("f")).collect()
     assert all(r.f == zlib.crc32(str(r.id).encode()) % 5 for r in rows)
+
+
+def test_rare_terms_are_tested_among_many_frequent_ones(spark):
+    """A term in 12 of 16 toxic texts, all of which share some 50,000 keys with clean ones."""
+    pick = random.Random(6)
+    common = " ".join("".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(14_000))
+    texts = [f"{common} text {i} {'qqvexx' if i < 12 else ''}" for i in range(16)]
+    texts += [f"{common if i < 4 else ''} clean text {i}" for i in range(80)]
+    docs = documents(spark, texts)
+    labels = spark.createDataFrame([(i, int(i < 16)) for i in range(96)], "doc_id long, toxic int")
+    assert toxicity.train(docs, labels, "doc_id", "text", "toxic").terms == ["qqvexx"]
+
+
+def test_terms_are_those_of_all_counts(spark):
+    pick = random.Random(7)
+    rows = [(f"word{k}" + "*" * (k % 3 == 0), pick.randint(3, 40), pick.choice([0, 0, 1, 2, 30])) for k in range(600)]
+    few = toxicity.beyond_chance(spark.createDataFrame(rows, toxicity.COUNTED), 50, 200, toxicity.least_evidence(600)).collect()
+    assert 0 < len(few) < 600
+    assert toxicity.choose_terms([tuple(r) for r in few], 50, 200, 600) == toxicity.choose_terms(rows, 50, 200, 600)
