@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, html_text, jaccard_join, language, licenses, packing, quotes, sharding, toxicity
+from . import (
+    centroids,
+    decontamination,
+    exact_dedup,
+    filter_audit,
+    html_text,
+    jaccard_join,
+    language,
+    licenses,
+    line_dedup,
+    packing,
+    quotes,
+    sharding,
+    toxicity,
+)
 from .common import load
 
 TOKENIZER = "word_bpe_49k.json"
@@ -69,5 +83,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_report(docs, "doc_id", "text", items, "item_id", "text")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    return filter_audit.filter_audit(docs, labels, "doc_id", "text", "lang")
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_report(load(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.dedup_lines(load(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}

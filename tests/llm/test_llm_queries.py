@@ -26,13 +26,16 @@ COLUMNS = {
     "op8_packing": "doc_id piece start length ids_crc32 sequence_id offset",
     "op9_jaccard_join": "doc_id n_shingles component_id",
     "op10_decontamination": "doc_id item_id edits begin_word end_word",
+    "op11_filter_audit": "part filter_order step filter kept removed redundant unique_fails good_lost toxic_lost shapley",
+    "op12_centroids": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
+    "op13_line_dedup": "doc_id n_lines n_dropped kept_sha256",
 }
 
 
 @pytest.fixture(scope="module")
 def db():
     connection = duckdb.connect()
-    for name in ("documents", "pages", "benchmark", "labels", "conversations"):
+    for name in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         connection.execute(f"create view {name} as select * from read_parquet('{SF}/{name}.parquet')")
     return connection
 
