@@ -115,7 +115,10 @@ def main() -> None:
     seconds["plain_merge"] = timed(lambda: plain_merge(spark, batches), tables)
     seconds["log_pipeline"] = timed(lambda: log_pipeline(spark, batches), tables)
     one, other = (t.read() for t in tables)
-    equal = one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+    for name, gone in (("plain_merge", one.exceptAll(other)), ("log_pipeline", other.exceptAll(one))):
+        rest = gone.limit(5).collect()
+        if rest:
+            raise AssertionError(f"rows that only {name} has, such as {rest}")
     result = {
         "metric": "total_seconds",
         "value": round(sum(seconds.values()), 3),
@@ -125,7 +128,7 @@ def main() -> None:
         "merge_rows": rows,
         "plain_rows_per_sec": round(rows / seconds["plain_merge"]),
         "pipeline_rows_per_sec": round(rows / seconds["log_pipeline"]),
-        "tables_equal": equal,
+        "tables_equal": True,
         "pipeline_speedup": round(seconds["plain_merge"] / seconds["log_pipeline"], 2),
     }
     spark.stop()

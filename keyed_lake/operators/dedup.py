@@ -42,11 +42,15 @@ def keep_latest(
 def keep_latest_text(df: DataFrame, spec: TableSpec, mode: str = "safe") -> DataFrame:
     """Keep the latest all-text row per primary key, before encoding.
 
-    Rows are ordered by the declared types, so that 10 comes after 9. `compat` orders the raw text instead.
+    Rows are ordered by the declared types, so that 10 comes after 9, and so are the columns that tell equal rows apart:
+    a row that wins here also wins among decoded rows. Raw text only tells rows of equal values apart. `compat` orders
+    the raw text instead.
     """
     if mode == "compat":
         return keep_latest(df, spec.pks, spec.order_by)
-    return keep_latest(df, spec.pks, [typed(c, spec.type_of(c)) for c in spec.order_by], spec.order_by)
+    others = [c for c in spec.columns if c not in spec.pks and c not in spec.order_by]
+    as_typed = lambda names: [typed(c, spec.type_of(c)) for c in names]
+    return keep_latest(df, spec.pks, as_typed(spec.order_by), as_typed(others))
 
 
 def compact(log: DataFrame, keys: Sequence[str] = ("partition", "key")) -> DataFrame:

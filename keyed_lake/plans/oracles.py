@@ -91,6 +91,10 @@ def registered() -> dict[str, str]:
             select {_L} from lineitem
             qualify row_number() over (partition by l_orderkey, l_linenumber order by {_L_ORDER}) = 1
         """,
+        "keep_latest_ties": f"""
+            select {_L} from lineitem
+            qualify row_number() over (partition by l_orderkey, l_linenumber order by {_L_ORDER}) = 1
+        """,
         "keep_latest_text_compat": """
             select cast(user_id as varchar) as user_id, cast(event_id as varchar) as event_id, event_type
             from events

@@ -141,6 +141,13 @@ def keep_latest_text_typed(spark, sf_dir):
     return keep_latest_text(as_text(events(spark, sf_dir)), spec).select("user_id", "event_id", "event_type")
 
 
+def keep_latest_ties(spark, sf_dir):
+    """Text rows whose order column ties: part 10 beats part 9, as it does among typed rows."""
+    spec = SPECS["lineitem"]
+    rows = keep_latest_text(as_text(load(spark, sf_dir, "lineitem")), spec)
+    return plain(rows.select(*[typed(c, spec.type_of(c)).alias(c) for c in spec.columns]))
+
+
 def compact_records(spark, sf_dir):
     """The last record of every key of a stored log, in the order of the event ids."""
     return compact(_events_log(spark, sf_dir, "compact-records").scan()).select("key", "value")
@@ -635,6 +642,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "keep_latest_lineitem": keep_latest_lineitem,
         "keep_latest_text_compat": keep_latest_text_compat,
         "keep_latest_text_typed": keep_latest_text_typed,
+        "keep_latest_ties": keep_latest_ties,
         "compact_records": compact_records,
         "partition_date": partition_date,
         "encode_key_compat": encode_key_compat,

@@ -109,3 +109,13 @@ def test_batch_stats(spark):
     assert (stats.first_time.hour, stats.last_time.hour) == (9, 10)
     assert stats.bytes >= 2 * 24 + 3
     assert batch_stats(df.where("false")).rows == 0
+
+
+def test_text_rows_tie_like_typed_rows(spark):
+    spec = make_spec("id long,part long,at timestamp,v string", "id", "at")
+    rows = [("1", "9", "2024-01-01", "a"), ("1", "10", "2024-01-01 00:00:00", "b"), ("2", "7", None, "a"), ("2", "07", None, "b")]
+    text = spark.createDataFrame(rows, "id string, part string, at string, v string")
+    typed = text.selectExpr("cast(id as long) id", "cast(part as long) part", "cast(at as timestamp) at", "v")
+    chosen = keep_latest_text(text, spec)
+    assert rows_of(chosen, "id", "v") == [("1", "b"), ("2", "b")]
+    assert rows_of(keep_latest(typed, ["id"], ["at"]), "id", "v") == [(1, "b"), (2, "b")]
