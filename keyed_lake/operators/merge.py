@@ -6,6 +6,8 @@ The pieces are separate so that the table can find the partitions with a match f
     changed = apply_updates(target, updates)      target left outer join updates
     fresh   = unmatched(updates, hits)            updates left anti join hits
 
+With a filter of the batch's keys (`operators.keyfilter`), target rows that surely have no match pass by both joins.
+
 A left outer join is used instead of a full outer join for two reasons: the target side is not shuffled when the
 updates are small enough to broadcast, and Spark can split a skewed target partition only in the left form.
 """
@@ -18,6 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keyed_lake.operators.keyfilter import KeyFilter
 from keyed_lake.spec import PARTITION_COLUMN
 
 SCOPES = ("batch", "partition", "global")
@@ -36,9 +39,16 @@ def match_keys(pks: Sequence[str], scope: str) -> list[str]:
     return [*pks, PARTITION_COLUMN] if scope == "partition" else list(pks)
 
 
-def _equal(left: str, right: str, keys: Sequence[str]) -> Column:
-    # plain equality: a NULL key never matches
-    return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}") == F.col(f"{right}.{k}") for k in keys])
+def _equal(left: str, right: str, keys: Sequence[str], dealt: Sequence[str] = ()) -> Column:
+    """Plain equality, so that a NULL key never matches.
+
+    `dealt` are the columns that the target is bucketed by: the partition date beside them is compared in a form that
+    Spark does not take for a key of the join, as a join on more columns would shuffle the buckets again.
+    """
+    beside = [k for k in keys if dealt and k == PARTITION_COLUMN and k not in dealt]
+    same = [F.col(f"{left}.{k}") == F.col(f"{right}.{k}") for k in keys if k not in beside]
+    same += [F.datediff(F.col(f"{left}.{k}"), F.col(f"{right}.{k}")) == 0 for k in beside]
+    return reduce(lambda a, b: a & b, same)
 
 
 def _sized(df: DataFrame, small: bool) -> DataFrame:
@@ -59,6 +69,23 @@ def matched_keys(
     )
 
 
+def matched_places(
+    target: DataFrame, updates: DataFrame, keys: Sequence[str], places: Sequence[str], small: bool = False,
+    may_match: KeyFilter | None = None, dealt: Sequence[str] = (),
+) -> DataFrame:
+    """Like `matched_keys`, with the `places` columns of the target (as `old_...`) and of the update (`new_...`)."""
+    if may_match is not None:
+        target = may_match.split(target)[0]
+    wanted = [*keys, *[p for p in places if p not in keys]]
+    found = target.select(*wanted).alias("t").join(
+        _sized(updates.select(*wanted), small).alias("u"), _equal("t", "u", keys, dealt)
+    )
+    columns = [F.col(f"u.{k}").alias(k) for k in keys]
+    columns += [F.col(f"{side}.{p}").alias(f"{name}_{p}") for side, name in (("t", "old"), ("u", "new")) for p in places]
+    rows = found.select(*columns)
+    return rows.groupBy(*rows.columns).agg(F.lit(True).alias("_hit")).drop("_hit")
+
+
 def apply_updates(
     target: DataFrame,
     updates: DataFrame,
@@ -67,6 +94,7 @@ def apply_updates(
     newest_by: Sequence[str] = (),
     small: bool = False,
     unless: Column | None = None,
+    dealt: Sequence[str] = (),
 ) -> DataFrame:
     """All rows of `target`, those with a match replaced by the matching update.
 
@@ -75,7 +103,7 @@ def apply_updates(
     key once.
     """
     marked = _sized(updates.withColumn("_new", F.lit(True)), small)
-    on = _equal("t", "u", keys)
+    on = _equal("t", "u", keys, dealt)
     if condition is not None:
         on = on & condition
     taken = F.col("u._new").isNotNull()

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from keyed_lake.operators.dedup import compact
 from keyed_lake.spec import TableSpec
-from keyed_lake.storage import Files
+from keyed_lake.storage import Files, needs_rename
 
 LOG_SCHEMA = T.StructType(
     [
@@ -103,6 +103,7 @@ class ParquetLog:
 
     def create(self, topic: str, partitions: int = 10, compact: bool = True, recreate: bool = False) -> ParquetLog:
         """Create the log if it is absent; `recreate=True` drops all records first."""
+        needs_rename(self.path)
         if not isinstance(recreate, bool):
             raise TypeError(f"recreate must be True or False, not {recreate!r}")
         first, uid = 0, uuid.uuid4().hex

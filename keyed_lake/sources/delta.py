@@ -69,7 +69,7 @@ class DeltaTable:
             raise ValueError(f"on_conflict must be one of {CONFLICTS}, not {on_conflict!r}")
         stats = stats or batch_stats(batch)
         if stats.rows == 0:
-            return Merged(-1, stats, skipped=True)
+            return Merged(stats, skipped=True)
         keys = match_keys(self.spec.pks, scope)
         updates = keep_latest(batch, keys, self.spec.order_by, ties).select(*self.spec.table_columns)
         newer = None
@@ -83,7 +83,7 @@ class DeltaTable:
             .whenNotMatchedInsertAll()
             .execute()
         )
-        return Merged(-1, stats)
+        return Merged(stats)
 
     def export_csv(self, target: str) -> None:
         export_csv(self.read(), target)

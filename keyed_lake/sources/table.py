@@ -1,76 +1,54 @@
-"""A table kept as Parquet folders, upserted one partition at a time.
-
-Layout of a table folder:
-
-    data/_version=<version>/pt_date=<date>/_bucket=<n>/...   what one commit wrote
-    commits/<version>.json                       which folders make up the table after that commit
-
-A commit writes new folders, then publishes one small JSON file under the next free version number. Readers take the
-folders named in the newest one, so they never see a commit in part, and what a merge reads is never overwritten.
-A part is a date, or, for a table with buckets, a date and a share of the keys by hash; an unpartitioned table has buckets
-only. Parts without a match are left alone, so with buckets a changed key rewrites a small share of its date.
-
-Publishing fails if another writer took the number first. The commit file also holds the last batch id of each
-stream: a batch that was applied before is left out.
+"""A table kept as plain Parquet, upserted by dynamic partition overwrite.
+
+    pt_date=<date>/...                     a dated table
+    pt_date=<date>/_bucket=<n>/...         a dated table with buckets
+    _bucket=<n>/...                        a table without dates
+    _table.json, _applied/<stream>         its columns, and the last batch of every stream
+
+A merge overwrites the partitions that hold a match, in one Spark write that replaces just those, and appends to the
+others. Tables with buckets are Spark tables with `CLUSTERED BY` the primary key: their rows lie where a join by key needs
+them, so a merge shuffles the batch and never the table. The bucket is a partition too, so that a merge overwrites the
+buckets with a match only.
+
+Spark writes replaced partitions aside and moves them when all are complete. Before that, the names of the files in place
+are noted in `_pending.json`. After a crash the next merge finishes a move that had begun, drops what had been
+appended, and merges the batch again, which changes nothing for the keys that are in. One writer at a time; a reader
+may fail while partitions are being replaced, and then reads again.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
-import uuid
+import re
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyed_lake.operators.dedup import keep_latest
-from keyed_lake.operators.merge import (
-    CONFLICTS,
-    apply_updates,
-    check_scope,
-    match_keys,
-    matched_keys,
-    unmatched,
-)
+from keyed_lake.operators.keyfilter import key_filter
+from keyed_lake.operators.merge import CONFLICTS, apply_updates, check_scope, match_keys, matched_places, unmatched
 from keyed_lake.operators.stats import BatchStats, batch_stats
 from keyed_lake.spec import PARTITION_COLUMN, TableSpec
-from keyed_lake.storage import Files
+from keyed_lake.storage import Files, needs_rename, scratch_folder
 
-VERSION = "_version"  # no column of a spec can have this name
 OFFSET = "_log_offset"  # kept beside the columns of the spec, so that no older record replaces a newer one
 OFFSET_TYPE = T.DecimalType(38, 0)
 SOURCE = "_log_source"  # the log that the offset belongs to; offsets of different logs aren't compared
 BUCKET = "_bucket"
 NULL_DATE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder name Spark gives to a NULL partition
-WHOLE = ""  # the only part of an unpartitioned table
-MAX_PIECES = 16  # a partition appended to more often is rewritten by the next commit that touches it
-KEEP_COMMITS = 20
+STAGING = ".spark-staging-"  # fixed value: where Spark puts partitions that will replace others
 
 
 def part_name(date: str | None) -> str:
     return f"{PARTITION_COLUMN}={NULL_DATE if date is None else date}"
 
 
-@dataclass(frozen=True)
-class Snapshot:
-    """One commit: the folders of every partition, and the last batch applied per stream."""
-
-    version: int
-    parts: dict[str, list[str]] = field(default_factory=dict)
-    applied: dict[str, int] = field(default_factory=dict)
-    schema: str = ""
-    buckets: int = 1
-
-    def folders(self, names: Iterable[str] | None = None) -> list[str]:
-        chosen = self.parts if names is None else [n for n in names if n in self.parts]
-        return [f"{VERSION}={v}/{name}".rstrip("/") for name in chosen for v in self.parts[name]]
-
-
 @dataclass(frozen=True)
 class Merged:
-    version: int
     stats: BatchStats
     rewritten: tuple[str, ...] = ()
     appended: tuple[str, ...] = ()
@@ -78,66 +56,118 @@ class Merged:
 
 
 class ParquetTable:
-    def __init__(self, spark: SparkSession, path: str, spec: TableSpec, buckets: int = 1):
-        """`buckets` counts when the table is created; an existing table keeps its own."""
+    def __init__(self, spark: SparkSession, path: str, spec: TableSpec, buckets: int | None = None):
+        """`buckets` counts when the table is created; an existing table keeps its own.
+
+        The default is 1 for a dated table and `spec.partitions` for one without dates.
+        """
         self.spark = spark
-        self.buckets = buckets
         self.path = path.rstrip("/")
-        self.data = f"{self.path}/data"
-        self.commits = f"{self.path}/commits"
         self.spec = spec
         self.files = Files(spark)
+        self.dated = spec.partition_column is not None
+        self.places = [PARTITION_COLUMN] * self.dated
+        self._set_buckets(buckets or (1 if self.dated else spec.partitions))
 
-    def exists(self) -> bool:
-        return bool(self._versions())
+    def _set_buckets(self, buckets: int) -> None:
+        self.buckets = buckets
+        self.bucketed = buckets > 1 or not self.dated
+        self.places = [PARTITION_COLUMN] * self.dated + [BUCKET] * self.bucketed
+        plain = [f for f in self.spec.table_schema.fields if f.name != PARTITION_COLUMN]
+        dates = [f for f in self.spec.table_schema.fields if f.name == PARTITION_COLUMN]
+        kept = [T.StructField(OFFSET, OFFSET_TYPE), T.StructField(SOURCE, T.StringType())]
+        self.schema = T.StructType([*plain, *kept, *dates, *[T.StructField(BUCKET, T.IntegerType())] * self.bucketed])
+
+    # the table
 
-    def _versions(self) -> list[int]:
-        names = self.files.names(self.commits)
-        return [int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith(".")]
+    def exists(self) -> bool:
+        return self.files.exists(f"{self.path}/_table.json")
 
     def create(self) -> ParquetTable:
         """Create the table if it is absent; an existing one must have the columns of the spec."""
+        needs_rename(self.path)
         if not self.exists():
-            self.files.mkdirs(self.data)
-            self._publish(Snapshot(0, schema=self.spec.table_schema.json(), buckets=self.buckets))
-        elif T.StructType.fromJson(json.loads(self.snapshot().schema)) != self.spec.table_schema:
+            self.files.mkdirs(self.path)
+            facts = {"schema": self.spec.table_schema.json(), "buckets": self.buckets}
+            self.files.publish_text(f"{self.path}/_table.json", json.dumps(facts))
+        facts = json.loads(self.files.read_text(f"{self.path}/_table.json"))
+        if T.StructType.fromJson(json.loads(facts["schema"])) != self.spec.table_schema:
             raise ValueError(f"the table at {self.path} has other columns than spec {self.spec.name}")
+        self._set_buckets(facts["buckets"])
+        if self.buckets > 1:
+            self._register()
         return self
 
-    def snapshot(self) -> Snapshot:
-        newest = max(self._versions())
-        return Snapshot(**json.loads(self.files.read_text(self._commit_file(newest))))
-
-    def _publish(self, snapshot: Snapshot) -> None:
-        text = json.dumps(
-            {
-                "version": snapshot.version, "parts": snapshot.parts, "applied": snapshot.applied,
-                "schema": snapshot.schema, "buckets": snapshot.buckets,
-            }
+    @property
+    def name(self) -> str:
+        """The name of a bucketed table in the session's catalog."""
+        return f"keyed_{re.sub('[^a-z0-9]', '_', self.spec.name.lower())}_{hashlib.md5(self.path.encode()).hexdigest()[:12]}"
+
+    def _register(self) -> None:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema)
+        keys = ", ".join(f"`{k}`" for k in self.spec.pks)
+        place = self.path.replace("'", "\\'")
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}) USING parquet "
+            f"OPTIONS (partitionOverwriteMode 'dynamic', compression 'zstd') PARTITIONED BY ({', '.join(self.places)}) "
+            f"CLUSTERED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{place}'"
         )
-        self.files.publish_text(self._commit_file(snapshot.version), text)
-        # one goes for each that comes, so the folder stays small
-        self.files.delete(self._commit_file(snapshot.version - KEEP_COMMITS))
+        if self.spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "hive":
+            self.spark.catalog.recoverPartitions(self.name)  # such a catalog keeps a list of its own
+
+    def parts(self) -> list[str]:
+        """The partition folders; as many as dates times buckets."""
+        return self._folders(self.path)
+
+    def _folders(self, root: str) -> list[str]:
+        names = [n for n in self.files.names(root) if n.startswith(f"{self.places[0]}=")]
+        if len(self.places) == 1:
+            return names
+        return [f"{n}/{m}" for n in names for m in self.files.names(f"{root}/{n}") if m.startswith(f"{BUCKET}=")]
 
-    def _commit_file(self, version: int) -> str:
-        return f"{self.commits}/{version:012d}.json"
+    def applied(self, stream: str) -> int:
+        """The last batch of a stream that was merged, -1 before the first."""
+        mark = f"{self.path}/_applied/{stream}"
+        return int(self.files.read_text(mark)) if self.files.exists(mark) else -1
 
     # reading
 
-    def read(self, dates: Iterable[str | None] | None = None, snapshot: Snapshot | None = None) -> DataFrame:
+    def read(self, dates: Iterable[str | None] | None = None) -> DataFrame:
         """The table, or only the partitions of some dates (ISO text, None for the NULL partition)."""
-        snapshot = snapshot or self.snapshot()
         if dates is None:
-            return self._read_parts(snapshot)
+            return self._rows(None).select(*self.spec.table_columns)
         wanted = {part_name(d) for d in dates}
-        return self._read_parts(snapshot, [n for n in snapshot.parts if n.split("/")[0] in wanted])
-
-    def _read_parts(self, snapshot: Snapshot, names: Iterable[str] | None = None, offsets: bool = False) -> DataFrame:
-        columns = self.spec.table_columns + ([OFFSET, SOURCE] if offsets else [])
-        more = [T.StructField(OFFSET, OFFSET_TYPE), T.StructField(SOURCE, T.StringType()), *[T.StructField(BUCKET, T.IntegerType())] * (snapshot.buckets > 1)]
-        schema = T.StructType([*self.spec.table_schema.fields, *more])
-        folders = [f"{self.data}/{f}" for f in snapshot.folders(names)]
-        return self.spark.read.schema(schema).option("basePath", self.data).parquet(*folders).select(*columns)
+        return self._rows([n for n in self.parts() if n.split("/")[0] in wanted]).select(*self.spec.table_columns)
+
+    def _rows(self, parts: Sequence[str] | None) -> DataFrame:
+        """The rows of some partitions with their log offsets; folders of other dates aren't opened."""
+        if self.buckets > 1:
+            self.spark.catalog.refreshTable(self.name)
+            rows = self.spark.read.table(self.name)
+            return rows if parts is None else rows.where(self._among(parts))
+        folders = [f"{self.path}/{p}" for p in (self.parts() if parts is None else parts)]
+        return self.spark.read.schema(self.schema).option("basePath", self.path).parquet(*folders)
+
+    def _among(self, parts: Iterable[str]) -> Column:
+        """Whether a row belongs to one of the partitions."""
+        dates: dict[frozenset, list] = {}
+        by_date: dict[str | None, set] = {}
+        for part in parts:
+            values = dict(x.split("=", 1) for x in part.split("/"))
+            by_date.setdefault(values.get(PARTITION_COLUMN), set()).add(values.get(BUCKET))
+        for date, numbers in by_date.items():
+            dates.setdefault(frozenset(numbers), []).append(date)
+        found = F.lit(False)
+        for numbers, days in dates.items():  # dates with the same buckets are one condition
+            inside = F.col(BUCKET).isin([int(n) for n in sorted(numbers, key=int)]) if self.bucketed else F.lit(True)
+            if self.dated:
+                known = [F.lit(d).cast("date") for d in days if d != NULL_DATE]
+                of_day = F.col(PARTITION_COLUMN).isin(known) if known else F.lit(False)
+                if NULL_DATE in days:
+                    of_day = of_day | F.col(PARTITION_COLUMN).isNull()
+                inside = inside & of_day
+            found = found | inside
+        return F.coalesce(found, F.lit(False))
 
     # writing
 
@@ -151,7 +181,7 @@ class ParquetTable:
         batch_id: int | None = None,
         stats: BatchStats | None = None,
     ) -> Merged:
-        """Upsert a batch of typed rows in one commit.
+        """Upsert a batch of typed rows.
 
         `scope` says which rows a primary key identifies: `batch` those in the partition dates of this batch,
         `partition` those of the same date, `global` all. `on_conflict="newest"` keeps a target row that is newer in
@@ -159,185 +189,191 @@ class ParquetTable:
 
         Rows with a log offset (`_log_offset`) and the name of its log (`_log_source`) keep them in the table. A later
         batch wins, but a row never replaces one of a greater offset of the same log, in whatever order its files were
-        read.
+        read. A batch of a stream is applied once; a NULL key never matches.
 
         The batch is read more than once; persist it first.
         """
-        partitioned = self.spec.partition_column is not None
-        check_scope(scope, partitioned)
+        check_scope(scope, self.dated)
         if on_conflict not in CONFLICTS:
             raise ValueError(f"on_conflict must be one of {CONFLICTS}, not {on_conflict!r}")
-        before = self.snapshot()
-        if stream is not None and batch_id is not None and before.applied.get(stream, -1) >= batch_id:
-            return Merged(before.version, stats or BatchStats(), skipped=True)
+        self.recover()
+        if stream is not None and batch_id is not None and self.applied(stream) >= batch_id:
+            return Merged(stats or BatchStats(), skipped=True)
         stats = stats or batch_stats(batch)
         if stats.rows == 0:
-            return Merged(before.version, stats, skipped=True)
+            return Merged(stats, skipped=True)
 
         keys = match_keys(self.spec.pks, scope)
         known = lambda name, kind: (F.col(name) if name in batch.columns else F.lit(None)).cast(kind).alias(name)
-        places = [known(OFFSET, OFFSET_TYPE), known(SOURCE, T.StringType())]
-        updates = keep_latest(batch, keys, self.spec.order_by, ties).select(*self.spec.table_columns, *places)
-        older = (F.col(f"u.{SOURCE}") == F.col(f"t.{SOURCE}")) & (F.col(f"u.{OFFSET}") < F.col(f"t.{OFFSET}"))
-        # the raw batch is at least as large as its latest rows
-        small = stats.bytes <= self._broadcast_limit()
-
-        # partitions that may hold a match
-        dated = [part_name(d) for d in stats.dates]
-        candidates = list(before.parts)
-        if partitioned and scope != "global":
-            candidates = [n for n in candidates if n.split("/")[0] in set(dated)]
-        if before.buckets > 1:
-            numbers = updates.select(self._bucket(before.buckets)).distinct().collect()  # a row per bucket
-            hit = {f"{BUCKET}={r[0]}" for r in numbers}
-            candidates = [n for n in candidates if n.split("/")[-1] in hit]
-        # partitions in too many pieces are rewritten along with those that have a match
-        rewrite = {n for n in candidates if len(before.parts[n]) >= MAX_PIECES}
-        nowhere = part_name(None)
-        if candidates and partitioned and stats.null_dates:
-            full = {n for n, v in before.parts.items() if n.split("/")[0] == nowhere and len(v) >= MAX_PIECES}
-            rewrite |= full  # it matches nothing outside global scope, but its pieces must not grow in number
-
-        hits = None
-        if candidates:
-            place = [PARTITION_COLUMN] if partitioned else []
-            target = self._read_parts(before, candidates)
-            updates = updates.persist()
-            hits = matched_keys(target, updates, keys, place, small).persist()
+        latest = keep_latest(batch, keys, self.spec.order_by, ties).select(
+            *self.spec.table_columns, known(OFFSET, OFFSET_TYPE), known(SOURCE, T.StringType())
+        )
+        updates = self._dealt(latest).select(*self.schema.names).persist()
+        work = scratch_folder(self.spark, "merge")
         try:
-            if hits is None:
-                output = self._spread(updates, stats, before.buckets)
-            else:
-                rewrite |= self._parts_with(hits, partitioned, before.buckets)
+            landing = self._names(updates.select(*self.places), self.places)
+            held = self.parts()
+            candidates = self._candidates(held, landing, scope, stats)
+            rewrite: set[str] = set()
+            fresh, changed = updates, None
+            if candidates:
+                # the raw batch is at least as large as its latest rows
+                small = stats.bytes <= self._broadcast_limit()
+                # buckets aren't shuffled in any case
+                may_match = None if small or self.buckets > 1 else key_filter(updates, keys, stats.rows, self._broadcast_limit())
+                dealt = self.spec.pks if self.buckets > 1 else ()
+                target = self._rows(candidates)
+                # written, not cached: what is read again after the overwrite must not be computed again
+                matched_places(target, updates, keys, self.places, small, may_match, dealt).write.parquet(f"{work}/hits")
+                hits = self.spark.read.parquet(f"{work}/hits")
+                rewrite = self._names(hits, [f"old_{p}" for p in self.places]) | self._names(hits, [f"new_{p}" for p in self.places])
                 fresh = unmatched(updates, hits, keys)
-                if rewrite:
-                    in_scope = F.col(f"t.{PARTITION_COLUMN}").isNotNull() if scope == "batch" and partitioned else None
-                    changed = apply_updates(
-                        self._read_parts(before, sorted(rewrite), offsets=True), updates, keys, in_scope,
-                        self.spec.order_by if on_conflict == "newest" else (), small, unless=older,
-                    )
-                    if before.buckets > 1:
-                        changed, fresh = (x.withColumn(BUCKET, self._bucket(before.buckets)) for x in (changed, fresh))
-                    if small:
-                        # the target is not shuffled here: every task writes back the partition it read
-                        output = changed.unionByName(self._spread(fresh, stats, before.buckets))
-                    else:
-                        output = self._spread(changed.unionByName(fresh), stats, before.buckets, also=rewrite)
-                else:
-                    output = self._spread(fresh, stats, before.buckets)
-            name = f"{before.version + 1:012d}-{uuid.uuid4().hex[:8]}"
-            written = self._write(output, name, before.buckets)
+            if rewrite:
+                changed = self._changed(sorted(rewrite & set(held)), updates, keys, scope, on_conflict, small, may_match, dealt)
+                whole = self._can_match(scope)
+                changed = self._joined_by(changed, fresh.where(self._among(rewrite) & whole), landing & rewrite, small)
+                fresh = fresh.where(~(self._among(rewrite) & whole))
+            self._replace(changed, fresh, rewrite, landing, stats)
         finally:
-            if hits is not None:
-                hits.unpersist()
-                updates.unpersist()
-
-        parts = {n: v for n, v in before.parts.items() if n not in rewrite}
-        for part in written:
-            parts[part] = [*parts.get(part, []), name]
-        applied = dict(before.applied)
+            updates.unpersist()
+            self.files.delete(work)
+        self._note({"done": [stream, batch_id]})
+        self._finish(stream, batch_id)
+        return Merged(stats, tuple(sorted(rewrite)), tuple(sorted(landing - rewrite)))
+
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn(BUCKET, F.pmod(F.hash(*self.spec.pks), F.lit(self.buckets)).cast("int")) if self.bucketed else rows
+
+    def _can_match(self, scope: str) -> Column:
+        """Rows that never match, for a NULL in their key, are appended only: an overwrite that runs again would add them again."""
+        whole = F.lit(True)
+        for key in [*self.spec.pks, *[PARTITION_COLUMN] * (self.dated and scope != "global")]:
+            whole = whole & F.col(key).isNotNull()
+        return whole
+
+    def _names(self, rows: DataFrame, columns: Sequence[str]) -> set[str]:
+        """The partitions named by columns; one row for each reaches the driver, as many as dates times buckets."""
+        found = rows.select(*[F.col(c).cast("string").alias(p) for c, p in zip(columns, self.places)]).distinct().collect()
+        return {"/".join(part_name(r[p]) if p == PARTITION_COLUMN else f"{p}={r[p]}" for p in self.places) for r in found}
+
+    def _candidates(self, held: Sequence[str], landing: set[str], scope: str, stats: BatchStats) -> list[str]:
+        """The partitions that may hold a match: those of the dates of the raw batch, or all."""
+        out = list(held)
+        if self.dated and scope != "global":
+            days = {part_name(d) for d in stats.dates}  # without the NULL date, which matches none
+            out = [n for n in out if n.split("/")[0] in days]
+        if self.bucketed:
+            numbers = {n.split("/")[-1] for n in landing}
+            out = [n for n in out if n.split("/")[-1] in numbers]
+        return out
+
+    def _changed(self, parts, updates, keys, scope, on_conflict, small, may_match, dealt) -> tuple[DataFrame, DataFrame | None]:
+        """The rows of some partitions after the updates, and those of them that passed by the join."""
+        target, beside = self._rows(parts), None
+        if may_match is not None:
+            target, beside = may_match.split(target)
+        in_scope = F.col(f"t.{PARTITION_COLUMN}").isNotNull() if scope == "batch" and self.dated else None
+        older = (F.col(f"u.{SOURCE}") == F.col(f"t.{SOURCE}")) & (F.col(f"u.{OFFSET}") < F.col(f"t.{OFFSET}"))
+        newest = self.spec.order_by if on_conflict == "newest" else ()
+        return apply_updates(target, updates, keys, in_scope, newest, small, older, dealt), beside
+
+    def _joined_by(self, changed: tuple, fresh: DataFrame, landing: set[str], small: bool) -> DataFrame:
+        """Rows that were not shuffled are written by the task that read them; the others are grouped by partition."""
+        rows, beside = changed
+        if small or self.buckets > 1:
+            return rows.unionByName(self._spread(fresh, len(landing)))
+        rows = self._spread(rows.unionByName(fresh), 2)
+        return rows if beside is None else rows.unionByName(beside)
+
+    def _replace(self, changed: DataFrame | None, fresh: DataFrame, rewrite: set[str], landing: set[str], stats: BatchStats) -> None:
+        """Overwrite the partitions to rewrite, then append the rows that go elsewhere."""
+        before = {
+            "rewrite": {p: self._files_of(p) for p in sorted(rewrite)},
+            "append": {p: self._files_of(p) for p in sorted(landing - rewrite)},
+        }
+        self._note(before)
+        if changed is not None:
+            self._write(changed, overwrite=True)
+            self._drop_emptied(before["rewrite"])
+            # rows without a key may be appended to what was just overwritten
+            before = {"rewrite": {}, "append": {p: self._files_of(p) for p in sorted(landing)}}
+            self._note(before)
+        if changed is None or landing - rewrite or not fresh.isEmpty():
+            self._write(self._spread(fresh, len(landing)), overwrite=False)
+
+    def _note(self, pending: dict) -> None:
+        self.files.publish_text(f"{self.path}/_pending.json", json.dumps(pending), replace=True)
+
+    def _finish(self, stream: str | None, batch_id: int | None) -> None:
         if stream is not None and batch_id is not None:
-            applied[stream] = batch_id
-        self._publish(Snapshot(before.version + 1, parts, applied, before.schema, before.buckets))
-        return Merged(
-            before.version + 1, stats, tuple(sorted(rewrite)), tuple(p for p in written if p not in rewrite)
-        )
+            self.files.publish_text(f"{self.path}/_applied/{stream}", str(batch_id), replace=True)
+        self.files.delete(f"{self.path}/_pending.json")
+
+    def _files_of(self, part: str) -> list[str]:
+        return [n for n in self.files.names(f"{self.path}/{part}") if not n.startswith((".", "_"))]
+
+    def _drop_emptied(self, before: dict[str, list[str]]) -> None:
+        """Remove partitions that were to be overwritten and got no row: their old files are still there."""
+        for part, names in before.items():
+            if names and self._files_of(part) == names:
+                self.files.delete(f"{self.path}/{part}")
+
+    def recover(self) -> None:
+        """Bring a table in order whose last merge broke off; the batch then runs again."""
+        for name in self.files.names(self.path):
+            if name.startswith(STAGING):
+                if self.files.exists(f"{self.path}/{name}/_SUCCESS"):
+                    for part in self._folders(f"{self.path}/{name}"):
+                        self.files.replace_folder(f"{self.path}/{name}/{part}", f"{self.path}/{part}")
+                self.files.delete(f"{self.path}/{name}")
+        note = f"{self.path}/_pending.json"
+        if not self.files.exists(note):
+            return
+        pending = json.loads(self.files.read_text(note))
+        if "done" in pending:
+            self._finish(*pending["done"])
+            return
+        before = pending.get("rewrite", {})
+        if any(self._files_of(part) != names for part, names in before.items()):
+            self._drop_emptied(before)
+        for part, names in pending.get("append", {}).items():
+            for name in set(self._files_of(part)) - set(names):
+                self.files.delete(f"{self.path}/{part}/{name}")
+        self.files.delete(note)
 
     def _broadcast_limit(self) -> int:
         """The size up to which Spark itself would broadcast; negative turns it off."""
         text = self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
         return self.spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text) if text != "-1" else -1
 
-    def _bucket(self, buckets: int) -> Column:
-        return F.pmod(F.xxhash64(*self.spec.pks), F.lit(buckets)).cast("int").alias(BUCKET)
-
-    def _parts_with(self, hits: DataFrame, partitioned: bool, buckets: int) -> set[str]:
-        """The parts with a match; the driver gets their distinct names only."""
-        if not partitioned and buckets == 1:
-            return set() if hits.isEmpty() else {WHOLE}
-        day = F.col(PARTITION_COLUMN).cast("string") if partitioned else F.lit(None).cast("string")
-        number = self._bucket(buckets) if buckets > 1 else F.lit(None).cast("int").alias(BUCKET)
-        names = set()
-        for row in hits.select(day.alias("day"), number).distinct().collect():
-            date = [part_name(row["day"])] if partitioned else []
-            names.add("/".join([*date, *[f"{BUCKET}={row[BUCKET]}"] * (buckets > 1)]))
-        return names
-
-    def _spread(self, rows: DataFrame, stats: BatchStats, buckets: int, also: Iterable[str] = ()) -> DataFrame:
+    def _spread(self, rows: DataFrame, places: int) -> DataFrame:
         """Group rows by partition before the write, so that a task does not open a file for every date.
 
         The rebalance hint lets Spark split a date that is larger than others over several tasks; without adaptive
-        execution every date is split by key. With a single date there is nothing to group, and the shuffle is left
+        execution every date is split by key. With a single place there is nothing to group, and the shuffle is left
         out.
         """
-        names = {part_name(d) for d in stats.dates} | set(also)
-        if stats.null_dates:
-            names.add(part_name(None))
-        if buckets > 1:
-            if BUCKET not in rows.columns:
-                rows = rows.withColumn(BUCKET, self._bucket(buckets))
-            place = [*([PARTITION_COLUMN] if self.spec.partition_column else []), BUCKET]
-            if self.spark.conf.get("spark.sql.adaptive.enabled") == "true":
-                return rows.hint("rebalance", *place)
-            return rows.repartition(*[F.col(c) for c in place])
-        if self.spec.partition_column is None or len(names) < 2:
+        if places < 2:
             return rows
         if self.spark.conf.get("spark.sql.adaptive.enabled") == "true":
-            return rows.hint("rebalance", PARTITION_COLUMN)
+            return rows.hint("rebalance", *self.places)
         tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        share = F.pmod(F.xxhash64(*self.spec.pks), F.lit(max(1, tasks // len(names))))
-        return rows.repartition(tasks, F.col(PARTITION_COLUMN), share)
-
-    def _write(self, rows: DataFrame, version: str, buckets: int) -> list[str]:
-        folder = f"{self.data}/{VERSION}={version}"
-        writer = rows.write.option("compression", "zstd")
-        place = [PARTITION_COLUMN] if self.spec.partition_column else []
-        if buckets > 1:
-            if BUCKET not in rows.columns:
-                rows = rows.withColumn(BUCKET, self._bucket(buckets))
-                writer = rows.write.option("compression", "zstd")
-            place = [*place, BUCKET]
-        if not place:
-            writer.parquet(folder)
-            return [WHOLE]
-        writer.partitionBy(*place).parquet(folder)
-        return self._part_folders(folder)
-
-    def _part_folders(self, folder: str) -> list[str]:
-        """The parts below the folder of a version."""
-        top = [n for n in self.files.names(folder) if n.startswith((f"{PARTITION_COLUMN}=", f"{BUCKET}="))]
-        out = []
-        for n in top:
-            inner = [] if n.startswith(BUCKET) else self.files.names(f"{folder}/{n}")
-            buckets = [f"{n}/{m}" for m in inner if m.startswith(f"{BUCKET}=")]
-            out += buckets or [n]
-        return out
-
-    def vacuum(self, keep_commits: int = KEEP_COMMITS) -> int:
-        """Delete old commits and the folders no kept commit names. Returns the number of folders deleted.
-
-        Don't run it next to a merge: folders of a commit that is not yet published would go.
-        """
-        versions = sorted(self._versions())
-        kept = versions[-max(1, keep_commits) :]
-        used = set()
-        for number in kept:
-            text = self.files.read_text(self._commit_file(number))
-            used |= set(Snapshot(**json.loads(text)).folders())
-        for number in versions[: -len(kept)]:
-            self.files.delete(self._commit_file(number))
-        deleted = 0
-        for version in self.files.names(self.data):
-            parts = self._part_folders(f"{self.data}/{version}")
-            folders = [f"{version}/{n}" for n in parts] or [version]
-            unused = [f for f in folders if f not in used]
-            if len(unused) == len(folders):
-                self.files.delete(f"{self.data}/{version}")
-            else:
-                for f in unused:
-                    self.files.delete(f"{self.data}/{f}")
-            deleted += len(unused)
-        return deleted
+        share = F.pmod(F.xxhash64(*self.spec.pks), F.lit(max(1, tasks // places)))
+        return rows.repartition(tasks, *[F.col(p) for p in self.places], share)
+
+    def _write(self, rows: DataFrame, overwrite: bool) -> None:
+        rows = rows.select(*self.schema.names)
+        if self.buckets > 1:
+            rows.write.insertInto(self.name, overwrite=overwrite)
+            return
+        writer = rows.write.option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
+        writer.mode("overwrite" if overwrite else "append").partitionBy(*self.places).parquet(self.path)
+
+    def rewrite(self, parts: Iterable[str]) -> None:
+        """Write partitions anew, in fewer files, after many appends."""
+        chosen = sorted(set(parts) & set(self.parts()))
+        if chosen:
+            self._write(self._spread(self._rows(chosen), 2), overwrite=True)
 
     def export_csv(self, target: str) -> None:
         """Write all rows as header-less CSV; fails if the target exists."""

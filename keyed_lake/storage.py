@@ -51,14 +51,22 @@ class Files:
         finally:
             stream.close()
 
+    def replace_folder(self, source: str, target: str) -> None:
+        """Put a folder in the place of another one."""
+        self.delete(target)
+        self.publish_folder(source, target)
+
     def publish_folder(self, staged: str, final: str) -> None:
         """Rename a finished folder into place; one step on HDFS and local disks, not on object stores."""
         self.mkdirs(final.rsplit("/", 1)[0])
         if not self._fs(staged).rename(self._path(staged), self._path(final)):
             raise IOError(f"can't publish {staged} as {final}")
 
-    def publish_text(self, path: str, text: str) -> None:
-        """Create a text file in one step (on file systems that rename in one step); raises if it is there already."""
+    def publish_text(self, path: str, text: str, replace: bool = False) -> None:
+        """Create a text file in one step (on file systems that rename in one step).
+
+        Raises if it is there already, unless it may be replaced.
+        """
         folder, name = path.rsplit("/", 1)
         self.mkdirs(folder)
         staged = f"{folder}/.{name}.{uuid.uuid4().hex}"
@@ -72,7 +80,7 @@ class Files:
         )
         rename = self._jvm.org.apache.hadoop.fs.Options.Rename
         mode = SparkContext._gateway.new_array(rename, 1)
-        mode[0] = rename.NONE
+        mode[0] = rename.OVERWRITE if replace else rename.NONE
         try:
             context.rename(
                 context.makeQualified(self._path(staged)), context.makeQualified(self._path(path)), mode
@@ -82,6 +90,37 @@ class Files:
             raise
 
 
+#: URI schemes of object stores whose rename copies object by object.
+NO_RENAME = ("s3", "s3a", "s3n", "gs", "oss", "cosn", "obs", "swift", "wasb", "wasbs")
+
+
+def needs_rename(path: str) -> None:
+    """Refuse a path on an object store without a rename in one step; appends and overwrites end with one."""
+    scheme = path.split("://", 1)[0].lower() if "://" in path else ""
+    if scheme in NO_RENAME:
+        raise ValueError(f"{scheme}:// has no rename in one step; keep logs in Kafka and tables in Delta there")
+
+
+def object_store_settings(path: str) -> dict[str, str]:
+    """Session settings for writing plain Parquet (scratch tables, exports) to a store: how a job commits its files.
+
+    `s3a` uploads parts and completes them at commit, without a rename; `abfs` and `gs` rename file by file under a
+    manifest. Other file systems need nothing. The classes are those of Spark's cloud module, which must be installed.
+    """
+    scheme = path.split("://", 1)[0].lower() if "://" in path else ""
+    if scheme not in ("s3a", "abfs", "abfss", "gs"):
+        return {}
+    settings = {
+        "spark.sql.sources.commitProtocolClass": "org.apache.spark.internal.io.cloud.PathOutputCommitProtocol",
+        "spark.sql.parquet.output.committer.class": "org.apache.spark.internal.io.cloud.BindingParquetOutputCommitter",
+    }
+    factory = "org.apache.hadoop.mapreduce.lib.output.committer.manifest.ManifestCommitterFactory"
+    if scheme == "s3a":
+        factory = "org.apache.hadoop.fs.s3a.commit.S3ACommitterFactory"
+        settings["spark.hadoop.fs.s3a.committer.name"] = "magic"
+    return settings | {f"spark.hadoop.mapreduce.outputcommitter.factory.scheme.{scheme}": factory}
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder for intermediate tables, under the shared folder in `spark.checkpoint.dir`.
 

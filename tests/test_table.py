@@ -1,12 +1,16 @@
+import os
+import shutil
 from datetime import datetime
 
 import pytest
 from conftest import make_spec, plan_of, rows_of
 from pyspark.sql import functions as F
 
-from keyed_lake.sources import table as table_module
+from keyed_lake.operators.keyfilter import key_filter
+from keyed_lake.operators.merge import apply_updates, match_keys, matched_places
+from keyed_lake.sources.changelog import ParquetLog
 from keyed_lake.sources.table import ParquetTable, export_csv
-from keyed_lake.storage import Files, scratch_folder
+from keyed_lake.storage import Files, object_store_settings, scratch_folder
 
 SPEC = make_spec("id long,at timestamp,v string", "id", "at", "at")
 
@@ -25,9 +29,13 @@ def table(spark, folder):
     return ParquetTable(spark, f"{folder}/table", SPEC).create()
 
 
+def files(table):
+    return {part: table._files_of(part) for part in table.parts()}
+
+
 def test_empty_table_has_the_columns_of_the_spec(table):
     assert table.read().schema == SPEC.table_schema and table.read().count() == 0
-    assert ParquetTable(table.spark, table.path, SPEC).create().snapshot().version == 0
+    assert ParquetTable(table.spark, table.path, SPEC).create().parts() == []
 
 
 def test_a_table_of_other_columns_is_refused(table):
@@ -40,18 +48,26 @@ def test_schema_when_all_dates_are_null(spark, table):
     assert table.read().schema == SPEC.table_schema and state(table) == [(1, "a")]
 
 
-def test_empty_batch_makes_no_commit(spark, table):
+def test_empty_batch_writes_nothing(spark, table):
     assert table.merge(batch(spark, (1, 1, "a")).where("false")).skipped
-    assert table.snapshot().version == 0
+    assert table.parts() == []
 
 
-def test_only_partitions_with_a_match_are_rewritten(spark, table):
-    table.merge(batch(spark, (1, 1, "a"), (2, 2, "a"), (3, 3, "a")))
-    done = table.merge(batch(spark, (1, 1, "b"), (9, 2, "b"), (8, 4, "b")))
+@pytest.mark.parametrize("limit", ["10MB", "-1", "40"], ids=["broadcast", "shuffle", "filter"])
+def test_only_partitions_with_a_match_are_rewritten(spark, table, limit):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        table.merge(batch(spark, (1, 1, "a"), (2, 2, "a"), (3, 3, "a")))
+        before = files(table)
+        done = table.merge(batch(spark, (1, 1, "b"), (9, 2, "b"), (8, 4, "b")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert done.rewritten == ("pt_date=2024-01-01",)
     assert done.appended == ("pt_date=2024-01-02", "pt_date=2024-01-04")
-    parts = table.snapshot().parts
-    assert len(parts["pt_date=2024-01-01"]) == 1 and len(parts["pt_date=2024-01-02"]) == 2
+    after = files(table)
+    assert after["pt_date=2024-01-03"] == before["pt_date=2024-01-03"]
+    assert set(before["pt_date=2024-01-02"]) < set(after["pt_date=2024-01-02"])
+    assert not set(before["pt_date=2024-01-01"]) & set(after["pt_date=2024-01-01"])
     assert state(table) == [(1, "b"), (2, "a"), (3, "a"), (8, "b"), (9, "b")]
 
 
@@ -67,19 +83,25 @@ def test_only_wanted_partitions_are_read(spark, table):
 def test_an_emptied_partition_goes(spark, table):
     table.merge(batch(spark, (1, 1, "a")))
     table.merge(batch(spark, (1, 2, "b")), "global")
-    assert list(table.snapshot().parts) == ["pt_date=2024-01-02"] and state(table) == [(1, "b")]
+    assert table.parts() == ["pt_date=2024-01-02"] and state(table) == [(1, "b")]
+
 
+def test_a_row_moves_into_a_partition_that_has_rows(spark, table):
+    table.merge(batch(spark, (1, 1, "a"), (2, 2, "a"), (3, 1, "a")))
+    done = table.merge(batch(spark, (1, 2, "b")), "global")
+    assert done.rewritten == ("pt_date=2024-01-01", "pt_date=2024-01-02") and done.appended == ()
+    assert rows_of(table.read(["2024-01-02"]), "id") == [(1,), (2,)] and rows_of(table.read(["2024-01-01"]), "id") == [(3,)]
 
-def test_a_partition_in_many_pieces_is_rewritten(spark, table, monkeypatch):
-    monkeypatch.setattr(table_module, "MAX_PIECES", 3)
+
+def test_many_appended_files_become_few(spark, table):
     for i in range(5):
         table.merge(batch(spark, (i, 1, "a")))
-    assert len(table.snapshot().parts["pt_date=2024-01-01"]) == 2
-    assert state(table) == [(i, "a") for i in range(5)]
+    assert len(files(table)["pt_date=2024-01-01"]) == 5
+    table.rewrite(["pt_date=2024-01-01", "pt_date=2024-01-09"])
+    assert len(files(table)["pt_date=2024-01-01"]) == 1 and state(table) == [(i, "a") for i in range(5)]
 
 
-def test_null_partition_is_not_matched_when_rewritten(spark, table, monkeypatch):
-    monkeypatch.setattr(table_module, "MAX_PIECES", 2)
+def test_null_partition_is_not_matched(spark, table):
     for i in range(4):
         table.merge(batch(spark, (1, None, f"n{i}"), (2, 1, f"d{i}")))
     assert state(table) == [(1, f"n{i}") for i in range(4)] + [(2, "d3")]
@@ -89,53 +111,80 @@ def test_a_batch_of_a_stream_is_applied_once(spark, table):
     table.merge(batch(spark, (1, 1, "a")), stream="s", batch_id=0)
     assert table.merge(batch(spark, (1, 1, "z")), stream="s", batch_id=0).skipped
     assert not table.merge(batch(spark, (1, 1, "c")), stream="other", batch_id=0).skipped
-    assert state(table) == [(1, "c")] and table.snapshot().applied == {"s": 0, "other": 0}
-
+    assert state(table) == [(1, "c")] and (table.applied("s"), table.applied("other"), table.applied("x")) == (0, 0, -1)
 
-def test_crash_between_data_and_commit(spark, table, monkeypatch):
-    table.merge(batch(spark, (1, 1, "a")), stream="s", batch_id=0)
-
-    def crash(self, snapshot):
-        raise RuntimeError("lost driver")
 
-    with monkeypatch.context() as patch:
-        patch.setattr(ParquetTable, "_publish", crash)
-        with pytest.raises(RuntimeError):
-            table.merge(batch(spark, (1, 1, "b"), (2, 2, "b")), stream="s", batch_id=1)
-    assert state(table) == [(1, "a")]
-    table.merge(batch(spark, (1, 1, "b"), (2, 2, "b")), stream="s", batch_id=1)
-    assert state(table) == [(1, "b"), (2, "b")]
+# one row stays, one moves away and empties its date, one is new, two never match
+BEFORE = [(1, 1, "a"), (2, 2, "a"), (3, 3, "a")]
+BATCH = [(1, 1, "b"), (2, 3, "b"), (4, 5, "b"), (None, 1, "n"), (None, 5, "n")]
+AFTER = [(None, "n"), (1, "b"), (2, "b"), (3, "a"), (4, "b")]
 
 
-def test_two_writers_can_not_both_commit(spark, table, monkeypatch):
-    other = ParquetTable(spark, table.path, SPEC)
-    write = ParquetTable._write
+@pytest.mark.parametrize("step", ["_write", "_drop_emptied", "append", "done", "_finish"])
+def test_a_crash_at_any_step_and_the_batch_again(spark, table, monkeypatch, step):
+    table.merge(batch(spark, *BEFORE), stream="s", batch_id=0)
+    real_write, real_note = ParquetTable._write, ParquetTable._note
 
-    def slow_write(self, rows, version, *more):
-        if self is table:
-            other.merge(batch(spark, (7, 1, "other")))
-        return write(self, rows, version, *more)
+    def crash(self, *args, **more):
+        raise RuntimeError("lost driver")
 
-    monkeypatch.setattr(ParquetTable, "_write", slow_write)
-    with pytest.raises(Exception, match="exist"):
-        table.merge(batch(spark, (1, 1, "a")))
-    assert state(table) == [(7, "other")]
+    def write(self, rows, overwrite):
+        if not overwrite:
+            real_write(self, rows.limit(1), overwrite)  # a part of the files is there
+            raise RuntimeError("lost driver")
+        real_write(self, rows, overwrite)
 
+    def note(self, pending):
+        real_note(self, pending)
+        if "done" in pending:
+            raise RuntimeError("lost driver")
 
-def test_a_reader_keeps_its_snapshot(spark, table):
-    table.merge(batch(spark, (1, 1, "a")))
-    before = table.read()
-    table.merge(batch(spark, (1, 1, "b")))
-    assert rows_of(before, "v") == [("a",)] and state(table) == [(1, "b")]
+    with monkeypatch.context() as patch:
+        if step == "append":
+            patch.setattr(ParquetTable, "_write", write)
+        elif step == "done":
+            patch.setattr(ParquetTable, "_note", note)
+        else:
+            patch.setattr(ParquetTable, step, crash)
+        with pytest.raises(RuntimeError):
+            table.merge(batch(spark, *BATCH), "global", stream="s", batch_id=1)
+    again = ParquetTable(spark, table.path, SPEC).create()
+    done = again.merge(batch(spark, *BATCH), "global", stream="s", batch_id=1)
+    assert done.skipped == (step in ("done", "_finish"))
+    assert state(again) == AFTER and "pt_date=2024-01-02" not in again.parts()
+    assert again.applied("s") == 1 and not Files(spark).exists(f"{table.path}/_pending.json")
 
 
-def test_vacuum_deletes_what_no_commit_names(spark, table):
-    for v in "abcd":
-        table.merge(batch(spark, (1, 1, v), (2, ord(v) - 90, v)), "partition")
-    assert table.vacuum(keep_commits=1) == 3
-    assert state(table) == [(1, "d")] + [(2, v) for v in "abcd"]
-    assert len(Files(spark).names(table.commits)) == 1
-    assert table.vacuum(keep_commits=1) == 0
+def test_a_crash_while_partitions_are_moved(spark, table, folder):
+    table.merge(batch(spark, (1, 1, "a"), (2, 2, "a"), (3, 3, "a")))
+    other = ParquetTable(spark, f"{folder}/other", SPEC).create()
+    other.merge(batch(spark, (1, 1, "b"), (2, 2, "b")))
+    # one partition is moved already, of the other only the old one is gone
+    staged = f"{table.path}/.spark-staging-x"
+    os.makedirs(staged)
+    shutil.rmtree(f"{table.path}/pt_date=2024-01-01")
+    shutil.rmtree(f"{table.path}/pt_date=2024-01-02")
+    shutil.copytree(f"{other.path}/pt_date=2024-01-01", f"{table.path}/pt_date=2024-01-01")
+    shutil.copytree(f"{other.path}/pt_date=2024-01-02", f"{staged}/pt_date=2024-01-02")
+    open(f"{staged}/_SUCCESS", "w").close()
+    # and a write that was not complete
+    os.makedirs(f"{table.path}/.spark-staging-y/pt_date=2024-01-03")
+    table.recover()
+    assert state(table) == [(1, "b"), (2, "b"), (3, "a")]
+    assert not [n for n in os.listdir(table.path) if n.startswith(".spark")]
+
+
+def test_object_stores_are_refused_and_have_committers(spark):
+    for path in ("s3a://b/t", "gs://b/t", "S3://b/t"):
+        with pytest.raises(ValueError, match="rename"):
+            ParquetTable(spark, path, SPEC).create()
+        with pytest.raises(ValueError, match="rename"):
+            ParquetLog(spark, path).create("t")
+    assert object_store_settings("/data/x") == {} == object_store_settings("hdfs://n/x")
+    s3, abfs = object_store_settings("s3a://b/x"), object_store_settings("abfss://c@a.dfs.core.windows.net/x")
+    assert s3["spark.hadoop.fs.s3a.committer.name"] == "magic" and "spark.hadoop.fs.s3a.committer.name" not in abfs
+    assert all("PathOutputCommitProtocol" in o["spark.sql.sources.commitProtocolClass"] for o in (s3, abfs))
+    assert "ManifestCommitterFactory" in abfs["spark.hadoop.mapreduce.outputcommitter.factory.scheme.abfss"]
 
 
 def test_large_dates_are_split_over_tasks(spark, table):
@@ -188,13 +237,6 @@ def test_dates_are_split_without_adaptive_execution(spark, table):
     assert len(table.read(["2024-01-01"]).inputFiles()) > 1 and table.read().count() == 3000
 
 
-def test_old_commit_files_go(spark, table, monkeypatch):
-    monkeypatch.setattr(table_module, "KEEP_COMMITS", 2)
-    for i in range(4):
-        table.merge(batch(spark, (i, 1, "a")))
-    assert sorted(table._versions()) == [3, 4] and len(state(table)) == 4
-
-
 # buckets
 
 
@@ -214,15 +256,15 @@ def bucketed(spark, folder):
 def test_one_key_rewrites_one_bucket(spark, bucketed, limit):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     try:
-        before = bucketed.snapshot()
-        assert len(before.parts) == 8
+        before = files(bucketed)
+        assert len(before) == 8 and all(len(names) == 1 for names in before.values())
         done = bucketed.merge(many(spark, 1, "new"), scope="batch")
-        after = bucketed.snapshot()
+        after = files(bucketed)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert len(done.rewritten) == 1
-    kept = [n for n in before.parts if n not in done.rewritten]
-    assert len(kept) == 7 and all(after.parts[n] == before.parts[n] for n in kept)
+    assert len(done.rewritten) == 1 and done.appended == ()
+    kept = [n for n in before if n not in done.rewritten]
+    assert len(kept) == 7 and all(after[n] == before[n] for n in kept)
     assert rows_of(bucketed.read().where("v = 'new'"), "id") == [(0,)]
     assert bucketed.read().count() == 2000
 
@@ -231,17 +273,95 @@ def test_buckets_hold_the_same_as_none(spark, folder):
     for spec in (make_spec("id long,ts timestamp,v string", "id", "ts", "ts"), make_spec("id long,ts timestamp,v string", "id", "ts")):
         columns = spec.table_columns
         batches = [many(spark, 300), many(spark, 40, "b", "2024-01-02"), many(spark, 500, "c"), many(spark, 3, "d", "2024-01-02")]
-        for scope in ("batch", "global"):
+        for scope, limit in (("batch", "10MB"), ("global", "-1")):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
             tables = [ParquetTable(spark, f"{folder}/{scope}-{spec.partition_by}-{n}", spec, buckets=n).create() for n in (1, 5)]
             for table in tables:
                 for batch in batches:
                     table.merge(batch.select(*columns), scope=scope)
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
             assert rows_of(tables[0].read()) == rows_of(tables[1].read())
-            assert ParquetTable(spark, tables[1].path, spec).create().snapshot().buckets == 5
-            assert tables[1].vacuum(1) > 0 and rows_of(tables[0].read()) == rows_of(tables[1].read())
+            assert ParquetTable(spark, tables[1].path, spec).create().buckets == 5
+            assert rows_of(spark.newSession().table(tables[1].name).select(*columns)) == rows_of(tables[0].read())
 
 
 def test_reading_dates_of_a_bucketed_table(spark, bucketed):
     bucketed.merge(many(spark, 10, "x", "2024-02-02"), scope="partition")
     assert bucketed.read(["2024-02-02"]).count() == 10
     assert bucketed.read(["2024-01-01"]).count() == 2000
+
+
+@pytest.mark.parametrize("scope", ["global", "partition"])
+def test_a_bucketed_target_is_not_shuffled(spark, bucketed, scope):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keys = match_keys(bucketed.spec.pks, scope)
+        updates = bucketed._dealt(many(spark, 500, "c")).selectExpr("*", "null _log_offset", "null _log_source")
+        target = bucketed._rows(bucketed.parts())
+        changed = plan_of(apply_updates(target, updates, keys, dealt=["id"]))
+        places = plan_of(matched_places(target, updates, keys, bucketed.places, dealt=["id"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for plan in (changed, places):
+        assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+        exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(id#" in line]
+        assert len(exchanges) == 1  # the batch
+    assert changed.count("Exchange") == 1
+
+
+# the key filter
+
+
+def shuffled(df):
+    """The rows that shuffles of the plan wrote."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    plan, total = [df._jdf.queryExecution().executedPlan()], 0
+    while plan:
+        node = plan.pop()
+        if node.nodeName() == "Exchange":
+            total += node.metrics().apply("shuffleRecordsWritten").value()
+        plan += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def test_target_rows_without_a_possible_match_are_not_shuffled(spark):
+    target = spark.range(0, 60_000, 1, 4).selectExpr("id", "id % 7 as part", "cast(null as string) v")
+    updates = spark.range(59_000, 61_000, 1, 2).selectExpr("id", "id % 7 as part", "'new' v")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        may_match = key_filter(updates, ["id"], 2000, 1 << 20)
+        all_rows = shuffled(matched_places(target, updates, ["id"], ["part"]))
+        some = matched_places(target, updates, ["id"], ["part"], may_match=may_match)
+        assert some.count() == 1000
+        few = shuffled(some)
+        maybe, surely_not = may_match.split(target)
+        assert maybe.count() < 1000 + 0.05 * 60_000 and maybe.count() + surely_not.count() == 60_000
+        assert "Exchange hash" not in plan_of(surely_not).replace("hashpartitioning(_word", "")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert all_rows >= 62_000 and few < 12_000
+
+
+def test_no_filter_beyond_its_size(spark):
+    updates = spark.range(10)
+    assert key_filter(updates, ["id"], 10_000_000, 1 << 20) is None
+    assert key_filter(updates, ["id"], 10, -1) is None
+    nulls = spark.sql("select cast(null as long) id")
+    maybe, surely_not = key_filter(updates, ["id"], 10, 1 << 20).split(nulls.unionAll(updates))
+    assert (maybe.count(), surely_not.count()) == (10, 1)
+
+
+def test_a_large_batch_with_a_filter_merges_like_any(spark, folder):
+    batches = [many(spark, 3000), many(spark, 200, "b", "2024-01-02"), many(spark, 300, "c"), many(spark, 3, "d", "2024-01-02")]
+    results = []
+    for limit in ("10MB", "8000", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        table = ParquetTable(spark, f"{folder}/{limit}", make_spec("id long,ts timestamp,v string", "id", "ts", "ts")).create()
+        for rows in batches:
+            table.merge(rows, scope="global")
+        results.append(rows_of(table.read()))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert results[0] == results[1] == results[2] and len(results[0]) == 3000
