@@ -53,6 +53,13 @@ def keep_latest_text(df: DataFrame, spec: TableSpec, mode: str = "safe") -> Data
     return keep_latest(df, spec.pks, as_typed(spec.order_by), as_typed(others))
 
 
+def latest_records(log: DataFrame, keys: Sequence[str] = ("partition", "key")) -> DataFrame:
+    """The last record per key and log partition, as an aggregate that also runs on a stream, with the records as state."""
+    rest = [c for c in log.columns if c not in keys]
+    last = F.max_by(F.struct(*rest), F.col("offset")).alias("_last")
+    return log.groupBy(*keys).agg(last).select(*[c if c in keys else F.col(f"_last.{c}").alias(c) for c in log.columns])
+
+
 def compact(log: DataFrame, keys: Sequence[str] = ("partition", "key")) -> DataFrame:
     """Keep the last record per key and log partition. Offsets stay as they were, so gaps appear."""
     return keep_latest(log, keys, ["offset"])

@@ -61,7 +61,7 @@ _MERGE_BATCH = _merged("t.user_id = b.user_id and t.pt_date in (select pt_date f
 
 def _upsert(target: str, batch: str) -> str:
     """Rows of the target in one of the batch's dates are replaced by key, the other rows of the batch added."""
-    columns = "event_id, ts, user_id, event_type, value, pt_date"
+    columns = "event_id, ts, user_id, event_type, value, props, pt_date"
     b = ", ".join(f"b.{c}" for c in columns.split(", "))
     match = f"t.user_id = b.user_id and t.pt_date in (select pt_date from {batch})"
     return f"""
@@ -73,7 +73,8 @@ def _upsert(target: str, batch: str) -> str:
 
 _SCOPED = f"""
     with s as (
-        select event_id, ts, user_id, event_type, value, cast(ts as date) as pt_date from events
+        select event_id, ts, user_id, event_type, value, replace(translate(props, ',"', ';~'), '~', chr(39)) as props, cast(ts as date) as pt_date
+        from events
         qualify row_number() over (partition by event_id % 3, user_id order by ts desc, event_id desc) = 1
     ),
     b0 as (select * from s where event_id % 3 = 0),
@@ -174,6 +175,29 @@ def registered() -> dict[str, str]:
             from events order by event_id desc limit 100
         """,
         "log_stats": "select count(*) as records, cast(max(event_id) as varchar) as last_value from events",
+        "compact_stream": _by_slices(4),
+        "log_counts": "select count(*) as records, cast(max(event_id) as varchar) as last_value from events",
+        "rekey_state": f"""
+            select user_id, event_type, event_id, value, cast(0 as bigint) as late from events qualify {_LATEST}
+        """,
+        "audit_observed": """
+            select (select count(*) from (select distinct event_id % 3, user_id from events))
+                   + (select count(*) from events where event_id % 10 = 0) as records,
+                   (select count(*) from events where event_id % 10 = 0) as bad_records, cast(0 as bigint) as out_of_order
+        """,
+        "archived_csv": f"select {_E} from events",
+        "apply_latest": f"""
+            select {_ED} from events where event_id % 3 > 0
+            qualify row_number() over (partition by user_id order by event_id % 3 desc, ts desc, event_id desc) = 1
+        """,
+        "merge_empty_batches": f"""
+            select {_ED}, 1 as skipped from events
+            qualify row_number() over (partition by user_id order by hour(ts) // 8 desc, ts desc, event_id desc) = 1
+        """,
+        "table_date_counts": """
+            select cast(ts as date) as pt_date, count(*) as records, min(event_id) as least_event_id, max(event_id) as most_event_id
+            from events group by 1
+        """,
         "compact_incremental": f"""
             with s as (
                 select {_ED}, event_id % 4 as slice from events

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,20 +16,23 @@ from keyed_lake.functions.codec import BAD, decode, encode, encode_key, encode_v
 from keyed_lake.operators.dedup import compact, keep_latest, keep_latest_text
 from keyed_lake.operators.merge import merge_frames
 from keyed_lake.operators.replay import replay
-from keyed_lake.operators.stats import batch_stats, count_rows, log_stats, log_tail
+from keyed_lake.operators.stats import batch_stats, count_rows, log_stats
 from keyed_lake.sources.changelog import ParquetLog
+from keyed_lake.sources.csv import ARCHIVE_FOLDER
 from keyed_lake.sources.table import ParquetTable, export_csv
 from keyed_lake.spec import PARTITION_COLUMN, TableSpec, parse_specs
 from keyed_lake.storage import scratch_folder
-from keyed_lake.streaming.audit import AUDIT_SCHEMA, audit_records, read_audit, wait_for_count, watch_log
+from keyed_lake.streaming.audit import AUDIT_SCHEMA, ProgressAudit, audit_records, read_audit, wait_for_count, watch_log
 from keyed_lake.streaming.pipelines import (
     apply_all,
     apply_log,
     await_all,
+    compact_stream,
     csv_to_records,
     ingest_all,
     ingest_csv,
     rekey_log,
+    rekey_newest,
     rekey_records,
 )
 
@@ -362,8 +365,39 @@ def compact_log(spark, sf_dir):
     return plain(decode(target.scan(), EVENTS).select(*EVENTS.table_columns))
 
 
+def compact_continuous(spark, sf_dir):
+    """Four batches, compacted by a stream that is stopped and started again after two: the last record per key."""
+    log = _new_log(spark, "compact-stream")
+    target = ParquetLog(spark, scratch_folder(spark, "compacted-stream"))
+    work = scratch_folder(spark, "compact-stream-cp")
+    for i, batch in enumerate(_slices(events(spark, sf_dir), 4)):
+        log.append(csv_to_records(as_text(batch), EVENTS), "slices", i)
+        if i % 2:
+            compact_stream(spark, log, target, f"{work}/cp", available_now=True).awaitTermination()
+    return plain(decode(compact(target.scan()), EVENTS).select(*EVENTS.table_columns))
+
+
 def log_tail_query(spark, sf_dir):
-    return log_tail(_events_log(spark, sf_dir, "tail").scan(), 100).select("key", "value")
+    """The newest records of a log of four batches; only batches that may hold one are opened."""
+    log = _new_log(spark, "tail")
+    rows = events(spark, sf_dir)
+    quarter = F.ntile(4).over(Window.orderBy("event_id"))
+    bounds = rows.select("event_id", quarter.alias("q")).groupBy("q").agg(F.max("event_id").alias("last")).orderBy("q").collect()
+    first = None
+    for i, (_, last) in enumerate(bounds):
+        part = rows.where(F.col("event_id") <= last)
+        part = part if first is None else part.where(F.col("event_id") > first)
+        first = last
+        records = part.select(F.col("user_id").alias("key"), F.col("event_id").alias("value"), "event_id")
+        log.append(records, "quarters", i, order_by=["event_id"])
+    return log.tail(100).select("key", "value")
+
+
+def log_counts(spark, sf_dir):
+    """Records of a log by file footers, and the newest record."""
+    log = _events_log(spark, sf_dir, "counts")
+    records = log.counts().agg(F.sum("records")).head()[0]
+    return log.tail(1).select(F.lit(records).alias("records"), F.col("value").alias("last_value"))
 
 
 def log_stats_query(spark, sf_dir):
@@ -393,7 +427,7 @@ def log_watch(spark, sf_dir):
     """What a look at a log of all events reports: the number of records, over all log partitions."""
     log = _new_log(spark, "watch")
     log.append(encode(dated(spark, sf_dir), EVENTS), "whole", 0)
-    _, stats = next(watch_log(log.scan))
+    _, stats = next(watch_log(log))
     return stats.agg(F.sum("records").alias("records"))
 
 
@@ -423,6 +457,21 @@ def ingest_csv_query(spark, sf_dir):
     return plain(decode(log.scan(), EVENTS).select(*EVENTS.table_columns))
 
 
+def archived_csv(spark, sf_dir):
+    """All events as CSV files, ingested file by file: what lies in the archive and what is still in place are all lines."""
+    work = scratch_folder(spark, "archive")
+    for i, batch in enumerate(_slices(events(spark, sf_dir).withColumn("ts", F.date_format("ts", _MICROS)), 4)):
+        batch.coalesce(1).write.option("escape", '"').csv(f"{work}/csv/{EVENTS.csv_folder}/{i}")
+    log = ParquetLog.for_spec(spark, f"{work}/logs", EVENTS)
+    for _ in range(2):  # the second start moves what the first left
+        ingest_csv(
+            spark, EVENTS, f"{work}/csv", log, f"{work}/cp", max_files_per_trigger=1, csv_options={"escape": '"'},
+            available_now=True,
+        ).awaitTermination()
+    lines = spark.read.schema(EVENTS.row_schema).option("escape", '"').option("recursiveFileLookup", "true")
+    return plain(lines.option("pathGlobFilter", "*.csv").csv([f"{work}/csv/{EVENTS.csv_folder}", f"{work}/csv/{ARCHIVE_FOLDER}"]))
+
+
 def csv_to_table(spark, sf_dir):
     """CSV files to log to table, both steps as streams."""
     work = scratch_folder(spark, "pipeline")
@@ -500,6 +549,56 @@ def rekey_stream_dedup(spark, sf_dir):
     return _rekey_stream(spark, sf_dir, True)
 
 
+def rekey_state(spark, sf_dir):
+    """Every event by type, in three log batches that overlap in time: what a reader of the new log holds per user.
+
+    A record that is older than one before would take its place; `late` counts those.
+    """
+    work = scratch_folder(spark, "rekey-state")
+    spec = replace(EVENTS, order_by=("ts", "event_id"), max_offsets_per_trigger=1)
+    source = ParquetLog(spark, f"{work}/source").create("events")
+    target = ParquetLog(spark, f"{work}/target").create("types")
+    payload = F.to_json(F.struct("user_id", "event_id", F.unix_micros("ts").alias("at"), "value"))
+    for i, batch in enumerate(_slices(dated(spark, sf_dir), 3)):
+        source.append(encode(batch, spec), "slices", i)
+        await_all(spark, rekey_newest(
+            spark, spec, source, target, f"{work}/cp", "event_type", payload, "3650 days", available_now=True
+        ))
+    fields = "user_id long, event_id long, at long, value double"
+    rows = target.scan().select("key", "offset", F.from_json("value", fields).alias("r")).select("key", "offset", "r.*")
+    before = F.lag(F.struct("at", "event_id")).over(Window.partitionBy("user_id").orderBy("offset"))
+    rows = rows.withColumn("late", before > F.struct("at", "event_id"))
+    held = rows.groupBy("user_id").agg(
+        F.max_by(F.struct("key", "event_id", "value"), "offset").alias("r"), F.count_if("late").alias("late")
+    )
+    return held.select("user_id", F.col("r.key").alias("event_type"), "r.event_id", "r.value", "late")
+
+
+def audit_observed(spark, sf_dir):
+    """Rows and bad rows of all micro-batches as the stream observed them, and batches with times out of order."""
+    work = scratch_folder(spark, "audit-observed")
+    log = ParquetLog(spark, f"{work}/log").create("events")
+    _append_slices(spark, sf_dir, log, 3)
+    junk = events(spark, sf_dir).where("event_id % 10 = 0").select(F.col("user_id").alias("key"), F.lit("junk").alias("value"))
+    log.append(junk, "junk", 0)
+    table = ParquetTable(spark, f"{work}/table", EVENTS)
+    audit = ProgressAudit(spark, f"{work}/audit")
+    spark.streams.addListener(audit)
+    try:
+        query = apply_log(
+            spark, replace(EVENTS, max_offsets_per_trigger=1), log, table, f"{work}/cp", scope="global", start="earliest",
+            audit=audit, available_now=True,
+        )
+        query.awaitTermination()
+        audit.wait(query)
+    finally:
+        spark.streams.removeListener(audit)
+    late = (F.col("log_time") > F.col("fetch_time")) | (F.col("merge_ms") > F.col("batch_ms"))
+    return audit.read().agg(
+        F.sum("batch_size").alias("records"), F.sum("bad_rows").alias("bad_records"), F.count_if(late).alias("out_of_order")
+    )
+
+
 def rekey_then_apply(spark, sf_dir):
     """Every event under a new key in another log, applied one file at a time: the last event of each type stays."""
     work = scratch_folder(spark, "rekey-apply")
@@ -527,12 +626,13 @@ def ingest_quarantine(spark, sf_dir):
     """All events as CSV, some lines damaged: good rows in the log (one a key) and lines put aside, by kind of damage."""
     work = scratch_folder(spark, "ingest-quarantine")
     spec = replace(EVENTS, pks=("event_id",), order_by=("event_id",))
-    rows = events(spark, sf_dir).withColumn("ts", F.date_format("ts", _MICROS)).select("event_id", "ts", "user_id", "event_type", "value")
+    rows = events(spark, sf_dir).withColumn("ts", F.date_format("ts", _MICROS))
     kind = F.col("event_id") % 10
     text = F.concat_ws(
         ",", F.when(kind == 3, F.lit("")).otherwise(F.col("event_id").cast("string")),
         F.when(kind == 5, F.lit("soon")).otherwise(F.col("ts")),
-        *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("user_id", "event_type", "value")], F.lit("x"),
+        *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("user_id", "event_type", "value")],
+        F.translate(F.coalesce("props", F.lit("")), ',"', ";'"),
         F.when(kind == 7, F.lit("surplus")),
     )
     rows.select(text.alias("line")).write.text(f"{work}/csv/events/first")
@@ -547,6 +647,36 @@ def ingest_quarantine(spark, sf_dir):
     return count_rows(bad.select(kinds.alias("kind")).unionByName(good), ["kind"])
 
 
+def apply_latest(spark, sf_dir):
+    """A stream from the end of the log on, stopped and started after every batch: all but the first batch."""
+    work = scratch_folder(spark, "apply-latest")
+    log = ParquetLog(spark, f"{work}/log").create("events")
+    table = ParquetTable(spark, f"{work}/table", EVENTS)
+    for i, batch in enumerate(_slices(events(spark, sf_dir), 3)):
+        log.append(csv_to_records(as_text(batch), EVENTS), "slices", i)
+        apply_log(spark, EVENTS, log, table, f"{work}/cp", scope="global", available_now=True).awaitTermination()
+    return plain(table.read())
+
+
+def merge_empty_batches(spark, sf_dir):
+    """Batches of every eighth hour, those without an event among them; an empty one leaves the table as it is."""
+    table = _table(spark, EVENTS, "merge-empty")
+    rows = dated(spark, sf_dir)
+    skipped = 0
+    for hour in (0, 8, 24, 16):
+        batch = rows.where(F.hour("ts").between(hour, hour + 7))
+        skipped += table.merge(batch, scope="global", stream="hours", batch_id={0: 0, 8: 1, 24: 2, 16: 3}[hour]).skipped
+    return plain(table.read()).withColumn("skipped", F.lit(skipped))
+
+
+def table_date_counts(spark, sf_dir):
+    """Rows, least and greatest key per date of a table of all events, from the footers of its files."""
+    spec = replace(EVENTS, pks=("event_id",), order_by=("event_id",))
+    table = _table(spark, spec, "date-counts")
+    table.merge(dated(spark, sf_dir), scope="partition")
+    return table.counts(extremes=["event_id"])
+
+
 def apply_stream_batch_scope(spark, sf_dir):
     """Three log batches, each latest per user and applied by itself, in the scope of its own dates."""
     return plain(_scoped(spark, sf_dir, "batch", "safe").read())
@@ -559,9 +689,11 @@ def apply_stream_compat(spark, sf_dir):
 def _scoped(spark, sf_dir, scope: str, mode: str) -> ParquetTable:
     work = scratch_folder(spark, f"scope-{scope}-{mode}")
     log = ParquetLog(spark, f"{work}/log").create("events")
-    spec = replace(EVENTS, columns=EVENTS.columns[:-1], types=EVENTS.types[:-1], order_by=("ts", "event_id"))
+    spec = replace(EVENTS, order_by=("ts", "event_id"))
     table = ParquetTable(spark, f"{work}/table", spec)
-    for i, batch in enumerate(_slices(events(spark, sf_dir).drop("props"), 3)):
+    # without commas, which the compat form can't carry
+    rows = events(spark, sf_dir).withColumn("props", F.translate("props", ',"', ";'"))
+    for i, batch in enumerate(_slices(rows, 3)):
         log.append(csv_to_records(as_text(batch), spec, mode), "slices", i)
         # stopped and started again after every batch
         apply_log(
@@ -668,6 +800,14 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "replay_idempotent": replay_idempotent,
         "compact_log": compact_log,
         "compact_incremental": compact_incremental,
+        "compact_stream": compact_continuous,
+        "log_counts": log_counts,
+        "rekey_state": rekey_state,
+        "audit_observed": audit_observed,
+        "archived_csv": archived_csv,
+        "apply_latest": apply_latest,
+        "merge_empty_batches": merge_empty_batches,
+        "table_date_counts": table_date_counts,
         "log_tail": log_tail_query,
         "log_stats": log_stats_query,
         "log_watch": log_watch,

@@ -3,13 +3,13 @@
 Layout of a log folder:
 
     settings.json                                             number of partitions, number of the first batch, ...
+    _writers/<writer>                                         the last batch of a writer
     data/block=<n>/batch=<number>-<rows>-<bytes>-<writer>-<id>/   one folder per appended batch, 10,000 in a block
     _staging/...                                              batches being written
 
-A batch is written aside and renamed into `data` when complete. Where renaming a folder is one step (HDFS, local disks), a
-reader sees all of it or nothing; object stores don't promise that. The name carries the writer and its batch id: a
-batch that is there already is not written again. Only the newest two blocks are searched for it, as a writer repeats
-its last batch only.
+A batch is written aside and renamed into `data` when complete, in one step: a reader sees all of it or nothing. Before
+that, the writer's last batch is noted with the name of its folder, so a batch that runs again is found whatever
+others have written since.
 
 An offset is the batch number times 2**64 and the row's place in the write, so offsets grow from batch to batch without
 a limit on rows or tasks, but leave gaps, as in a compacted topic. Batch numbers go on when a log is created anew.
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyed_lake.operators.dedup import compact
+from keyed_lake.operators.stats import log_tail, metadata_counts
 from keyed_lake.spec import TableSpec
 from keyed_lake.storage import Files, needs_rename
 
@@ -45,6 +46,7 @@ STREAM_SCHEMA = T.StructType(
 )
 ROWS_PER_FILE = 1_000_000
 STARTS = ("latest", "earliest")
+COMPACTION = "compaction"  # the writer of compacted batches; streams add their id
 
 _STEP = 1 << 64  # between the first offsets of two batches
 _BLOCK = 10_000  # batches per block folder
@@ -131,8 +133,13 @@ class ParquetLog:
         chosen = blocks if newest_blocks is None else blocks[-newest_blocks:]
         return [n for b in chosen for n in self.files.names(f"{self.data}/{b}") if n.startswith("batch=")]
 
-    def _find(self, writer: str, batch_id: int) -> str | None:
-        return next((b for b in self.batches(2) if b.split("-", 3)[3] == f"{writer}-{batch_id}"), None)
+    def _written(self, writer: str, batch_id: int) -> bool:
+        """Whether a writer's batch is in the log: an earlier one than its last, or its last with its folder."""
+        note = f"{self.path}/_writers/{writer}"
+        if not self.files.exists(note):
+            return False
+        last = json.loads(self.files.read_text(note))
+        return batch_id < last["batch"] or (batch_id == last["batch"] and self.files.exists(f"{self.data}/{last['folder']}"))
 
     def next_number(self) -> int:
         batches = self.batches(1)
@@ -156,27 +163,30 @@ class ParquetLog:
         batch_id: int,
         order_by: list[str] | None = None,
         rows_per_file: int | None = None,
+        keep_offsets: bool = False,
     ) -> Appended:
         """Append `key`, `value` (and optionally `timestamp`) records as one batch.
 
-        A batch with the same writer and id is written once. Records of one batch are ordered by `order_by` if given;
-        this matters only when a key occurs more than once in the batch.
+        The batches of a writer have rising ids and are written once. Records of one batch are ordered by `order_by` if
+        given; this matters only when a key occurs more than once in the batch. With `keep_offsets`, whole log records
+        keep their partition and offset, as in a compacted log.
         """
         if "-" in str(batch_id):
             raise ValueError("batch_id must not be negative")
-        if self._find(writer, batch_id):
+        if self._written(writer, batch_id):
             return Appended(0, None, skipped=True)
         stamp = F.col("timestamp").cast("timestamp") if "timestamp" in records.columns else F.current_timestamp()
         if order_by:
             # a range sort splits by the full order, so a frequent key does not end in one task
             records = records.orderBy(*order_by)
         number = self.next_number()
+        key = F.col("key").cast("string")
         rows = records.select(
-            F.col("key").cast("string").alias("key"),
+            key.alias("key"),
             F.col("value").cast("string").alias("value"),
             F.lit(self.settings["topic"]).alias("topic"),
-            partition_of(F.col("key").cast("string"), self.settings["partitions"]).alias("partition"),
-            _row_offset(number).alias("offset"),
+            F.col("partition") if keep_offsets else partition_of(key, self.settings["partitions"]).alias("partition"),
+            F.col("offset") if keep_offsets else _row_offset(number).alias("offset"),
             stamp.alias("timestamp"),
         )
         return self._publish(rows, number, writer, batch_id, rows_per_file or ROWS_PER_FILE)
@@ -196,21 +206,43 @@ class ParquetLog:
             self.files.delete(staged)
             return Appended(0, None)
         name = f"batch={number:0{_DIGITS}d}-{written}-{self.files.size(staged)}-{writer}-{batch_id}"
-        self.files.publish_folder(staged, f"{self.data}/{_block(number)}/{name}")
+        folder = f"{_block(number)}/{name}"
+        self.files.publish_text(f"{self.path}/_writers/{writer}", json.dumps({"batch": batch_id, "folder": folder}), replace=True)
+        self.files.publish_folder(staged, f"{self.data}/{folder}")
         return Appended(written, int(end))
 
     def scan(self, after: int | None = None) -> DataFrame:
         """All records as a bounded table, or those of the batches after a number."""
         reader = self.spark.read.schema(STREAM_SCHEMA).option("basePath", self.data)
-        if after is None:
+        if after is None or after < 0:
             return reader.parquet(self.data).select(*LOG_COLUMNS)
-        newer = [
-            f"{self.data}/{block}/{name}"
-            for block in self._blocks() if block >= _block(after + 1)
-            for name in self.files.names(f"{self.data}/{block}") if name.startswith("batch=") and _number(name) > after
-        ]
-        records = reader.parquet(*newer) if newer else reader.parquet(self.data).where("false")
-        return records.select(*LOG_COLUMNS)
+        newer = self.next_number() - 1 > after and self.batches(1)
+        return (reader.parquet(self._glob_from(after + 1)) if newer else reader.parquet(self.data).where("false")).select(*LOG_COLUMNS)
+
+    def tail(self, n: int = 100) -> DataFrame:
+        """The newest `n` records. Batches are opened from the newest one back, until they hold as many.
+
+        In a compacted log a batch may repeat an older record, so there the whole log is read.
+        """
+        chosen, rows = [], 0
+        for block in reversed(self._blocks()):
+            for name in reversed(self.files.names(f"{self.data}/{block}")):
+                if name.startswith("batch=") and rows < n:
+                    if name.split("-", 3)[3].startswith(COMPACTION):
+                        return log_tail(self.scan(), n)
+                    chosen.append(f"{self.data}/{block}/{name}")
+                    rows += int(name.split("-", 3)[1])
+            if rows >= n:
+                break
+        reader = self.spark.read.schema(STREAM_SCHEMA).option("basePath", self.data)
+        return log_tail((reader.parquet(*chosen) if chosen else self.scan()).select(*LOG_COLUMNS), n)
+
+    def counts(self) -> DataFrame:
+        """batch, records of every batch in the log, from the footers of its files."""
+        return metadata_counts(self.spark, self.data, STREAM_SCHEMA, ["block", "batch"]).select("batch", "records")
+
+    def _glob_from(self, number: int) -> str:
+        return f"{self.data}/{{{','.join(p.removeprefix(f'{self.data}/') for p in self._paths_from(number))}}}"
 
     def _paths_from(self, number: int) -> list[str]:
         """Glob paths of the batches from a number on; folders of older ones are not opened."""
@@ -238,8 +270,7 @@ class ParquetLog:
             reader = reader.option("maxBytesPerTrigger", str(max(1, int(max_records * self.bytes_per_row()))))
         if first is None:
             return reader.parquet(self.data).select(*LOG_COLUMNS)
-        inner = ",".join(p.removeprefix(f"{self.data}/") for p in self._paths_from(first))
-        return reader.parquet(f"{self.data}/{{{inner}}}").select(*LOG_COLUMNS)
+        return reader.parquet(self._glob_from(first)).select(*LOG_COLUMNS)
 
     def _first_number(self, start: str, checkpoint: str) -> int | None:
         """The batch a stream begins with. A `latest` start is kept beside the checkpoint for the next start."""
@@ -260,12 +291,12 @@ class ParquetLog:
         """
         target.create(self.settings["topic"], self.settings["partitions"], self.settings["compact"])
         done = target.batches(1)
-        if done and not done[-1].split("-", 3)[3].startswith("compaction-"):
+        if done and not done[-1].split("-", 3)[3].startswith(f"{COMPACTION}-"):
             raise ValueError(f"the log at {target.path} holds other records; compact into one of its own")
         last, newest = (_number(done[-1]) if done else None), self.next_number() - 1
         if newest < 0 or (last is not None and last >= newest) or not self.batches(1):
             return Appended(0, None, skipped=True)
-        return target._publish(compact(self.scan(last)), newest, "compaction", newest, ROWS_PER_FILE)
+        return target._publish(compact(self.scan(last)), newest, COMPACTION, newest, ROWS_PER_FILE)
 
 
 def _number(batch: str) -> int:

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from keyed_lake.operators.dedup import keep_latest
 from keyed_lake.operators.keyfilter import key_filter
 from keyed_lake.operators.merge import CONFLICTS, apply_updates, check_scope, match_keys, matched_places, unmatched
-from keyed_lake.operators.stats import BatchStats, batch_stats
+from keyed_lake.operators.stats import BatchStats, batch_stats, metadata_counts
 from keyed_lake.spec import PARTITION_COLUMN, TableSpec
 from keyed_lake.storage import Files, needs_rename, scratch_folder
 
@@ -375,6 +375,11 @@ class ParquetTable:
         if chosen:
             self._write(self._spread(self._rows(chosen), 2), overwrite=True)
 
+    def counts(self, by_date: bool = True, extremes: Sequence[str] = ()) -> DataFrame:
+        """Rows (and least and most of number and date columns) per date or in all, from the footers of the files."""
+        by = [PARTITION_COLUMN] if by_date and self.dated else []
+        return metadata_counts(self.spark, self.path, self.schema, by, extremes)
+
     def export_csv(self, target: str) -> None:
         """Write all rows as header-less CSV; fails if the target exists."""
         export_csv(self.read(), target)

@@ -7,25 +7,28 @@ without it a restart would pass over what came in while the job was down.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from keyed_lake.functions.codec import BAD, check_mode, decode, encode, rekey, unreadable, with_partition_date
-from keyed_lake.operators.dedup import keep_latest, keep_latest_text
+from keyed_lake.operators.dedup import keep_latest, keep_latest_text, latest_records
 from keyed_lake.operators.merge import check_scope
 from keyed_lake.operators.stats import BatchStats, batch_stats
-from keyed_lake.sources.changelog import ParquetLog, rows_per_file
+from keyed_lake.sources.changelog import COMPACTION, ParquetLog, rows_per_file
 from keyed_lake.sources.csv import CORRUPT, csv_stream, has_csv_folder
 from keyed_lake.sources.delta import DeltaTable
 from keyed_lake.sources.kafka import KafkaLog
 from keyed_lake.sources.table import SOURCE, ParquetTable
 from keyed_lake.spec import TableSpec
 from keyed_lake.storage import Files
-from keyed_lake.streaming.audit import append_audit, now
+from keyed_lake.streaming.newest import newest_records
+from keyed_lake.streaming.audit import ProgressAudit, append_audit, now, observe_batches
 
 
 def _query_id(df: DataFrame) -> str:
@@ -40,15 +43,24 @@ def _start(
     name: str,
     seconds: float | None,
     available_now: bool,
+    output_mode: str = "append",
 ) -> StreamingQuery:
+    """Every query runs in a scheduler pool of its own: with `spark.scheduler.mode=FAIR` a large table doesn't hold up others."""
     if not checkpoint:
         raise ValueError("a checkpoint folder is required")
     writer = stream.writeStream.queryName(name).foreachBatch(handle).option("checkpointLocation", checkpoint)
+    writer = writer.outputMode(output_mode)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif seconds is not None:
         writer = writer.trigger(processingTime=f"{seconds} seconds")
-    return writer.start()
+    context = stream.sparkSession.sparkContext
+    before = context.getLocalProperty("spark.scheduler.pool")
+    context.setLocalProperty("spark.scheduler.pool", name)
+    try:
+        return writer.start()
+    finally:
+        context.setLocalProperty("spark.scheduler.pool", before)
 
 
 # CSV -> log
@@ -159,24 +171,31 @@ def apply_log(
     scope: str = "batch",
     on_conflict: str = "last_batch",
     start: str = "latest",
-    audit: str | ParquetLog | KafkaLog | None = None,
+    audit: str | ParquetLog | KafkaLog | ProgressAudit | None = None,
     quarantine: str | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Stream a log into its table, one commit per micro-batch. Audit rows go to a folder or, as JSON, to a log."""
+    """Stream a log into its table, one merge per micro-batch.
+
+    Audit rows go to a folder or, as JSON, to a log. With a `ProgressAudit` they come from metrics that the stream
+    itself observes.
+    """
     check_mode(mode)
     check_scope(scope, spec.partition_column is not None)
-    audit = audit or f"{table.path}/_audit"
+    observed = isinstance(audit, ProgressAudit)
+    per_batch = None if observed else audit or f"{table.path}/_audit"
     quarantine = quarantine or f"{table.path}/_quarantine"
     table.create()
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(batch, table, _query_id(batch), batch_id, audit, quarantine, scope, on_conflict)
+        merge_batch(batch, table, _query_id(batch), batch_id, per_batch, quarantine, scope, on_conflict)
 
     records = log.stream(start, checkpoint, spec.max_offsets_per_trigger)
     rows = decode(records, spec, mode)
     if isinstance(log, ParquetLog):  # its files may be read out of order; the offsets tell
         rows = rows.withColumn(SOURCE, F.lit(log.uid()))
+    if observed:
+        rows = observe_batches(rows)
     return _start(rows, handle, checkpoint, f"apply {spec.name}", spec.processing_time, available_now)
 
 
@@ -244,6 +263,72 @@ def rekey_log(
     return _start(rows, handle, checkpoint, f"rekey {spec.name}", 1, available_now)
 
 
+def rekey_newest(
+    spark: SparkSession,
+    spec: TableSpec,
+    source: ParquetLog | KafkaLog,
+    target: ParquetLog | KafkaLog,
+    checkpoint: str,
+    key: Column | str,
+    value: Column | str,
+    horizon: str = "30 days",
+    mode: str = "safe",
+    start: str = "earliest",
+    quarantine: str | None = None,
+    available_now: bool = False,
+) -> list[StreamingQuery]:
+    """Like `rekey_log` with `dedup`, over all micro-batches: a record older than one of its primary key that went before is left out.
+
+    The first orderBy column must be a timestamp. It is the event time: keys not seen for the `horizon` are forgotten,
+    and so are records that come later than that. Returns the stream, and in safe mode a second one that puts records
+    aside that can't be decoded.
+    """
+    check_mode(mode)
+    rows = decode(source.stream(start, checkpoint, spec.max_offsets_per_trigger), spec, mode)
+    bad = rows.where(F.col(BAD)) if BAD in rows.columns else None
+    records = newest_records(rows if bad is None else rows.where(~F.col(BAD)), spec, key, value, horizon)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        target.append(batch, _query_id(batch), batch_id, ["place"])
+
+    queries = [_start(records, handle, checkpoint, f"rekey {spec.name}", 1, available_now, "update")]
+    if bad is not None:
+        aside = bad.select(F.col("_bad_value").alias("value"), "_log_partition", "_log_offset").writeStream.format("parquet")
+        aside = aside.option("checkpointLocation", f"{checkpoint.rstrip('/')}-bad")
+        aside = aside.trigger(availableNow=True) if available_now else aside
+        queries.append(aside.start(quarantine or f"{checkpoint.rstrip('/')}-quarantine"))
+    return queries
+
+
+def compact_stream(
+    spark: SparkSession,
+    source: ParquetLog | KafkaLog,
+    target: ParquetLog | KafkaLog,
+    checkpoint: str,
+    start: str = "earliest",
+    max_records: int | None = None,
+    available_now: bool = False,
+    seconds: float | None = 10,
+) -> StreamingQuery:
+    """Compact a log as it grows: after every micro-batch, the last record of the keys in it goes to another log.
+
+    The last record of every key is the state of the stream, kept in its checkpoint. A record that comes late never
+    replaces a newer one. Set the RocksDB state store for many keys. Offsets stay as they were.
+    """
+    if isinstance(target, ParquetLog) and not target.exists():
+        facts = source.settings if isinstance(source, ParquetLog) else {"topic": source.topic, "partitions": 10}
+        target.create(facts["topic"], facts["partitions"])
+    latest = latest_records(source.stream(start, checkpoint, max_records))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        if isinstance(target, ParquetLog):
+            target.append(batch, f"{COMPACTION}-{_query_id(batch)}", batch_id, keep_offsets=True)
+        else:
+            target.append(batch, _query_id(batch), batch_id)
+
+    return _start(latest, handle, checkpoint, "compact", seconds, available_now, "update")
+
+
 # many tables
 
 
@@ -287,23 +372,36 @@ def apply_all(
     table_root: str,
     checkpoint_root: str,
     compacted_root: str | None = None,
+    continuous: bool = False,
     **options,
 ) -> list[StreamingQuery]:
     """Start one apply stream per table with a log.
 
     With `compacted_root`, the new records of every log whose spec asks for compaction are compacted into a log there
-    first, and that is what is applied; run this again (or `compact_into`) for what comes in later.
+    first, and that is what is applied; run this again (or `compact_into`) for what comes in later. With `continuous`
+    too, a stream per log goes on compacting, and the tables follow it.
     """
+    compactions: list[StreamingQuery] = []
 
     def source(spec: TableSpec) -> ParquetLog:
         log = ParquetLog(spark, f"{log_root.rstrip('/')}/{spec.topic or spec.name}")
         if compacted_root is None or not spec.compact:
             return log
         compacted = ParquetLog(spark, f"{compacted_root.rstrip('/')}/{spec.topic or spec.name}")
-        log.compact_into(compacted)
+        if not continuous:
+            log.compact_into(compacted)
+            return compacted
+        once = options.get("available_now", False)
+        query = compact_stream(
+            spark, log, compacted, f"{checkpoint_root.rstrip('/')}/compact-{spec.name}",
+            max_records=spec.max_offsets_per_trigger, available_now=once, seconds=spec.processing_time,
+        )
+        compactions.append(query)
+        if once:
+            query.awaitTermination()
         return compacted
 
-    return [
+    applied = [
         apply_log(
             spark, spec, source(spec),
             ParquetTable(spark, f"{table_root.rstrip('/')}/{spec.table_folder or name}", spec),
@@ -311,17 +409,38 @@ def apply_all(
         )
         for name, spec in ready_to_apply(spark, specs, log_root).items()
     ]
+    return compactions + applied
 
 
-def await_all(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
-    """Wait until all queries are done; the first failure stops the others and is raised."""
-    try:
-        while any(q.isActive for q in queries):
-            for query in queries:
-                query.awaitTermination(1)
-        for query in queries:
-            query.awaitTermination()
-    finally:
-        for query in queries:
-            if query.isActive:
+class TablesFailed(RuntimeError):
+    """Some streams failed; `errors` holds them by the name of the query."""
+
+    def __init__(self, errors: dict[str, Exception]):
+        super().__init__("; ".join(f"{name}: {error}" for name, error in errors.items()))
+        self.errors = errors
+
+
+def await_all(spark: SparkSession, queries: Sequence[StreamingQuery], stop_on_failure: bool = False) -> None:
+    """Wait until all queries are done.
+
+    A failure is logged at once. The other tables go on, unless `stop_on_failure`; all failures are raised at the end.
+    """
+    errors: dict[str, Exception] = {}
+    waiting = list(queries)
+    while waiting:
+        for query in list(waiting):
+            try:
+                ended = query.awaitTermination(1)
+            except StreamingQueryException as error:
+                name = query.name or str(query.id)
+                errors[name] = error
+                logging.getLogger(__name__).error("%s failed: %s", name, error)
+                ended = True
+            if ended:
+                waiting.remove(query)
+        if errors and stop_on_failure:
+            for query in waiting:
                 query.stop()
+            break
+    if errors:
+        raise TablesFailed(errors)

@@ -98,8 +98,8 @@ def main() -> None:
         else:
             print(f"{table.read().count()} rows in {a.path}")
     elif a.job == "tail":
-        log = KafkaLog(spark, a.servers, a.topic) if a.servers else ParquetLog(spark, a.log)
-        for newest, stats in watch_log(log.scan, a.records, a.loop, a.interval):
+        log = KafkaLog(spark, a.servers, a.topic).scan if a.servers else ParquetLog(spark, a.log)
+        for newest, stats in watch_log(log, a.records, a.loop, a.interval):
             newest.show(a.records, truncate=False)
             stats.show()
     else:
