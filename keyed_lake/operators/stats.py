@@ -73,9 +73,11 @@ def log_stats(log: DataFrame) -> DataFrame:
 
 
 def metadata_counts(
-    spark: SparkSession, path: str, schema: T.StructType, by: Sequence[str] = (), extremes: Sequence[str] = ()
-) -> DataFrame:
-    """records (and least_x, most_x of number and date columns) of a Parquet folder, per partition column or in all.
+    spark: SparkSession, path: str, schema: T.StructType, by: Sequence[str] = (), extremes: Sequence[str] = (),
+    paths: Sequence[str] = (),
+) -> DataFrame:
+    """records (and least_x, most_x of number and date columns) of a Parquet folder or some `paths` in it, per partition
+    column or in all.
 
     Answered from file footers, without reading a row: Spark's second Parquet reader pushes such aggregates into the
     scan. It is chosen in a session of its own, so that other reads stay as they are.
@@ -84,7 +86,7 @@ def metadata_counts(
     side.conf.set("spark.sql.sources.useV1SourceList", "")
     side.conf.set("spark.sql.parquet.aggregatePushdown", "true")
     found = [f(c).alias(f"{name}_{c}") for c in extremes for name, f in (("least", F.min), ("most", F.max))]
-    rows = side.read.schema(schema).option("basePath", path).parquet(path)
+    rows = side.read.schema(schema).option("basePath", path).parquet(*(paths or [path]))
     return rows.groupBy(*by).agg(F.count("*").alias("records"), *found)
 
 

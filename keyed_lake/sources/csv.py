@@ -10,6 +10,7 @@ from keyed_lake.storage import Files
 
 ARCHIVE_FOLDER = "_archive"
 CORRUPT = "_corrupt"  # the whole line, where its number of fields is not that of the spec
+MAX_AGE = "366d"
 CLEANER_THREADS = "spark.sql.streaming.fileSource.cleaner.numThreads"
 
 
@@ -26,6 +27,7 @@ def csv_stream(
 
     `options` are Spark CSV options, such as another quote or escape character.
     With `corrupt`, a column `_corrupt` holds lines with too many or too few fields, which are cut or filled otherwise.
+    Spark remembers the name of a file for a year, by file times; older files than the newest by more are passed over.
     With `archive`, Spark moves a file to `<csv_root>/_archive` some time after the batch that read it is done.
     """
     root = csv_root.rstrip("/")
@@ -33,7 +35,7 @@ def csv_stream(
         spark.readStream.schema(T.StructType([*spec.text_schema.fields, T.StructField(CORRUPT, T.StringType())]))
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", "true")
-        .option("maxFileAge", "36500d")  # a file copied in late with an old time must not be passed over
+        .option("maxFileAge", MAX_AGE)  # a file copied in late with an old time must not be passed over
     )
     if archive:
         Files(spark).mkdirs(f"{root}/{ARCHIVE_FOLDER}")

@@ -24,12 +24,12 @@ import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyed_lake.operators.dedup import keep_latest
-from keyed_lake.operators.keyfilter import key_filter
+from keyed_lake.operators.keyfilter import KeyFilter, key_filter
 from keyed_lake.operators.merge import CONFLICTS, apply_updates, check_scope, match_keys, matched_places, unmatched
 from keyed_lake.operators.stats import BatchStats, batch_stats, metadata_counts
 from keyed_lake.spec import PARTITION_COLUMN, TableSpec
@@ -40,6 +40,7 @@ OFFSET_TYPE = T.DecimalType(38, 0)
 SOURCE = "_log_source"  # the log that the offset belongs to; offsets of different logs aren't compared
 BUCKET = "_bucket"
 NULL_DATE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder name Spark gives to a NULL partition
+FILTER_FROM = 4  # rows of the target for each of the batch, from which on a filter of the keys pays
 STAGING = ".spark-staging-"  # fixed value: where Spark puts partitions that will replace others
 
 
@@ -68,6 +69,7 @@ class ParquetTable:
         self.dated = spec.partition_column is not None
         self.places = [PARTITION_COLUMN] * self.dated
         self._set_buckets(buckets or (1 if self.dated else spec.partitions))
+        self._opened = False
 
     def _set_buckets(self, buckets: int) -> None:
         self.buckets = buckets
@@ -90,12 +92,18 @@ class ParquetTable:
             self.files.mkdirs(self.path)
             facts = {"schema": self.spec.table_schema.json(), "buckets": self.buckets}
             self.files.publish_text(f"{self.path}/_table.json", json.dumps(facts))
-        facts = json.loads(self.files.read_text(f"{self.path}/_table.json"))
-        if T.StructType.fromJson(json.loads(facts["schema"])) != self.spec.table_schema:
-            raise ValueError(f"the table at {self.path} has other columns than spec {self.spec.name}")
-        self._set_buckets(facts["buckets"])
-        if self.buckets > 1:
-            self._register()
+        return self._open()
+
+    def _open(self) -> ParquetTable:
+        """Take columns and buckets from the table, and make a bucketed one known to the session."""
+        if not self._opened:
+            facts = json.loads(self.files.read_text(f"{self.path}/_table.json"))
+            if T.StructType.fromJson(json.loads(facts["schema"])) != self.spec.table_schema:
+                raise ValueError(f"the table at {self.path} has other columns than spec {self.spec.name}")
+            self._set_buckets(facts["buckets"])
+            if self.buckets > 1:
+                self._register()
+            self._opened = True
         return self
 
     @property
@@ -117,7 +125,7 @@ class ParquetTable:
 
     def parts(self) -> list[str]:
         """The partition folders; as many as dates times buckets."""
-        return self._folders(self.path)
+        return self._open()._folders(self.path)
 
     def _folders(self, root: str) -> list[str]:
         names = [n for n in self.files.names(root) if n.startswith(f"{self.places[0]}=")]
@@ -141,6 +149,7 @@ class ParquetTable:
 
     def _rows(self, parts: Sequence[str] | None) -> DataFrame:
         """The rows of some partitions with their log offsets; folders of other dates aren't opened."""
+        self._open()
         if self.buckets > 1:
             self.spark.catalog.refreshTable(self.name)
             rows = self.spark.read.table(self.name)
@@ -150,24 +159,23 @@ class ParquetTable:
 
     def _among(self, parts: Iterable[str]) -> Column:
         """Whether a row belongs to one of the partitions."""
-        dates: dict[frozenset, list] = {}
         by_date: dict[str | None, set] = {}
         for part in parts:
             values = dict(x.split("=", 1) for x in part.split("/"))
             by_date.setdefault(values.get(PARTITION_COLUMN), set()).add(values.get(BUCKET))
+        dates: dict[frozenset, list] = {}
         for date, numbers in by_date.items():
             dates.setdefault(frozenset(numbers), []).append(date)
-        found = F.lit(False)
+        found = []
         for numbers, days in dates.items():  # dates with the same buckets are one condition
-            inside = F.col(BUCKET).isin([int(n) for n in sorted(numbers, key=int)]) if self.bucketed else F.lit(True)
+            inside = [f"{BUCKET} IN ({', '.join(sorted(numbers))})"] if self.bucketed else []
             if self.dated:
-                known = [F.lit(d).cast("date") for d in days if d != NULL_DATE]
-                of_day = F.col(PARTITION_COLUMN).isin(known) if known else F.lit(False)
-                if NULL_DATE in days:
-                    of_day = of_day | F.col(PARTITION_COLUMN).isNull()
-                inside = inside & of_day
-            found = found | inside
-        return F.coalesce(found, F.lit(False))
+                known = ", ".join(f"CAST('{d}' AS DATE)" for d in days if d != NULL_DATE)
+                of_day = [f"{PARTITION_COLUMN} IN ({known})"] if known else []
+                of_day += [f"{PARTITION_COLUMN} IS NULL"] if NULL_DATE in days else []
+                inside.append(f"({' OR '.join(of_day)})")
+            found.append(" AND ".join(inside))
+        return F.expr(f"coalesce({' OR '.join(found)}, false)") if found else F.lit(False)
 
     # writing
 
@@ -211,7 +219,10 @@ class ParquetTable:
         updates = self._dealt(latest).select(*self.schema.names).persist()
         work = scratch_folder(self.spark, "merge")
         try:
-            landing = self._names(updates.select(*self.places), self.places)
+            whole = self._can_match(scope)
+            places = updates.groupBy(*self.places).agg(F.count_if(~whole).alias("loose"))
+            loose = {self._part(r): r["loose"] for r in self._as_text(places, self.places, ["loose"])}
+            landing = set(loose)
             held = self.parts()
             candidates = self._candidates(held, landing, scope, stats)
             rewrite: set[str] = set()
@@ -219,21 +230,21 @@ class ParquetTable:
             if candidates:
                 # the raw batch is at least as large as its latest rows
                 small = stats.bytes <= self._broadcast_limit()
-                # buckets aren't shuffled in any case
-                may_match = None if small or self.buckets > 1 else key_filter(updates, keys, stats.rows, self._broadcast_limit())
+                may_match = None if small else self._key_filter(updates, keys, stats, candidates)
                 dealt = self.spec.pks if self.buckets > 1 else ()
                 target = self._rows(candidates)
                 # written, not cached: what is read again after the overwrite must not be computed again
                 matched_places(target, updates, keys, self.places, small, may_match, dealt).write.parquet(f"{work}/hits")
                 hits = self.spark.read.parquet(f"{work}/hits")
-                rewrite = self._names(hits, [f"old_{p}" for p in self.places]) | self._names(hits, [f"new_{p}" for p in self.places])
+                both = F.array(*[F.struct(*[F.col(f"{side}_{p}").alias(p) for p in self.places]) for side in ("old", "new")])
+                found = hits.select(F.explode(both).alias("p")).select("p.*").distinct()
+                rewrite = {self._part(r) for r in self._as_text(found, self.places)}
                 fresh = unmatched(updates, hits, keys)
             if rewrite:
                 changed = self._changed(sorted(rewrite & set(held)), updates, keys, scope, on_conflict, small, may_match, dealt)
-                whole = self._can_match(scope)
                 changed = self._joined_by(changed, fresh.where(self._among(rewrite) & whole), landing & rewrite, small)
                 fresh = fresh.where(~(self._among(rewrite) & whole))
-            self._replace(changed, fresh, rewrite, landing, stats)
+            self._replace(changed, fresh, rewrite, {p for p in landing if p not in rewrite or loose[p]})
         finally:
             updates.unpersist()
             self.files.delete(work)
@@ -251,10 +262,20 @@ class ParquetTable:
             whole = whole & F.col(key).isNotNull()
         return whole
 
-    def _names(self, rows: DataFrame, columns: Sequence[str]) -> set[str]:
-        """The partitions named by columns; one row for each reaches the driver, as many as dates times buckets."""
-        found = rows.select(*[F.col(c).cast("string").alias(p) for c, p in zip(columns, self.places)]).distinct().collect()
-        return {"/".join(part_name(r[p]) if p == PARTITION_COLUMN else f"{p}={r[p]}" for p in self.places) for r in found}
+    def _as_text(self, rows: DataFrame, columns: Sequence[str], more: Sequence[str] = ()) -> list[Row]:
+        """One row per partition: as many as dates times buckets reach the driver."""
+        return rows.select(*[F.col(c).cast("string").alias(c) for c in columns], *more).collect()
+
+    def _part(self, row: Row) -> str:
+        return "/".join(part_name(row[p]) if p == PARTITION_COLUMN else f"{p}={row[p]}" for p in self.places)
+
+    def _key_filter(self, updates: DataFrame, keys: Sequence[str], stats: BatchStats, candidates: Sequence[str]) -> KeyFilter | None:
+        """A filter where it lets most of the target pass by; buckets aren't shuffled in any case."""
+        if self.buckets > 1:
+            return None
+        folders = [f"{self.path}/{p}" for p in candidates]
+        held = metadata_counts(self.spark, self.path, self.schema, paths=folders).head()[0]
+        return key_filter(updates, keys, stats.rows, self._broadcast_limit()) if held > FILTER_FROM * stats.rows else None
 
     def _candidates(self, held: Sequence[str], landing: set[str], scope: str, stats: BatchStats) -> list[str]:
         """The partitions that may hold a match: those of the dates of the raw batch, or all."""
@@ -285,21 +306,16 @@ class ParquetTable:
         rows = self._spread(rows.unionByName(fresh), 2)
         return rows if beside is None else rows.unionByName(beside)
 
-    def _replace(self, changed: DataFrame | None, fresh: DataFrame, rewrite: set[str], landing: set[str], stats: BatchStats) -> None:
-        """Overwrite the partitions to rewrite, then append the rows that go elsewhere."""
-        before = {
-            "rewrite": {p: self._files_of(p) for p in sorted(rewrite)},
-            "append": {p: self._files_of(p) for p in sorted(landing - rewrite)},
-        }
-        self._note(before)
+    def _replace(self, changed: DataFrame | None, fresh: DataFrame, rewrite: set[str], append: set[str]) -> None:
+        """Overwrite the partitions to rewrite, then append the rows that go elsewhere or never match."""
         if changed is not None:
+            before = self._files_in(rewrite)
+            self._note({"rewrite": before})
             self._write(changed, overwrite=True)
-            self._drop_emptied(before["rewrite"])
-            # rows without a key may be appended to what was just overwritten
-            before = {"rewrite": {}, "append": {p: self._files_of(p) for p in sorted(landing)}}
-            self._note(before)
-        if changed is None or landing - rewrite or not fresh.isEmpty():
-            self._write(self._spread(fresh, len(landing)), overwrite=False)
+            self._drop_emptied(before)
+        if append:
+            self._note({"append": self._files_in(append)})
+            self._write(self._spread(fresh, len(append)), overwrite=False)
 
     def _note(self, pending: dict) -> None:
         self.files.publish_text(f"{self.path}/_pending.json", json.dumps(pending), replace=True)
@@ -309,17 +325,26 @@ class ParquetTable:
             self.files.publish_text(f"{self.path}/_applied/{stream}", str(batch_id), replace=True)
         self.files.delete(f"{self.path}/_pending.json")
 
-    def _files_of(self, part: str) -> list[str]:
-        return [n for n in self.files.names(f"{self.path}/{part}") if not n.startswith((".", "_"))]
+    def _files_in(self, parts: Iterable[str]) -> dict[str, list[str]]:
+        """The names of the data files of some partitions; none for those that don't exist."""
+        out: dict[str, list[str]] = {p: [] for p in sorted(parts)}
+        held = [f"{self.path}/{p}" for p in sorted(set(out) & set(self.parts()))]
+        found = self.files.data_files(self.spark, held) if held else []
+        for place in found:
+            folder, name = place.rsplit("/", 1)
+            out["/".join(folder.split("/")[-len(self.places) :])].append(name)
+        return {p: sorted(names) for p, names in out.items()}
 
     def _drop_emptied(self, before: dict[str, list[str]]) -> None:
         """Remove partitions that were to be overwritten and got no row: their old files are still there."""
+        after = self._files_in(before)
         for part, names in before.items():
-            if names and self._files_of(part) == names:
+            if names and after[part] == names:
                 self.files.delete(f"{self.path}/{part}")
 
     def recover(self) -> None:
         """Bring a table in order whose last merge broke off; the batch then runs again."""
+        self._open()
         for name in self.files.names(self.path):
             if name.startswith(STAGING):
                 if self.files.exists(f"{self.path}/{name}/_SUCCESS"):
@@ -334,10 +359,11 @@ class ParquetTable:
             self._finish(*pending["done"])
             return
         before = pending.get("rewrite", {})
-        if any(self._files_of(part) != names for part, names in before.items()):
+        if self._files_in(before) != before:
             self._drop_emptied(before)
-        for part, names in pending.get("append", {}).items():
-            for name in set(self._files_of(part)) - set(names):
+        before = pending.get("append", {})
+        for part, names in self._files_in(before).items():
+            for name in set(names) - set(before[part]):
                 self.files.delete(f"{self.path}/{part}/{name}")
         self.files.delete(note)
 
@@ -377,6 +403,7 @@ class ParquetTable:
 
     def counts(self, by_date: bool = True, extremes: Sequence[str] = ()) -> DataFrame:
         """Rows (and least and most of number and date columns) per date or in all, from the footers of the files."""
+        self._open()
         by = [PARTITION_COLUMN] if by_date and self.dated else []
         return metadata_counts(self.spark, self.path, self.schema, by, extremes)
 

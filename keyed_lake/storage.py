@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import unquote
 
 from pyspark import SparkContext
 from pyspark.sql import SparkSession
@@ -37,6 +38,11 @@ class Files:
             return []
         return sorted(s.getPath().getName() for s in self._fs(path).listStatus(self._path(path)))
 
+    def data_files(self, spark: SparkSession, folders: list[str]) -> list[str]:
+        """The data files below folders, as Spark lists them: many folders by tasks."""
+        found = spark.read.schema("_ int").parquet(*folders).inputFiles()
+        return [unquote(f) for f in found]
+
     def size(self, path: str) -> int:
         """Bytes of all files below a folder."""
         return self._fs(path).getContentSummary(self._path(path)).getLength()

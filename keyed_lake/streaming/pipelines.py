@@ -350,15 +350,20 @@ def ingest_all(
     log_root: str,
     checkpoint_root: str,
     recreate: bool = False,
+    servers: str | None = None,
     **options,
 ) -> list[StreamingQuery]:
-    """Start one ingest stream per table with a CSV folder; raises if no table has one."""
+    """Start one ingest stream per table with a CSV folder; raises if no table has one.
+
+    With Kafka `servers`, records go to the topics that the specs name.
+    """
     ready = ready_to_ingest(spark, specs, csv_root)
     if not ready:
         raise FileNotFoundError(f"none of the CSV folders of {sorted(specs)} exists under {csv_root}")
     return [
         ingest_csv(
-            spark, spec, csv_root, ParquetLog.for_spec(spark, log_root, spec, recreate),
+            spark, spec, csv_root,
+            KafkaLog(spark, servers, spec.topic or spec.name) if servers else ParquetLog.for_spec(spark, log_root, spec, recreate),
             f"{checkpoint_root.rstrip('/')}/ingest-{name}", **options,
         )
         for name, spec in ready.items()
@@ -373,17 +378,26 @@ def apply_all(
     checkpoint_root: str,
     compacted_root: str | None = None,
     continuous: bool = False,
+    servers: str | None = None,
+    table_format: str = "parquet",
     **options,
 ) -> list[StreamingQuery]:
-    """Start one apply stream per table with a log.
+    """Start one apply stream per table with a log; with Kafka `servers`, per table, as topics can't be looked up here.
+
+    Tables are Parquet folders or, with `table_format="delta"`, Delta tables.
 
     With `compacted_root`, the new records of every log whose spec asks for compaction are compacted into a log there
     first, and that is what is applied; run this again (or `compact_into`) for what comes in later. With `continuous`
     too, a stream per log goes on compacting, and the tables follow it.
     """
+    if servers and compacted_root:
+        raise ValueError("topics are compacted by the broker (cleanup.policy=compact)")
+    kind = {"parquet": ParquetTable, "delta": DeltaTable}[table_format]
     compactions: list[StreamingQuery] = []
 
-    def source(spec: TableSpec) -> ParquetLog:
+    def source(spec: TableSpec) -> ParquetLog | KafkaLog:
+        if servers:
+            return KafkaLog(spark, servers, spec.topic or spec.name)
         log = ParquetLog(spark, f"{log_root.rstrip('/')}/{spec.topic or spec.name}")
         if compacted_root is None or not spec.compact:
             return log
@@ -404,10 +418,10 @@ def apply_all(
     applied = [
         apply_log(
             spark, spec, source(spec),
-            ParquetTable(spark, f"{table_root.rstrip('/')}/{spec.table_folder or name}", spec),
+            kind(spark, f"{table_root.rstrip('/')}/{spec.table_folder or name}", spec),
             f"{checkpoint_root.rstrip('/')}/apply-{name}", **options,
         )
-        for name, spec in ready_to_apply(spark, specs, log_root).items()
+        for name, spec in (specs if servers else ready_to_apply(spark, specs, log_root)).items()
     ]
     return compactions + applied
 

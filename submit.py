@@ -35,6 +35,7 @@ def arguments() -> argparse.Namespace:
         sub.add_argument("--once", action="store_true", help="take what is there and stop")
 
     ingest = job("ingest", "CSV folders to logs", "specs", "csv", "logs", "checkpoints")
+    ingest.add_argument("--servers", help="Kafka servers; the logs are existing topics then, named by the specs")
     ingest.add_argument("--recreate", action="store_true", help="drop the logs first")
     ingest.add_argument("--csv-option", action="append", default=[], metavar="NAME=VALUE", help="a Spark CSV option")
     stream_options(ingest)
@@ -42,6 +43,9 @@ def arguments() -> argparse.Namespace:
     apply.add_argument("--scope", choices=["batch", "partition", "global"], default="batch")
     apply.add_argument("--start", choices=["latest", "earliest"], default="latest")
     apply.add_argument("--on-conflict", choices=["last_batch", "newest"], default="last_batch")
+    apply.add_argument("--format", choices=["parquet", "delta"], default="parquet", help="of the tables")
+    apply.add_argument("--servers", help="Kafka servers; the logs are topics then, named by the specs")
+    apply.add_argument("--continuous", action="store_true", help="go on compacting, as a stream for each log")
     apply.add_argument("--compacted", help="root of compacted logs, brought up to date first and applied instead")
     stream_options(apply)
     rekey = job("rekey", "log to log", "specs", "table", "source", "target", "checkpoints", "key", "value")
@@ -69,12 +73,12 @@ def main() -> None:
     specs = load_specs(spark, a.specs) if "specs" in a else {}
     if a.job == "ingest":
         csv_options = dict(o.split("=", 1) for o in a.csv_option)
-        options = {"recreate": a.recreate, "mode": a.mode, "available_now": a.once, "csv_options": csv_options}
+        options = {"servers": a.servers, "recreate": a.recreate, "mode": a.mode, "available_now": a.once, "csv_options": csv_options}
         await_all(spark, ingest_all(spark, specs, a.csv, a.logs, a.checkpoints, **options))
     elif a.job == "apply":
         options = {
             "scope": a.scope, "start": a.start, "mode": a.mode, "available_now": a.once, "on_conflict": a.on_conflict,
-            "compacted_root": a.compacted,
+            "compacted_root": a.compacted, "continuous": a.continuous, "servers": a.servers, "table_format": a.format,
         }
         await_all(spark, apply_all(spark, specs, a.logs, a.tables, a.checkpoints, **options))
     elif a.job == "rekey":

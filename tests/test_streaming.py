@@ -38,7 +38,7 @@ LATEST = [
 
 
 def held(table):
-    return {part: table._files_of(part) for part in table.parts()}
+    return table._files_in(table.parts())
 
 
 def applied(table):

@@ -30,7 +30,7 @@ def table(spark, folder):
 
 
 def files(table):
-    return {part: table._files_of(part) for part in table.parts()}
+    return table._files_in(table.parts())
 
 
 def test_empty_table_has_the_columns_of_the_spec(table):
@@ -285,6 +285,12 @@ def test_buckets_hold_the_same_as_none(spark, folder):
             assert rows_of(spark.newSession().table(tables[1].name).select(*columns)) == rows_of(tables[0].read())
 
 
+def test_a_bucketed_table_in_another_session(spark, bucketed):
+    spark.sql(f"DROP TABLE {bucketed.name}")  # a new application doesn't know the table; its files stay
+    again = ParquetTable(spark, bucketed.path, bucketed.spec)
+    assert again.read().count() == 2000 and again.buckets == 8 and len(again.parts()) == 8
+
+
 def test_reading_dates_of_a_bucketed_table(spark, bucketed):
     bucketed.merge(many(spark, 10, "x", "2024-02-02"), scope="partition")
     assert bucketed.read(["2024-02-02"]).count() == 10
