@@ -120,8 +120,7 @@ class ParquetTable:
             f"OPTIONS (partitionOverwriteMode 'dynamic', compression 'zstd') PARTITIONED BY ({', '.join(self.places)}) "
             f"CLUSTERED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{place}'"
         )
-        if self.spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "hive":
-            self.spark.catalog.recoverPartitions(self.name)  # such a catalog keeps a list of its own
+        self.spark.catalog.recoverPartitions(self.name)  # the catalog keeps a list of its own
 
     def parts(self) -> list[str]:
         """The partition folders; as many as dates times buckets."""
@@ -340,6 +339,9 @@ class ParquetTable:
         after = self._files_in(before)
         for part, names in before.items():
             if names and after[part] == names:
+                if self.buckets > 1:
+                    where = ", ".join(f"{k}='{v}'" for k, v in (x.split("=", 1) for x in part.split("/")))
+                    self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({where})")  # of the catalog's list
                 self.files.delete(f"{self.path}/{part}")
 
     def recover(self) -> None:

@@ -291,6 +291,12 @@ def test_a_bucketed_table_in_another_session(spark, bucketed):
     assert again.read().count() == 2000 and again.buckets == 8 and len(again.parts()) == 8
 
 
+def test_emptied_buckets_of_a_date_go(spark, bucketed):
+    bucketed.merge(many(spark, 2000, "moved", "2024-03-03"), scope="global")
+    assert {p.split("/")[0] for p in bucketed.parts()} == {"pt_date=2024-03-03"}
+    assert bucketed.read().where("v = 'moved'").count() == 2000 == bucketed.read().count()
+
+
 def test_reading_dates_of_a_bucketed_table(spark, bucketed):
     bucketed.merge(many(spark, 10, "x", "2024-02-02"), scope="partition")
     assert bucketed.read(["2024-02-02"]).count() == 10
