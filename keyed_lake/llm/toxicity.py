@@ -13,7 +13,8 @@ exact, unquoted form, times `UNSEEN` for each difference.
 
 Training takes at most `max_toxic` and `max_clean` labelled rows, those with the smallest hash of the key, each different
 text once. Of these texts every word and beginning in three toxic texts or more is tested, and only those beyond chance
-reach the driver; the lexicon has at most `max_terms` terms. Scoring covers all rows and whole texts, without a shuffle. Null and
+reach the driver: the sample alone bounds the lexicon. Quotation marks are looked up once a line, so a very long
+text takes time in proportion to its length. Scoring covers all rows and whole texts, without a shuffle. Null and
 empty texts have the score of a text without a hit. Without labels of both kinds that score is the share of toxic
 labels, or 0. A row with several labels is toxic if one of them says so; null labels and null keys teach nothing.
 """
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -33,8 +35,6 @@ from pyspark.sql import functions as F
 from .common import col, fold, fresh, map_arrow, plus, written
 
 MAX_TOXIC, MAX_CLEAN = 8_000, 24_000
-MAX_TERMS = 2_000
-LONGEST = 40
 STEMS = (4, 5, 6)
 UNSEEN = 0.3
 #: The least share of toxic texts among those with a term, and the least share by which a hit kind counts at all.
@@ -135,16 +135,45 @@ class Automaton:
         return self.accepted[state]
 
 
+MARK = re.compile(f'["{"".join(sorted({*PAIRS, *PAIRS.values()}))}]')
+CITED = re.compile(r"[^\S\n]*(?:>|&gt;)")
+
+
+class Line:
+    """A line of a text, and where its quotation marks are."""
+
+    def __init__(self, text: str, place: int):
+        self.begin = text.rfind("\n", 0, place) + 1
+        end = text.find("\n", place)
+        self.end = end if end >= 0 else len(text)
+        cited = CITED.match(text, self.begin, self.end)
+        self.cited = cited.end() if cited else self.end
+        self.marks: dict[str, list[int]] = {}
+        for m in MARK.finditer(text, self.begin, self.end):
+            self.marks.setdefault(m[0], []).append(m.start())
+
+    def quotes(self, place: int) -> bool:
+        """Whether a place lies between quotation marks, or the line is a quotation."""
+        if place >= self.cited:
+            return True
+        if not self.marks:
+            return False
+        straight = self.marks.get('"', ())
+        if straight and bisect(straight, place) % 2 and straight[-1] > place:
+            return True
+        for a, b in PAIRS.items():
+            opened, closed = self.marks.get(a, ()), self.marks.get(b, ())
+            n = bisect(opened, place)
+            if n and closed and closed[-1] > place:
+                last = bisect(closed, place)
+                if not last or opened[n - 1] > closed[last - 1]:
+                    return True
+        return False
+
+
 def quoted(text: str, begin: int, end: int) -> bool:
-    """Whether a place lies between quotation marks within its line, or the line is a quotation."""
-    left = text.rfind("\n", 0, begin) + 1
-    right = text.find("\n", end)
-    before, after = text[left:begin], text[end : right if right >= 0 else len(text)]
-    if before.lstrip().startswith((">", "&gt;")):
-        return True
-    if before.count('"') % 2 and '"' in after:
-        return True
-    return any(before.rfind(a) > before.rfind(b) and b in after for a, b in PAIRS.items() if a in before)
+    """Whether a word of a text is quoted."""
+    return Line(text, begin).quotes(begin)
 
 
 @dataclass
@@ -176,9 +205,12 @@ class Lexicon:
                 found[w] = m
         out = set()
         if found:
+            line = None
             for at in WORD.finditer(lower):
                 if at[0] in found:
-                    q = quoted(lower, *at.span())
+                    if line is None or at.start() >= line.end:
+                        line = Line(lower, at.start())
+                    q = line.quotes(at.start())
                     out.update((t, e, q) for t, e in found[at[0]])
         return out
 
@@ -238,7 +270,7 @@ def unquoted(text: str) -> str:
 
 def candidates_of(text: str | None) -> set[str]:
     """The words outside of quotations, and their beginnings."""
-    own = {w for w in words(unquoted(text or "")) if 3 <= len(w) <= LONGEST and not w.isdigit()}
+    own = {w for w in words(unquoted(text or "")) if len(w) >= 3 and not w.isdigit()}
     return own | {w[:k] + "*" for w in own for k in STEMS if len(w) > k}
 
 
@@ -262,7 +294,7 @@ def least_evidence(tested: int) -> float:
     return math.log(max(tested, 1)) + 3
 
 
-def choose_terms(rows: list[tuple[str, int, int]], n1: int, n0: int, tested: int, max_terms: int = MAX_TERMS) -> list[str]:
+def choose_terms(rows: list[tuple[str, int, int]], n1: int, n0: int, tested: int) -> list[str]:
     """Terms beyond chance among `tested` keys. A beginning stands for its words if no single one makes it up."""
     least = least_evidence(tested)
     good = {k: t for k, t, c in rows if evidence(t, c, n1, n0) >= least and t / (t + c) >= PURE}
@@ -278,7 +310,7 @@ def choose_terms(rows: list[tuple[str, int, int]], n1: int, n0: int, tested: int
             stems.append(k)
             cover.add(k[:-1])
     kept = [w for w in whole if not any(w[:k] in cover for k in STEMS)] + stems
-    return sorted(sorted(kept, key=lambda k: (-good[k], k))[:max_terms])
+    return sorted(kept)
 
 
 def sample_labelled(
@@ -331,7 +363,7 @@ def score(df: DataFrame, text: str, lexicon: Lexicon, score_name: str = "score")
     """All columns and the score, with underscores in front if its name is taken."""
     schema = plus(df.schema, (fresh(score_name, df.columns), "double"))
     at = df.columns.index(text)
-    shared = df.sparkSession.sparkContext.broadcast(lexicon)  # MAX_TERMS at most
+    shared = df.sparkSession.sparkContext.broadcast(lexicon)  # bounded by the sample it was learned from
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value.prepare()

@@ -1,5 +1,6 @@
 import math
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -188,3 +189,30 @@ def test_terms_are_those_of_all_counts(spark):
     few = toxicity.beyond_chance(spark.createDataFrame(rows, toxicity.COUNTED), 50, 200, toxicity.least_evidence(600)).collect()
     assert 0 < len(few) < 600
     assert toxicity.choose_terms([tuple(r) for r in few], 50, 200, 600) == toxicity.choose_terms(rows, 50, 200, 600)
+
+
+def test_no_term_is_dropped_for_number_or_length():
+    rows = [(f"term{i:05d}", 30, 0) for i in range(5_000)] + [("x" * 300, 30, 0)]
+    assert len(toxicity.choose_terms(rows, 300, 700, len(rows))) == 5_001
+    assert "y" * 200 in toxicity.candidates_of("a word and " + "y" * 200)
+
+
+def test_quotation_marks_of_a_long_line():
+    lexicon = toxicity.Lexicon(["slur"], {(0, 0, False): 0.9}).prepare()
+    line = 'he said "slur" and « slur » '
+    begin = time.perf_counter()
+    assert lexicon.hits(line * 100_000) == {(0, 0, True)}
+    assert lexicon.hits(line * 1_000 + "slur") == {(0, 0, True), (0, 0, False)}
+    assert time.perf_counter() - begin < 60  # it grew with the square of the hits: hours
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet='"«»“”„‹›‘’「」>a \n', max_size=40))
+def test_quotation_marks_by_hand(text):
+    for m in toxicity.WORD.finditer(text):
+        left = text.rfind("\n", 0, m.start()) + 1
+        right = text.find("\n", m.end())
+        before, after = text[left : m.start()], text[m.end() : right if right >= 0 else len(text)]
+        want = before.lstrip().startswith(">") or (before.count('"') % 2 == 1 and '"' in after)
+        want = want or any(a in before and before.rfind(a) > before.rfind(b) and b in after for a, b in toxicity.PAIRS.items())
+        assert toxicity.quoted(text, *m.span()) == want
