@@ -7,9 +7,10 @@ context one byte shorter; below the empty context all 256 bytes are alike. The c
 byte's cost depends on the `order` bytes before it only, and the code length of a text is an exact sum. The language
 with the shortest code wins.
 
-Training takes at most `train_rows` texts of each language, those with the smallest hash of the key, and the model keeps
-at most `max_grams` contexts with their bytes, the most frequent ones; that bounds what reaches the driver and the
-workers. Everything else covers all rows and whole texts.
+Training takes at most `train_rows` texts of each language, those with the smallest hash of the key. Of each language's
+contexts with their bytes the model keeps at most `max_grams`, shorter and more frequent ones first, whatever other
+languages hold; that bounds what reaches the driver and the workers. How often a context occurred and how many
+bytes followed it are counted before, so the costs of what is kept are exact. Everything else covers all rows and whole texts.
 
 A text that is null, empty or without a letter is `und`, with score 0. Equal code lengths go to the language that comes
 first in the alphabet. Without a single labelled row every text is `und`. Training rows with equal key, text and language count once.
@@ -32,7 +33,7 @@ from .common import col, fold, fresh, map_arrow, plus, written
 
 ORDER = 4
 TRAIN_ROWS = 600
-MAX_GRAMS = 500_000
+MAX_GRAMS = 250_000  # a language; 600 texts of the tables at hand have about 75,000
 UNKNOWN = "und"
 BLOCK = 1 << 20
 LETTER = regex.compile(r"\p{L}")
@@ -63,20 +64,13 @@ class Model:
     order: int
     grams: list[np.ndarray]  # by length - 1: sorted codes
     counts: list[np.ndarray]  # (gram, language)
+    followed: list[np.ndarray]  # (gram, language): how often another byte came after the gram
+    followers: list[np.ndarray]  # (gram, language): how many different ones
 
     def prepare(self) -> Model:
-        self.totals, self.kinds = [np.array(self.counts[0].sum(0)[None, :], float)], [(self.counts[0] > 0).sum(0)[None, :]]
-        for k in range(1, self.order + 1):
-            context = self.grams[k] >> np.uint64(8)
-            at = np.searchsorted(self.grams[k - 1], context)
-            at = np.minimum(at, len(self.grams[k - 1]) - 1)
-            ok = self.grams[k - 1][at] == context
-            shape = (len(self.grams[k - 1]), len(self.languages))
-            totals, kinds = np.zeros(shape), np.zeros(shape, np.int64)
-            np.add.at(totals, at[ok], self.counts[k][ok])
-            np.add.at(kinds, at[ok], self.counts[k][ok] > 0)
-            self.totals.append(totals)
-            self.kinds.append(kinds)
+        # by the length of a context; all of the bytes without one are kept
+        self.totals = [np.array(self.counts[0].sum(0)[None, :], float), *self.followed[: self.order]]
+        self.kinds = [(self.counts[0] > 0).sum(0)[None, :], *self.followers[: self.order]]
         # an open table of the longest grams: a slot holds the gram that came last, the rest is found by search
         self.known_cost = self.exact(self.grams[self.order]).astype(np.float32)
         self.bits = max(12, int(2 * len(self.known_cost) + 1).bit_length())
@@ -189,19 +183,27 @@ def train(
     sample = sample.groupBy("lang", "mix").agg(F.first("text").alias("text")).select("lang", "text")
     schema = plus(sample.select("lang").schema, ("k", "int"), ("gram", "long"), ("n", "long"))
     grams = map_arrow(sample, _count_grams(order), schema).groupBy("lang", "k", "gram").agg(F.sum("n").alias("n"))
-    found = grams.orderBy("k", F.desc("n"), "lang", "gram").limit(max_grams).toArrow()
+    grams = written(grams, "language-grams")  # of the sample only
+    contexts = grams.where("k > 0").groupBy("lang", (F.col("k") - 1).alias("k"), F.shiftright("gram", 8).alias("gram"))
+    contexts = contexts.agg(F.sum("n").alias("followed"), F.count("*").alias("followers"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("k", F.desc("n"), "gram"))
+    kept = grams.withColumn("place", place).where(F.col("place") <= max(max_grams, 256)).drop("place")
+    found = kept.join(contexts, ["lang", "k", "gram"], "left").na.fill(0, ["followed", "followers"]).toArrow()
     languages = sorted(found["lang"].unique().to_pylist())
     number = pc.index_in(found["lang"], pa.array(languages, pa.string())).to_numpy()
-    lengths, grams, times = (found[c].to_numpy() for c in ("k", "gram", "n"))
-    keys, counts = [], []
+    lengths, grams = found["k"].to_numpy(), found["gram"].to_numpy()
+    facts = [found[c].to_numpy() for c in ("n", "followed", "followers")]
+    keys: list[np.ndarray] = []
+    tables: list[list[np.ndarray]] = [[], [], []]
     for k in range(order + 1):
         own = lengths == k
         distinct, at = np.unique(grams[own].astype(np.uint64), return_inverse=True)
-        table = np.zeros((len(distinct), len(languages)))
-        table[at, number[own]] = times[own]
         keys.append(distinct)
-        counts.append(table)
-    return Model(languages, order, keys, counts)
+        for of, fact in zip(tables, facts):
+            table = np.zeros((len(distinct), len(languages)))
+            table[at, number[own]] = fact[own]
+            of.append(table)
+    return Model(languages, order, keys, *tables)
 
 
 def predict(df: DataFrame, text: str, model: Model, lang_name: str = "lang_pred", score_name: str = "score") -> DataFrame:
@@ -214,7 +216,7 @@ def predict(df: DataFrame, text: str, model: Model, lang_name: str = "lang_pred"
         return df.withColumns({lang_name: F.lit(UNKNOWN), score_name: F.lit(0.0)})
     schema = plus(df.schema, (lang_name, "string"), (score_name, "double"))
     at = df.columns.index(text)
-    shared = df.sparkSession.sparkContext.broadcast(model)  # max_grams at most
+    shared = df.sparkSession.sparkContext.broadcast(model)  # max_grams a language at most
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value.prepare()

@@ -216,3 +216,21 @@ def test_quotation_marks_by_hand(text):
         want = before.lstrip().startswith(">") or (before.count('"') % 2 == 1 and '"' in after)
         want = want or any(a in before and before.rfind(a) > before.rfind(b) and b in after for a, b in toxicity.PAIRS.items())
         assert toxicity.quoted(text, *m.span()) == want
+
+
+def test_ten_languages_have_grams_of_their_own(spark):
+    r = random.Random(4)
+    speech = {f"l{k}": ["".join(r.choices("abcdefghijklmnop"[k : k + 7], k=r.randint(2, 9))) for _ in range(40)] for k in range(10)}
+    rows = [(i, " ".join(r.choices(speech[lang], k=30 if lang != "l3" else 4)), lang) for i, lang in enumerate(sorted(speech) * 12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    full, cut = (language.train(df, "doc_id", "text", "lang", max_grams=n).prepare() for n in (10**6, 400))
+    assert full.languages == cut.languages == sorted(speech)
+    held = sum((c > 0).sum(0) for c in cut.counts)
+    assert held.tolist() == np.minimum(sum((c > 0).sum(0) for c in full.counts), 400).tolist()
+    for k in range(cut.order):  # contexts that are kept have the counts of all that followed
+        at = np.searchsorted(full.grams[k], cut.grams[k])
+        mine = cut.counts[k] > 0
+        assert (cut.followed[k][mine] == full.followed[k][at][mine]).all()
+        assert (cut.followers[k][mine] == full.followers[k][at][mine]).all()
+    texts = [" ".join(r.choices(speech[lang], k=40)).encode() for lang in sorted(speech)]
+    assert cut.lengths(texts).argmin(1).tolist() == list(range(10))
