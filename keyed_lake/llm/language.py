@@ -69,8 +69,8 @@ class Model:
 
     def prepare(self) -> Model:
         # by the length of a context; all of the bytes without one are kept
-        self.totals = [np.array(self.counts[0].sum(0)[None, :], float), *self.followed[: self.order]]
-        self.kinds = [(self.counts[0] > 0).sum(0)[None, :], *self.followers[: self.order]]
+        self.totals = [self.counts[0].sum(0, dtype=np.int64)[None, :], *self.followed]
+        self.kinds = [(self.counts[0] > 0).sum(0)[None, :], *self.followers]
         # an open table of the longest grams: a slot holds the gram that came last, the rest is found by search
         self.known_cost = self.exact(self.grams[self.order]).astype(np.float32)
         self.bits = max(12, int(2 * len(self.known_cost) + 1).bit_length())
@@ -103,8 +103,8 @@ class Model:
             at, ok = self._find(k, gram)
             seen = self.counts[k][at] * ok[:, None] if len(self.grams[k]) else np.zeros(cost.shape)
             with np.errstate(divide="ignore", invalid="ignore"):
-                hit = -np.log2(seen / (n + u))
-                escape = -np.log2(u / (n + u))
+                hit = -np.log2(seen / (n + u.astype(np.int64)))
+                escape = -np.log2(u / (n + u.astype(np.int64)))
             now = pending & (n > 0)
             cost += np.where(now & (seen > 0), hit, 0) + np.where(now & (seen == 0), escape, 0)
             pending &= ~(now & (seen > 0))
@@ -199,8 +199,8 @@ def train(
         own = lengths == k
         distinct, at = np.unique(grams[own].astype(np.uint64), return_inverse=True)
         keys.append(distinct)
-        for of, fact in zip(tables, facts):
-            table = np.zeros((len(distinct), len(languages)))
+        for of, fact in zip(tables, facts if k < order else facts[:1]):  # nothing follows the longest
+            table = np.zeros((len(distinct), len(languages)), np.uint32)  # of a bounded sample; half the size of a double
             table[at, number[own]] = fact[own]
             of.append(table)
     return Model(languages, order, keys, *tables)
