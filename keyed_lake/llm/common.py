@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,7 +61,22 @@ def map_arrow(df: DataFrame, function, schema: T.StructType | str) -> DataFrame:
     On a cluster whose machines don't share that path, install the package or submit it with `--py-files`.
     """
     find_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def released(batches):
+        try:
+            yield from function(batches)
+        finally:
+            release_memory()
+
+    return df.mapInArrow(released, schema)
+
+
+def release_memory() -> None:
+    """Give what a task has freed back to the system: its worker stays for the next task, which may be another operator's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library keeps its own counsel
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def find_package(spark: SparkSession) -> None:
