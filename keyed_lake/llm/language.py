@@ -36,6 +36,7 @@ TRAIN_ROWS = 600
 MAX_GRAMS = 250_000  # a language; 600 texts of the tables at hand have about 75,000
 UNKNOWN = "und"
 BLOCK = 1 << 20
+PART = 1 << 14
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -72,7 +73,10 @@ class Model:
         self.totals = [self.counts[0].sum(0, dtype=np.int64)[None, :], *self.followed]
         self.kinds = [(self.counts[0] > 0).sum(0)[None, :], *self.followers]
         # an open table of the longest grams: a slot holds the gram that came last, the rest is found by search
-        self.known_cost = self.exact(self.grams[self.order]).astype(np.float32)
+        longest = self.grams[self.order]
+        self.known_cost = np.zeros((len(longest), len(self.languages)), np.float32)
+        for at in range(0, len(longest), PART):  # in parts: the chain of escapes needs many times the room of its result
+            self.known_cost[at : at + PART] = self.exact(longest[at : at + PART])
         self.bits = max(12, int(2 * len(self.known_cost) + 1).bit_length())
         slot = self.slots(self.grams[self.order])
         self.table = np.full(1 << self.bits, len(self.known_cost), np.int32)
