@@ -1,23 +1,29 @@
 """Main text of web pages by tag-path ratios.
 
 A page becomes a list of text nodes, each with its path of tags from the root. For every path, the text length and the
-punctuation of its nodes are summed and divided by their number. Both ratios, smoothed along the page, are fused by
-multiplication; nodes above a share of the standard deviation are content. The smallest element that holds all of the
-content is the article, widened to an enclosing `article` or `main`. Its text is taken whole, short headings and list
-items included, but for elements that are never part of an article by their tag (navigation, scripts, ...), hidden ones,
-and those that look like something else by their role or class, or are a form or aside (adverts, comments, ...). Such
-looks are evidence only: an element is kept that holds an `article` or `main` with content, more than half of the
-page's content (beside an `article` or `main`: if it is not comments and has `TEASER` times their text), or, if nothing
-else is left, any of it.
+punctuation of its nodes are summed and divided by their number. Both ratios are smoothed along the page and fused by
+multiplication with a third feature of the path, its looks: every form and aside on it divides the product by `DOUBT`, every
+element whose role, class or id speaks against it by `NAMED` (by `COMMENT` if it speaks of comments), while an `article`
+or `main` that isn't among comments sets it back to one. Paths whose product reaches `SHARE` of the page's mean, weighted by length, are
+content.
+
+Content decides what stays: the smallest element that holds all content nodes is the article, widened to an enclosing
+`article` or `main`, and an element that looks like something else is dropped from it unless it holds a content node. So
+short headings and list items of the article stay, and a page or wrapper that is called `sidebar` stays too where
+nothing better is there. Navigation, scripts and other elements that are never part of an article by their tag, and hidden
+ones, are left out before.
 
 A null or empty page, or one without text, gives an empty text. Unclosed tags end where HTML ends them or with the page.
-Pages are independent of each other: there is no shuffle, and repeated rows are separate results.
+A page is read in time and memory in proportion to its length and tags, whatever their depth; no text is too long.
+Among equal ratios all nodes are content. Pages are independent of each other: there is no shuffle, and repeated rows are
+separate results.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +32,8 @@ from pyspark.sql import DataFrame
 
 from .common import col, fresh, map_arrow, plus
 
-DEVIATIONS = 0.5
-TEASER = 4
+SHARE = 0.25
+DOUBT, NAMED, COMMENT = 50, 1_000, 20_000
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
@@ -66,27 +72,30 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：¿¡]")
-NAMED = ("class", "id", "role", "aria-hidden", "style", "hidden")
+ATTRIBUTES = ("class", "id", "role", "aria-hidden", "style", "hidden")
 
 
 class Node:
-    """An element. `doubt` is the innermost one at or above it that may be no part of the article."""
+    """An element. `path` numbers its tag path, `doubt` is the innermost element at or above it that looks like something else."""
 
-    __slots__ = ("tag", "parent", "out", "path", "depth", "inside", "doubt", "comments", "claimed", "dropped")
+    __slots__ = ("tag", "parent", "out", "path", "looks", "inside", "doubt", "comments")
 
-    def __init__(self, tag: str, parent: Node | None, attributes: str = ""):
+    def __init__(self, tag: str, parent: Node | None, attributes: str, paths: dict[tuple[int, str, float], int]):
+        article = tag in ("article", "main")
+        names = looks(attributes)
+        marked = (bool(names) or tag in DOUBTFUL) and not article and tag not in ("html", "body")
         self.tag, self.parent = tag, parent
-        self.path = f"{parent.path}/{tag}" if parent else tag
-        self.depth = parent.depth + 1 if parent else 0
-        self.inside = tag in ("article", "main") or bool(parent and parent.inside)
+        self.inside = article or bool(parent and parent.inside)
         self.out = bool(parent and (parent.out or unwanted(tag, attributes, parent.inside)))
-        names = looks(attributes)
-        article, doubtful = tag in ("article", "main"), bool(names) or tag in DOUBTFUL
-        marked = doubtful and not article and tag not in ("html", "body")
+        self.comments = bool(names & COMMENTS) or bool(parent and parent.comments)
+        self.looks = parent.looks if parent else 1.0
+        if article and not names and not self.comments:
+            self.looks = 1.0
+        elif marked or (article and names):
+            self.looks /= COMMENT if names & COMMENTS else NAMED if names else DOUBT
         self.doubt = self if marked else parent.doubt if parent else None
-        self.comments = marked and bool(names & COMMENTS)
-        self.claimed = (article and not names) or bool(parent and parent.claimed and not marked)
-        self.dropped = False
+        # a path is its parent's number, a tag and the looks, so that deep pages don't spell out long paths
+        self.path = paths.setdefault((parent.path if parent else -1, tag, self.looks), len(paths))
 
 
 def unwanted(tag: str, attributes: str, inside: bool) -> bool:
@@ -96,7 +105,7 @@ def unwanted(tag: str, attributes: str, inside: bool) -> bool:
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
     lower = attributes.lower()
-    if not any(n in lower for n in NAMED):
+    if not any(n in lower for n in ATTRIBUTES):
         return False
     if re.search(r"(?:^|\s)hidden(?:\s|/|$)", lower):
         return True
@@ -127,16 +136,22 @@ def looks(attributes: str) -> set[str]:
     return found
 
 
-def parse(page: str) -> list[tuple[str, Node, int]]:
-    """The text nodes in page order: text, element, and number of the block that it belongs to."""
+def parse(page: str) -> tuple[list[tuple[str, Node, int]], list[Node]]:
+    """The text nodes in page order (text, element, and number of the block that it belongs to), and all elements, outer first."""
     found: list[tuple[str, Node, int]] = []
-    top = Node("", None)
-    stack, block, at, end = [top], 0, 0, len(page)
+    paths: dict[tuple[int, str, float], int] = {}
+    top = Node("", None, "", paths)
+    stack, nodes, block, at, end = [top], [top], 0, 0, len(page)
+    open_tags: Counter[str] = Counter()
 
     def text(raw: str) -> None:
         if raw:
             found.append((html.unescape(raw) if "&" in raw else raw, stack[-1], block))
 
+    def close(k: int) -> None:
+        open_tags.subtract(n.tag for n in stack[k:])
+        del stack[k:]
+
     while at < end:
         m = TOKEN.search(page, at)
         if not m:
@@ -153,49 +168,43 @@ def parse(page: str) -> list[tuple[str, Node, int]]:
         if tag in BLOCK:
             block += 1
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            if open_tags[tag] > 0:
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
             continue
         if tag in VOID:
             if tag == "br":
                 found.append((" ", stack[-1], block))
             continue
         ends, border = ENDS.get(tag, ({"p"}, {"div", "td", "th", "li", "article", "section", "main", "body", "button"}))
-        if tag in BLOCK:
+        if tag in BLOCK and any(open_tags[t] > 0 for t in ends):
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag in ends:
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k].tag in border:
                     break
-        here = stack[-1]
-        node = Node(tag, here, attributes)
         if tag in RAW:
-            close = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>?", re.I).search(page, at)
-            at = close.end() if close else end
+            last = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>?", re.I).search(page, at)
+            at = last.end() if last else end
         elif not attributes.endswith("/") or tag in BLOCK:
-            stack.append(node)
-    return found
+            stack.append(Node(tag, stack[-1], attributes, paths))
+            nodes.append(stack[-1])
+            open_tags[tag] += 1
+    return found, nodes
 
 
-def content(found: list[tuple[str, Node, int]]) -> list[int]:
-    """The text nodes whose path has fused ratios above the threshold."""
-    own = [i for i, (t, node, _) in enumerate(found) if not node.out and not t.isspace() and t]
+def content(found: list[tuple[str, Node, int]], share: float = SHARE) -> list[int]:
+    """The text nodes whose path has fused ratios above the threshold; a share of 0 chooses all."""
+    own = [i for i, (t, node, _) in enumerate(found) if t and not node.out and not t.isspace()]
     if not own:
         return []
-    paths: dict[str, list[float]] = {}
-    for i in own:
-        t, node, _ = found[i]
-        sums = paths.setdefault(node.path, [0, 0, 0])
-        sums[0] += len(t)
-        sums[1] += len(PUNCTUATION.findall(t))
-        sums[2] += 1
-    length = np.array([paths[found[i][1].path][0] / paths[found[i][1].path][2] for i in own])
-    marks = np.array([paths[found[i][1].path][1] / paths[found[i][1].path][2] for i in own])
-    fused = smooth(length) * (smooth(marks) + 1e-3)
-    chosen = fused >= min(DEVIATIONS * fused.std(), fused.max())
+    path = np.unique([found[i][1].path for i in own], return_inverse=True)[1]
+    nodes = np.bincount(path)
+    long = np.array([len(found[i][0]) for i in own], float)
+    marks = np.array([len(PUNCTUATION.findall(found[i][0])) for i in own], float)
+    length, marked = ((np.bincount(path, x) / nodes)[path] for x in (long, marks))
+    fused = smooth(length) * (smooth(marked) + 1e-3) * np.array([found[i][1].looks for i in own])
+    chosen = fused >= min(share * np.average(fused, weights=long), fused.max())
     return [i for i, c in zip(own, chosen) if c]
 
 
@@ -205,68 +214,11 @@ def smooth(x: np.ndarray) -> np.ndarray:
     return np.convolve(np.pad(x, 1, mode="edge"), weights / weights.sum(), "valid")
 
 
-def judge(found: list[tuple[str, Node, int]]) -> None:
-    """Takes out the doubtful elements that the content doesn't speak for."""
-    doubts: dict[int, Node] = {}
-    for _, node, _ in found:
-        e = node.doubt
-        while e is not None and id(e) not in doubts:
-            doubts[id(e)] = e
-            e = e.parent.doubt
-    if not doubts:
-        return
-    weight = dict.fromkeys(doubts, 0)
-    holds: set[int] = set()  # those with an article or main
-    chosen = content(found)
-    for i in chosen:
-        e = found[i][1].doubt
-        while e is not None:
-            weight[id(e)] += len(found[i][0])
-            if found[i][1].claimed:
-                holds.add(id(e))
-            e = e.parent.doubt
-    half = sum(len(found[i][0]) for i in chosen) / 2
-    claimed = any(found[i][1].claimed for i in chosen)
-    kept = {k for k in doubts if k in holds or weight[k] > half}
-    if claimed:
-        texts = dict.fromkeys(doubts, 0)
-        article_text = 0
-        for text, node, _ in found:
-            if not node.out and not text.isspace():
-                article_text += len(text) if node.claimed else 0
-                e = node.doubt
-                while e is not None:
-                    texts[id(e)] += len(text)
-                    e = e.parent.doubt
-        kept = {k for k in kept if k in holds or (texts[k] > TEASER * article_text and not doubts[k].comments)}
-
-    def drop() -> None:
-        for k, e in sorted(doubts.items(), key=lambda x: x[1].depth):
-            above = e.parent.doubt
-            e.dropped = k not in kept or bool(above and above.dropped)
-
-    drop()
-    if all(found[i][1].doubt and found[i][1].doubt.dropped for i in chosen):
-        kept |= {k for k in doubts if weight[k]}
-        drop()
-    for _, node, _ in found:
-        if node.doubt and node.doubt.dropped:
-            node.out = True
-
-
-def article(found: list[tuple[str, Node, int]]) -> Node | None:
+def article(chosen: list[Node], held: dict[int, int]) -> Node:
     """The smallest element with all of the content, widened from a paragraph to what holds it."""
-    chosen = content(found)
-    if not chosen:
-        return None
-    node = found[chosen[0]][1]
-    for i in chosen:
-        other = found[i][1]
-        while other is not node:
-            if other.depth >= node.depth:
-                other = other.parent
-            else:
-                node = node.parent
+    node = chosen[0]
+    while held[id(node)] < len(chosen):
+        node = node.parent
     outer = node
     while outer is not None and outer.tag not in ("article", "main"):
         outer = outer.parent
@@ -277,20 +229,24 @@ def article(found: list[tuple[str, Node, int]]) -> Node | None:
     return node
 
 
-def main_text(page: str | None) -> str:
-    found = parse(page or "")
-    judge(found)
-    root = article(found)
-    if root is None:
+def main_text(page: str | None, share: float = SHARE) -> str:
+    found, nodes = parse(page or "")
+    chosen = [found[i][1] for i in content(found, share)]
+    if not chosen:
         return ""
+    held = Counter(id(n) for n in chosen)  # content nodes at or below an element
+    for node in reversed(nodes):
+        if node.parent is not None and id(node) in held:
+            held[id(node.parent)] += held[id(node)]
+    root = article(chosen, held)
+    kept: set[int] = set()
+    for node in nodes:
+        above = node is root or (node.parent is not None and id(node.parent) in kept)
+        if above and not node.out and (node is root or node.doubt is not node or id(node) in held):
+            kept.add(id(node))
     blocks: dict[int, list[str]] = {}
     for text, node, block in found:
-        if node.out:
-            continue
-        up = node
-        while up is not None and up is not root:
-            up = up.parent
-        if up is root:
+        if id(node) in kept:
             blocks.setdefault(block, []).append(text)
     lines = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n".join(x for x in lines if x)

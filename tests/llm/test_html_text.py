@@ -1,6 +1,10 @@
+import math
+import random
+import tracemalloc
+
 import pytest
-from keyed_lake.llm.html_text import extract, extract_pages, main_text
 from helpers import documents
+from keyed_lake.llm.html_text import COMMENT, DOUBT, NAMED, SHARE, extract, extract_pages, main_text
 
 LINE = "The river, which is long and slow, runs past the old mill; nobody works there now."
 
@@ -81,3 +85,102 @@ def test_all_content_is_kept(page, want):
 )
 def test_names_are_evidence_only(page, want):
     assert main_text(page) == want
+
+
+def test_the_threshold_decides():
+    page = f"<article><h2>Mill</h2><p>{LINE}</p><div class=ad><p>{LINE}</p></div><p>{SHORT}</p></article><aside>{LINE}</aside>"
+    assert main_text(page) == f"Mill\n{LINE}\n{SHORT}"
+    assert main_text(page, share=0) == f"Mill\n{LINE}\n{LINE}\n{SHORT}\n{LINE}"
+    page = f"<section><p>{LONG}</p></section><section><a>Home</a> <a>About</a></section>"
+    assert main_text(page) == LONG
+    assert main_text(page, share=0) == f"{LONG}\nHome About"
+
+
+def test_a_short_article_beside_long_other_text():
+    advert, said = f"<div class=ad>{LONG}</div>", f"<div class=comment><p>{LONG}</p></div>"
+    assert main_text(f"{advert}<article><p>{LINE}</p></article>{advert}") == LINE
+    assert main_text(f"<div><p>{LINE}</p></div><div id=comments>{said * 30}</div>") == LINE
+
+
+def test_many_open_tags():
+    """Paths are numbers and depth costs nothing, so that 50,000 tags left open take neither gigabytes nor hours."""
+    page = "<article>" + f"<font>{LINE} " * 50_000 + "</i>" * 50_000 + "<p>x" * 1000
+    tracemalloc.start()
+    text = main_text(page)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert text == " ".join([LINE] * 50_000) + "\nx" * 1000
+    assert peak < 500_000_000
+
+
+def plain(tree, share=SHARE):
+    """The main text of a tree (tag, class, children or text) by spelt-out paths and ancestor lists."""
+    rows, number = [], 0
+
+    def walk(node, above):
+        nonlocal number
+        here = [*above, (number, node[0], node[1])]
+        number += 1
+        for child in node[2]:
+            if isinstance(child, str):
+                rows.append((child, here))
+            else:
+                walk(child, here)
+
+    def weight(path):
+        w, among = 1.0, False
+        for _, tag, name in path:
+            among = among or name == "comments"
+            if tag == "article" and not name and not among:
+                w = 1.0
+            elif name or tag == "aside":
+                w /= {"comments": COMMENT, "ad": NAMED, "": DOUBT}[name]
+        return w
+
+    walk(tree, [])
+    kinds = [tuple((tag, weight(path[: i + 1])) for i, (_, tag, _) in enumerate(path)) for _, path in rows]
+    size, marks = [len(t) for t, _ in rows], [sum(c in ".,;:!?" for c in t) for t, _ in rows]
+
+    def smooth(of):
+        x = [sum(v for v, k in zip(of, kinds) if k == one) / kinds.count(one) for one in kinds]
+        x = [x[0], *x, x[-1]]
+        e = math.exp(-0.5)
+        return [(e * x[i] + x[i + 1] + e * x[i + 2]) / (1 + 2 * e) for i in range(len(x) - 2)]
+
+    fused = [a * (b + 1e-3) * weight(path) for a, b, (_, path) in zip(smooth(size), smooth(marks), rows)]
+    least = min(share * sum(f * n for f, n in zip(fused, size)) / sum(size), max(fused))
+    chosen = [path for f, (_, path) in zip(fused, rows) if f >= least * (1 - 1e-9)]
+    holding = {e[0] for path in chosen for e in path}
+    root = [e for e in chosen[0] if all(e in path for path in chosen)]
+    while root[-1][1] not in ("article", "div") or (root[-1][1] == "div" and any(e[1] == "article" for e in root)):
+        root.pop()
+    kept = []
+    for text, path in rows:
+        if root[-1] in path:
+            below = path[path.index(root[-1]) + 1 :]
+            if all(n in holding or not ((name and tag != "article") or tag == "aside") for n, tag, name in below):
+                kept.append(text)
+    return "\n".join(kept)
+
+
+def markup(node):
+    tag, name, children = node
+    return f"<{tag} class='{name}'>" + "".join(c if isinstance(c, str) else markup(c) for c in children) + f"</{tag}>"
+
+
+def test_brute_force():
+    """Random trees; every text stands alone in a paragraph, so it is a block."""
+    r = random.Random(5)
+
+    def grown(depth):
+        if depth == 0 or r.random() < 0.4:
+            return ("p", "", ["A few words, then more." * r.choice([1, 1, 2, 9, 40]) if r.random() < 0.7 else "Menu"])
+        name = r.choice(["", "", "", "ad", "comments"])
+        return (r.choice(["div", "div", "aside", "article"]), name, [grown(depth - 1) for _ in range(r.randint(1, 4))])
+
+    changed = 0
+    for _ in range(600):
+        tree = ("div", "", [grown(4) for _ in range(r.randint(1, 5))])
+        assert main_text(markup(tree)) == plain(tree), markup(tree)
+        changed += plain(tree) != plain(tree, share=0)
+    assert changed > 100
