@@ -35,7 +35,8 @@ ORDER = 4
 TRAIN_ROWS = 600
 MAX_GRAMS = 250_000  # a language; 600 texts of the tables at hand have about 75,000
 UNKNOWN = "und"
-BLOCK = 1 << 20
+BLOCK = 1 << 18  # bytes whose costs are worked out at once
+ROWS = 256  # rows of a batch that are taken at once: a worker holds the texts of so many beside the batch
 PART = 1 << 14
 LETTER = regex.compile(r"\p{L}")
 
@@ -225,12 +226,12 @@ def predict(df: DataFrame, text: str, model: Model, lang_name: str = "lang_pred"
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value.prepare()
         names = np.array([*known.languages, UNKNOWN], object)
-        for batch in batches:
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             texts = [t or "" for t in batch.column(at).to_pylist()]
             lettered = np.array([LETTER.search(t) is not None for t in texts], bool)
             bits = known.lengths([t.encode() for t in texts])
-            best = bits.argmin(1) if len(bits) else np.zeros(0, np.int64)
-            ahead = np.minimum(bits - bits.min(1, keepdims=True), 1000) if len(bits) else bits
+            best = bits.argmin(1)
+            ahead = np.minimum(bits - bits.min(1, keepdims=True), 1000)
             score = np.where(lettered, 1 / np.exp2(-ahead).sum(1), 0.0)
             lang = names[np.where(lettered, best, len(names) - 1)]
             yield pa.RecordBatch.from_arrays(

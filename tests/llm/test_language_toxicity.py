@@ -81,6 +81,14 @@ def test_predictions(spark, labelled):
     assert all(0 <= s <= 1 for _, s in found.values())
 
 
+def test_batches_come_in_slices(spark, labelled, monkeypatch):
+    model = language.train(labelled, "doc_id", "text", "lang")
+    docs = documents(spark, [*ODD, *sentences("en", 9, 3), *sentences("de", 9, 4)]).repartition(1)
+    whole = sorted(language.predict(docs, "text", model).collect())
+    monkeypatch.setattr(language, "ROWS", 4)
+    assert sorted(language.predict(docs, "text", model).collect()) == whole and len(whole) == len(ODD) + 18
+
+
 def test_without_labels_all_is_unknown(spark, labelled):
     model = language.train(labelled.where("false"), "doc_id", "text", "lang")
     assert {r._lang_pred for r in language.predict(documents(spark, ODD), "text", model).collect()} == {"und"}
