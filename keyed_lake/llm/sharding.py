@@ -4,13 +4,15 @@ The order is by content hash, then key, so equal texts are neighbours. Rows are
 task sums the sizes of its own rows, and the totals of the partitions, one row each, turn these into global sums. Cuts
 at equal targets then give the shards.
 
-Equal texts stay in one shard: a group goes where its middle lies. Groups of more than `whole` of a shard would bend the
-balance. There are at most `shards / whole` of them, a bound that doesn't depend on the data; those that fit into a
-shard are handed out first, the largest to the emptiest shard, and the cuts of the others leave room for them. A group
-larger than a shard can't be kept whole in any balanced way: it is cut between rows like the rest.
-
-A null text has no bytes. Null keys come first. Equal rows are separate rows with slots of their own. An empty table
-gives no rows.
+Equal texts stay in one shard: a group goes where its middle lies. Groups with more than `whole` of a shard's bytes would
+bend the balance, and ones with more than that share of its rows, such as empty texts, would fill one task. There are at
+most `shards / whole` of either, a bound that doesn't depend on the data; those that fit into a shard are handed out
+first, the largest to the emptiest shard, and the cuts of the others leave room for them. A group larger than a shard
+can't be kept whole in any balanced way: it is cut between rows like the rest.
+
+A null text has no bytes and is of the group of empty ones. Very long texts only count by their size: past the first
+step no row holds a text. Keys may be null or repeat; equal rows, the ties of this order, are separate rows with slots
+of their own. Columns are made by position, so names of the table can't clash. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -84,9 +86,11 @@ def assign_shards(df: DataFrame, key: str, text: str, shards: int = SHARDS, whol
     """doc_id, size, text_crc32, shard, slot of every row."""
     spark = df.sparkSession
     light = written(sizes(df, key, text).withColumn("row", F.monotonically_increasing_id()), "shard-sizes")
-    total = light.agg(F.sum("size")).first()[0] or 0
+    total, rows_in = light.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     target = total / shards
-    large = light.groupBy("hash").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > target * whole).collect()
+    groups = light.groupBy("hash").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
+    many = max(1.0, rows_in / shards * whole)
+    large = groups.where((F.col("bytes") > target * whole) | (F.col("rows") > many)).collect()  # 2 * shards / whole at most
     placed, load = place_large({bytes(r["hash"]): r["bytes"] for r in large if r["bytes"] <= target}, shards)
     cut = [bytes(r["hash"]) for r in large if r["bytes"] > target]
     known = spark.createDataFrame(

@@ -81,6 +81,48 @@ def test_shards(spark, shards):
             assert len(place[t]) == 1
 
 
+def plain_shards(texts, shards):
+    """Shard of each text by the rule of the operator, where no group is larger than a shard."""
+    bodies = [(t or "").encode() for t in texts]
+    names = [hashlib.md5(b).digest() for b in bodies]
+    size, rows = Counter(), Counter(names)
+    for name, body in zip(names, bodies):
+        size[name] += len(body) + 16
+    target = sum(size.values()) / shards
+    many = max(1.0, len(texts) / shards * sharding.WHOLE)
+    large = {h for h in size if size[h] > target * sharding.WHOLE or rows[h] > many}
+    load, place = [0] * shards, {}
+    for h in sorted(large, key=lambda h: (-size[h], h)):
+        place[h] = min(range(shards), key=lambda s: (load[s], s))
+        load[place[h]] += size[h]
+    room = [max(0.0, target - x) for x in load]
+    rest = sum(n for h, n in size.items() if h not in large)
+    ends = [sum(room[: s + 1]) * rest / sum(room) for s in range(shards - 1)]
+    done = 0
+    for h in sorted(size.keys() - large):
+        place[h] = sum(end <= done + size[h] / 2 for end in ends)
+        done += size[h]
+    return [place[h] for h in names]
+
+
+@pytest.mark.parametrize("shards", [2, 5])
+def test_shards_against_brute_force(spark, shards):
+    texts = [f"document {i % 900} " * (3 + i % 900 * 7 % 13) for i in range(1200)] + ["", None] * 60 + ["long " * 200] * 3
+    rows = sharding.assign_shards(documents(spark, texts), "doc_id", "text", shards).collect()
+    assert [r.shard for r in sorted(rows)] == plain_shards(texts, shards)
+
+
+def test_groups_of_many_rows_do_not_flow(spark, monkeypatch):
+    """Empty texts weigh little, yet a task must not hold them all: they are placed as a group."""
+    texts = [f"a text of some length, number {i} " * 40 for i in range(400)] + [None, ""] * 100
+    placed = {}
+    place = sharding.place_large
+    monkeypatch.setattr(sharding, "place_large", lambda groups, n: placed.update(groups) or place(groups, n))
+    rows = sharding.assign_shards(documents(spark, texts), "doc_id", "text", 2).collect()
+    assert placed[hashlib.md5(b"").digest()] == 200 * 16 < 0.01 * sum(r.size for r in rows)
+    assert len({r.shard for r in rows if r.size == 16}) == 1
+
+
 def test_shards_are_balanced(spark):
     texts = [f"document {i} " * (3 + i * i % 11) for i in range(3000)]
     rows = sharding.assign_shards(documents(spark, texts), "doc_id", "text", 8).collect()
