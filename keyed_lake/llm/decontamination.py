@@ -1,6 +1,8 @@
 """Passages of benchmark items in documents, found by CGK embeddings, bit sampling and exact edit distance.
 
-Texts are words (runs of letters and digits, in lower case). A document holds an item of m words if some run of its words
+Texts are words: runs of letters and digits, in lower case. In scripts that are written without blanks (`UNSPACED`) every
+letter is a word of its own, so an item is found inside a longer run of such letters, and a changed letter is one edit. In
+other scripts a word that differs in a letter is one edit as well. A document holds an item of m words if some run of its words
 is at most floor(`distance` * m) edits of whole words away from the item.
 
 *Windows.* Items are sorted into classes of about equal size, and every place of a document gives a window of the class's
@@ -17,8 +19,10 @@ emitted words as keys; a window meets an item if one key is equal. At the larges
 around the window, with bit-parallel dynamic programming.
 
 The items are a stated query set: they go to all tasks in blocks of about `BLOCK_ITEMS`, which bounds the broadcast;
-documents are never shuffled. Items without a word, and null ones, are found nowhere; equal items are all reported. Null
-and empty documents hold nothing. Equal rows are separate documents. Empty tables give no hits.
+documents are never shuffled. Walks are held for so many windows at a time that their steps come to `CELLS` numbers, so
+long items need no more memory than short ones. Very long documents are read whole. Items without a word, and null ones, are found nowhere; equal items are all reported. Null
+and empty documents hold nothing. Equal rows are separate documents. Of runs that are equally near to an item the first
+found is reported. Added columns avoid the table's names with underscores in front. Empty tables give no hits.
 """
 
 from __future__ import annotations
@@ -40,11 +44,17 @@ BLOCK_ITEMS = 20_000
 WALKS, KEYS, SAMPLED = 8, 12, 3
 CLASS_RATIO = 1.1
 PART_DOCS = 256
-WORD = re.compile(r"[^\W_]+")
+CELLS = 1 << 22
+#: Thai, Lao, Tibetan, Myanmar, Khmer; kana; Han with its extensions. Fixed values.
+UNSPACED = "\u0e01-\u0eff\u0f40-\u0fbc\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORD = re.compile(rf"(?:(?![{UNSPACED}])[^\W_])+|(?:(?=[{UNSPACED}])[^\W_])")
+PLAIN = re.compile(r"[^\W_]+")
+RARE = re.compile(f"[{UNSPACED}]")
 
 
 def words(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    text = (text or "").lower()
+    return (WORD if RARE.search(text) else PLAIN).findall(text)
 
 
 def edits(m: int, distance: float = DISTANCE) -> int:
@@ -156,8 +166,9 @@ class Index:
             docs = np.searchsorted(begin, starts, "right") - 1
             inside = starts < ends[docs]  # not between documents
             starts, docs = starts[inside], docs[inside]
-            for at in range(0, len(starts), 20_000):
-                window, item = size.meet(x, starts[at : at + 20_000])
+            room = max(1, CELLS // (3 * size.m))  # windows whose walks are held at once
+            for at in range(0, len(starts), room):
+                window, item = size.meet(x, starts[at : at + room])
                 met.append(np.stack([docs[at + window], item, starts[at + window]], axis=1))
         met = np.concatenate(met)
         # windows of an item that begin within its length of each other are decided together
@@ -206,7 +217,8 @@ class SizeClass:
         if not len(at):
             return at
         # hits in [s, s + span) for the places s up to `span` before a hit
-        around = np.unique((at[:, None] - np.arange(self.span)[None, :]).ravel()) if len(at) < 50_000 else np.arange(size)
+        few = len(at) * self.span < size  # otherwise all places take less room
+        around = np.unique((at[:, None] - np.arange(self.span)[None, :]).ravel()) if few else np.arange(size)
         around = around[(around >= 0) & (around < size)]
         count = np.searchsorted(at, around + self.span) - np.searchsorted(at, around)
         return around[count >= self.least]

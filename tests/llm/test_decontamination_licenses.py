@@ -84,6 +84,40 @@ def test_blocks_of_items_find_the_same(spark, monkeypatch):
     assert sorted(whole) == sorted(parts) and whole
 
 
+def test_scripts_without_blanks(spark):
+    pick = random.Random(7)
+    letters = [chr(c) for c in [*range(0x4E00, 0x4F00), *range(0x3042, 0x3080), *range(0x0E01, 0x0E2F)]]
+    items = ["".join(pick.choices(letters, k=k)) for k in (6, 12, 25, 60)]
+    docs = []
+    for n in range(80):
+        item = list(items[n % 4])
+        for at in pick.sample(range(len(item)), [0, 1, D.edits(len(item)), D.edits(len(item)) + 3][n // 4 % 4]):
+            item[at] = "変"
+        docs.append("".join([*pick.choices(letters, k=30), *item, *pick.choices(letters, k=30)]) + " and words" * (n % 3))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = D.contamination_report(documents(spark, docs), "doc_id", "text", bench, "item_id", "text").collect()
+    want = brute(items, docs)
+    got = {(r.doc_id, r.item_id) for r in rows}
+    assert got <= set(want) and len(got) >= 0.99 * len(want) and len(want) >= 55
+    assert {p for p, n in want.items() if n == 0} <= got
+    assert D.words("Ein Wort, 世界 wort_2") == ["ein", "wort", "世", "界", "wort", "2"]
+
+
+def test_long_items_in_parts(spark, monkeypatch):
+    pick = random.Random(8)
+    item = pick.choices([f"v{i}" for i in range(300)], k=400)
+    near = [w if i % 9 else "other" for i, w in enumerate(item)]
+    docs = [" ".join(["x"] * 40 + near + ["y"] * 30), " ".join(item[:250]), None, "", " ".join(item) + " z" * 5_000]
+    index = D.Index([(1, " ".join(item))])
+    whole = index.scan(docs)
+    sizes = []
+    meet = D.SizeClass.meet
+    monkeypatch.setattr(D, "CELLS", 40_000)
+    monkeypatch.setattr(D.SizeClass, "meet", lambda self, x, starts: sizes.append(len(starts)) or meet(self, x, starts))
+    assert index.scan(docs) == whole and max(sizes) * 3 * 400 <= 40_000 and len(sizes) > 2
+    assert [bool(w) for w in whole] == [True, False, False, False, True]
+
+
 def test_clean_documents_stay(spark):
     docs = documents(spark, ["all of these words are harmless", "one two three four five six", *ODD])
     bench = spark.createDataFrame([("a", "two three four five")], "item string, text string")
