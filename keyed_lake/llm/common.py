@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import gc
 import os
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,6 +72,13 @@ def map_arrow(df: DataFrame, function, schema: T.StructType | str) -> DataFrame:
     return df.mapInArrow(released, schema)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most so many rows, which bounds what a worker makes of them at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def release_memory() -> None:
     """Give what a task has freed back to the system: its worker stays for the next task, which may be another operator's."""
     gc.collect()

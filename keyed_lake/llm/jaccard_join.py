@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bloom import build
-from .common import col, find_package, fresh, map_arrow, plus, written
+from .common import col, find_package, fresh, map_arrow, plus, slices, written
 from .components import components
 
 ROUNDS = 2
@@ -45,7 +45,8 @@ LEAF, FAN = 16, 8
 #: Words are runs of other than ASCII blanks.
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 1 << 17  # hashes of words a worker keeps; others are found again
+ROWS = 256  # texts that are cut into n-grams at a time
 
 
 @dataclass(frozen=True)
@@ -122,7 +123,7 @@ def _outline(rule: Similarity, schema):
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, least = shingles_of(rule.words), rule.smallest()
-        for batch in batches:
+        for batch in slices(batches, ROWS):
             digests, sizes, firsts = [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingles.of(text)
@@ -143,7 +144,7 @@ def _outline(rule: Similarity, schema):
 def _sets(rule: Similarity, schema):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = shingles_of(rule.words)
-        for batch in batches:
+        for batch in slices(batches, ROWS):
             found = [shingles.of(t).tobytes() for t in batch.column("text").to_pylist()]
             columns = [batch.column(k) for k in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.binary())], schema.names)

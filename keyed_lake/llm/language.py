@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col, fold, fresh, map_arrow, plus, written
+from .common import col, fold, fresh, map_arrow, plus, slices, written
 
 ORDER = 4
 TRAIN_ROWS = 600
@@ -226,7 +226,7 @@ def predict(df: DataFrame, text: str, model: Model, lang_name: str = "lang_pred"
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value.prepare()
         names = np.array([*known.languages, UNKNOWN], object)
-        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
+        for batch in slices(batches, ROWS):
             texts = [t or "" for t in batch.column(at).to_pylist()]
             lettered = np.array([LETTER.search(t) is not None for t in texts], bool)
             bits = known.lengths([t.encode() for t in texts])
