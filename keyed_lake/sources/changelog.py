@@ -18,6 +18,7 @@ a limit on rows or tasks, but leave gaps, as in a compacted topic. Batch numbers
 from __future__ import annotations
 
 import json
+import math
 import uuid
 from dataclasses import dataclass
 
@@ -53,6 +54,10 @@ _BLOCK = 10_000  # batches per block folder
 _DIGITS, _BLOCK_DIGITS = 12, 8
 _BYTES_PER_ROW = 32  # taken for a log without a batch to measure
 _MEASURED = 1_000  # batches that the row size is measured over
+_JOINED_BYTES = 256 << 20  # of a batch whose files are joined; the files of larger ones are left as they are
+_FEW = 3  # files of a batch that are left as they are in any case
+_FILE_BYTES = 64 << 20  # of a joined file, about
+_FILLED = 0.8  # share of its rows that a joined file is planned with, as ranges come out uneven
 
 
 @dataclass(frozen=True)
@@ -205,12 +210,34 @@ class ParquetLog:
         if not written:
             self.files.delete(staged)
             return Appended(0, None)
+        staged = self._joined(staged, written, rows_per_file)
         name = f"batch={number:0{_DIGITS}d}-{written}-{self.files.size(staged)}-{writer}-{batch_id}"
         folder = f"{_block(number)}/{name}"
         self.files.publish_text(f"{self.path}/_writers/{writer}", json.dumps({"batch": batch_id, "folder": folder}), replace=True)
         self.files.publish_folder(staged, f"{self.data}/{folder}")
         return Appended(written, int(end))
 
+    def _joined(self, staged: str, rows: int, rows_per_file: int) -> str:
+        """The folder of a staged batch in a few files, or as many as its rows need.
+
+        Every task writes a file, however small, and a stream with a small limit takes one file a trigger: the number of
+        its triggers must follow the records and not the tasks. Each file keeps to a range of offsets.
+        """
+        size = self.files.size(staged)
+        if size > _JOINED_BYTES:
+            return staged
+        files = sum(name.endswith(".parquet") for name in self.files.names(staged))
+        needed = 1 if rows <= rows_per_file and size <= _FILE_BYTES else max(math.ceil(rows / (_FILLED * rows_per_file)), math.ceil(size / _FILE_BYTES))
+        if files <= max(_FEW, needed):
+            return staged
+        joined = f"{self.path}/_staging/{uuid.uuid4().hex}"
+        records = self.spark.read.schema(LOG_SCHEMA).parquet(staged)
+        # ranges by number, so that adaptive execution leaves them
+        records = records.coalesce(1) if needed == 1 else records.repartitionByRange(needed, "offset")
+        records.write.option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).parquet(joined)
+        self.files.delete(staged)
+        return joined
+
     def scan(self, after: int | None = None) -> DataFrame:
         """All records as a bounded table, or those of the batches after a number."""
         reader = self.spark.read.schema(STREAM_SCHEMA).option("basePath", self.data)

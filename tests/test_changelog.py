@@ -154,3 +154,21 @@ def test_an_append_looks_at_the_newest_blocks_only(spark, log, monkeypatch):
     assert log.append(records(spark, ("a", "1")), "w", 500).rows == 1
     assert max(map(len, listed)) <= 100 and len(listed) <= 8
     assert log.next_number() == 501
+
+
+def test_files_follow_the_rows_and_not_the_tasks(spark, log):
+    many = spark.range(0, 2000, 1, 50).selectExpr("id AS key", "id AS value")
+    log.append(many, "w", 0)
+    log.append(many, "w", 1, order_by=["value"])
+    log.append(many, "w", 2, rows_per_file=500)
+    files = {}
+    for f in log.scan().inputFiles():
+        files.setdefault(f.split("/")[-2].split("-")[0], []).append(f)
+    assert [len(files[b]) for b in sorted(files)[:2]] == [1, 1] and len(files[sorted(files)[2]]) <= 10
+    per_file = log.scan().groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n"), F.min("offset").alias("a"), F.max("offset").alias("z"))
+    held = per_file.orderBy("a").collect()
+    assert max(r["n"] for r in held if r["f"] in files[sorted(files)[2]]) <= 500
+    assert all(x["z"] < y["a"] for x, y in zip(held, held[1:]))  # each file keeps to a range of offsets
+    first = log.scan().where(F.col("offset") < F.lit(str(1 << 64)).cast("decimal(38,0)")).orderBy("offset").select("value").collect()
+    assert [int(r["value"]) for r in first] == list(range(2000)) and log.recorded_rows() == 6000
+    assert log.files.names(f"{log.path}/_staging") == []
