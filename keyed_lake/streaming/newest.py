@@ -2,7 +2,8 @@
 
 The state of a key is the order of its newest record, as one text that sorts like the order columns do. Everything else is
 done by Spark before and after: decoding, the new key and value, the order. A micro-batch first meets per key in one
-task, batch by Arrow batch, so a frequent key needs no more memory than others.
+task, batch by Arrow batch, so a frequent key needs no more memory than others. A record travels as one text, and a
+frame comes out with the columns it came in with: each column costs time per key.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from keyed_lake.spec import TableSpec
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-OUTPUT = "key string, value string, timestamp timestamp, place string"
+_OFFSET_DIGITS = 39
+_RECORD = "key string, value string, micros long"
 
 
 def sortable(column: Column, data_type: T.DataType) -> Column:
@@ -47,11 +49,13 @@ def newest_records(rows: DataFrame, spec: TableSpec, key: Column | str, value: C
     if not isinstance(spec.type_of(time), T.TimestampType):
         raise ValueError(f"the first orderBy column of {spec.name} must be a timestamp")
     text = lambda c: (F.col(c) if isinstance(c, str) else c).cast("string")
-    place = F.lpad(F.col("_log_offset").cast("string"), 39, "0")
+    place = F.lpad(F.col("_log_offset").cast("string"), _OFFSET_DIGITS, "0")
     order = F.concat(*[sortable(F.col(c), spec.type_of(c)) for c in spec.order_by], place)
     flat = rows.select(
         F.to_json(F.array(*[text(c) for c in spec.pks])).alias("id"), order.alias("rank"), F.col(time).alias("at"),
-        text(key).alias("key"), text(value).alias("value"), F.col("_log_timestamp").alias("timestamp"), place.alias("place"),
+        F.to_json(F.struct(
+            text(key).alias("key"), text(value).alias("value"), F.unix_micros("_log_timestamp").alias("micros")
+        )).alias("record"),
     ).withWatermark("at", horizon)
     kept = rows.sparkSession.sql(f"SELECT cast(unix_millis(timestamp '1970-01-01 00:00:00Z' + interval {horizon}) as long)").head()[0]
 
@@ -65,13 +69,17 @@ def newest_records(rows: DataFrame, spec: TableSpec, key: Column | str, value: C
             ranks = frame["rank"].tolist()
             i = max(range(len(ranks)), key=ranks.__getitem__)
             if ranks[i] > rank:
-                rank, best = ranks[i], frame.iloc[[i]]
+                rank, best = ranks[i], frame if len(ranks) == 1 else frame.iloc[[i]]
             times = frame["at"].max()
             if not pd.isna(times):
                 last = max(last, int(times.timestamp() * 1000))
         state.update((rank,))
         state.setTimeoutTimestamp(last + kept + 1)
         if best is not None:
-            yield best[["key", "value", "timestamp", "place"]]
+            yield best
 
-    return flat.groupBy("id").applyInPandasWithState(newest, OUTPUT, "rank string", "update", GroupStateTimeout.EventTimeTimeout)
+    found = flat.groupBy("id").applyInPandasWithState(newest, flat.schema, "rank string", "update", GroupStateTimeout.EventTimeTimeout)
+    record = F.from_json("record", _RECORD)
+    return found.select(record.alias("r"), F.right("rank", F.lit(_OFFSET_DIGITS)).alias("place")).select(
+        "r.key", "r.value", F.timestamp_micros("r.micros").alias("timestamp"), "place"
+    )
