@@ -8,6 +8,7 @@ survivor the same however the input is partitioned and whichever task is run aga
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,8 +50,47 @@ def keep_latest_text(df: DataFrame, spec: TableSpec, mode: str = "safe") -> Data
     if mode == "compat":
         return keep_latest(df, spec.pks, spec.order_by)
     others = [c for c in spec.columns if c not in spec.pks and c not in spec.order_by]
-    as_typed = lambda names: [typed(c, spec.type_of(c)) for c in names]
-    return keep_latest(df, spec.pks, as_typed(spec.order_by), as_typed(others))
+    types = {c: spec.type_of(c) for c in df.columns if c in spec.columns and c not in spec.pks}
+    types = {c: t for c, t in types.items() if not isinstance(t, T.StringType)}
+    if not types or not set(spec.columns) <= set(df.columns):
+        as_typed = lambda names: [typed(c, spec.type_of(c)) for c in names]
+        return keep_latest(df, spec.pks, as_typed(spec.order_by), as_typed(others))
+    # a typed column stands for its text where that is how Spark writes the value; sorts and shuffles carry one of the two
+    ties, places = [], []
+    for c in [*df.columns, None]:
+        if c in types:
+            places.append(_raw_order(F.col(c), _plain_text(typed(c, types[c]))))
+        elif c not in spec.columns:  # another column, or the end
+            if places:
+                ties.append(F.concat(*places).alias(f"_order{len(ties)}"))
+                places = []
+            ties += [c] * (c is not None and not isinstance(df.schema[c].dataType, _UNORDERED))
+    raw = {c: F.when(~F.col(c).eqNullSafe(_plain_text(typed(c, t))), F.col(c)) for c, t in types.items()}
+    odd = reduce(lambda a, b: a | b, [r.isNotNull() for r in raw.values()])
+    packed = df.select(
+        *[typed(c, types[c]).alias(c) if c in types else F.col(c) for c in df.columns],
+        *[t for t in ties if isinstance(t, Column)],
+        F.when(odd, F.struct(*[r.alias(c) for c, r in raw.items()])).alias("_raw"),
+    )
+    named = [t if isinstance(t, str) else f"_order{i}" for i, t in enumerate(ties)]
+    latest = keep_latest(packed, spec.pks, spec.order_by, [*others, *named])
+    return latest.select(
+        *[F.coalesce(F.col("_raw").getField(c), _plain_text(F.col(c))).alias(c) if c in types else F.col(c) for c in df.columns]
+    )
+
+
+def _plain_text(value: Column) -> Column:
+    """The text of a value as Spark writes it, the same for values that sort as equal: 0.0 also for -0.0."""
+    text = value.cast("string")
+    return F.when(text == "-0.0", F.lit("0.0")).otherwise(text)
+
+
+def _raw_order(raw: Column, plain: Column) -> Column:
+    """A text that sorts raw texts of equal values as they sort themselves, NULL first, and is short for the plain one."""
+    # a character below all others ends the text, and stands for itself doubled with a larger one
+    whole = F.concat(F.replace(raw, F.lit("\0"), F.lit("\0\1")), F.lit("\0\0"))
+    above = plain.isNull() | (raw > plain)
+    return F.when(raw.eqNullSafe(plain), F.lit("1")).otherwise(F.concat(F.when(above, F.lit("2")).otherwise(F.lit("0")), whole))
 
 
 def latest_records(log: DataFrame, keys: Sequence[str] = ("partition", "key")) -> DataFrame:
