@@ -729,7 +729,8 @@ def run_all(spark, sf_dir):
     for name, spec in specs.items():
         rows = load(spark, sf_dir, name).select(*[F.col(c) for c in spec.columns])
         text = rows.select(*[F.date_format(c, _MICROS).alias(c) if isinstance(t, T.TimestampType) else F.col(c) for c, t in zip(spec.columns, spec.types)])
-        text.write.option("escape", '"').csv(f"{work}/csv/{spec.csv_folder}/first")
+        # files whose fields may hold line ends are read whole by one task, compressed or not
+        text.write.option("escape", '"').option("compression", "gzip").csv(f"{work}/csv/{spec.csv_folder}/first")
     await_all(spark, ingest_all(
         spark, specs, f"{work}/csv", f"{work}/logs", f"{work}/cp", available_now=True,
         csv_options={"escape": '"', "multiLine": "true"},
