@@ -13,6 +13,8 @@ from keyed_lake.llm import decontamination, exact_dedup, jaccard_join, language,
 from keyed_lake.llm.common import col, fresh, load, written
 from keyed_lake.llm.queries import tokenizer_path
 
+#: Chunks whose ids a worker of the last stage keeps: it shares its executor with what the stages before have left in the JVM.
+CACHED = 400_000
 NEAR = jaccard_join.Similarity(words=5, num=80, den=100)
 
 
@@ -37,7 +39,7 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, "doc_id", "text", tokenizer_path())
+    return packing.pack(docs, "doc_id", "text", tokenizer_path(), cached=CACHED)
 
 
 STAGES = [

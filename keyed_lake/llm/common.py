@@ -6,7 +6,7 @@ import contextlib
 import ctypes
 import gc
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 
 from ..storage import scratch_folder
 
+BATCH_BYTES = 4 << 20  # of a batch between Spark and a worker; both hold several copies of one
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "64m"
+
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -79,6 +82,28 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             yield batch.slice(at, rows)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts go to workers in batches of about `BATCH_BYTES`, or one text if that is larger.
+
+    Sets Spark's limit on Arrow batches for the session, unless the session has one other than Spark's own.
+    """
+    if spark.conf.get(_BATCH_SETTING, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
+_kept: dict[tuple, object] = {}
+
+
+def kept(key: tuple | None = None, make: Callable[[], object] | None = None) -> object:
+    """What a worker keeps from task to task. It serves one operator after another, so what others have left there goes."""
+    if key not in _kept:
+        _kept.clear()
+        release_memory()
+        if make:
+            _kept[key] = make()
+    return _kept.get(key)
+
+
 def release_memory() -> None:
     """Give what a task has freed back to the system: its worker stays for the next task, which may be another operator's."""
     gc.collect()

@@ -37,14 +37,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import col, fresh, map_arrow
+from .common import col, fresh, kept, map_arrow, slices, small_batches
 
 DISTANCE = 0.2
 BLOCK_ITEMS = 20_000
 WALKS, KEYS, SAMPLED = 8, 12, 3
 CLASS_RATIO = 1.1
 PART_DOCS = 256
-CELLS = 1 << 22
+CELLS = 1 << 20
 #: Thai, Lao, Tibetan, Myanmar, Khmer; kana; Han with its extensions. Fixed values.
 UNSPACED = "\u0e01-\u0eff\u0f40-\u0fbc\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 WORD = re.compile(rf"(?:(?![{UNSPACED}])[^\W_])+|(?:(?=[{UNSPACED}])[^\W_])")
@@ -262,6 +262,7 @@ class SizeClass:
 def scan(df: DataFrame, text: str, benchmark: DataFrame, item: str, item_text: str, name: str = "hits", distance: float = DISTANCE) -> DataFrame:
     """All columns and an array of what each document holds: item, edits, first word, word after the last."""
     spark = df.sparkSession
+    small_batches(spark)
     kind = benchmark.select(col(item)).schema[0].dataType
     hit = T.StructType(
         [T.StructField("item", kind), T.StructField("edits", T.IntegerType()), T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())]
@@ -282,13 +283,12 @@ def scan(df: DataFrame, text: str, benchmark: DataFrame, item: str, item_text: s
 
 def _scan_rows(shared, at: int, hit: T.StructType, distance: float, name: str):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept()
         index = Index(shared.value, distance)
-        for batch in batches:
-            texts = batch.column(at).to_pylist()
+        for batch in slices(batches, PART_DOCS):
             found = []
-            for k in range(0, len(texts), PART_DOCS):
-                for hits in index.scan(texts[k : k + PART_DOCS]):
-                    found.append([{"item": index.ids[i], "edits": d, "begin": a, "end": b} for i, d, a, b in hits])
+            for hits in index.scan(batch.column(at).to_pylist()):
+                found.append([{"item": index.ids[i], "edits": d, "begin": a, "end": b} for i, d, a, b in hits])
             array = pa.array(found, pa.list_(to_arrow_type(hit)))
             yield pa.RecordBatch.from_arrays([*batch.columns, array], [*batch.schema.names, name])
 

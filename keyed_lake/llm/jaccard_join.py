@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bloom import build
-from .common import col, find_package, fresh, map_arrow, plus, slices, written
+from .common import col, find_package, fresh, kept, map_arrow, plus, slices, small_batches, written
 from .components import components
 
 ROUNDS = 2
@@ -108,14 +108,9 @@ class Shingles:
         return np.unique(out ^ (out >> np.uint64(32)))
 
 
-_shingles: dict[int, Shingles] = {}
-
-
 def shingles_of(words: int) -> Shingles:
     """One for each worker."""
-    if words not in _shingles:
-        _shingles[words] = Shingles(words)
-    return _shingles[words]
+    return kept(("shingles", words), lambda: Shingles(words))
 
 
 def _outline(rule: Similarity, schema):
@@ -289,6 +284,7 @@ def exact_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, rule: Si
 
 def grouped(df: DataFrame, key: str, text: str, rule: Similarity = Similarity(), part_tokens: int = PART_TOKENS) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id of every row, and whether the row names its component."""
+    small_batches(df.sparkSession)
     docs = with_hash(df.select(col(key).alias("doc_id"), col(text).cast("string").alias("text")), "text", "text_hash")
     ordered = docs.select("doc_id", "text_hash", "text")
     schema = plus(ordered.drop("text").schema, ("digest", "binary"), ("n", "long"), ("first", "array<long>"))

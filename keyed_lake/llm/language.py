@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col, fold, fresh, map_arrow, plus, slices, written
+from .common import col, fold, fresh, kept, map_arrow, plus, slices, small_batches, written
 
 ORDER = 4
 TRAIN_ROWS = 600
@@ -219,11 +219,13 @@ def predict(df: DataFrame, text: str, model: Model, lang_name: str = "lang_pred"
     lang_name, score_name = fresh(lang_name, df.columns), fresh(score_name, df.columns)
     if not model.languages:
         return df.withColumns({lang_name: F.lit(UNKNOWN), score_name: F.lit(0.0)})
+    small_batches(df.sparkSession)
     schema = plus(df.schema, (lang_name, "string"), (score_name, "double"))
     at = df.columns.index(text)
     shared = df.sparkSession.sparkContext.broadcast(model)  # max_grams a language at most
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept()
         known = shared.value.prepare()
         names = np.array([*known.languages, UNKNOWN], object)
         for batch in slices(batches, ROWS):

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, find_package, map_arrow, plus, written
+from .common import col, find_package, kept, map_arrow, plus, small_batches, written
 
 CAPACITY = 2048
 GROUP_ROWS = 40_000
@@ -104,23 +104,24 @@ class Tokens:
                 yield b"".join([known[w] for w in words])
 
 
-_tokens: dict[str, Tokens] = {}
+def tokens(file: str, limit: int = CACHED) -> Tokens:
+    return kept(("tokens", file, limit), lambda: Tokens(file, limit))
 
 
-def tokens(file: str) -> Tokens:
-    if file not in _tokens:
-        _tokens[file] = Tokens(file)
-    return _tokens[file]
+def cut_pieces(
+    df: DataFrame, key: str, text: str, tokenizer: str, capacity: int = CAPACITY, ids: bool = False, cached: int = CACHED
+) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of every piece, and the ids themselves if asked for.
 
-
-def cut_pieces(df: DataFrame, key: str, text: str, tokenizer: str, capacity: int = CAPACITY, ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every piece, and the ids themselves if asked for."""
+    A worker keeps the ids of about `cached` chunks, 200 to 250 bytes each.
+    """
+    small_batches(df.sparkSession)
     source = df.select(col(key).alias("doc_id"), col(text).cast("string").alias("text"))
     numbers = [("piece", "int"), ("start", "long"), ("length", "long"), ("ids_crc32", "long")]
     schema = plus(source.select("doc_id").schema, *numbers, *[("ids", "binary")] * ids)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = tokens(tokenizer)
+        known = tokens(tokenizer, cached)
         for batch in batches:
             row, piece, start, length, crc, parts = [], [], [], [], [], []
             for i, found in enumerate(known.of(batch.column(1).to_pylist())):
@@ -177,9 +178,11 @@ def sum_of_squares(lengths: list[int], capacity: int = CAPACITY) -> tuple[np.nda
     return sequence, offset
 
 
-def pack(df: DataFrame, key: str, text: str, tokenizer: str, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS) -> DataFrame:
+def pack(
+    df: DataFrame, key: str, text: str, tokenizer: str, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS, cached: int = CACHED
+) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
-    pieces = cut_pieces(df, key, text, tokenizer, capacity).withColumn("row", F.monotonically_increasing_id())
+    pieces = cut_pieces(df, key, text, tokenizer, capacity, cached=cached).withColumn("row", F.monotonically_increasing_id())
     pieces = written(pieces, "pieces")
     groups = max(1, -(-pieces.count() // group_rows))
     pieces = pieces.withColumn("mixed", F.xxhash64("row", "length"))
