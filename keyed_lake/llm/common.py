@@ -17,6 +17,7 @@ from ..storage import scratch_folder
 
 BATCH_BYTES = 4 << 20  # of a batch between Spark and a worker; both hold several copies of one
 _BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "64m"
+_SHUFFLE_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -28,11 +29,18 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows, written to a new folder under the shared scratch folder and read again.
 
-    This cuts the lineage, fixes values that depend on a task's place, and outlives a lost executor.
+    This cuts the lineage, fixes values that depend on a task's place, and outlives a lost executor. Nothing needs the
+    write's shuffles then, so they go at once: else they stay until the driver happens to collect its garbage.
     """
-    path = f"{scratch_folder(df.sparkSession, name)}/rows"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{scratch_folder(spark, name)}/rows"
+    before = spark.conf.get(_SHUFFLE_SETTING, None)
+    spark.conf.set(_SHUFFLE_SETTING, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_SHUFFLE_SETTING) if before is None else spark.conf.set(_SHUFFLE_SETTING, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fresh(name: str, taken: list[str]) -> str:

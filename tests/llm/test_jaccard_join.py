@@ -1,4 +1,5 @@
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -6,6 +7,7 @@ import pytest
 from helpers import ODD, documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from keyed_lake.llm import common
 from keyed_lake.llm import jaccard_join as J
 from keyed_lake.llm.components import components
 
@@ -137,3 +139,18 @@ def test_components(spark):
                 todo.append(n)
         assert r.component == min(seen)
     assert {r.node for r in rows} == set(neighbours)
+
+
+def test_a_written_table_leaves_no_shuffle(spark):
+    def shuffles():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in files.mkString("\n").split("\n") if "/shuffle_" in name}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, had = shuffles(), spark.conf.get(setting)
+    rows = common.written(spark.range(100_000).selectExpr("id % 5000 AS k").groupBy("k").count(), "counted")
+    until = time.monotonic() + 5
+    while shuffles() - before and time.monotonic() < until:  # they go a moment after the write
+        time.sleep(0.1)
+    assert not shuffles() - before and spark.conf.get(setting) == had
+    assert rows.count() == 5000
