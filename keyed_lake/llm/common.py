@@ -7,13 +7,14 @@ import ctypes
 import gc
 import os
 from collections.abc import Callable, Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..storage import scratch_folder
+from ..storage import Files, scratch_folder
 
 BATCH_BYTES = 4 << 20  # of a batch between Spark and a worker; both hold several copies of one
 _BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "64m"
@@ -43,6 +44,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes written tables that no table still to be written, and no result, reads."""
+    for table in tables:
+        found = table.inputFiles()
+        if found:
+            Files(table.sparkSession).delete(unquote(found[0]).rsplit("/", 2)[0])
+
+
 def fresh(name: str, taken: list[str]) -> str:
     """The name, with underscores in front until it clashes with none of the taken ones (in any case)."""
     lower = {t.lower() for t in taken}

@@ -9,8 +9,14 @@ occur in any other class; what remains is counted again (`ROUNDS` times), which
 the shared hashes a class needs only the rarest ones for meeting each partner in one of them. Classes that meet, directly
 or not, form a candidate group; groups contain all similar pairs, and usually little else.
 
-*Signature trees.* The sets of a group come together in one task, or, above `part_tokens` hashes, in one task per pair of
-parts of the group, so no task grows with it. A tree is built over the classes in order of size: leaves hold a bitmap of
+*Blocks.* A group of up to `part_tokens` hashes is a block. A larger one is mostly a chain of classes that meet by chance,
+and grows with the table. It has a block for every hub of its hashes; the hub of a hash is, of the classes with it, the one
+that meets most others, so classes with much in common have few hubs. A class is in the blocks of the hubs of all its hashes:
+two that meet in a hash are in the block of its hub. Where classes have so many hubs that this copies more than one block
+would, the group is one block. A block above `part_tokens` hashes is dealt in parts.
+
+*Signature trees.* The sets of a block come together in one task, or in one task per pair of
+parts of the block, so no task grows with it. A tree is built over the classes in order of size: leaves hold a bitmap of
 their classes' hashes, inner nodes the OR of their children's, each with the range of sizes and the largest number of
 hashes that a bitmap hides by collisions. Two trees are walked together; a pair of nodes is left when the sizes can't fit
 or the common bits plus the hidden hashes are fewer than the overlap needed. Pairs of leaves' classes that pass the same
@@ -36,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bloom import build
-from .common import col, find_package, fresh, kept, map_arrow, plus, slices, small_batches, written
+from .common import col, discard, find_package, fresh, kept, map_arrow, plus, slices, small_batches, written
 from .components import components
 
 ROUNDS = 2
@@ -217,7 +223,7 @@ def walk(left: Tree, right: Tree, same: bool, parent: list[int], shift: int, rul
 
 
 def tree_links(rows: pd.DataFrame, rule: Similarity) -> pd.DataFrame:
-    """Links a, b of the similar pairs of one group, or between the two parts of a group: enough to connect them."""
+    """Links a, b of the similar pairs of one block, or between two parts of a block: enough to connect them."""
     halves = [rows[rows["side"] == k].sort_values(["n", "node"]) for k in (0, 1)]
     sets = [[np.frombuffer(s, np.uint64) for s in half["grams"]] for half in halves]
     sizes = np.concatenate([half["n"].to_numpy() for half in halves])
@@ -235,51 +241,85 @@ def tree_links(rows: pd.DataFrame, rule: Similarity) -> pd.DataFrame:
 
 
 def shared_prefixes(postings: DataFrame, rule: Similarity) -> DataFrame:
-    """token, node, n of the hashes by which a class has to meet its partners, as far as it can have one."""
-    rows = postings
+    """token, node, n of the hashes by which a class has to meet its partners, as far as it can have one.
+
+    `weight` tells how many others a class meets in them, about.
+    """
+    rows, used = postings, []
     for _ in range(ROUNDS):
         counts = written(rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "token-counts")
         rows = rows.drop("df").join(counts, "token")
         own = Window.partitionBy("node")
         rows = rows.withColumn("shared", F.count("*").over(own)).where(F.col("shared") >= rule.least_shared(F.col("n")))
         rows = written(rows.drop("shared"), "shared-tokens")
+        discard(counts, *used)
+        used = [rows]
     own = Window.partitionBy("node")
     place = F.row_number().over(own.orderBy("df", "token"))
     rows = rows.withColumn("shared", F.count("*").over(own)).withColumn("place", place)
     rows = rows.where(F.col("place") <= F.col("shared") - rule.least_shared(F.col("n")) + 1)
-    return written(rows.select("token", "node", "n"), "meeting-tokens")
+    meeting = written(rows.select("token", "node", "n", F.sum("df").over(own).alias("weight")), "meeting-tokens")
+    discard(*used)
+    return meeting
 
 
-def candidate_groups(meeting: DataFrame) -> DataFrame:
-    """node, component: classes that meet in a hash, directly or by others."""
-    hubs = written(meeting.groupBy("token").agg(F.min("node").alias("hub"), F.count("*").alias("df")).where("df > 1"), "hubs")
-    links = meeting.join(hubs.drop("df"), "token").select(F.col("node").alias("a"), F.col("hub").alias("b")).where("a <> b")
-    return components(links)
+def met_hubs(meeting: DataFrame) -> DataFrame:
+    """node, hub: the hubs that a class meets others at. The hub of a hash is the class of most weight that has it."""
+    most = F.max(F.struct("weight", "node"))["node"].alias("hub")
+    hubs = written(meeting.groupBy("token").agg(most, F.count("*").alias("df")).where("df > 1").drop("df"), "hubs")
+    met = written(meeting.join(hubs, "token").select("node", "hub").distinct(), "met-hubs")
+    discard(hubs)
+    return met
 
 
-def exact_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, rule: Similarity, part_tokens: int) -> DataFrame:
+def blocks(members: DataFrame, met: DataFrame, part_tokens: int) -> DataFrame:
+    """node, block, parts: where the set of each class goes; any two that meet in a hash are in a block together."""
+    of = lambda total: F.ceil(F.col(total) / part_tokens).cast("int")
+    totals = members.groupBy("grp").agg(F.sum("n").alias("total"))
+    totals = written(totals.select("grp", "total", of("total").alias("parts")), "group-parts")
+    large = totals.where("parts > 1")
+    by_hub = members.join(large.select("grp"), "grp").join(met, "node").select("grp", "hub", "node", "n")
+    hubs = by_hub.groupBy("grp", "hub").agg(F.sum("n").alias("total"))
+    hubs = written(hubs.select("grp", "hub", "total", of("total").alias("parts")), "hub-parts")
+    copied = hubs.groupBy("grp").agg(F.sum(F.col("total") * F.col("parts")).alias("copied"))
+    split = written(large.join(copied, "grp").where(F.col("copied") < F.col("total") * F.col("parts")).select("grp"), "split-groups")
+    whole = members.join(totals.join(split, "grp", "left_anti"), "grp").select("node", F.col("grp").alias("block"), "parts")
+    by_hub = members.join(split, "grp").join(met, "node").join(hubs.select("hub", "parts"), "hub")
+    placed = written(whole.unionByName(by_hub.select("node", F.col("hub").alias("block"), "parts")), "blocks")
+    discard(totals, hubs, split)
+    return placed
+
+
+def exact_links(
+    docs: DataFrame, classes: DataFrame, groups: DataFrame, met: DataFrame, rule: Similarity, part_tokens: int
+) -> DataFrame:
     """a, b: verified links. docs: text and its hash; classes: node, n, and the hash of one of their texts."""
     members = written(
         groups.select("node", F.col("component").alias("grp")).join(classes.select("node", "n", "text_hash"), "node"), "members"
     )
-    totals = members.groupBy("grp").agg(F.sum("n").alias("total"))
-    totals = written(totals.select("grp", F.ceil(F.col("total") / part_tokens).cast("int").alias("parts")), "group-parts")
-    wanted = members.join(totals, "grp").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    placed = blocks(members, met, part_tokens)
+    places = placed.groupBy("node").agg(F.collect_list(F.struct("block", "parts")).alias("places"))
+    wanted = members.drop("grp").join(places, "node")
     # a Bloom filter lets few other texts than those of members leave the scan
     hashes = written(members.select("text_hash").distinct(), "member-texts")
     likely = build(hashes, "text_hash", hashes.count()).flag(docs, "likely", F.col("text_hash")).where("likely")
     texts = likely.groupBy("text_hash").agg(F.first("text").alias("text"))
-    source = wanted.join(texts, "text_hash").select("node", "n", "grp", "parts", "part", "text")
+    source = wanted.join(texts, "text_hash").select("node", "n", "places", "text")
     schema = plus(source.drop("text").schema, ("grams", "binary"))
     sets = written(map_arrow(source, _sets(rule, schema), schema), "member-sets")
+    discard(members, placed, hashes)
+    dealt = sets.select("node", "n", "grams", F.explode("places").alias("at")).select("node", "n", "grams", "at.block", "at.parts")
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    dealt = sets.withColumn("other", other).select(
-        "node", "n", "grams", "grp", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
+    dealt = dealt.withColumn("other", other).select(
+        "node", "n", "grams", "block", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
         (F.col("part") > F.col("other")).cast("int").alias("side"),
     )
     find_package(docs.sparkSession)
-    links = dealt.groupBy("grp", "p", "q").applyInPandas(lambda rows: tree_links(rows, rule), "a long, b long")
-    return written(links, "exact-links")
+    links = dealt.groupBy("block", "p", "q").applyInPandas(lambda rows: tree_links(rows, rule), "a long, b long")
+    links = written(links, "exact-links")
+    discard(sets)
+    return links
 
 
 def grouped(df: DataFrame, key: str, text: str, rule: Similarity = Similarity(), part_tokens: int = PART_TOKENS) -> DataFrame:
@@ -294,10 +334,17 @@ def grouped(df: DataFrame, key: str, text: str, rule: Similarity = Similarity(),
         F.first("n").alias("n"), F.first("first").alias("first"), F.min("text_hash").alias("text_hash"),
         F.min(name).alias("least"),
     )
-    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    postings = classes.select("node", "n", F.explode("first").alias("token"))
-    groups = candidate_groups(shared_prefixes(postings, rule))
-    links = exact_links(docs.select("text", "text_hash"), classes.select("node", "n", "text_hash"), groups, rule, part_tokens)
+    whole = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    outlines, heavy = written(outlines.drop("first"), "outline-sizes"), outlines
+    discard(heavy)
+    postings = whole.select("node", "n", F.explode("first").alias("token"))
+    meeting = shared_prefixes(postings, rule)
+    classes = written(whole.drop("first"), "class-sizes")
+    discard(whole)
+    met = met_hubs(meeting)
+    discard(meeting)
+    groups = components(met, "node", "hub")  # node, component: classes that meet in a hash, directly or by others
+    links = exact_links(docs.select("text", "text_hash"), classes.select("node", "n", "text_hash"), groups, met, rule, part_tokens)
     labelled = classes.select("digest", "node", "least").join(components(links), "node", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "node"))
     least = written(labelled.groupBy("component").agg(F.min("least").alias("named")), "component-names")

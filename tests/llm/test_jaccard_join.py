@@ -1,5 +1,7 @@
+import os
 import random
 import time
+import uuid
 from collections import defaultdict
 
 import numpy as np
@@ -10,6 +12,7 @@ from hypothesis import strategies as st
 from keyed_lake.llm import common
 from keyed_lake.llm import jaccard_join as J
 from keyed_lake.llm.components import components
+from pyspark.sql import functions as F
 
 
 def corpus(seed, families=12, copies=9, size=90):
@@ -141,6 +144,53 @@ def test_components(spark):
     assert {r.node for r in rows} == set(neighbours)
 
 
+def test_a_chain_of_chance_meetings_is_not_dealt_all_to_all(spark, tmp_path, monkeypatch):
+    """Each text shares a third of its words with the next: one group, but none is similar to another but its copy."""
+    rule, folder, plain = J.Similarity(1, 50, 100), str(tmp_path), J.tree_links
+    texts = [" ".join(f"w{k}" for k in range(20 * i, 20 * i + 40)) for i in range(100)]
+    texts += [t + f" more{i}" for i, t in enumerate(texts[::10])]
+
+    def counted(rows, rule):
+        with open(f"{folder}/{uuid.uuid4().hex}", "w") as file:
+            file.write(str(len(rows)))
+        return plain(rows, rule)
+
+    monkeypatch.setattr(J, "tree_links", counted)
+    rows = J.grouped(documents(spark, texts), "doc_id", "text", rule, part_tokens=200).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute(texts, rule)
+    dealt = [int(p.read_text()) for p in tmp_path.iterdir()]
+    assert len(texts) < sum(dealt) < 5 * len(texts)  # 23 parts would make 23 copies of each
+
+
+@pytest.mark.parametrize("part_tokens", [1, 200, 5_000])
+def test_classes_that_meet_share_a_block(spark, part_tokens):
+    pick = random.Random(part_tokens)
+    meeting = [(t, n, 10 + n, pick.randint(1, 9)) for t in range(60) for n in pick.sample(range(40), pick.choice([1, 2, 3, 30]))]
+    met = J.met_hubs(spark.createDataFrame(meeting, "token long, node long, n long, weight long"))
+    groups = components(met, "node", "hub")
+    sizes = spark.createDataFrame([(n, 10 + n) for n in range(40)], "node long, n long")
+    placed = J.blocks(groups.select("node", F.col("component").alias("grp")).join(sizes, "node"), met, part_tokens).collect()
+    of, total = defaultdict(set), defaultdict(int)
+    for r in placed:
+        assert r.block not in of[r.node]
+        of[r.node].add(r.block)
+        total[r.block] += 10 + r.node
+    assert all(r.parts == -(-total[r.block] // part_tokens) for r in placed)
+    holders = defaultdict(list)
+    for t, n, *_ in meeting:
+        holders[t].append(n)
+    assert all(of[a] & of[b] for nodes in holders.values() for a in nodes for b in nodes if a != b)
+
+
+def test_intermediate_tables_go_when_they_were_read(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    texts = corpus(8)
+    assert len(J.similar_groups(documents(spark, texts), "doc_id", "text").collect()) == len(texts)
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(shared)) - before}
+    assert not left & {"outlines", "classes", "token-counts", "shared-tokens", "meeting-tokens", "members", "member-sets"}
+
+
 def test_a_written_table_leaves_no_shuffle(spark):
     def shuffles():
         files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
