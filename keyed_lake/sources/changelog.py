@@ -57,6 +57,7 @@ _MEASURED = 1_000  # batches that the row size is measured over
 _JOINED_BYTES = 256 << 20  # of a batch whose files are joined; the files of larger ones are left as they are
 _FEW = 3  # files of a batch that are left as they are in any case
 _FILE_BYTES = 64 << 20  # of a joined file, about
+_GROUP_BYTES = 4 << 20  # of a row group, uncompressed: readers split a file by these, and a stream may take one file a trigger
 _FILLED = 0.8  # share of its rows that a joined file is planned with, as ranges come out uneven
 
 
@@ -203,6 +204,7 @@ class ParquetLog:
         counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.max("offset").alias("end"))
         (
             counted.write.option("compression", "zstd")
+            .option("parquet.block.size", _GROUP_BYTES)
             .option("maxRecordsPerFile", rows_per_file)
             .parquet(staged)
         )
@@ -234,7 +236,8 @@ class ParquetLog:
         records = self.spark.read.schema(LOG_SCHEMA).parquet(staged)
         # ranges by number, so that adaptive execution leaves them
         records = records.coalesce(1) if needed == 1 else records.repartitionByRange(needed, "offset")
-        records.write.option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).parquet(joined)
+        writer = records.write.option("compression", "zstd").option("parquet.block.size", _GROUP_BYTES)
+        writer.option("maxRecordsPerFile", rows_per_file).parquet(joined)
         self.files.delete(staged)
         return joined
 

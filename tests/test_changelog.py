@@ -1,3 +1,4 @@
+import pyarrow.parquet as pq
 import pytest
 from conftest import make_spec, plan_of, rows_of
 from pyspark.sql import functions as F
@@ -172,3 +173,10 @@ def test_files_follow_the_rows_and_not_the_tasks(spark, log):
     first = log.scan().where(F.col("offset") < F.lit(str(1 << 64)).cast("decimal(38,0)")).orderBy("offset").select("value").collect()
     assert [int(r["value"]) for r in first] == list(range(2000)) and log.recorded_rows() == 6000
     assert log.files.names(f"{log.path}/_staging") == []
+
+
+def test_a_file_can_be_read_by_several_tasks(spark, log):
+    many = spark.range(60_000).select(F.md5(F.col("id").cast("string")).alias("key"))
+    log.append(many.withColumn("value", F.concat(*[F.md5(F.concat("key", F.lit(str(i)))) for i in range(4)])).coalesce(1), "w", 0)
+    (file,) = [f.removeprefix("file://") for f in log.scan().inputFiles()]
+    assert pq.ParquetFile(file).metadata.num_row_groups > 1 and log.scan().count() == 60_000

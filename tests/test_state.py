@@ -16,7 +16,7 @@ from keyed_lake.operators.stats import metadata_counts
 from keyed_lake.sources.changelog import ParquetLog
 from keyed_lake.sources.table import ParquetTable
 from keyed_lake.streaming.audit import ProgressAudit, watch_log
-from keyed_lake.streaming.newest import sortable
+from keyed_lake.streaming.newest import Known, ranked_records, sortable
 from keyed_lake.streaming.pipelines import apply_all, apply_log, await_all, compact_stream, rekey_newest
 
 SPEC = make_spec("id long,at timestamp,n int,v string", "id", "at,n", name="s", topic="s", table_folder="s", partitions=3)
@@ -142,6 +142,38 @@ def test_bad_records_go_aside_and_orders_are_checked(spark, folder, log):
         sortable(F.lit(1.0), T.DoubleType())
 
 
+def test_keys_cost_no_python_and_no_state_partitions(spark, folder, log):
+    log.append(records(spark, *[(i % 700, i, 0, f"v{i}") for i in range(2000)]), "w", 0)
+    target = ParquetLog(spark, f"{folder}/target").create("t", 2)
+    queries = rekey_newest(spark, SPEC, log, target, f"{folder}/cp", "v", "n", available_now=True)
+    await_all(spark, queries)
+    assert queries[0].lastProgress["stateOperators"] == []
+    assert rows_of(target.scan(), "key") == sorted((f"v{i}",) for i in range(1300, 2000))
+
+
+def test_a_micro_batch_that_runs_again_finds_the_same(spark, folder):
+    def ranked(*rows):
+        rows = [(i, m and T0 + timedelta(minutes=m), n, v, Decimal(k), T0) for k, (i, m, n, v) in enumerate(rows)]
+        schema = "id long, at timestamp, n int, v string, _log_offset decimal(38,0), _log_timestamp timestamp"
+        return ranked_records(spark.createDataFrame(rows, schema), SPEC, "v", "n")
+
+    def new(batch_id, *rows, known=None):
+        return rows_of((known or Known(spark, f"{folder}/known", "1 hour")).newest(ranked(*rows), batch_id), "key")
+
+    one = Known(spark, f"{folder}/known", "1 hour")
+    first = [(1, 10, 0, "a"), (2, 10, 0, "b"), (2, 20, 0, "c"), (3, None, 0, "d")]
+    assert new(0, *first, known=one) == new(0, *first) == [("a",), ("c",), ("d",)]
+    os.makedirs(f"{folder}/known/000000000001-broken")
+    second = [(1, 5, 0, "late"), (2, 20, 1, "e"), (3, 300, 0, "f"), (None, 8, 0, "no key")]
+    assert new(1, *second, known=one) == new(1, *second) == [("e",), ("f",), ("no key",)]
+    one.tidy(1)
+    left = [n for n in os.listdir(f"{folder}/known") if not n.startswith(".")]
+    assert len(left) == 2 and {n[:12] for n in left} == {"000000000001"} and "000000000001-broken" not in left
+    # after the start of a stream, the watermark is 240: other keys than 3 are forgotten
+    third = [(1, 30, 0, "too late to tell"), (2, 250, 0, "g"), (3, 299, 0, "older"), (1, None, 0, "no time")]
+    assert new(2, *third) == [("g",), ("no time",)]
+
+
 @pytest.mark.parametrize(
     "kind, values",
     [
